@@ -61,10 +61,14 @@ def lag_matrix(panel: DataFrame, series, order, value: str, lags: int = 4, compl
     return out
 
 
-def last_rows(panel: DataFrame, series, order: str, n: int) -> DataFrame:
-    """The n latest rows of each series (the row limit is applied before the shuffle)."""
+def last_rows(panel: DataFrame, series, order: str, n: int, age: str | None = None) -> DataFrame:
+    """The n latest rows of each series (the row limit is applied before the shuffle).
+
+    ``age`` names a column counting them from 1, the latest.
+    """
     w = Window.partitionBy(*series).orderBy(F.desc(order))
-    return panel.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    out = panel.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+    return out.withColumnRenamed("_rn", age) if age else out.drop("_rn")
 
 
 def last_mean(panel: DataFrame, series, order: str, value: str, n: int = 8, into: str = "recent_avg") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F, Window
 
 from tablewright.functions.numbers import ratio
 from tablewright.operators.panel import growth
+from tablewright.operators.quantiles import quantile_struct
 
 
 def top(df: DataFrame, n: int, by: str, ties: str, ascending: bool = False) -> DataFrame:
@@ -29,8 +30,8 @@ def growth_table(recent: DataFrame, future: DataFrame, key: str) -> DataFrame:
 
 def rank_summary(table: DataFrame, metric: str = "growth_rate") -> DataFrame:
     """Number of series, mean and median metric, how many rise and fall (one row per series in)."""
-    return table.agg(
-        F.count(metric).alias("series"), F.avg(metric).alias("mean"), F.percentile(metric, F.lit(0.5)).alias("median"),
+    return table.withColumn("_q", quantile_struct(table, [metric], [0.5])).agg(
+        F.count(metric).alias("series"), F.avg(metric).alias("mean"), F.max(F.col(f"_q.`{metric}`")[0]).alias("median"),
         F.count_if(F.col(metric) > 0).alias("positive"), F.count_if(F.col(metric) < 0).alias("negative"))
 
 
