@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablewright.functions.numbers import finite
 from tablewright.operators.joining import null_safe_join
 from tablewright.operators.quantiles import HOT_ROWS, exact_quantiles
+from tablewright.session import measured
 
 
 def _limits(df: DataFrame, col: str):
@@ -57,7 +58,7 @@ def box_stats(df: DataFrame, col: str, by=(), k: float = 1.5, hot_rows: int = HO
     iqr = F.col("q3") - F.col("q1")
     fenced = q.withColumn("_lo", F.col("q1") - k * iqr).withColumn("_hi", F.col("q3") + k * iqr)
     if by:
-        both = null_safe_join(rows, fenced, by, "inner")
+        both = null_safe_join(rows, measured(fenced), by, "inner")
     else:
         both = rows.withColumn("_b", fenced.select(F.struct("*")).scalar()).select("v", "_b.*")
     within = F.col("v").between(F.col("_lo"), F.col("_hi"))
@@ -81,7 +82,7 @@ def kde(df: DataFrame, col: str, by=(), points: int = 200, cut: float = 3.0) ->
     ).where("s > 0").withColumn("h", h).select(
         *by, "n", "h", (F.col("a") - cut * F.col("h")).alias("lo"), (F.col("b") + cut * F.col("h")).alias("hi"))
     if by:
-        rows = null_safe_join(weights, stats, by, "inner")
+        rows = null_safe_join(weights, measured(stats), by, "inner")
     else:
         rows = weights.withColumn("_s", stats.select(F.struct("*")).scalar()).select("v", "w", "_s.*")
     step = (F.col("hi") - F.col("lo")) / (points - 1)

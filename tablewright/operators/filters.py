@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablewright.functions.numbers import finite
+from tablewright.session import measured
 
 
 def rows_at_max(df: DataFrame, col: str) -> DataFrame:
@@ -58,7 +59,7 @@ def long_series_only(panel: DataFrame, keys, value: str, least: int = 10) -> Dat
     """
     usable = panel.where(finite(F.col(value)).isNotNull())
     long = usable.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= least)
-    return usable.join(long.select(*keys), list(keys), "left_semi")
+    return usable.join(measured(long.select(*keys)), list(keys), "left_semi")
 
 
 def outside_sigma(df: DataFrame, col: str, k: float = 3.0) -> DataFrame:

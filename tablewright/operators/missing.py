@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablewright.operators.joining import null_safe_join
 from tablewright.operators.ordered import fill_along
 from tablewright.operators.quantiles import HOT_ROWS, medians, quantile_struct
+from tablewright.session import measured
 
 
 def fill_constant(df: DataFrame, values: dict) -> DataFrame:
@@ -30,7 +31,7 @@ def fill_group_median(df: DataFrame, col: str, by, fallback: bool = True, legacy
     keyless = F.lit(False)
     for k in by:
         keyless = keyless | F.col(k).isNull()
-    grouped = medians(df.where(~keyless), col, by, hot_rows, "_gm")
+    grouped = measured(medians(df.where(~keyless), col, by, hot_rows, "_gm"))
     own = F.when(~keyless, F.col(col)) if legacy_null_key else F.col(col)
     filled = df.join(grouped, by, "left").withColumn(col, F.coalesce(own, "_gm")).select(*df.columns)
     return fill_global_median(filled, [col], hot_rows) if fallback else filled
@@ -64,5 +65,5 @@ def masked(df: DataFrame, col: str, mask: Column, value) -> DataFrame:
 
 def group_spread(df: DataFrame, by, **aggs: Column) -> DataFrame:
     """Group aggregates put back on every row (aggregate + join, so no group is buffered)."""
-    per = df.groupBy(*by).agg(*[e.alias(n) for n, e in aggs.items()])
+    per = measured(df.groupBy(*by).agg(*[e.alias(n) for n, e in aggs.items()]))
     return null_safe_join(df, per, by, "left")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F, Window
 from tablewright.functions.numbers import finite
 from tablewright.operators.filters import require
 from tablewright.operators.joining import null_safe_join
-from tablewright.session import cut_lineage
+from tablewright.session import cut_lineage, measured
 
 LEAF_ROWS = 1024
 MAX_LEAVES = 32_768
@@ -87,7 +87,7 @@ def knn_mean(donors: DataFrame, queries: DataFrame, key: str, features, target:
         return pd.Series(node - 2**depth)
 
     placed = points.withColumn("_leaf", leaf_of(*names))
-    wanted = wanted.withColumn("_leaf", leaf_of(*names))
+    wanted = cut_lineage(wanted.withColumn("_leaf", leaf_of(*names)))
 
     id_type = donors.schema[key].dataType.simpleString()
     schema = ", ".join(f"{c} double" for c in names) + f", _id {id_type}, _d double, _y double"
@@ -109,7 +109,7 @@ def knn_mean(donors: DataFrame, queries: DataFrame, key: str, features, target:
 
     def meet(asked: DataFrame) -> DataFrame:
         """Nearest donors of each (query, leaf) pair, busy leaves split over tasks."""
-        load = asked.groupBy("_leaf").agg(F.ceil(F.count("*") / QUERIES_PER_TASK).cast("int").alias("_parts"))
+        load = measured(asked.groupBy("_leaf").agg(F.ceil(F.count("*") / QUERIES_PER_TASK).cast("int").alias("_parts")))
         left = asked.join(load, "_leaf").withColumn("_part", F.pmod(F.xxhash64(*names), F.col("_parts")).cast("int"))
         copies = load.select("_leaf", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"))
         right = placed.join(copies.toDF("_l", "_part"), F.col("_leaf") == F.col("_l")).drop("_l")
@@ -141,7 +141,7 @@ def knn_mean(donors: DataFrame, queries: DataFrame, key: str, features, target:
         # queries whose own leaf held no donor have no radius yet and visit every leaf
         asked = wanted.join(radius, names, "left").fillna({"_r": 0.0, "_k": 0})
         others = asked.mapInPandas(reach, ", ".join(f"{c} double" for c in names) + ", _leaf int")
-        found = first.unionByName(meet(others))
+        found = first.unionByName(meet(cut_lineage(others)))
 
     nearest = Window.partitionBy(*names).orderBy("_d", "_id")
     best = found.withColumn("_rn", F.row_number().over(nearest)).where(F.col("_rn") <= k)

@@ -13,6 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F, types as T, Window
 
 from tablewright.operators.joining import null_safe_join
+from tablewright.session import measured
 
 CHUNK_ROWS = 5_000_000
 MAX_CHUNKS = 4096
@@ -27,13 +28,16 @@ def _numeric(df: DataFrame, order: str) -> Column:
     return F.col(order).cast("double")
 
 
-def add_chunks(df: DataFrame, order: str, chunks: int | None = None, name: str = "_chunk") -> DataFrame:
+def chunk_count(df: DataFrame, chunks: int | None = None) -> int:
+    """As many chunks as keep each near CHUNK_ROWS rows, unless a number is given."""
+    return chunks or max(1, min(MAX_CHUNKS, math.ceil(df.count() / CHUNK_ROWS)))
+
+
+def add_chunks(df: DataFrame, order: str, chunks: int, name: str = "_chunk") -> DataFrame:
     """Number rows 0.. by slices of the order column holding about equally many rows.
 
     The slice borders come from a quantile sketch, so a busy period gets more slices.
     """
-    if chunks is None:
-        chunks = min(MAX_CHUNKS, math.ceil(df.count() / CHUNK_ROWS))
     if chunks <= 1:
         return df.withColumn(name, F.lit(0.0))
     keyed = df.withColumn("_at", _numeric(df, order))
@@ -48,6 +52,12 @@ def fill_along(df: DataFrame, keys, order, cols, chunks: int | None = None,
                back: bool = True) -> DataFrame:
     """Forward fill, then (``back``) fill what is left backwards, along ``order`` within a series."""
     keys, order = list(keys), [order] if isinstance(order, str) else list(order)
+    chunks = chunk_count(df, chunks)
+    if chunks == 1:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        upto, onward = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+        return df.withColumns({c: F.coalesce(F.last(c, True).over(upto), *([F.first(c, True).over(onward)] if back else []))
+                               for c in cols})
     part = add_chunks(df, order[0], chunks)
     at = F.struct(*order)
     edges = part.groupBy(*keys, "_chunk").agg(
@@ -59,6 +69,7 @@ def fill_along(df: DataFrame, keys, order, cols, chunks: int | None = None,
         *keys, "_chunk",
         *[F.last(f"_last_{c}", True).over(before).alias(f"_before_{c}") for c in cols],
         *[F.first(f"_first_{c}", True).over(after).alias(f"_after_{c}") for c in cols])
+    carry = measured(carry)  # series x chunks rows
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     upto, onward = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(0, Window.unboundedFollowing)
     local = part.select(
@@ -75,6 +86,10 @@ def fill_along(df: DataFrame, keys, order, cols, chunks: int | None = None,
 def lag_along(df: DataFrame, keys, order, col: str, into: str, chunks: int | None = None) -> DataFrame:
     """The previous row's value along ``order`` within a series (``keys`` may be empty)."""
     keys, order = list(keys), [order] if isinstance(order, str) else list(order)
+    chunks = chunk_count(df, chunks)
+    if chunks == 1:
+        w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
+        return df.withColumn(into, F.lag(col).over(w))
     part = add_chunks(df, order[0], chunks)
     # a constant series key keeps the carry window partitioned; it holds one row per chunk
     part = part if keys else part.withColumn("_all", F.lit(0))
@@ -82,6 +97,7 @@ def lag_along(df: DataFrame, keys, order, col: str, into: str, chunks: int | Non
     edges = part.groupBy(*group, "_chunk").agg(F.max_by(F.struct(F.col(col).alias("v")), F.struct(*order)).alias("_e"))
     carry = edges.select(
         *group, "_chunk", F.lag("_e").over(Window.partitionBy(*group).orderBy("_chunk"))["v"].alias("_carry"))
+    carry = measured(carry)
     inside = Window.partitionBy(*group, "_chunk").orderBy(*order)
     local = part.withColumn("_lag", F.lag(col).over(inside)).withColumn("_rn", F.row_number().over(inside))
     out = null_safe_join(local, carry, [*group, "_chunk"], "left")

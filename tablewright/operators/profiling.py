@@ -7,9 +7,9 @@ from itertools import combinations
 from pyspark.sql import DataFrame, functions as F
 
 from tablewright.functions.numbers import finite, percent_of, ratio
-from tablewright.operators.joining import null_safe_join
 from tablewright.operators.quantiles import HOT_ROWS, exact_quantiles
 from tablewright.operators.schema import columns_of
+from tablewright.session import small_frame
 
 
 def null_audit(df: DataFrame, cols=None) -> DataFrame:
@@ -42,16 +42,14 @@ def type_counts(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, cols, by=(), hot_rows: int = HOT_ROWS) -> DataFrame:
-    """by..., column, count, mean, std, min, q25, q50, q75, max with exact quartiles."""
-    v = {c: finite(F.col(f"`{c}`").cast("double")) for c in cols}
-    per = [F.struct(F.lit(c).alias("column"), F.count(e).alias("count"), F.avg(e).alias("mean"),
-                    F.stddev_samp(e).alias("std"), F.min(e).alias("min"), F.max(e).alias("max"))
-           for c, e in v.items()]
-    base = (df.groupBy(*by) if by else df.groupBy()).agg(F.array(*per).alias("a")).select(*by, F.inline("a"))
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], by, hot_rows).drop("n")
-    out = null_safe_join(base, q, [*by, "column"], "left")
-    return out.select(*by, "column", "count", "mean", "std", "min", F.col("q")[0].alias("q25"),
-                      F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
+    """by..., column, count, mean, std, min, q25, q50, q75, max with exact quartiles.
+
+    Columns (or groups) without any value have no row.
+    """
+    extra = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], by, hot_rows, extra)
+    return q.select(*by, "column", F.col("n").alias("count"), "mean", "std", "min", F.col("q")[0].alias("q25"),
+                    F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
 
 
 def basic_stats(df: DataFrame, col: str, by=(), hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -97,7 +95,7 @@ def value_checks(df: DataFrame, cols) -> DataFrame:
 def category_counts(df: DataFrame, col: str, order) -> DataFrame:
     """Counts in a fixed category order, absent categories included."""
     position = F.create_map(*[x for i, v in enumerate(order) for x in (F.lit(v), F.lit(i))])
-    zeros = df.sparkSession.createDataFrame([(v, 0) for v in order], f"`{col}` string, `count` bigint")
+    zeros = small_frame(df.sparkSession, [(v, 0) for v in order], f"`{col}` string, `count` bigint")
     seen = df.where(F.col(col).isin(*order)).groupBy(col).agg(F.count("*").alias("count"))
     return seen.unionByName(zeros).groupBy(col).agg(F.sum("count").alias("count")).select(
         position[F.col(col)].alias("position"), col, "count")

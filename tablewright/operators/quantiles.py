@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, functions as F, types as T, Window
 
 from tablewright.functions.numbers import finite
 from tablewright.operators.joining import null_safe_join
+from tablewright.session import cut_lineage, small_frame
 
-HOT_ROWS = 10_000_000
-_FENCES = 256
+HOT_ROWS = 4_000_000
 
 
 def melt(df: DataFrame, cols, by=()) -> DataFrame:
@@ -27,31 +27,38 @@ def melt(df: DataFrame, cols, by=()) -> DataFrame:
     return df.select(*by, F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
 
 
-def exact_quantiles(df: DataFrame, cols, probs, by=(), hot_rows: int = HOT_ROWS) -> DataFrame:
-    """by..., column, n, q: the quantiles ``probs`` of every column, within every group."""
-    by, cols, probs = list(by), list(cols), [float(p) for p in probs]
+def exact_quantiles(df: DataFrame, cols, probs, by=(), hot_rows: int = HOT_ROWS, extra=None) -> DataFrame:
+    """by..., column, n, q: the quantiles ``probs`` of every column, within every group.
+
+    ``extra`` maps names to aggregates of the value (column -> aggregate) computed in the same pass.
+    """
+    by, cols, probs, extra = list(by), list(cols), [float(p) for p in probs], dict(extra or {})
     if df.count() <= hot_rows:
-        return _grouped(df, cols, probs, by)
-    long = melt(df, cols, by)
-    keys = [*by, "column"]
+        return _grouped(df, cols, probs, by, extra)
+    long, keys = melt(df, cols, by), [*by, "column"]
     sizes = long.groupBy(*keys).agg(F.count("*").alias("n"))
-    # at most (rows / hot_rows) groups can be this large
+    # at most (values / hot_rows) groups can be this large, so the list is short
     hot = sizes.where(F.col("n") > hot_rows).collect()
     if not hot:
-        return _grouped(df, cols, probs, by)
-    hot_keys = df.sparkSession.createDataFrame(
-        [tuple(r[k] for k in keys) for r in hot], T.StructType([long.schema[k] for k in keys]))
+        return _grouped(df, cols, probs, by, extra)
+    key_schema = T.StructType([long.schema[k] for k in keys])
+    hot_keys = small_frame(df.sparkSession, [[r[k] for k in keys] for r in hot], key_schema)
     cold = null_safe_join(long, hot_keys, keys, "left_anti")
     spread = F.percentile("value", F.array(*map(F.lit, probs)))
     cold_q = cold.groupBy(*keys).agg(F.count("*").alias("n"), spread.alias("q"))
-    return cold_q.unionByName(_narrowed(long, hot, probs, keys, hot_rows))
+    out = cold_q.unionByName(_narrowed(null_safe_join(long, hot_keys, keys, "left_semi"), hot, probs, keys, hot_rows))
+    if not extra:
+        return out
+    stats = long.groupBy(*keys).agg(*[f(F.col("value")).alias(n) for n, f in extra.items()])
+    return null_safe_join(out, stats, keys, "left").select(*keys, "n", "q", *extra)
 
 
-def _grouped(df: DataFrame, cols, probs, by) -> DataFrame:
+def _grouped(df: DataFrame, cols, probs, by, extra) -> DataFrame:
     wanted = F.array(*map(F.lit, probs))
     clean = [finite(F.col(f"`{c}`").cast("double")) for c in cols]
     aggs = [
-        F.struct(F.lit(c).alias("column"), F.count(v).alias("n"), F.percentile(v, wanted).alias("q"))
+        F.struct(F.lit(c).alias("column"), F.count(v).alias("n"), F.percentile(v, wanted).alias("q"),
+                 *[f(v).alias(n) for n, f in extra.items()])
         for c, v in zip(cols, clean)
     ]
     out = df.groupBy(*by).agg(F.array(*aggs).alias("_a")) if by else df.agg(F.array(*aggs).alias("_a"))
@@ -59,71 +66,79 @@ def _grouped(df: DataFrame, cols, probs, by) -> DataFrame:
 
 
 def _narrowed(long: DataFrame, hot, probs, keys, hot_rows) -> DataFrame:
+    """Quantiles of the hot groups. Each round keeps, per group and rank, the interval that holds the rank.
+
+    A round reads its rows for the sketch, for the exact counts and to store the rows inside the
+    new intervals; the next round starts from those, a small share of the previous ones.
+    """
     spark = long.sparkSession
-    key_fields = [long.schema[k] for k in keys]
-    schema = T.StructType([*key_fields] + [
-        T.StructField(n, t) for n, t in (
-            ("p", T.IntegerType()), ("lo", T.DoubleType()), ("hi", T.DoubleType()),
-            ("below", T.LongType()), ("first", T.LongType()), ("last", T.LongType()))])
-    todo, done = [], []
+    id_fields = [*[long.schema[k] for k in keys], T.StructField("p", T.IntegerType())]
+    ids = [*keys, "p"]
+
+    def frame(rows, *extra):
+        return small_frame(spark, rows, T.StructType([*id_fields, *[T.StructField(n, t) for n, t in extra]]))
+
+    state = {}
     for row in hot:
         for i, p in enumerate(probs):
             rank = (row["n"] - 1) * p
-            todo.append({"key": tuple(row[k] for k in keys), "p": i, "lo": None, "hi": None, "below": 0,
-                         "inside": row["n"], "first": math.floor(rank), "last": math.ceil(rank)})
-
-    def inside(brackets):
-        table = spark.createDataFrame(
-            [(*b["key"], b["p"], b["lo"], b["hi"], b["below"], b["first"], b["last"]) for b in brackets], schema)
-        rows = null_safe_join(long, table, keys, "inner")
-        return rows.where((F.col("lo").isNull() | (F.col("value") >= F.col("lo")))
-                          & (F.col("hi").isNull() | (F.col("value") <= F.col("hi"))))
-
-    marks = [i / _FENCES for i in range(_FENCES + 1)]
-    while todo:
-        sketch = inside(todo).groupBy(*keys, "p").agg(
-            F.percentile_approx("value", marks, 100 * _FENCES).alias("f"),
+            state[(*[row[k] for k in keys], i)] = {
+                "below": 0, "inside": row["n"], "first": math.floor(rank), "last": math.ceil(rank), "done": False}
+    rows = long.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(len(probs) - 1))))
+
+    while not all(s["done"] for s in state.values()):
+        # few intervals can afford a finer sketch: each holds its marks once per task
+        steps = 4096 if len(state) <= 64 else 256
+        sketch = rows.groupBy(*ids).agg(
+            F.percentile_approx("value", [i / steps for i in range(steps + 1)], 20 * steps).alias("f"),
             F.min("value").alias("least"), F.max("value").alias("most"))
-        found = {(tuple(r[k] for k in keys), r["p"]): r for r in sketch.collect()}
-        trial = []
-        for b in todo:
-            r = found[(b["key"], b["p"])]
-            i = math.floor((b["first"] - b["below"]) / b["inside"] * _FENCES) - 1
-            j = math.ceil((b["last"] - b["below"]) / b["inside"] * _FENCES) + 1
-            trial.append({**b, "lo": r["f"][i] if i > 0 else r["least"],
-                          "hi": r["f"][j] if j < _FENCES else r["most"]})
-        # exact counts for the narrower interval, over the rows of the previous one
-        limits = spark.createDataFrame(
-            [(*t["key"], t["p"], t["lo"], t["hi"]) for t in trial],
-            T.StructType([*key_fields, schema["p"], T.StructField("nlo", T.DoubleType()),
-                          T.StructField("nhi", T.DoubleType())]))
-        counted = null_safe_join(inside(todo), limits, [*keys, "p"], "inner").groupBy(*keys, "p").agg(
-            F.count_if(F.col("value") < F.col("nlo")).alias("under"),
-            F.count_if(F.col("value").between(F.col("nlo"), F.col("nhi"))).alias("within"))
-        counts = {(tuple(r[k] for k in keys), r["p"]): r for r in counted.collect()}
-        again = []
-        for b, t in zip(todo, trial):
-            c = counts[(b["key"], b["p"])]
-            below = b["below"] + c["under"]
-            if not (below <= t["first"] and t["last"] < below + c["within"]) or c["within"] == b["inside"]:
-                done.append(b)  # the sketch missed or cannot narrow further: the old interval stays exact
+        trial = {}
+        for r in sketch.collect():
+            key, s = tuple(r[k] for k in ids), state[tuple(r[k] for k in ids)]
+            i = math.floor((s["first"] - s["below"]) / s["inside"] * steps) - 1
+            j = math.ceil((s["last"] - s["below"]) / s["inside"] * steps) + 1
+            low, high = (r["f"][i] if i > 0 else r["least"]), (r["f"][j] if j < steps else r["most"])
+            trial[key] = (r["least"], r["most"]) if s["done"] else (low, high)
+        limits = frame([(*k, *v) for k, v in trial.items()], ("lo", T.DoubleType()), ("hi", T.DoubleType()))
+        tagged = null_safe_join(rows, limits, ids, "inner")
+        counted = tagged.groupBy(*ids).agg(
+            F.count_if(F.col("value") < F.col("lo")).alias("under"),
+            F.count_if(F.col("value").between(F.col("lo"), F.col("hi"))).alias("within"))
+        missed = []
+        for r in counted.collect():
+            key = tuple(r[k] for k in ids)
+            s, (low, high) = state[key], trial[key]
+            if s["done"]:
                 continue
-            t.update(below=below, inside=c["within"])
-            (done if t["inside"] <= hot_rows or t["lo"] == t["hi"] else again).append(t)
-        todo = again
-
-    per_value = inside(done).groupBy(*keys, "p", "below", "first", "last", "value").agg(F.count("*").alias("c"))
-    running = Window.partitionBy(*keys, "p").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+            below = s["below"] + r["under"]
+            if not (below <= s["first"] and s["last"] < below + r["within"]):
+                missed.append(key)  # the sketch erred beyond its margin: keep all rows, which stays exact
+                s["done"] = True
+                continue
+            s["done"] = r["within"] <= hot_rows or low == high or r["within"] == s["inside"]
+            s.update(below=below, inside=r["within"])
+        whole = F.lit(False)
+        if missed:
+            tagged = null_safe_join(tagged, frame([(*k, True) for k in missed], ("all", T.BooleanType())), ids, "left")
+            whole = F.coalesce("all", F.lit(False))
+        rows = cut_lineage(tagged.where(whole | F.col("value").between(F.col("lo"), F.col("hi"))).select(*ids, "value"))
+
+    ranks = frame([(*k, s["below"], s["first"], s["last"]) for k, s in state.items()],
+                  ("below", T.LongType()), ("first", T.LongType()), ("last", T.LongType()))
+    # equal values are merged; at most hot_rows distinct ones per interval are left to order
+    per_value = null_safe_join(rows.groupBy(*ids, "value").agg(F.count("*").alias("c")), ranks, ids, "inner")
+    running = Window.partitionBy(*ids).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("below") + F.sum("c").over(running)
-    picked = (per_value.withColumn("_upto", upto).groupBy(*keys, "p").agg(
+    picked = (per_value.withColumn("_upto", upto).groupBy(*ids).agg(
         F.min(F.when(F.col("_upto") > F.col("first"), F.col("value"))).alias("a"),
         F.min(F.when(F.col("_upto") > F.col("last"), F.col("value"))).alias("b")))
-    sizes = spark.createDataFrame([(*[r[k] for k in keys], r["n"]) for r in hot],
-                                  T.StructType([*key_fields, T.StructField("n", T.LongType())]))
+    sizes = small_frame(spark, [(*[r[k] for k in keys], r["n"]) for r in hot],
+                        T.StructType([*id_fields[:-1], T.StructField("n", T.LongType())]))
     rank = (F.col("n") - 1) * F.element_at(F.array(*map(F.lit, probs)), F.col("p") + 1)
     value = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(
         F.col("a") * (F.ceil(rank) - rank) + F.col("b") * (rank - F.floor(rank)))
     joined = null_safe_join(picked, sizes, keys, "inner").withColumn("v", value)
+    # one entry per wanted quantile
     return joined.groupBy(*keys, "n").agg(F.sort_array(F.collect_list(F.struct("p", "v"))).alias("_s")).select(
         *keys, "n", F.transform("_s", lambda s: s["v"]).alias("q"))
 

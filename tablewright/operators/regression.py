@@ -19,6 +19,7 @@ from tablewright.functions.special import f_upper, t_quantile_two_sided, t_two_s
 from tablewright.operators.filters import require
 from tablewright.operators.joining import null_safe_join
 from tablewright.operators.ordered import lag_along
+from tablewright.session import cut_lineage, measured
 
 
 def moments(df: DataFrame, features, label: str, by=()) -> DataFrame:
@@ -56,6 +57,11 @@ def solve(n: float, mean, cov, intercept: bool = True) -> dict:
 
 def ols(df: DataFrame, features, label: str, by=(), intercept: bool = True) -> DataFrame:
     """by..., n, intercept, coef (array in feature order), rss, r2."""
+    return fit_moments(moments(df, features, label, by), by, intercept).select(*by, "n", "intercept", "coef", "rss", "r2")
+
+
+def fit_moments(table: DataFrame, by=(), intercept: bool = True) -> DataFrame:
+    """Add the fit to rows of `moments`."""
 
     @F.pandas_udf("intercept double, coef array<double>, rss double, r2 double")
     def fit(n: pd.Series, mean: pd.Series, cov: pd.Series) -> pd.DataFrame:
@@ -65,14 +71,13 @@ def ols(df: DataFrame, features, label: str, by=(), intercept: bool = True) -> D
             "rss": [f["rss"] for f in fits],
             "r2": [1 - f["rss"] / f["tss"] if f["tss"] > 0 else None for f in fits]})
 
-    m = moments(df, features, label, by)
-    return m.withColumn("f", fit("n", "mean", "cov")).select(*by, "n", "f.*")
+    return table.withColumn("f", fit("n", "mean", "cov")).select(*by, "n", "mean", "cov", "f.*")
 
 
 def predict(df: DataFrame, model: DataFrame, features, by=(), into: str = "prediction") -> DataFrame:
     """Apply `ols` models as plain expressions: joined per group, or one scalar subquery."""
     if by:
-        rows = null_safe_join(df, model.select(*by, F.struct("intercept", "coef").alias("_m")), by, "left")
+        rows = null_safe_join(df, measured(model.select(*by, F.struct("intercept", "coef").alias("_m"))), by, "left")
     else:
         rows = df.withColumn("_m", model.select(F.struct("intercept", "coef")).scalar())
     terms = [F.col("_m.coef")[i] * F.col(c).cast("double") for i, c in enumerate(features)]
@@ -162,17 +167,18 @@ def ols_summary(df: DataFrame, features, label: str, order, by=()) -> DataFrame:
                         math.sqrt(eig[-1] / eig[0]) if eig[0] > 0 else math.inf))
         return pd.DataFrame(out, columns=["f", "f_p", "cond"])
 
-    m = moments(df, features, label, by).withColumn("x", extra("n", "mean", "cov")).select(*by, "x.*")
-    model = ols(df, features, label, by)
+    # one pass for the fit, one for the residuals; the diagnostics read only the stored residuals
+    table = measured(moments(df, features, label, by))
+    model = measured(fit_moments(table, by).withColumn("x", extra("n", "mean", "cov")).select(
+        *by, "n", "intercept", "coef", "rss", "r2", "x.*"))
     fitted = predict(df, model, features, by, "_fit")
     orders = [order] if isinstance(order, str) else list(order)
-    resid = fitted.select(*by, *orders, (F.col(label).cast("double") - F.col("_fit")).alias("_e"))
+    resid = cut_lineage(fitted.select(*by, *orders, (F.col(label).cast("double") - F.col("_fit")).alias("_e")))
     diag = residual_diagnostics(resid, "_e", orders, by).drop("n", "ss")
     if by:
-        both = null_safe_join(null_safe_join(model, m, by, "inner"), diag, by, "inner")
+        both = null_safe_join(model, diag, by, "inner")
     else:
-        both = model.withColumn("_x", m.select(F.struct("*")).scalar()).withColumn(
-            "_d", diag.select(F.struct("*")).scalar()).select(*model.columns, "_x.*", "_d.*")
+        both = model.withColumn("_d", diag.select(F.struct("*")).scalar()).select(*model.columns, "_d.*")
     n = F.col("n").cast("double")
     loglik = -n / 2 * (F.log(2 * F.lit(math.pi) * F.col("rss") / n) + 1)
     return both.select(

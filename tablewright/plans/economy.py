@@ -9,6 +9,7 @@ from tablewright.functions.text import null_tokens
 from tablewright.operators import joining, learners as ml, panel as pn, regression as rg, scaling
 from tablewright.operators.filters import complete_rows, require
 from tablewright.operators.schema import normalise_headers
+from tablewright.session import cut_lineage
 
 FEATURES = ["Population_historical", "Pop_Growth"]
 # fixed values: value column of the output file
@@ -82,7 +83,7 @@ def prepare(population: DataFrame, output: DataFrame, since: int = 1950, scaled:
     """Population joined with the latest year's output, complete rows, the three measures scaled to [0, 1]."""
     typed = output.withColumn(OUTPUT, to_double(F.col(f"`{OUTPUT}`").cast("string")))
     joined = joining.inner_on_latest(prepare_population(population, since), typed, ["Entity"], "Year", [OUTPUT])
-    ready = complete_rows(require(joined, *FEATURES))
+    ready = cut_lineage(complete_rows(require(joined, *FEATURES)), "economy")  # limits and reports read it again
     return scaling.minmax(ready, [*FEATURES, OUTPUT]) if scaled else ready
 
 

@@ -9,6 +9,7 @@ from tablewright.operators import learners as ml, profiling, regression as rg, s
 from tablewright.operators.filters import complete_rows
 from tablewright.operators.reshape import column_groups
 from tablewright.operators.schema import columns_of
+from tablewright.session import cut_lineage
 
 # fixed values: the two groups of sources, and the total
 GROUPS = {"natural": ["coal", "nuclear", "natural_gas"], "renewable": ["solar", "wind", "hydroelectric"]}
@@ -18,7 +19,7 @@ TOTAL = "all_fuels"
 
 def prepare(raw: DataFrame) -> DataFrame:
     """Month text to date and complete rows only."""
-    return complete_rows(raw.withColumn("Month", month_text(F.col("Month"))))
+    return cut_lineage(complete_rows(raw.withColumn("Month", month_text(F.col("Month")))), "energy")
 
 
 def classes(ready: DataFrame, groups=None) -> dict[str, DataFrame]:
@@ -39,7 +40,7 @@ def regression(ready: DataFrame, sources=None, total: str = TOTAL, test_percent:
     """(coefficients, cross-validation, held-out scores) of the total on calendar parts and sources."""
     sources = sources or SOURCES
     d = rg.hash_split(ml.date_features(ready, "Month"), "Month", test_percent)
-    d = scaling.minmax(d, [*sources, total], fit_on=F.col("is_train") if fit_scaler_on_train else None)
+    d = cut_lineage(scaling.minmax(d, [*sources, total], fit_on=F.col("is_train") if fit_scaler_on_train else None))
     features = ["month", "year", "day_of_week", *sources]
     train = d.where("is_train")
     held = rg.predict(d.where("not is_train"), rg.ols(train, features, total), features)

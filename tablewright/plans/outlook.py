@@ -74,7 +74,7 @@ def split_states(panel: DataFrame) -> dict[str, DataFrame]:
 
 def region_features(panel: DataFrame) -> DataFrame:
     """period, target_gdp and one column per region, on the common date range, complete rows only."""
-    parts = split_states(panel)
+    parts = split_states(cut_lineage(panel, "panel"))  # read for the bounds and for the columns
     country, regions = joining.common_range([parts["country"], parts["regions"]], "period")
     wide = reshape.pivot(regions, ["period"], "series_id", "value", REGIONS[:-1])
     target = country.select("period", F.col("value").alias("target_gdp"))
@@ -95,6 +95,7 @@ def industry_outlook(panel: DataFrame, sectors: DataFrame, key: str = "series_id
 
     The forecasts are materialised once (one row per series); all reports read that.
     """
+    panel = cut_lineage(panel, "panel")
     table = cut_lineage(arima.arima_search(panel, [key], "period", "value", periods=periods))
     last = panel.groupBy(key).agg(F.max("period").alias("last"))
     rows = reshape.forecast_rows(table.select(key, "forecast").join(last, key), "forecast", "last", legacy_year=2025)

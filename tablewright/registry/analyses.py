@@ -80,7 +80,7 @@ def energy_scores(spark, sf):
 
 
 def _economy(spark, sf):
-    ny = nation_year(spark, sf)
+    ny = nation_year(spark, sf, stored=True)
     population = ny.select(F.col("entity").alias("Entity"), F.col("year").alias("Year"),
                            F.col("orders").cast("double").alias("Population (historical)"))
     output = ny.select(F.col("entity").alias("Entity"), F.col("year").alias("Year"),
@@ -106,7 +106,7 @@ def economy_regression(spark, sf):
 
 def _statistics(spark, sf):
     """The brand panel with its total, in the shape of a state panel: regions are aggregates of brands."""
-    p = panel(spark, sf)
+    p = panel(spark, sf, stored=True)
     number = F.split("series", "#")[1].cast("int")
     names = F.array(*map(F.lit, outlook.REGIONS[:-1]))
     regions = p.groupBy(F.element_at(names, number % 8 + 1).alias("series_id"), "period").agg(F.sum("value").alias("value"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablewright.functions.numbers import cents
 from tablewright.operators.panel import to_panel
+from tablewright.session import cut_lineage
 from tablewright.sources.tables import load
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -59,11 +60,13 @@ def revenue() -> Column:
     return cents(F.col("l_extendedprice")) * (1 - F.col("l_discount").cast("decimal(4,2)"))
 
 
-def panel(spark: SparkSession, sf: str, by: str = "p_brand") -> DataFrame:
+def panel(spark: SparkSession, sf: str, by: str = "p_brand", stored: bool = False) -> DataFrame:
+    """``stored`` for queries that read the panel more than once: the lines are then scanned once."""
     lines = load(spark, sf, "lineitem").select("l_partkey", "l_shipdate", "l_extendedprice", "l_discount")
     part = load(spark, sf, "part").select("p_partkey", F.col(by).alias("series"))
     joined = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    return to_panel(joined, ["series"], F.trunc("l_shipdate", "quarter"), F.sum(revenue()).cast("double"))
+    out = to_panel(joined, ["series"], F.trunc("l_shipdate", "quarter"), F.sum(revenue()).cast("double"))
+    return cut_lineage(out, "panel") if stored else out
 
 
 # mean order price per region, segment and year
@@ -96,8 +99,9 @@ nation_year AS (
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)"""
 
 
-def nation_year(spark: SparkSession, sf: str) -> DataFrame:
+def nation_year(spark: SparkSession, sf: str, stored: bool = False) -> DataFrame:
     orders = load(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     joined = orders.join(_customers(spark, sf), F.col("o_custkey") == F.col("c_custkey"))
-    return joined.groupBy(F.col("n_name").alias("entity"), F.year("o_orderdate").alias("year")).agg(
+    out = joined.groupBy(F.col("n_name").alias("entity"), F.year("o_orderdate").alias("year")).agg(
         F.count("*").alias("orders"), F.sum(cents(F.col("o_totalprice"))).cast("double").alias("total"))
+    return cut_lineage(out, "nation_year") if stored else out

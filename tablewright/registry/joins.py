@@ -29,7 +29,7 @@ def left_enrich(spark, sf):
 JOIN nation_year b ON a.entity = b.entity AND a.year = b.year
 WHERE b.year = (SELECT max(year) FROM nation_year) AND b.total > 2000000""")
 def latest_year_join(spark, sf):
-    ny = nation_year(spark, sf)
+    ny = nation_year(spark, sf, stored=True)
     gdp = ny.select("entity", "year", F.when(F.col("total") > 2000000, F.col("total")).alias("total"))
     return joining.inner_on_latest(ny.select("entity", "year", "orders"), gdp, ["entity"], "year", ["total"])
 
@@ -162,4 +162,4 @@ def union_chunks(spark, sf):
 
 @query("range_of_latest", f"WITH {NATION_YEAR} SELECT entity, orders, round(total, 2) AS total FROM nation_year WHERE year = (SELECT max(year) FROM nation_year)")
 def range_of_latest(spark, sf):
-    return rounded(filters.rows_at_max(nation_year(spark, sf), "year").select("entity", "orders", "total"), 2, "total")
+    return rounded(filters.rows_at_max(nation_year(spark, sf, stored=True), "year").select("entity", "orders", "total"), 2, "total")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import arima, forecasting as fc, joining, learners as ml, ranking, regression as rg, reshape
 from tablewright.registry.common import GAPS, PANEL, cells, gaps, panel, query, r, rounded
+from tablewright.session import cut_lineage
 from tablewright.sources.tables import load
 
 QI = "(year(period) * 4 + quarter(period) - 1)"
@@ -105,7 +106,7 @@ def chrono_split_metrics(spark, sf):
 SELECT series, CAST(s AS INTEGER) AS step, CAST(last_day(p + to_months(CAST(3 * s + 2 AS INTEGER))) AS DATE) AS period_end, round(a + b * (q + s), 2) AS forecast
 FROM f, range(1, 41) t(s)""")
 def trend_forecast(spark, sf):
-    return rounded(fc.trend_forecast(panel(spark, sf), ["series"], "period", "value"), 2, "forecast")
+    return rounded(fc.trend_forecast(panel(spark, sf, stored=True), ["series"], "period", "value"), 2, "forecast")
 
 
 @query("future_calendar", f"""WITH {PANEL} SELECT CAST(s AS INTEGER) AS step, CAST(last_day((SELECT max(period) FROM panel) + to_months(CAST(3 * s + 2 AS INTEGER))) AS DATE) AS period_end
@@ -127,7 +128,7 @@ LEVELS = ["region", "segment"]
 
 def _life(spark, sf):
     """Model table: dummies of two categories, year and decade, hash split."""
-    c = cells(spark, sf).withColumn("decade", (F.floor(F.col("year") / 10) * 10).cast("int"))
+    c = cut_lineage(cells(spark, sf).withColumn("decade", (F.floor(F.col("year") / 10) * 10).cast("int")), "cells")
     levels = {n: reshape.levels_of(c, n) for n in LEVELS}
     wide = reshape.dummies(c, LEVELS, levels)
     features = ["year", "decade", *[x for x in wide.columns if x.startswith(("region_", "segment_"))]]
@@ -174,24 +175,24 @@ def forest_impute(spark, sf):
 
 @query("arima_order_search")
 def arima_order_search(spark, sf):
-    out = arima.arima_search(panel(spark, sf), ["series"], "period", "value")
+    out = arima.arima_search(panel(spark, sf, stored=True), ["series"], "period", "value")
     return out.select("series", "order", "aic", "recent_avg", "forecast_avg", "growth_rate", "forecast")
 
 
 @query("arima_ranking")
 def arima_ranking(spark, sf):
-    out = arima.arima_search(panel(spark, sf), ["series"], "period", "value")
+    out = arima.arima_search(panel(spark, sf, stored=True), ["series"], "period", "value")
     return ranking.ranked(out.select("series", "order", "recent_avg", "forecast_avg", "growth_rate"), 15, "forecast_avg", "series")
 
 
 @query("seasonal_arima")
 def seasonal_arima(spark, sf):
-    out = arima.seasonal_arima(panel(spark, sf), ["series"], "period", "value")
+    out = arima.seasonal_arima(panel(spark, sf, stored=True), ["series"], "period", "value")
     return out.select("series", "ar", "ma", "sigma2", "forecast")
 
 
 @query("recursive_forest")
 def recursive_forest(spark, sf):
-    training = fc.forest_training(panel(spark, sf), ["series"], "period", "value")
+    training = cut_lineage(fc.forest_training(panel(spark, sf, stored=True), ["series"], "period", "value"))
     model = fc.fit_panel_forest(training)
     return fc.recursive_forecast(training, model, ["series"], "period")

@@ -24,7 +24,7 @@ SELECT series, round(recent_avg, 2) AS recent_avg, round(growth, 6) AS mean_grow
 
 @query("growth_ranking", RANKING_SQL)
 def growth_ranking(spark, sf):
-    p = panel(spark, sf)
+    p = panel(spark, sf, stored=True)
     p = pn.growth(p, ["series"], "period", "value", "g")
     p = pn.year_over_year(p, ["series"], "period", "value", "y")
     p = pn.share_of_total(p, "period", "value")
@@ -110,7 +110,7 @@ def seasonal_growth(spark, sf):
 
 @query("time_index", f"WITH {PANEL} SELECT series, period, CAST({QI} - (SELECT min({QI}) FROM panel) AS INTEGER) AS t FROM panel")
 def time_index(spark, sf):
-    return pn.time_index(panel(spark, sf), "period").drop("value")
+    return pn.time_index(panel(spark, sf, stored=True), "period").drop("value")
 
 
 @query("first_last", f"""WITH {PANEL} SELECT series, min(period) AS first_period, round(arg_min(value, period), 4) AS first_value,
@@ -191,8 +191,8 @@ SELECT series, round(mean, 2) AS mean, round(growth, 6) AS growth, CAST(row_numb
 FROM t ORDER BY rank LIMIT 10"""
 
 
-def _per_series(spark, sf):
-    p = panel(spark, sf)
+def _per_series(spark, sf, stored=False):
+    p = panel(spark, sf, stored=stored)
     return p.groupBy("series").agg(F.avg("value").alias("mean"), (F.try_divide(
         F.max_by("value", "period"), F.min_by("value", "period")) - 1).alias("growth"))
 
@@ -210,7 +210,7 @@ def topk_growth(spark, sf):
 @query("rank_summary", f"""WITH {PANEL}, t AS (SELECT series, 100 * (arg_max(value, period) / arg_min(value, period) - 1) AS g FROM panel GROUP BY 1)
 SELECT COUNT(g) AS series, round(avg(g), 6) AS mean, round(median(g), 6) AS median, COUNT(*) FILTER (g > 0) AS positive, COUNT(*) FILTER (g < 0) AS negative FROM t""")
 def rank_summary(spark, sf):
-    t = _per_series(spark, sf).select("series", (100 * F.col("growth")).alias("growth_rate"))
+    t = _per_series(spark, sf, stored=True).select("series", (100 * F.col("growth")).alias("growth_rate"))
     return rounded(ranking.rank_summary(t), 6, "mean", "median")
 
 
@@ -253,7 +253,7 @@ SELECT q.quarter, n, round(q1, 2) AS q1, round(median, 2) AS median, round(q3, 2
   COUNT(*) FILTER (NOT value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS outliers
 FROM panel JOIN q ON q.quarter = quarter(period) GROUP BY ALL""")
 def quarter_boxes(spark, sf):
-    b = dist.box_stats(panel(spark, sf).withColumn("quarter", F.quarter("period")), "value", ["quarter"])
+    b = dist.box_stats(panel(spark, sf, stored=True).withColumn("quarter", F.quarter("period")), "value", ["quarter"])
     return rounded(b, 2, "q1", "median", "q3", "whisker_low", "whisker_high")
 
 

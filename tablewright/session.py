@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def build_session(app: str = "tablewright", master: str | None = None, **conf) -> SparkSession:
@@ -50,9 +52,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder and restart its lineage there."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch_dir(spark))
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a table in the shared scratch folder and read it back.
+
+    Used where a result is read several times: the work before it runs once, survives lost
+    executors, and the new frame has real sizes, so later joins choose their strategy from them.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_frame(spark: SparkSession, rows, schema: T.StructType | str) -> DataFrame:
+    """A frame of driver-side rows as a local relation: no Python workers, true size known to the planner."""
+    shape = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    table = pa.Table.from_pylist([dict(zip(shape.names, r)) for r in rows], schema=to_arrow_schema(shape))
+    return spark.createDataFrame(table, schema=shape)
+
+
+def measured(stats: DataFrame) -> DataFrame:
+    """Store an aggregate that a large side is about to be joined with.
+
+    The planner otherwise assumes an aggregate to be as large as its input and shuffles both
+    sides. With the stored table it sees the real size: small statistics are broadcast and the
+    large side is not shuffled; big ones take the shuffle join with skew handling.
+    """
+    return cut_lineage(stats, "stats")

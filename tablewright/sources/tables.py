@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tablewright.session import small_frame
+
 
 def replace_table(df: DataFrame, name: str, path: str | None = None, partition_by=()) -> None:
     """Write a catalog table, replacing an existing one; ``path`` keeps its files in a shared folder."""
@@ -22,7 +24,7 @@ def run_sql(spark: SparkSession, query: str, args: dict | None = None, **frames:
 
 def literal_table(spark: SparkSession, rows, schema: str) -> DataFrame:
     """A small table from Python rows (lookups, lists)."""
-    return spark.createDataFrame(rows, schema)
+    return small_frame(spark, rows, schema)
 
 
 def integers(spark: SparkSession, name: str, first: int, last: int) -> DataFrame:
