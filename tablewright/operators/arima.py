@@ -16,7 +16,8 @@ from tablewright.functions.numbers import finite, percent_of
 from tablewright.operators.filters import long_series_only
 from tablewright.operators.joining import null_safe_join
 from tablewright.operators.panel import last_mean
-from tablewright.operators.regression import moments, ols, predict, solve, _square
+from tablewright.operators.regression import _square, chronological_split, moments, ols, predict, solve
+from tablewright.session import cut_lineage
 
 LONG_AR = 4
 SEASON = 4
@@ -239,6 +240,18 @@ def seasonal_arima(panel: DataFrame, series, date: str, value: str, periods: int
     return run_forward(rows, best, panel, series, date, value, choices, {(3, 3): (lags, lags)}, periods)
 
 
+def seasonal_holdout(panel: DataFrame, series, date: str, value: str, share: float = 0.8, season: int = SEASON) -> DataFrame:
+    """Held-out periods of each series with the forecast of the seasonal model fitted on the earlier ones."""
+    marked = cut_lineage(chronological_split(panel, series, date, share))
+    held = marked.where(~F.col("is_train"))
+    steps = held.groupBy(*series).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    paths = seasonal_arima(marked.where("is_train"), series, date, value, steps, season)
+    path = paths.select(*series, F.posexplode("forecast").alias("_i", "prediction"))
+    order = Window.partitionBy(*series).orderBy(date)
+    placed = held.withColumn("_i", F.row_number().over(order) - 1)
+    return null_safe_join(placed, path, [*series, "_i"], "inner").drop("_i", "is_train")
+
+
 def _with_growth(df: DataFrame) -> DataFrame:
     total = F.aggregate("forecast", F.lit(0.0), lambda a, x: a + x)
     out = df.withColumn("forecast_avg", total / F.size("forecast"))

@@ -1,8 +1,9 @@
 """Joins: lookups, alignment, backfill and category grids.
 
-No operator forces a broadcast by hint. Catalyst broadcasts a side when its own size
-estimate (or, under adaptive execution, its measured size) is below the session's
-threshold; otherwise the join shuffles and AQE splits skewed partitions.
+No operator forces a broadcast by hint. Catalyst broadcasts a side when its size is below the
+session's threshold, otherwise the join shuffles and AQE splits skewed partitions. Sides that
+are aggregates are stored first (`session.measured`), so that the decision rests on their real
+size and not on the size of what they were computed from.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tablewright.session import measured
+
 # largest dictionary inlined as a map literal; a larger one must come as a DataFrame
 MAX_INLINE_MAP = 10_000
 # largest product of category levels that may be built from one row of level arrays
@@ -45,7 +48,7 @@ def unique_keys(df: DataFrame, keys) -> DataFrame:
 def lookup(fact: DataFrame, dimension: DataFrame, on, checked: bool = True) -> DataFrame:
     """Left many-to-one enrichment."""
     keys = [on] if isinstance(on, str) else list(on)
-    side = unique_keys(dimension, keys) if checked else dimension
+    side = measured(unique_keys(dimension, keys)) if checked else dimension
     return fact.join(side, keys, "left")
 
 
@@ -85,8 +88,7 @@ def map_values(c: Column, mapping: dict[str, str], default: Column | None = None
 def map_through(df: DataFrame, col: str, mapping: DataFrame, source: str, target: str, into: str,
                 default: Column | None = None) -> DataFrame:
     """Dictionary lookup against a table of any size."""
-    side = unique_keys(mapping.select(F.col(source).alias(col), F.col(target).alias("_to")), [col])
-    out = df.join(side, col, "left")
+    out = lookup(df, mapping.select(F.col(source).alias(col), F.col(target).alias("_to")), col)
     return out.withColumn(into, F.coalesce("_to", F.col(col) if default is None else default)).drop("_to")
 
 
@@ -104,7 +106,9 @@ def backfill_missing(df: DataFrame, listed: DataFrame, key: str, lookups: list[t
     """
     extra = listed.join(df.select(key), key, "left_anti")
     for table, table_key, listed_key in lookups:
-        side = unique_keys(table, [table_key]).withColumnRenamed(table_key, "_k")
+        # only the listed keys of a lookup table matter, so it is cut to them before anything else
+        asked = table.join(listed.select(F.col(listed_key).alias(table_key)), table_key, "left_semi")
+        side = unique_keys(asked, [table_key]).withColumnRenamed(table_key, "_k")
         extra = extra.join(side, F.col(listed_key) == F.col("_k"), "left").drop("_k")
     for name, value in (constants or {}).items():
         extra = extra.withColumn(name, value)
@@ -138,7 +142,7 @@ def three_way_join(flat: DataFrame, api: DataFrame, html: DataFrame, key: str) -
     return spark.sql(
         f"SELECT f.*, {cols_api}, {cols_html} FROM {{flat}} f "
         f"JOIN {{api}} a ON f.`{key}` = a.`{key}` JOIN {{html}} h ON f.`{key}` = h.`{key}`",
-        flat=flat, api=unique_keys(api, [key]), html=unique_keys(html, [key]),
+        flat=flat, api=measured(unique_keys(api, [key])), html=measured(unique_keys(html, [key])),
     )
 
 

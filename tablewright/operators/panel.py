@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tablewright.functions.dates import quarter_index
 from tablewright.functions.numbers import percent_of, ratio
+from tablewright.session import measured
 
 
 def to_panel(df: DataFrame, series, period: Column, value: Column, period_name: str = "period",
@@ -90,7 +91,7 @@ def period_total(panel: DataFrame, period, value: str, members: Column | None =
     keys = [period] if isinstance(period, str) else list(period)
     v = F.col(value) if members is None else F.when(members, F.col(value))
     total = panel.groupBy(*keys).agg(F.coalesce(F.sum(v), F.lit(0).cast(panel.schema[value].dataType)).alias(into))
-    return panel.join(total, keys)
+    return panel.join(measured(total), keys)
 
 
 def share_of_total(panel: DataFrame, period, value: str, members: Column | None = None, into: str = "share") -> DataFrame:

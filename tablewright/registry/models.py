@@ -191,6 +191,21 @@ def seasonal_arima(spark, sf):
     return out.select("series", "ar", "ma", "sigma2", "forecast")
 
 
+@query("seasonal_holdout")
+def seasonal_holdout(spark, sf):
+    held = arima.seasonal_holdout(panel(spark, sf, stored=True), ["series"], "period", "value")
+    return rg.regression_scores(held, "value", "prediction", ["series"])
+
+
+@query("forest_holdout")
+def forest_holdout(spark, sf):
+    training = fc.forest_training(panel(spark, sf, stored=True), ["series"], "period", "value")
+    marked = cut_lineage(rg.chronological_split(training, ["series"], "period"))
+    model = fc.fit_panel_forest(marked.where("is_train"))
+    held = ml.score(marked.where("not is_train"), model, fc.forest_features(4), "p")
+    return rg.regression_scores(held, "_v", "p")
+
+
 @query("recursive_forest")
 def recursive_forest(spark, sf):
     training = cut_lineage(fc.forest_training(panel(spark, sf, stored=True), ["series"], "period", "value"))

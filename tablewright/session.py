@@ -48,8 +48,8 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared scratch folder."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared scratch folder, in a sub-folder named after the application."""
+    return f"{scratch_dir(spark)}/tablewright-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

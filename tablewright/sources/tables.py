@@ -7,9 +7,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tablewright.session import small_frame
 
 
-def replace_table(df: DataFrame, name: str, path: str | None = None, partition_by=()) -> None:
-    """Write a catalog table, replacing an existing one; ``path`` keeps its files in a shared folder."""
+def replace_table(df: DataFrame, name: str, path: str | None = None, partition_by=(), buckets: int = 0,
+                  bucket_by=()) -> None:
+    """Write a catalog table, replacing an existing one; ``path`` keeps its files in a shared folder.
+
+    Tables bucketed alike on a key are later joined on it without a shuffle.
+    """
     writer = df.write.mode("overwrite").format("parquet")
+    if buckets:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     if path:
         writer = writer.option("path", path)
     if partition_by:
