@@ -124,7 +124,8 @@ def region_features(spark, sf):
     return rounded(outlook.region_features(_statistics(spark, sf)), 4, "target_gdp", *outlook.REGIONS[:-1])
 
 
-@query("seasonality", f"""WITH {PANEL}, s AS (SELECT series, period, value, 100 * (value / lag(value) OVER w - 1) AS g, 100 * (value / lag(value, 4) OVER w - 1) AS y
+@query("seasonality", f"""WITH {PANEL}, s AS (SELECT series, period, value, 100 * (value / lag(value) OVER w - 1) AS g, 
+  100 * (value / (SELECT b.value FROM panel b WHERE b.series = panel.series AND b.period = panel.period - INTERVAL 1 YEAR) - 1) AS y
 FROM panel WINDOW w AS (PARTITION BY series ORDER BY period))
 SELECT series AS series_id, CAST(quarter(period) AS INTEGER) AS quarter, round(avg(value), 2) AS value_mean, round(stddev_samp(value), 2) AS value_std,
   round(avg(g), 4) AS growth_mean, round(stddev_samp(g), 4) AS growth_std, round(avg(y), 4) AS yoy_mean, round(stddev_samp(y), 4) AS yoy_std FROM s GROUP BY 1, 2""")

@@ -13,8 +13,10 @@ QI = "CAST(year(period) * 4 + quarter(period) - 1 AS INTEGER)"
 
 
 RANKING_SQL = f"""WITH {PANEL},
-t AS (SELECT series, row_number() OVER (PARTITION BY series ORDER BY period DESC) AS rn, period, value,
-  value / lag(value) {W} - 1 AS g, value / lag(value, 4) {W} - 1 AS y, 100 * value / SUM(value) OVER (PARTITION BY period) AS share FROM panel),
+t AS (SELECT p.series, row_number() OVER (PARTITION BY p.series ORDER BY p.period DESC) AS rn, p.period, p.value,
+  p.value / lag(p.value) OVER (PARTITION BY p.series ORDER BY p.period) - 1 AS g, p.value / b.value - 1 AS y,
+  100 * p.value / SUM(p.value) OVER (PARTITION BY p.period) AS share
+  FROM panel p LEFT JOIN panel b ON b.series = p.series AND b.period = p.period - INTERVAL 1 YEAR),
 a AS (SELECT series, avg(value) FILTER (rn <= 8) AS recent_avg, avg(value) FILTER (rn > 8 AND rn <= 16) AS earlier_avg,
   avg(g) FILTER (rn <= 8) AS growth, avg(y) FILTER (rn <= 8) * 100 AS yoy, avg(share) FILTER (rn <= 8) AS share FROM t GROUP BY 1)
 SELECT series, round(recent_avg, 2) AS recent_avg, round(growth, 6) AS mean_growth, round(yoy, 4) AS mean_yoy, round(share, 4) AS mean_share,
@@ -176,9 +178,9 @@ def explode_series(spark, sf):
     return rounded(rows, 2, "forecast")
 
 
-@query("line_series", f"WITH {CELLS} SELECT region, segment, year, round(price, 4) AS price, orders FROM cells")
+@query("line_series", f"WITH {CELLS} SELECT region, segment, year, round(price, 6) AS price, orders FROM cells")
 def line_series(spark, sf):
-    return rounded(dist.line_series(cells(spark, sf), ["region", "segment"], "year", ["price", "orders"]), 4, "price")
+    return rounded(dist.line_series(cells(spark, sf), ["region", "segment"], "year", ["price", "orders"]), 6, "price")
 
 
 @query("choropleth", f"WITH {NATION_YEAR} SELECT entity, year, round(total, 2) AS total, orders FROM nation_year WHERE year = 1999")
