@@ -48,34 +48,37 @@ def add_chunks(df: DataFrame, order: str, chunks: int, name: str = "_chunk") ->
     return cut.transform(keyed).drop("_at")
 
 
+def _running(keys, order, upto: int = 0) -> Window:
+    """Frame from the first row on. Backward scans use it too, over the reversed order: a frame that
+    ends at the last row is evaluated anew for every row."""
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
+
+
 def fill_along(df: DataFrame, keys, order, cols, chunks: int | None = None,
                back: bool = True) -> DataFrame:
     """Forward fill, then (``back``) fill what is left backwards, along ``order`` within a series."""
     keys, order = list(keys), [order] if isinstance(order, str) else list(order)
     chunks = chunk_count(df, chunks)
     if chunks == 1:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        upto, onward = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-        return df.withColumns({c: F.coalesce(F.last(c, True).over(upto), *([F.first(c, True).over(onward)] if back else []))
+        upto, onward = _running(keys, order), _running(keys, [F.desc(o) for o in order])
+        return df.withColumns({c: F.coalesce(F.last(c, True).over(upto), *([F.last(c, True).over(onward)] if back else []))
                                for c in cols})
     part = add_chunks(df, order[0], chunks)
     at = F.struct(*order)
     edges = part.groupBy(*keys, "_chunk").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_last_{c}") for c in cols],
         *[F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_first_{c}") for c in cols])
-    across = Window.partitionBy(*keys).orderBy("_chunk")
-    before, after = across.rowsBetween(Window.unboundedPreceding, -1), across.rowsBetween(1, Window.unboundedFollowing)
+    before, after = _running(keys, ["_chunk"], -1), _running(keys, [F.desc("_chunk")], -1)
     carry = edges.select(
         *keys, "_chunk",
         *[F.last(f"_last_{c}", True).over(before).alias(f"_before_{c}") for c in cols],
-        *[F.first(f"_first_{c}", True).over(after).alias(f"_after_{c}") for c in cols])
+        *[F.last(f"_first_{c}", True).over(after).alias(f"_after_{c}") for c in cols])
     carry = measured(carry)  # series x chunks rows
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    upto, onward = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(0, Window.unboundedFollowing)
-    local = part.select(
-        "*",
-        *[F.last(c, True).over(upto).alias(f"_f_{c}") for c in cols],
-        *[F.first(c, True).over(onward).alias(f"_b_{c}") for c in cols])
+    group = [*keys, "_chunk"]
+    upto, onward = _running(group, order), _running(group, [F.desc(o) for o in order])
+    local = part.withColumns({f"_f_{c}": F.last(c, True).over(upto) for c in cols})
+    if back:
+        local = local.withColumns({f"_b_{c}": F.last(c, True).over(onward) for c in cols})
     out = null_safe_join(local, carry, [*keys, "_chunk"], "left")
     for c in cols:
         sources = [f"_f_{c}", f"_before_{c}"] + ([f"_b_{c}", f"_after_{c}"] if back else [])

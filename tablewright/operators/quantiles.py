@@ -18,7 +18,9 @@ from tablewright.functions.numbers import finite
 from tablewright.operators.joining import null_safe_join
 from tablewright.session import cut_lineage, small_frame
 
-HOT_ROWS = 4_000_000
+HOT_ROWS = 1_000_000
+# bounds what the driver tracks: with more rows the threshold for a hot group rises
+MAX_HOT_GROUPS = 100_000
 
 
 def melt(df: DataFrame, cols, by=()) -> DataFrame:
@@ -33,11 +35,13 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), hot_rows: int = HOT_ROWS,
     ``extra`` maps names to aggregates of the value (column -> aggregate) computed in the same pass.
     """
     by, cols, probs, extra = list(by), list(cols), [float(p) for p in probs], dict(extra or {})
-    if df.count() <= hot_rows:
+    total = df.count()
+    if total <= hot_rows:
         return _grouped(df, cols, probs, by, extra)
+    hot_rows = max(hot_rows, total // MAX_HOT_GROUPS)
     long, keys = melt(df, cols, by), [*by, "column"]
     sizes = long.groupBy(*keys).agg(F.count("*").alias("n"))
-    # at most (values / hot_rows) groups can be this large, so the list is short
+    # per column at most MAX_HOT_GROUPS groups can be this large
     hot = sizes.where(F.col("n") > hot_rows).collect()
     if not hot:
         return _grouped(df, cols, probs, by, extra)
