@@ -14,9 +14,13 @@ def fill_constant(df: DataFrame, values: dict) -> DataFrame:
     return df.na.fill(values)
 
 
-def fill_global_median(df: DataFrame, cols, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Fill with the exact column median (a scalar subquery, no join)."""
-    out = df.withColumn("_m", quantile_struct(df, cols, [0.5], hot_rows))
+def fill_global_median(df: DataFrame, cols, hot_rows: int = HOT_ROWS, total: int | None = None,
+                       store: bool = False) -> DataFrame:
+    """Fill with the exact column median (a scalar subquery, no join).
+
+    ``total`` and ``store`` as for `quantiles.exact_quantiles`.
+    """
+    out = df.withColumn("_m", quantile_struct(df, cols, [0.5], hot_rows, total, store))
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_m.`{c}`")[0]) for c in cols}).drop("_m")
 
 
@@ -31,10 +35,11 @@ def fill_group_median(df: DataFrame, col: str, by, fallback: bool = True, legacy
     keyless = F.lit(False)
     for k in by:
         keyless = keyless | F.col(k).isNull()
-    grouped = measured(medians(df.where(~keyless), col, by, hot_rows, "_gm"))
+    total = df.count()
+    grouped = measured(medians(df.where(~keyless), col, by, hot_rows, "_gm", total))
     own = F.when(~keyless, F.col(col)) if legacy_null_key else F.col(col)
     filled = df.join(grouped, by, "left").withColumn(col, F.coalesce(own, "_gm")).select(*df.columns)
-    return fill_global_median(filled, [col], hot_rows) if fallback else filled
+    return fill_global_median(filled, [col], hot_rows, total, store=True) if fallback else filled
 
 
 def fill_cascade(df: DataFrame, col: str, sources, by, hot_rows: int = HOT_ROWS,

@@ -29,17 +29,21 @@ def melt(df: DataFrame, cols, by=()) -> DataFrame:
     return df.select(*by, F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
 
 
-def exact_quantiles(df: DataFrame, cols, probs, by=(), hot_rows: int = HOT_ROWS, extra=None) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols, probs, by=(), hot_rows: int = HOT_ROWS, extra=None,
+                    total: int | None = None, store: bool = False) -> DataFrame:
     """by..., column, n, q: the quantiles ``probs`` of every column, within every group.
 
     ``extra`` maps names to aggregates of the value (column -> aggregate) computed in the same pass.
+    ``total`` is the row count where known. ``store`` writes the values once before they are read
+    repeatedly for hot groups; worth it when ``df`` is more than a column scan.
     """
     by, cols, probs, extra = list(by), list(cols), [float(p) for p in probs], dict(extra or {})
-    total = df.count()
+    total = df.count() if total is None else total
     if total <= hot_rows:
         return _grouped(df, cols, probs, by, extra)
     hot_rows = max(hot_rows, total // MAX_HOT_GROUPS)
     long, keys = melt(df, cols, by), [*by, "column"]
+    long = cut_lineage(long, "values") if store else long
     sizes = long.groupBy(*keys).agg(F.count("*").alias("n"))
     # per column at most MAX_HOT_GROUPS groups can be this large
     hot = sizes.where(F.col("n") > hot_rows).collect()
@@ -73,59 +77,70 @@ def _narrowed(long: DataFrame, hot, probs, keys, hot_rows) -> DataFrame:
     """Quantiles of the hot groups. Each round keeps, per group and rank, the interval that holds the rank.
 
     A round reads its rows for the sketch, for the exact counts and to store the rows inside the
-    new intervals; the next round starts from those, a small share of the previous ones.
+    new intervals; the next round starts from those, a small share of the previous ones. The
+    first round sketches a group once for all its ranks.
     """
     spark = long.sparkSession
     id_fields = [*[long.schema[k] for k in keys], T.StructField("p", T.IntegerType())]
     ids = [*keys, "p"]
+    bracket = T.ArrayType(T.StructType.fromDDL("p int, lo double, hi double"))
 
     def frame(rows, *extra):
         return small_frame(spark, rows, T.StructType([*id_fields, *[T.StructField(n, t) for n, t in extra]]))
 
+    def intervals(group, limits):
+        """One row per group with the intervals of its ranks."""
+        held = {}
+        for key, (low, high) in limits.items():
+            held.setdefault(key[:len(group)], []).append({"p": key[-1], "lo": low, "hi": high})
+        fields = [f for f in id_fields if f.name in group]
+        return small_frame(spark, [(*k, sorted(v, key=lambda x: x["p"])) for k, v in held.items()],
+                           T.StructType([*fields, T.StructField("b", bracket)]))
+
     state = {}
     for row in hot:
         for i, p in enumerate(probs):
             rank = (row["n"] - 1) * p
             state[(*[row[k] for k in keys], i)] = {
                 "below": 0, "inside": row["n"], "first": math.floor(rank), "last": math.ceil(rank), "done": False}
-    rows = long.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(len(probs) - 1))))
+    rows, group, width = long, keys, len(probs)
 
     while not all(s["done"] for s in state.values()):
-        # few intervals can afford a finer sketch: each holds its marks once per task
-        steps = 4096 if len(state) <= 64 else 256
-        sketch = rows.groupBy(*ids).agg(
-            F.percentile_approx("value", [i / steps for i in range(steps + 1)], 20 * steps).alias("f"),
+        # few groups can afford a finer sketch: each holds its marks once per task
+        steps = 1024 if len(state) <= 1000 else 256
+        sketch = rows.groupBy(*group).agg(
+            F.percentile_approx("value", [i / steps for i in range(steps + 1)], 10 * steps).alias("f"),
             F.min("value").alias("least"), F.max("value").alias("most"))
-        trial = {}
-        for r in sketch.collect():
-            key, s = tuple(r[k] for k in ids), state[tuple(r[k] for k in ids)]
+        marks = {tuple(r[k] for k in group): r for r in sketch.collect()}
+        limits = {}
+        for key, s in state.items():
+            r = marks[key[:len(group)]]
             i = math.floor((s["first"] - s["below"]) / s["inside"] * steps) - 1
             j = math.ceil((s["last"] - s["below"]) / s["inside"] * steps) + 1
-            low, high = (r["f"][i] if i > 0 else r["least"]), (r["f"][j] if j < steps else r["most"])
-            trial[key] = (r["least"], r["most"]) if s["done"] else (low, high)
-        limits = frame([(*k, *v) for k, v in trial.items()], ("lo", T.DoubleType()), ("hi", T.DoubleType()))
-        tagged = null_safe_join(rows, limits, ids, "inner")
-        counted = tagged.groupBy(*ids).agg(
-            F.count_if(F.col("value") < F.col("lo")).alias("under"),
-            F.count_if(F.col("value").between(F.col("lo"), F.col("hi"))).alias("within"))
-        missed = []
+            limits[key] = ((-math.inf, math.inf) if s["done"] else
+                           (r["f"][i] if i > 0 else r["least"], r["f"][j] if j < steps else r["most"]))
+        tagged = null_safe_join(rows, intervals(group, limits), group, "inner")
+        counted = tagged.groupBy(*group).agg(F.array(*[F.struct(
+            F.max(F.col("b")[i]["p"]).alias("p"), F.count_if(F.col("value") < F.col("b")[i]["lo"]).alias("under"),
+            F.count_if(F.col("value").between(F.col("b")[i]["lo"], F.col("b")[i]["hi"])).alias("within"))
+            for i in range(width)]).alias("c"))
         for r in counted.collect():
-            key = tuple(r[k] for k in ids)
-            s, (low, high) = state[key], trial[key]
-            if s["done"]:
-                continue
-            below = s["below"] + r["under"]
-            if not (below <= s["first"] and s["last"] < below + r["within"]):
-                missed.append(key)  # the sketch erred beyond its margin: keep all rows, which stays exact
-                s["done"] = True
-                continue
-            s["done"] = r["within"] <= hot_rows or low == high or r["within"] == s["inside"]
-            s.update(below=below, inside=r["within"])
-        whole = F.lit(False)
-        if missed:
-            tagged = null_safe_join(tagged, frame([(*k, True) for k in missed], ("all", T.BooleanType())), ids, "left")
-            whole = F.coalesce("all", F.lit(False))
-        rows = cut_lineage(tagged.where(whole | F.col("value").between(F.col("lo"), F.col("hi"))).select(*ids, "value"))
+            for c in r["c"]:
+                key = (*[r[k] for k in keys], c["p"])
+                s, (low, high) = state[key], limits[key]
+                if s["done"]:
+                    continue
+                below = s["below"] + c["under"]
+                if not (below <= s["first"] and s["last"] < below + c["within"]):
+                    s["done"] = True  # the sketch erred beyond its margin: keep all rows, which stays exact
+                    limits[key] = (-math.inf, math.inf)
+                    continue
+                s["done"] = c["within"] <= hot_rows or low == high or c["within"] == s["inside"]
+                s.update(below=below, inside=c["within"])
+        tagged = null_safe_join(rows, intervals(group, limits), group, "inner")
+        holding = F.filter("b", lambda x: F.col("value").between(x["lo"], x["hi"]))
+        rows = cut_lineage(tagged.select(*keys, "value", F.inline(holding)).select(*ids, "value"))
+        group, width = ids, 1
 
     ranks = frame([(*k, s["below"], s["first"], s["last"]) for k, s in state.items()],
                   ("below", T.LongType()), ("first", T.LongType()), ("last", T.LongType()))
@@ -147,13 +162,14 @@ def _narrowed(long: DataFrame, hot, probs, keys, hot_rows) -> DataFrame:
         *keys, "n", F.transform("_s", lambda s: s["v"]).alias("q"))
 
 
-def quantile_struct(df: DataFrame, cols, probs, hot_rows: int = HOT_ROWS):
+def quantile_struct(df: DataFrame, cols, probs, hot_rows: int = HOT_ROWS, total: int | None = None, store: bool = False):
     """Quantiles of whole columns as one scalar-subquery struct: field per column, array per field."""
-    q = exact_quantiles(df, cols, probs, hot_rows=hot_rows)
+    q = exact_quantiles(df, cols, probs, hot_rows=hot_rows, total=total, store=store)
     one = [F.max(F.when(F.col("column") == c, F.col("q"))).alias(c) for c in cols]
     return q.agg(F.struct(*one)).scalar()
 
 
-def medians(df: DataFrame, col: str, by, hot_rows: int = HOT_ROWS, name: str = "median") -> DataFrame:
+def medians(df: DataFrame, col: str, by, hot_rows: int = HOT_ROWS, name: str = "median",
+            total: int | None = None) -> DataFrame:
     """by..., median."""
-    return exact_quantiles(df, [col], [0.5], by, hot_rows).select(*by, F.col("q")[0].alias(name))
+    return exact_quantiles(df, [col], [0.5], by, hot_rows, total=total).select(*by, F.col("q")[0].alias(name))
