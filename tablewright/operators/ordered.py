@@ -20,9 +20,12 @@ MAX_CHUNKS = 4096
 
 
 def _numeric(df: DataFrame, order: str) -> Column:
-    kind = df.schema[order].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(order).cast("timestamp")).cast("double")
+    """A number that never falls as the order column (numeric, date or time) rises."""
+    kind, c = df.schema[order].dataType, F.col(order)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(kind, T.TimestampNTZType):  # wall-clock seconds, free of the session's time zone
+        return F.unix_date(c.cast("date")).cast("double") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
     if isinstance(kind, T.DateType):
         return F.unix_date(F.col(order)).cast("double")
     return F.col(order).cast("double")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright.operators import arima, forecasting as fc, joining, learners as ml, ranking, regression as rg, reshape
+from tablewright.operators import arima, forecasting as fc, joining, learners as ml, panel as pn, ranking, regression as rg, reshape
 from tablewright.registry.common import GAPS, PANEL, cells, gaps, panel, query, r, rounded
 from tablewright.session import cut_lineage
 from tablewright.sources.tables import load
@@ -206,6 +206,35 @@ def forest_holdout(spark, sf):
     return rg.regression_scores(held, "_v", "p")
 
 
+@query("forest_ranking")
+def forest_ranking(spark, sf):
+    p = panel(spark, sf, stored=True)
+    training = cut_lineage(fc.forest_training(p, ["series"], "period", "value"))
+    paths = fc.recursive_forecast(training, fc.fit_panel_forest(training), ["series"], "period")
+    future = paths.groupBy("series").agg(F.avg("forecast").alias("forecast_avg"))
+    return ranking.ranked(ranking.growth_table(pn.last_mean(p, ["series"], "period", "value"), future, "series"), 15, "growth_rate", "series")
+
+
+@query("trend_ranking", f"""WITH {PANEL}, f AS (SELECT series, regr_intercept(value, {QI}) + regr_slope(value, {QI}) * (max({QI}) + 20.5) AS forecast_avg FROM panel GROUP BY 1),
+l AS (SELECT series, avg(value) AS recent_avg FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY period DESC) AS rn FROM panel) WHERE rn <= 8 GROUP BY 1),
+g AS (SELECT *, 100 * (forecast_avg - recent_avg) / recent_avg AS growth_rate FROM f JOIN l USING (series))
+SELECT series, round(recent_avg, 2) AS recent_avg, round(forecast_avg, 2) AS forecast_avg, round(growth_rate, 6) AS growth_rate,
+  CAST(row_number() OVER (ORDER BY growth_rate DESC, series) AS INTEGER) AS rank FROM g ORDER BY rank LIMIT 15""")
+def trend_ranking(spark, sf):
+    p = panel(spark, sf, stored=True)
+    future = fc.trend_forecast(p, ["series"], "period", "value").groupBy("series").agg(F.avg("forecast").alias("forecast_avg"))
+    table = ranking.growth_table(pn.last_mean(p, ["series"], "period", "value"), future, "series")
+    return rounded(rounded(ranking.ranked(table, 15, "growth_rate", "series"), 2, "recent_avg", "forecast_avg"), 6, "growth_rate")
+
+
+@query("first_predictions", f"""WITH {SIGNAL}, f AS (SELECT regr_slope(y, user_id) AS b, regr_intercept(y, user_id) AS a FROM d)
+SELECT event_id, round(y, 6) AS y, round(a + b * user_id, 6) AS prediction FROM d, f ORDER BY event_id LIMIT 10""")
+def first_predictions(spark, sf):
+    d = _signal(spark, sf)
+    out = rg.predict(d, rg.ols(d, ["user_id"], "y"), ["user_id"]).select("event_id", "y", "prediction")
+    return rounded(out.orderBy("event_id").limit(10), 6, "y", "prediction")
+
+
 @query("recursive_forest")
 def recursive_forest(spark, sf):
     training = cut_lineage(fc.forest_training(panel(spark, sf, stored=True), ["series"], "period", "value"))
