@@ -74,6 +74,16 @@ def ols_summary_by_group(spark, sf):
     return rg.ols_summary(_signal(spark, sf), ["user_id", "k", "h"], "y", ["ts", "event_id"], ["kind"])
 
 
+@query("ols_summary_per_kind", f"""WITH {SIGNAL}, f AS (SELECT kind, regr_slope(y, user_id) AS b, regr_intercept(y, user_id) AS a, regr_r2(y, user_id) AS r2 FROM d GROUP BY 1),
+e AS (SELECT d.kind, y - a - b * user_id AS e, r2, lag(y - a - b * user_id) OVER (PARTITION BY d.kind ORDER BY ts, event_id) AS p FROM d JOIN f ON d.kind IS NOT DISTINCT FROM f.kind),
+m AS (SELECT kind, COUNT(*) AS n, any_value(r2) AS r2, sum(e * e) AS ss, sum((e - p) * (e - p)) AS sd, avg(e * e * e) / pow(avg(e * e), 1.5) AS skew FROM e GROUP BY 1)
+SELECT kind, n, round(r2, 6) AS r2, round(r2 / ((1 - r2) / (n - 2)), 4) AS f, round(4 + n * (ln(2 * pi() * ss / n) + 1), 4) AS aic,
+  round(sd / ss, 6) AS durbin_watson, round(skew, 6) AS skew FROM m""")
+def ols_summary_per_kind(spark, sf):
+    s = rg.ols_summary(_signal(spark, sf), ["user_id"], "y", ["ts", "event_id"], ["kind"])
+    return rounded(rounded(s.select("kind", "n", "r2", "f", "aic", "durbin_watson", "skew"), 6, "r2", "durbin_watson", "skew"), 4, "f", "aic")
+
+
 @query("hash_split", f"""SELECT o_orderkey, {HASH.format(seed=42, key='o_orderkey')} % 100 >= 20 AS is_train FROM orders""")
 def hash_split(spark, sf):
     return rg.hash_split(load(spark, sf, "orders").select("o_orderkey"), "o_orderkey")

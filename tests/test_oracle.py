@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from check_oracle import compare
 
 # plans that hold a Python stage by design: small solves, neighbour search
-PYTHON_STAGE = {"first_predictions", "ols_two_features", "ols_no_intercept", "ols_coefficients", "ols_summary", "ols_summary_by_group",
+PYTHON_STAGE = {"first_predictions", "ols_two_features", "ols_no_intercept", "ols_coefficients", "ols_summary", "ols_summary_by_group", "ols_summary_per_kind",
                 "cross_validate", "tree_models", "future_scores", "knn_impute", "energy_regression", "energy_scores",
                 "economy_regression", "arima_order_search", "arima_ranking", "seasonal_arima", "seasonal_holdout"}
 SLOW = {"catalogue_cleanup", "forest_ranking", "recursive_forest", "arima_ranking", "outlook_by_growth", "outlook_stability", "future_scores"}
