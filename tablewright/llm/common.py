@@ -23,6 +23,20 @@ def uniform(*parts: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
+def sliced(texts, rows: int = 1000):
+    """A batch of texts in pieces of a few rows, so that a task holds the words of few texts at a time."""
+    for at in range(0, len(texts), rows):
+        yield texts[at: at + rows].tolist()
+
+
+def grown(table: np.ndarray, more: np.ndarray, used: int) -> np.ndarray:
+    """``table`` with the rows ``more`` as its last of ``used``; room is doubled when it runs out."""
+    if used > len(table):
+        table = np.vstack([table, np.empty((max(used, 2 * len(table)) - len(table), table.shape[1]))])
+    table[used - len(more): used] = more
+    return table
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix)."""
     x = x ^ (x >> np.uint64(30))

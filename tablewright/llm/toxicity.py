@@ -15,7 +15,7 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.llm.common import by_length, mix64, uniform
+from tablewright.llm.common import by_length, grown, mix64, sliced, uniform
 
 WORD = regex.compile(r"[\p{L}\p{N}]+")
 GRAMS = (3, 4, 5, 6)
@@ -166,25 +166,24 @@ def score(docs: DataFrame, model: ToxicityModel | None, text: str = "text", carr
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = sent.value and ToxicityModel(*sent.value)
         at: dict[str, int] = {}
-        table = np.empty((2, 0))
-        for texts in batches:
-            if not m:
-                yield pd.Series(np.zeros(len(texts)))
-                continue
-            listed = [words_of(t) for t in texts]
-            if len(at) > CACHE_WORDS:
-                at, table = {}, table[:, :0]
-            new = list({w for ws in listed for w in ws if w not in at})
-            if new:
-                bucket, per_word = subwords(new)
-                first = np.concatenate(([0], np.cumsum(per_word)))
-                at.update(zip(new, range(len(at), len(at) + len(new))))
-                table = np.hstack([table, np.stack([_ranges(m.logit[bucket], first[:-1], first[1:]), per_word])])
-            out = np.empty(len(listed))
-            for i, ws in enumerate(listed):
-                seq = np.fromiter(map(at.__getitem__, ws), np.int64, len(ws))
-                start, end = windows(len(ws))
-                out[i] = (_ranges(table[0, seq], start, end) / np.maximum(_ranges(table[1, seq], start, end), 1.0)).max()
-            yield pd.Series(1 / (1 + np.exp(-np.clip(out + m.bias, -30, 30))))
+        table = np.empty((0, 2))
+        for batch in batches:
+            out = []
+            for texts in sliced(batch):
+                listed = [words_of(t) if m else [] for t in texts]
+                if len(at) > CACHE_WORDS:
+                    at, table = {}, table[:0]
+                new = list({w for ws in listed for w in ws if w not in at})
+                if new:
+                    bucket, per_word = subwords(new)
+                    first = np.concatenate(([0], np.cumsum(per_word)))
+                    at.update(zip(new, range(len(at), len(at) + len(new))))
+                    table = grown(table, np.stack([_ranges(m.logit[bucket], first[:-1], first[1:]), per_word], axis=1), len(at))
+                for ws in listed:
+                    seq = np.fromiter(map(at.__getitem__, ws), np.int64, len(ws))
+                    start, end = windows(len(ws))
+                    out.append((_ranges(table[seq, 0], start, end) / np.maximum(_ranges(table[seq, 1], start, end), 1.0)).max())
+            z = np.clip(np.array(out) + m.bias, -30, 30) if m else np.full(len(out), -np.inf)
+            yield pd.Series(1 / (1 + np.exp(-z)))
 
     return docs.select(*carry, F.pandas_udf(scored, "double")(F.col(text)).alias("score"))
