@@ -15,7 +15,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from tablewright.llm.common import by_length, uniform
+from tablewright.llm.common import by_length, grown, sliced, uniform
 
 WORD = regex.compile(r"\p{L}+")
 START = "▁"
@@ -157,20 +157,25 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text", c
         m = sent.value and LanguageModel(*sent.value)
         at: dict[str, int] = {}
         table = np.empty((0, len(m.langs) if m else 0))
-        for texts in batches:
-            words = [WORD.findall(t.lower()) if m and t else [] for t in texts]
-            if len(at) > CACHE_WORDS:
-                at, table = {}, table[:0]
-            new = list({w for ws in words for w in ws if w not in at})
-            if new:
-                at.update(zip(new, range(len(at), len(at) + len(new))))
-                table = np.vstack([table, m.score(new)])
-            pred, score = ["und"] * len(words), np.zeros(len(words))
-            for i, ws in enumerate(words):
-                if ws:
-                    total = table[np.fromiter(map(at.__getitem__, ws), np.int64, len(ws))].sum(axis=0)
-                    best = int(total.argmax())
-                    pred[i], score[i] = m.langs[best], 1.0 / np.exp(total - total[best]).sum()
+        for batch in batches:
+            pred, score = [], []
+            for texts in sliced(batch):
+                words = [WORD.findall(t.lower()) if m and t else [] for t in texts]
+                if len(at) > CACHE_WORDS:
+                    at, table = {}, table[:0]
+                new = list({w for ws in words for w in ws if w not in at})
+                if new:
+                    at.update(zip(new, range(len(at), len(at) + len(new))))
+                    table = grown(table, m.score(new), len(at))
+                for ws in words:
+                    if ws:
+                        total = table[np.fromiter(map(at.__getitem__, ws), np.int64, len(ws))].sum(axis=0)
+                        best = int(total.argmax())
+                        pred.append(m.langs[best])
+                        score.append(1.0 / np.exp(total - total[best]).sum())
+                    else:
+                        pred.append("und")
+                        score.append(0.0)
             yield pd.DataFrame({"lang_pred": pred, "score": score})
 
     udf = F.pandas_udf(scored, "lang_pred string, score double")
