@@ -8,20 +8,21 @@ put in place by position. Decoding gathers the bytes of the ids from the token t
 from __future__ import annotations
 
 import base64
+import hashlib
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tablewright.session import cut_lineage
-
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -91,107 +92,125 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def _pack_words(words: list[bytes]) -> bytes:
-    sizes = pack(np.fromiter(map(len, words), np.int64, len(words)))
-    return len(sizes).to_bytes(4, "little") + sizes + zstandard.ZstdCompressor(3).compress(b"".join(words))
+    return _joined(pack(np.fromiter(map(len, words), np.int64, len(words))), zstandard.ZstdCompressor(3).compress(b"".join(words)))
 
 
 def _unpack_words(data: bytes) -> list[bytes]:
-    cut = 4 + int.from_bytes(data[:4], "little")
-    sizes = unpack(data[4:cut])
-    text = zstandard.ZstdDecompressor().decompress(data[cut:])
+    sizes, text = _split(data)
+    sizes, text = unpack(sizes), zstandard.ZstdDecompressor().decompress(text)
     ends = np.cumsum(sizes)
     return [text[e - s: e] for s, e in zip(sizes.tolist(), ends.tolist())]
 
 
+def _joined(a: bytes, b: bytes) -> bytes:
+    return len(a).to_bytes(4, "little") + a + b
+
+
+def _split(data: bytes) -> tuple[bytes, bytes]:
+    cut = 4 + int.from_bytes(data[:4], "little")
+    return data[4:cut], data[cut:]
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", carry: str = "doc_id long",
-           buckets: int | None = None, block_words: int = 600_000) -> DataFrame:
+           buckets: int | None = None, block_words: int = 200_000) -> DataFrame:
     """Columns ``carry`` (a DDL list) plus ids array<int>, one row per row of ``docs``.
 
     A null or empty text has no ids. Repeated rows give repeated rows; other columns are not returned. A block ends
     once it has ``block_words`` distinct words (or as many tokens times eight), which bounds a task's memory; a text is
     never cut. ``buckets`` (default: the session's shuffle partitions) is the number of parts the distinct words are
-    dealt over. The token streams are written to the shared folder once, so lost executors repeat no tokenising.
+    dealt over.
+
+    Token streams and word lists leave the tokenising task through one shuffle, which both the encoding of the lists
+    and the reassembly read. A block's name holds a digest of its word list, so ids computed for another run of a lost
+    task cannot be mistaken for its own: the job fails instead.
     """
     spark = docs.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    names = [c.strip().rsplit(" ", 1)[0] for c in carry.split(",")]
+    names = T.StructType.fromDDL(carry).names
     sent = spark.sparkContext.broadcast(read_ranks(ranks_path))  # bounded by the vocabulary file
-    schema = f"block string, bucket int, words binary, {carry}"
+    schema = f"_route string, _block string, _data binary, {carry}"
     shape = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per block: each text as ranks of the block's words by frequency (routed to the block), and the words (to their buckets)."""
         find = regex.compile(pattern).findall
         part, number, total = TaskContext.get().partitionId(), 0, 0
         at: dict[str, int] = {}
         rows: list[tuple] = []
 
-        def flush() -> pa.RecordBatch:
-            """The block's texts as ranks of its words by frequency, and its words by bucket."""
-            name = f"{part}-{number}"
+        def flush() -> Iterator[pa.RecordBatch]:
             words = [w.encode() for w in at]
-            home = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
-            used = np.bincount(np.concatenate([s for s, _ in rows]), minlength=len(words))
+            used = np.zeros(len(words), np.int64)
+            for seq, _ in rows:
+                np.add.at(used, seq, 1)
+            order = np.argsort(-used, kind="stable")
             rank = np.empty(len(words), np.int64)
-            rank[np.argsort(-used, kind="stable")] = np.arange(len(words))
-            out = [(name, -1, pack(rank[s]), *own) for s, own in rows]
+            rank[order] = np.arange(len(words))
+            digest = zlib.crc32(b"\0".join(words[i] for i in order))
+            block = f"{part}-{len(words)}-{digest:08x}-{number}"
+            home = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+            out = [("b" + block, block, pack(rank[seq]), *own) for seq, own in rows]
             for b in np.unique(home):
                 mine = np.flatnonzero(home == b)
                 mine = mine[np.argsort(rank[mine])]
-                blob = pack(np.diff(rank[mine], prepend=0))
-                out.append((name, int(b), len(blob).to_bytes(4, "little") + blob + _pack_words([words[i] for i in mine]), *[None] * len(names)))
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), shape)], schema=shape)
+                out.append((f"w{b}", block, _joined(pack(np.diff(rank[mine], prepend=0)), _pack_words([words[i] for i in mine])), *[None] * len(names)))
+            for k in range(0, len(out), 2000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[k: k + 2000]), shape)], schema=shape)
 
         for b in batches:
-            for t, *own in zip(*(c.to_pylist() for c in b.columns)):
-                seq = np.array([at.setdefault(w, len(at)) for w in find(t)] if t else [], np.int64)
-                rows.append((seq, own))
-                total += len(seq)
-                if len(at) >= block_words or total >= 8 * block_words or len(rows) >= 200_000:
-                    yield flush()
-                    number, total = number + 1, 0
-                    at.clear()
-                    rows.clear()
+            for k in range(0, b.num_rows, 500):
+                for t, *own in zip(*(c.to_pylist() for c in b.slice(k, 500).columns)):
+                    rows.append((np.array([at.setdefault(w, len(at)) for w in find(t)] if t else [], np.int32), own))
+                    total += len(rows[-1][0])
+                    if len(at) >= block_words or total >= 8 * block_words or len(rows) >= 200_000:
+                        yield from flush()
+                        number, total = number + 1, 0
+                        at.clear()
+                        rows.clear()
         if rows:
-            yield flush()
+            yield from flush()
 
-    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Word lists to id lists; each distinct word is encoded once. Token streams are passed over."""
         ranks, known = sent.value, {}
         for b in batches:
+            lists = b.filter(pc.starts_with(b.column("_route"), "w"))
             out = []
-            for block, data in zip(b["block"], b["words"]):
-                cut = 4 + int.from_bytes(data[:4], "little")
+            for block, data in zip(lists.column("_block").to_pylist(), lists.column("_data").to_pylist()):
+                places, words = _split(data)
                 ids = []
-                for w in _unpack_words(data[cut:]):
+                for w in _unpack_words(words):
                     if w not in known:
-                        known[w] = encode_word(w, ranks)
+                        known[w] = array("i", encode_word(w, ranks))
                     ids.append(known[w])
-                flat = np.fromiter((i for x in ids for i in x), np.int64)
-                parts = (data[4:cut], pack(np.fromiter(map(len, ids), np.int64, len(ids))), pack(flat))
-                out.append((block, *parts))
-            yield pd.DataFrame(out, columns=["block", "ranks", "lengths", "ids"])
+                flat = np.concatenate([np.frombuffer(x, np.int32) for x in ids])
+                out.append(("b" + block, places, pack(np.fromiter(map(len, ids), np.int64, len(ids))), pack(flat)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), listed)], schema=listed)
 
     def placed(words: pa.Table, texts: pa.Table) -> pa.Table:
+        if words.num_rows == 0 and texts["_route"][0].as_py().startswith("w"):
+            return texts.slice(0, 0).select(names).append_column("ids", pa.array([], pa.list_(pa.int32())))
         rank, length, flat = ([unpack(x) for x in words[c].to_pylist()] for c in ("ranks", "lengths", "ids"))
         none = np.empty(0, np.int64)
         order = np.concatenate([np.cumsum(r) for r in rank] or [none])
         length, flat = (np.concatenate(x or [none]) for x in (length, flat))
-        if len(order) and int(order.max()) + 1 != len(order):
-            raise ValueError("a block lacks some of its words")
+        if texts.num_rows and len(order) != int(texts["_block"][0].as_py().split("-")[1]):
+            raise ValueError("the ids of a block are not those of its words")
         start, size = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
         start[order], size[order] = np.cumsum(length) - length, length
         out = []
-        for data in texts["words"].to_pylist():
+        for data in texts["_data"].to_pylist():
             seq = unpack(data)
             n = size[seq]
             inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
             out.append(flat[np.repeat(start[seq], n) + inner].astype(np.int32))
         return texts.select(names).append_column("ids", pa.array(out, pa.list_(pa.int32())))
 
-    stored = cut_lineage(docs.select(text, *names).mapInArrow(tokens, schema), "tokens")
-    lists = stored.where("bucket >= 0").select("bucket", "block", "words").repartitionById(buckets, F.col("bucket"))
-    words = lists.select("block", "words").mapInPandas(encoded, "block string, ranks binary, lengths binary, ids binary")
-    texts = stored.where("bucket < 0").drop("bucket")
-    return words.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(placed, f"{carry}, ids array<int>")
+    listed = to_arrow_schema(T.StructType.fromDDL("_route string, ranks binary, lengths binary, ids binary"))
+    mixed = docs.select(text, *names).mapInArrow(tokens, schema).repartition(buckets, "_route")
+    ids = mixed.mapInArrow(encoded, "_route string, ranks binary, lengths binary, ids binary")
+    return ids.groupBy("_route").cogroup(mixed.groupBy("_route")).applyInArrow(placed, f"{carry}, ids array<int>")
 
 
 def decoder(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -226,16 +245,21 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", carry: tuple[s
     return encoded.select(*carry, F.pandas_udf(decoded, "binary")(F.col(ids)).alias("decoded"))
 
 
-def digest(encoded: DataFrame, ranks_path: str, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """n_tokens and the SHA-256 of the ids (little-endian unsigned 32 bit) and of the bytes they decode to."""
-    whole = decode(encoded, ranks_path, carry=tuple(dict.fromkeys((*carry, "ids"))))
-
-    def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import hashlib
+def digest(encoded: DataFrame, ranks_path: str, carry: str = "doc_id long", ids: str = "ids") -> DataFrame:
+    """Columns ``carry`` (a DDL list), n_tokens, and the SHA-256 of the ids (little-endian unsigned 32 bit) and of the decoded bytes."""
+    sent = encoded.sparkSession.sparkContext.broadcast(decoder(read_ranks(ranks_path)))
+    names = T.StructType.fromDDL(carry).names
+    schema = f"{carry}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    shape = to_arrow_schema(T.StructType.fromDDL(schema))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pd.Series([hashlib.sha256(np.asarray(x, "<u4").tobytes()).hexdigest() for x in b])
-
-    return whole.select(*carry, F.size("ids").cast("long").alias("n_tokens"),
-                        F.pandas_udf(hashed, "string")(F.col("ids")).alias("ids_sha256"),
-                        F.sha2("decoded", 256).alias("decoded_sha256"))
+            at = b.column(0).offsets.to_numpy()
+            flat = b.column(0).values.to_numpy(zero_copy_only=False)
+            seqs = [flat[i:j] for i, j in zip(at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([
+                *b.columns[1:], pa.array(np.diff(at).astype(np.int64)),
+                pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in seqs], pa.string()),
+                pa.array([hashlib.sha256(join_bytes(x, sent.value)).hexdigest() for x in seqs], pa.string())], schema=shape)
+
+    return encoded.select(ids, *names).mapInArrow(run, schema)
