@@ -15,13 +15,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablewright.llm.common import components, mix64
 from tablewright.session import cut_lineage
 
 MISS = 1e-7       # probability that a pair at the threshold shares no band
+MARKS = 1 << 23   # bits of the bitmap that picks candidates' texts
 SLACK = 7.0       # standard deviations by which a linked pair's sketch may disagree more than expected
 _NONE, _LOW40 = np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64((1 << 40) - 1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -137,10 +138,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
     ids with equal texts share a component; an id that stands for several texts links them. A null id is left alone:
     component_id null, kept.
 
-    Equal sets are merged first, so a group of copies counts once from then on. A band bucket is not expanded into
-    pairs: every member meets the bucket's smallest id. Only buckets whose members are still in different components
-    after that compare those members, behind the size bound and the sketch bits, so no link between different texts
-    is lost beyond MISS and SLACK. All links are confirmed on full shingle sets.
+    Equal sets are merged first, so a group of copies counts once from then on. Band buckets are not expanded into
+    pairs: every text meets the smallest id of all its buckets, one pair a text. Only buckets whose members are still
+    in different components after that compare those members, behind the size bound and the sketch bits, so no link
+    between different texts is lost beyond MISS and SLACK. All links are confirmed on full shingle sets.
     """
     threshold = percent / 100
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -159,7 +160,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
     buckets = keys.groupBy("key").agg(F.count("*").alias("c"), F.min("doc_id").alias("first")).where("c > 1").select("key", "first")
     members = cut_lineage(keys.join(buckets, "key"), "buckets")
     side = sets.select("doc_id", "n", "bits")
-    star = members.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
+    star = members.where("doc_id <> first").groupBy(F.col("doc_id").alias("b")).agg(F.min("first").alias("a"))
     star = star.join(side.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb")), "b")
     star = star.join(side.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa")), "a")
     fits = f"100 * least(na, nb) >= {percent} * greatest(na, nb) and {differing('xa', 'xb')} <= {most}"
@@ -175,7 +176,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
     rest = cut_lineage(labelled.join(open_keys, "key").join(side, "doc_id"), "rest")
     x = rest.toDF(*[f"{c}_x" for c in rest.columns])
     y = rest.toDF(*[f"{c}_y" for c in rest.columns])
-    more = x.join(y, F.expr("key_x = key_y and doc_id_x < doc_id_y and component_id_x <> component_id_y and first_x <> doc_id_x "
+    more = x.join(y, F.expr("key_x = key_y and doc_id_x < doc_id_y and component_id_x <> component_id_y "
                             f"and 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y) and {differing('bits_x', 'bits_y')} <= {most}"))
     more = cut_lineage(more.select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b")).distinct(), "pairs")
     ids = more.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
@@ -193,4 +194,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
 
 def _one_text(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """The texts of the given ids, repeated rows once (dealt by id already, so this moves nothing)."""
-    return texts.join(ids, "doc_id").groupBy("doc_id", "text").agg(F.lit(1).alias("one")).drop("one")
+    near = texts.where(_marked(ids, F.col("doc_id")))
+    return near.join(ids, "doc_id").groupBy("doc_id", "text").agg(F.lit(1).alias("one")).drop("one")
+
+
+def _marked(ids: DataFrame, of: Column) -> Column:
+    """True for every given id, and for few others: a bitmap of hashed ids, of MARKS bits at most, so that a join with
+    ``ids`` need not move the texts of all documents. Beyond some millions of ids it passes more, and the join decides."""
+    def place(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(MARKS))
+
+    each = ids.groupBy(F.bitmap_bucket_number(place(F.col("doc_id"))).alias("k")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place(F.col("doc_id")))).alias("m"))
+    marks = each.agg(F.map_from_entries(F.collect_list(F.struct("k", "m")))).scalar()
+    bit = F.bitmap_bit_position(place(of))
+    byte = F.substring(F.try_element_at(marks, F.bitmap_bucket_number(place(of))), F.floor(bit / 8).cast("int") + 1, F.lit(1))
+    on = F.call_function("shiftright", F.conv(F.hex(byte), 16, 10).cast("int"), (bit % 8).cast("int")).bitwiseAND(F.lit(1))
+    return F.coalesce(on == 1, F.lit(False))
