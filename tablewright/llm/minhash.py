@@ -22,6 +22,7 @@ from tablewright.llm.common import components, mix64
 from tablewright.session import cut_lineage
 
 MISS = 1e-7       # probability that a pair at the threshold shares no band
+WIDE = 4096       # bits of the sketch that compares texts of one bucket in different components
 MARKS = 1 << 23   # bits of the bitmap that picks candidates' texts
 SLACK = 7.0       # standard deviations by which a linked pair's sketch may disagree more than expected
 _NONE, _LOW40 = np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64((1 << 40) - 1)
@@ -112,6 +113,7 @@ def sketched(docs: DataFrame, doc_id: str, text: str, size: int, threshold: floa
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Of the pairs (a, b), those whose full shingle sets reach ``percent``; texts meet their pairs by joins."""
+    texts = _one_text(texts, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     right = pairs.join(texts.withColumnsRenamed({"doc_id": "b", "text": "tb"}), "b")
     both = right.join(texts.withColumnsRenamed({"doc_id": "a", "text": "ta"}), "a").select("a", "b", "ta", "tb")
 
@@ -130,6 +132,19 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     return both.mapInPandas(check, "a long, b long")
 
 
+def _wide(texts: DataFrame, size: int) -> DataFrame:
+    """(doc_id, wide): one bit of each of WIDE coordinates, packed into longs; for texts that need a sharper sketch."""
+    shape = to_arrow_schema(T.StructType.fromDDL("doc_id long, wide array<long>"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bits = [np.packbits((sketch(shingle_hashes(t, size), WIDE) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+                    for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bits, shape.field(1).type)], schema=shape)
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, wide array<long>")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs``; other columns are not returned.
 
@@ -140,49 +155,48 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
 
     Equal sets are merged first, so a group of copies counts once from then on. Band buckets are not expanded into
     pairs: every text meets the smallest id of all its buckets, one pair a text. Only buckets whose members are still
-    in different components after that compare those members, behind the size bound and the sketch bits, so no link
+    in different components after that compare those members, behind the size bound and a sharper sketch, so no link
     between different texts is lost beyond MISS and SLACK. All links are confirmed on full shingle sets.
     """
     threshold = percent / 100
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    texts = docs.where("doc_id is not null")
     base = cut_lineage(sketched(docs, "doc_id", "text", size, threshold), "sketches")
     sets = base.where("n > 0 and doc_id is not null").groupBy("n", "d1", "d2").agg(
         F.min("doc_id").alias("doc_id"), F.min_by(F.struct("bands", "bits"), "doc_id").alias("s"))
     sets = cut_lineage(sets.select("doc_id", "n", "s.bands", "s.bits"), "sets")
-    bits = shape_of(threshold)[2]
-    expected = (1 - threshold) / 2
-    most = bits * expected + SLACK * math.sqrt(bits * expected * (1 - expected))
 
-    def differing(x: str, y: str) -> str:
-        return " + ".join(f"bit_count({x}[{i}] ^ {y}[{i}])" for i in range(bits // 64))
+    def fits(x: str, y: str, bits: int, name: str = "bits") -> str:
+        """SQL: the sizes allow a link, and the sketch bits differ in no more places than a link explains."""
+        apart = (1 - threshold) / 2
+        most = bits * apart + SLACK * math.sqrt(bits * apart * (1 - apart))
+        differing = " + ".join(f"bit_count({x}.{name}[{i}] ^ {y}.{name}[{i}])" for i in range(bits // 64))
+        return f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n) and {differing} <= {most}"
 
     keys = sets.select("doc_id", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.count("*").alias("c"), F.min("doc_id").alias("first")).where("c > 1").select("key", "first")
     members = cut_lineage(keys.join(buckets, "key"), "buckets")
-    side = sets.select("doc_id", "n", "bits")
     star = members.where("doc_id <> first").groupBy(F.col("doc_id").alias("b")).agg(F.min("first").alias("a"))
-    star = star.join(side.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb")), "b")
-    star = star.join(side.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa")), "a")
-    fits = f"100 * least(na, nb) >= {percent} * greatest(na, nb) and {differing('xa', 'xb')} <= {most}"
-    star = cut_lineage(star.where(fits).select("a", "b"), "pairs")
-    texts = docs.where("doc_id is not null")
-    ids = star.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    linked = cut_lineage(_confirmed(star, _one_text(texts, ids), size, percent), "links")
+    side = sets.select("doc_id", F.struct("n", "bits").alias("s"))
+    star = star.join(side.toDF("b", "y"), "b").join(side.toDF("a", "x"), "a")
+    star = cut_lineage(star.where(fits("x", "y", shape_of(threshold)[2])).select("a", "b"), "pairs")
+    linked = cut_lineage(_confirmed(star, texts, size, percent), "links")
     found = components(linked)
 
     labelled = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
         "component_id", F.coalesce("component_id", "doc_id"))
     open_keys = labelled.groupBy("key").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo < hi").select("key")
-    rest = cut_lineage(labelled.join(open_keys, "key").join(side, "doc_id"), "rest")
-    x = rest.toDF(*[f"{c}_x" for c in rest.columns])
-    y = rest.toDF(*[f"{c}_y" for c in rest.columns])
-    more = x.join(y, F.expr("key_x = key_y and doc_id_x < doc_id_y and component_id_x <> component_id_y "
-                            f"and 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y) and {differing('bits_x', 'bits_y')} <= {most}"))
-    more = cut_lineage(more.select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b")).distinct(), "pairs")
-    ids = more.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    extra = cut_lineage(_confirmed(more, _one_text(texts, ids), size, percent), "links")
-    whole = linked.union(extra)
-    found = found if extra.isEmpty() else components(whole)
+    rest = cut_lineage(labelled.join(open_keys, "key").select("doc_id", "key", "component_id"), "rest")
+    wide = _wide(_one_text(texts, rest.select("doc_id").distinct()), size)
+    full = cut_lineage(wide.join(sets.select("doc_id", "n", "bands"), "doc_id"), "wide")
+    rest = rest.join(full, "doc_id")
+    # a pair is told in the first of the buckets it shares
+    once = "array_position(zip_with(x.bands, y.bands, (p, q) -> p = q), true) = array_position(x.bands, x.key)"
+    more = rest.alias("x").join(rest.alias("y"), F.expr(
+        f"x.key = y.key and x.doc_id < y.doc_id and x.component_id <> y.component_id and {fits('x', 'y', WIDE, 'wide')} and {once}"))
+    more = cut_lineage(more.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct(), "pairs")
+    extra = cut_lineage(_confirmed(more, texts, size, percent), "links")
+    found = found if extra.isEmpty() else components(linked.union(extra))
 
     first = base.where("n > 0 and doc_id is not null").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("first"), F.count("*").alias("c")).where("c > 1")
     owner = base.drop("bands", "bits").join(first.drop("c"), ["n", "d1", "d2"], "left").withColumn("first", F.coalesce("first", "doc_id"))
