@@ -29,6 +29,13 @@ def sliced(texts, rows: int = 1000):
         yield texts[at: at + rows].tolist()
 
 
+def parts(batches, rows: int = 500):
+    """Arrow batches in pieces of a few rows, for the same end."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def grown(table: np.ndarray, more: np.ndarray, used: int) -> np.ndarray:
     """``table`` with the rows ``more`` as its last of ``used``; room is doubled when it runs out."""
     if used > len(table):

@@ -12,13 +12,12 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tablewright.llm.common import components, mix64
+from tablewright.llm.common import components, mix64, parts
 from tablewright.session import cut_lineage
 
 MISS = 1e-7       # probability that a pair at the threshold shares no band
@@ -95,7 +94,7 @@ def sketched(docs: DataFrame, doc_id: str, text: str, size: int, threshold: floa
     shape = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             cols: list[list] = [[] for _ in range(6)]
             for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 items = shingle_hashes(x, size)
@@ -113,23 +112,26 @@ def sketched(docs: DataFrame, doc_id: str, text: str, size: int, threshold: floa
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Of the pairs (a, b), those whose full shingle sets reach ``percent``; texts meet their pairs by joins."""
-    texts = _one_text(texts, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    texts = _one_text(texts, cut_lineage(ids, "ids"))
     right = pairs.join(texts.withColumnsRenamed({"doc_id": "b", "text": "tb"}), "b")
     both = right.join(texts.withColumnsRenamed({"doc_id": "a", "text": "ta"}), "a").select("a", "b", "ta", "tb")
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    shape = to_arrow_schema(T.StructType.fromDDL("a long, b long"))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, items = None, np.empty(0, np.uint64)
-        for b in batches:
-            keep = np.zeros(len(b), bool)
-            for i, (x, ta, tb) in enumerate(zip(b["a"], b["ta"], b["tb"])):
-                if x != held:
-                    held, items = x, shingle_hashes(ta, size)
+        for b in parts(batches):
+            keep = []
+            for x, ta, tb in zip(*(b.column(c).to_pylist() for c in (0, 2, 3))):
+                if (x, ta) != held:
+                    held, items = (x, ta), shingle_hashes(ta, size)
                 other = shingle_hashes(tb, size)
                 common = len(np.intersect1d(items, other, assume_unique=True))
-                keep[i] = 100 * common >= percent * (len(items) + len(other) - common) and common > 0
-            yield b.loc[keep, ["a", "b"]]
+                keep.append(100 * common >= percent * (len(items) + len(other) - common) and common > 0)
+            yield pa.RecordBatch.from_arrays(b.select([0, 1]).filter(pa.array(keep)).columns, schema=shape)
 
-    return both.mapInPandas(check, "a long, b long")
+    return both.mapInArrow(check, "a long, b long")
 
 
 def _wide(texts: DataFrame, size: int) -> DataFrame:
@@ -137,7 +139,7 @@ def _wide(texts: DataFrame, size: int) -> DataFrame:
     shape = to_arrow_schema(T.StructType.fromDDL("doc_id long, wide array<long>"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             bits = [np.packbits((sketch(shingle_hashes(t, size), WIDE) & np.uint64(1)).astype(np.uint8)).view(np.int64)
                     for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bits, shape.field(1).type)], schema=shape)
