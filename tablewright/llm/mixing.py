@@ -13,7 +13,7 @@ from tablewright.llm.common import uniform
 from tablewright.session import measured
 
 SEED = 20
-LARGEST = 64.0  # mean rates above this are refused: the inversion's table would underflow its smallest terms
+LARGEST = 64.0  # a larger mean rate is drawn as the sum of several, whose smallest terms do not underflow
 
 
 def rates(docs: DataFrame, source: str = "source", units: Column | None = None, weights: dict[str, float] | None = None,
@@ -43,7 +43,7 @@ def rates(docs: DataFrame, source: str = "source", units: Column | None = None,
 
 
 def poisson_inverse(u: Column, rate: Column) -> Column:
-    """The smallest k with P(Poisson(rate) <= k) > u, by adding up the terms."""
+    """The smallest k with P(Poisson(rate) <= k) > u, by adding up the terms; for rates up to some hundreds."""
     most = F.ceil(rate + 12 * F.sqrt(rate) + 20).cast("int")
     start = F.struct(F.exp(-rate).alias("term"), F.exp(-rate).alias("sum"), F.lit(0).alias("k"))
 
@@ -55,6 +55,14 @@ def poisson_inverse(u: Column, rate: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), most), start, step, lambda acc: acc["k"])
 
 
+def poisson_count(key: Column, rate: Column, seed: int) -> Column:
+    """A Poisson count that depends on the key alone. Rates above LARGEST are split into equal parts, one draw each."""
+    draws = F.greatest(F.ceil(rate / LARGEST), F.lit(1)).cast("int")
+    first = poisson_inverse(uniform(key, seed=seed), rate / draws)
+    more = F.aggregate(F.sequence(F.lit(1), draws - 1), F.lit(0), lambda acc, i: acc + poisson_inverse(uniform(key, i, seed=seed), rate / draws))
+    return first + F.when(draws > 1, more).otherwise(0)
+
+
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, size: float = 1.0, doc_id: str = "doc_id",
         source: str = "source", units: Column | None = None, seed: int = SEED, extra: bool = True) -> DataFrame:
     """The mixture in random order: the columns of ``docs``, with ``extra`` also _copy, _rate and _order.
@@ -64,12 +72,9 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
     shuffle of the exploded rows over all tasks, sorted within. An empty table gives no rows.
     """
     table = rates(docs, source, units, weights, power, size)
-    top = table.agg(F.max("rate")).first()[0]
-    if top is not None and top > LARGEST:
-        raise ValueError(f"a source would be repeated {top:.1f} times on average, more than {LARGEST:.0f}")
     mine = table.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"))
     joined = docs.join(mine, F.col(source).eqNullSafe(F.col("_source")))
-    copies = poisson_inverse(uniform(F.col(doc_id), seed=seed), F.col("_rate"))
+    copies = poisson_count(F.col(doc_id), F.col("_rate"), seed)
     many = joined.withColumn("_copies", copies).where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     order = uniform(F.col(doc_id), F.col("_copy"), seed=seed + 1)
     out = many.withColumn("_order", order).orderBy("_order", doc_id, "_copy")
