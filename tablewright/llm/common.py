@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablewright.session import cut_lineage
@@ -12,6 +13,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_batches(df: DataFrame, rows: int = 500) -> DataFrame:
+    """``df``, after the session's Arrow batches are limited to ``rows`` rows.
+
+    A row holds a text, and the usual ten thousand of them take more memory on both sides of a Python stage than their
+    processing. The setting stays: plans read it when they run. A smaller one is kept.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= rows:
+        df.sparkSession.conf.set(name, str(rows))
+    return df
+
+
 def fold(doc_id: str, folds: int) -> Column:
     """crc32 of the id written as text, modulo ``folds``."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
@@ -23,17 +36,20 @@ def uniform(*parts: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
-def sliced(texts, rows: int = 1000):
+def sliced(texts, rows: int = 250):
     """A batch of texts in pieces of a few rows, so that a task holds the words of few texts at a time."""
     for at in range(0, len(texts), rows):
         yield texts[at: at + rows].tolist()
+    pa.default_memory_pool().release_unused()
 
 
-def parts(batches, rows: int = 500):
-    """Arrow batches in pieces of a few rows, for the same end."""
+def parts(batches, rows: int = 250):
+    """Arrow batches in pieces of a few rows, for the same end; what a batch took goes back before the next."""
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+        del b
+        pa.default_memory_pool().release_unused()
 
 
 def grown(table: np.ndarray, more: np.ndarray, used: int) -> np.ndarray:

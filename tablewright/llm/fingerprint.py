@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tablewright.llm.common import text_batches
+
 BUCKETS = 256
 #: Mean sum of bucket differences between unrelated digests: 1.25 for two independent quartiles.
 UNRELATED = 1.25 * BUCKETS
@@ -61,7 +63,7 @@ def with_edit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     only the row a range begins with is sent to the range before it as well. Each task walks its sorted range with one
     row in hand. Other columns are not returned.
     """
-    spark = docs.sparkSession
+    spark = text_batches(docs).sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"),
                        F.coalesce(F.col(doc_id).cast("long"), F.lit(_FIRST)).alias("k"))

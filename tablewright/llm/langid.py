@@ -15,12 +15,12 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from tablewright.llm.common import by_length, grown, sliced, uniform
+from tablewright.llm.common import by_length, grown, sliced, text_batches, uniform
 
 WORD = regex.compile(r"\p{L}+")
 START = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 
 
 def vocabulary(path: str, longest: int) -> list[str]:
@@ -125,7 +125,7 @@ def train(docs: DataFrame, vocab_path: str, rows_per_lang: int = 200, max_langs:
     These two bounds keep what reaches the driver independent of the input: a hash of the id picks the rows. Only
     word counts are collected. Rows without text or language are left out; None if no word is left.
     """
-    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+    known = text_batches(docs).where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(doc_id).alias("i"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     total = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
     if not total:
@@ -180,4 +180,4 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text", c
 
     udf = F.pandas_udf(scored, "lang_pred string, score double")
     names = docs.select(*carry).columns
-    return docs.select(*carry, udf(F.col(text)).alias("_p")).select(*names, F.col("_p.lang_pred").alias(f"{prefix}lang_pred"), F.col("_p.score").alias(f"{prefix}score"))
+    return text_batches(docs).select(*carry, udf(F.col(text)).alias("_p")).select(*names, F.col("_p.lang_pred").alias(f"{prefix}lang_pred"), F.col("_p.score").alias(f"{prefix}score"))

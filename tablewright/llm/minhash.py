@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tablewright.llm.common import components, mix64, parts
+from tablewright.llm.common import components, mix64, parts, text_batches
 from tablewright.session import cut_lineage
 
 MISS = 1e-7       # probability that a pair at the threshold shares no band
@@ -161,7 +161,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
     between different texts is lost beyond MISS and SLACK. All links are confirmed on full shingle sets.
     """
     threshold = percent / 100
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = text_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     texts = docs.where("doc_id is not null")
     base = cut_lineage(sketched(docs, "doc_id", "text", size, threshold), "sketches")
     sets = base.where("n > 0 and doc_id is not null").groupBy("n", "d1", "d2").agg(

@@ -15,13 +15,13 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.llm.common import by_length, grown, mix64, sliced, uniform
+from tablewright.llm.common import by_length, grown, mix64, sliced, text_batches, uniform
 
 WORD = regex.compile(r"[\p{L}\p{N}]+")
 GRAMS = (3, 4, 5, 6)
 BUCKETS = 1 << 15
 WINDOW, STRIDE = 4, 2
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 LONGEST = 64  # a longer run of letters is read as consecutive pieces of this length
 
 
@@ -186,4 +186,4 @@ def score(docs: DataFrame, model: ToxicityModel | None, text: str = "text", carr
             z = np.clip(np.array(out) + m.bias, -30, 30) if m else np.full(len(out), -np.inf)
             yield pd.Series(1 / (1 + np.exp(-z)))
 
-    return docs.select(*carry, F.pandas_udf(scored, "double")(F.col(text)).alias("score"))
+    return text_batches(docs).select(*carry, F.pandas_udf(scored, "double")(F.col(text)).alias("score"))
