@@ -50,8 +50,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the digests of ids and of the bytes they decode to."""
     path = public_tokenizers.path(BPE_RANKS)
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, carry="doc_id long, lang string, source string")
-    return bpe.digest(encoded, path, carry="doc_id long, lang string, source string, ids array<int>")
+    return bpe.encode(docs, path, public_tokenizers.PATTERN, carry="doc_id long, lang string, source string", derive=bpe.digests(spark, path))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

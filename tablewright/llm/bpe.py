@@ -11,7 +11,8 @@ import base64
 import hashlib
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -20,9 +21,10 @@ import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
+from tablewright.llm.common import parts, text_batches
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -102,6 +104,13 @@ def _unpack_words(data: bytes) -> list[bytes]:
     return [text[e - s: e] for s, e in zip(sizes.tolist(), ends.tolist())]
 
 
+class Derived(NamedTuple):
+    """Columns computed from id sequences: their DDL, and a function from the sequences to Arrow arrays."""
+
+    schema: str
+    columns: Callable[[list[np.ndarray]], list[pa.Array]]
+
+
 def _joined(a: bytes, b: bytes) -> bytes:
     return len(a).to_bytes(4, "little") + a + b
 
@@ -112,9 +121,11 @@ def _split(data: bytes) -> tuple[bytes, bytes]:
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", carry: str = "doc_id long",
-           buckets: int | None = None, block_words: int = 200_000) -> DataFrame:
+           buckets: int | None = None, block_words: int = 120_000, derive: Derived | None = None) -> DataFrame:
     """Columns ``carry`` (a DDL list) plus ids array<int>, one row per row of ``docs``.
 
+    ``derive`` adds columns computed from the ids in the task that puts them together (`digests`).
+
     A null or empty text has no ids. Repeated rows give repeated rows; other columns are not returned. A block ends
     once it has ``block_words`` distinct words (or as many tokens times eight), which bounds a task's memory; a text is
     never cut. ``buckets`` (default: the session's shuffle partitions) is the number of parts the distinct words are
@@ -124,7 +135,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", c
     and the reassembly read. A block's name holds a digest of its word list, so ids computed for another run of a lost
     task cannot be mistaken for its own: the job fails instead.
     """
-    spark = docs.sparkSession
+    spark = text_batches(docs).sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     names = T.StructType.fromDDL(carry).names
     sent = spark.sparkContext.broadcast(read_ranks(ranks_path))  # bounded by the vocabulary file
@@ -154,19 +165,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", c
                 mine = np.flatnonzero(home == b)
                 mine = mine[np.argsort(rank[mine])]
                 out.append((f"w{b}", block, _joined(pack(np.diff(rank[mine], prepend=0)), _pack_words([words[i] for i in mine])), *[None] * len(names)))
-            for k in range(0, len(out), 2000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[k: k + 2000]), shape)], schema=shape)
-
-        for b in batches:
-            for k in range(0, b.num_rows, 500):
-                for t, *own in zip(*(c.to_pylist() for c in b.slice(k, 500).columns)):
-                    rows.append((np.array([at.setdefault(w, len(at)) for w in find(t)] if t else [], np.int32), own))
-                    total += len(rows[-1][0])
-                    if len(at) >= block_words or total >= 8 * block_words or len(rows) >= 200_000:
-                        yield from flush()
-                        number, total = number + 1, 0
-                        at.clear()
-                        rows.clear()
+            for k in range(0, len(out), 500):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[k: k + 500]), shape)], schema=shape)
+
+        for b in parts(batches):
+            for t, *own in zip(*(c.to_pylist() for c in b.columns)):
+                rows.append((np.array([at.setdefault(w, len(at)) for w in find(t)] if t else [], np.int32), own))
+                total += len(rows[-1][0])
+                if len(at) >= block_words or total >= 8 * block_words or len(rows) >= 200_000:
+                    yield from flush()
+                    number, total = number + 1, 0
+                    at.clear()
+                    rows.clear()
         if rows:
             yield from flush()
 
@@ -190,7 +200,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", c
 
     def placed(words: pa.Table, texts: pa.Table) -> pa.Table:
         if words.num_rows == 0 and texts["_route"][0].as_py().startswith("w"):
-            return texts.slice(0, 0).select(names).append_column("ids", pa.array([], pa.list_(pa.int32())))
+            texts = texts.slice(0, 0)
         rank, length, flat = ([unpack(x) for x in words[c].to_pylist()] for c in ("ranks", "lengths", "ids"))
         none = np.empty(0, np.int64)
         order = np.concatenate([np.cumsum(r) for r in rank] or [none])
@@ -205,12 +215,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", c
             n = size[seq]
             inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
             out.append(flat[np.repeat(start[seq], n) + inner].astype(np.int32))
-        return texts.select(names).append_column("ids", pa.array(out, pa.list_(pa.int32())))
+        more = derive.columns(out) if derive else []
+        return pa.Table.from_arrays([*texts.select(names).columns, pa.array(out, pa.list_(pa.int32())), *more], schema=result)
 
+    result = to_arrow_schema(T.StructType.fromDDL(f"{carry}, ids array<int>" + (f", {derive.schema}" if derive else "")))
     listed = to_arrow_schema(T.StructType.fromDDL("_route string, ranks binary, lengths binary, ids binary"))
     mixed = docs.select(text, *names).mapInArrow(tokens, schema).repartition(buckets, "_route")
     ids = mixed.mapInArrow(encoded, "_route string, ranks binary, lengths binary, ids binary")
-    return ids.groupBy("_route").cogroup(mixed.groupBy("_route")).applyInArrow(placed, f"{carry}, ids array<int>")
+    return ids.groupBy("_route").cogroup(mixed.groupBy("_route")).applyInArrow(placed, from_arrow_schema(result))
 
 
 def decoder(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -242,24 +254,16 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", carry: tuple[s
         for b in batches:
             yield pd.Series([None if x is None else join_bytes(np.asarray(x, np.int64), sent.value) for x in b], dtype=object)
 
-    return encoded.select(*carry, F.pandas_udf(decoded, "binary")(F.col(ids)).alias("decoded"))
+    return text_batches(encoded).select(*carry, F.pandas_udf(decoded, "binary")(F.col(ids)).alias("decoded"))
 
 
-def digest(encoded: DataFrame, ranks_path: str, carry: str = "doc_id long", ids: str = "ids") -> DataFrame:
-    """Columns ``carry`` (a DDL list), n_tokens, and the SHA-256 of the ids (little-endian unsigned 32 bit) and of the decoded bytes."""
-    sent = encoded.sparkSession.sparkContext.broadcast(decoder(read_ranks(ranks_path)))
-    names = T.StructType.fromDDL(carry).names
-    schema = f"{carry}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    shape = to_arrow_schema(T.StructType.fromDDL(schema))
+def digests(spark: SparkSession, ranks_path: str) -> Derived:
+    """n_tokens, and the SHA-256 of the ids (little-endian unsigned 32 bit) and of the bytes they decode to."""
+    sent = spark.sparkContext.broadcast(decoder(read_ranks(ranks_path)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = b.column(0).offsets.to_numpy()
-            flat = b.column(0).values.to_numpy(zero_copy_only=False)
-            seqs = [flat[i:j] for i, j in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_arrays([
-                *b.columns[1:], pa.array(np.diff(at).astype(np.int64)),
+    def columns(seqs: list[np.ndarray]) -> list[pa.Array]:
+        return [pa.array([len(x) for x in seqs], pa.int64()),
                 pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in seqs], pa.string()),
-                pa.array([hashlib.sha256(join_bytes(x, sent.value)).hexdigest() for x in seqs], pa.string())], schema=shape)
+                pa.array([hashlib.sha256(join_bytes(x, sent.value)).hexdigest() for x in seqs], pa.string())]
 
-    return encoded.select(ids, *names).mapInArrow(run, schema)
+    return Derived("n_tokens long, ids_sha256 string, decoded_sha256 string", columns)

@@ -132,7 +132,7 @@ def op8(spark, sf):
 @query("op9_byte_bpe")
 def op9(spark, sf):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.digest(bpe.encode(table(spark, sf, "documents"), path, public_tokenizers.PATTERN), path)
+    return bpe.encode(table(spark, sf, "documents"), path, public_tokenizers.PATTERN, derive=bpe.digests(spark, path)).drop("ids")
 
 
 @query("op10_language_id")

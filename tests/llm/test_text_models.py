@@ -107,11 +107,12 @@ def library():
 
 def test_bpe_round_trip(spark, sf, library):
     docs = spark.read.parquet(f"{sf}/documents.parquet").repartition(3)
-    got = {r["doc_id"]: r for r in bpe.digest(bpe.encode(docs, RANKS, P.PATTERN, buckets=5, block_words=2000), RANKS).collect()}
+    got = {r["doc_id"]: r for r in bpe.encode(docs, RANKS, P.PATTERN, buckets=5, block_words=2000, derive=bpe.digests(spark, RANKS)).collect()}
     rows = docs.select("doc_id", "text").collect()
     assert len(got) == len(rows)
     for i, text in rows:
         ids = library.encode_ordinary(text)
+        assert got[i]["ids"] == ids
         assert got[i]["n_tokens"] == len(ids)
         assert got[i]["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert got[i]["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
