@@ -32,10 +32,6 @@ def null_tokens(c: Column, tokens=("", "N.A.", "NA", "NaN", "null")) -> Column:
     return F.when(~t.isin(*tokens), t)
 
 
-def prefixed(prefix: str, c: Column, sep: str = "_") -> Column:
-    return F.concat(F.lit(prefix + sep), c)
-
-
 def after_prefix(c: Column, sep: str = "_") -> Column:
     """The part after the first separator."""
     return F.regexp_replace(c, f"^[^{sep}]*{sep}", "")

@@ -20,6 +20,8 @@ from tablewright.operators.regression import _square, chronological_split, momen
 from tablewright.session import cut_lineage
 
 LONG_AR = 4
+# what a Gaussian log-likelihood holds per row besides the logarithm of its variance
+NORMAL = 1 + np.log(2 * np.pi)
 SEASON = 4
 
 
@@ -36,9 +38,10 @@ def difference_weights(d: int, seasonal: int = 0, season: int = SEASON) -> list[
 def differenced(panel: DataFrame, series, date: str, value: str, choices: dict[str, list[float]]) -> DataFrame:
     """series..., diff, t, w: each differencing choice of each series, on values scaled by the series level."""
     w = Window.partitionBy(*series).orderBy(date)
-    level = F.avg(F.abs(F.col(value))).over(Window.partitionBy(*series))
+    # a series of zeros keeps its scale, so it is forecast like any other
+    level = F.coalesce(F.nullif(F.avg(F.abs(F.col(value))).over(Window.partitionBy(*series)), F.lit(0.0)), F.lit(1.0))
     scaled = panel.select(*series, date, finite(F.col(value).cast("double")).alias(value)).where(F.col(value).isNotNull())
-    rows = scaled.withColumn("_level", level).where("_level > 0").withColumn(
+    rows = scaled.withColumn("_level", level).withColumn(
         "_y", F.col(value) / F.col("_level")).withColumn("t", F.row_number().over(w))
     # the lag is over an attribute of this row set, so all choices share one window pass
     deepest = max(len(c) for c in choices.values())
@@ -111,7 +114,7 @@ def fit_candidates(rows: DataFrame, series, candidates, constant_for) -> DataFra
                     continue
                 sigma2 = max(f["rss"] / rows_, 1e-300)
                 found.append({"diff": d, "p": len(a), "q": len(q), "n": int(rows_),
-                              "aic": rows_ * np.log(sigma2) + 2 * (k + const + 1), "sigma2": sigma2,
+                              "aic": rows_ * (np.log(sigma2) + NORMAL) + 2 * (k + const + 1), "sigma2": sigma2,
                               "intercept": f["intercept"], "ar": [float(v) for v in phi], "ma": [float(v) for v in theta]})
             out.append(found)
         return pd.Series(out)
@@ -163,7 +166,7 @@ def fit_seasonal(rows: DataFrame, series, season: int = SEASON, rounds: int = 25
                     break
                 v = new
             b, sigma2 = expand(v), max(loss(v), 1e-300)
-            out.append((d, 3, 3, int(rows_), rows_ * np.log(sigma2) + 2 * 5, sigma2, 0.0, b[:3].tolist(), b[3:].tolist()))
+            out.append((d, 3, 3, int(rows_), rows_ * (np.log(sigma2) + NORMAL) + 2 * 5, sigma2, 0.0, b[:3].tolist(), b[3:].tolist()))
         return pd.DataFrame(out, columns=[c.split()[0] for c in RESULT.split(", ")])
 
     m = moments(rows.where("used"), names, "w", [*series, "diff"])
@@ -221,13 +224,13 @@ def arima_search(panel: DataFrame, series, date: str, value: str, max_p: int = 3
     choices = {str(d): difference_weights(d) for d in range(max_d + 1)}
     candidates = [(list(range(1, p + 1)), list(range(1, q + 1))) for p in range(max_p + 1) for q in range(max_q + 1)]
     diffs = differenced(usable, series, date, value, choices)
-    rows = residual_lags(diffs, series, range(1, max_p + 1), range(1, max_q + 1), start=max_d + max_p + 1)
+    rows = residual_lags(diffs, series, range(1, max_p + 1), range(1, max_q + 1), start=max_d + max_p + 1, long_ar=max(max_p + max_q, LONG_AR))
     best = fit_candidates(rows, series, candidates, constant_for={"0"})
     lag_sets = {(len(a), len(m)): (a, m) for a, m in candidates}
     out = run_forward(rows, best, usable, series, date, value, choices, lag_sets, periods)
     recent_avg = last_mean(usable, series, date, value, recent)
     return _with_growth(null_safe_join(out, recent_avg, series, "inner")).withColumn(
-        "order", F.struct("p", F.col("diff").cast("int").alias("d"), "q")).drop("p", "q", "diff", "ar", "ma")
+        "order", F.struct("p", F.col("diff").cast("int").alias("d"), "q")).drop("p", "q", "diff")
 
 
 def seasonal_arima(panel: DataFrame, series, date: str, value: str, periods: int = 40, season: int = SEASON) -> DataFrame:

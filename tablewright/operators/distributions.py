@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.functions.numbers import finite
 from tablewright.operators.joining import null_safe_join
-from tablewright.operators.quantiles import HOT_ROWS, exact_quantiles
+from tablewright.operators.quantiles import exact_quantiles
 from tablewright.session import measured
 
 
@@ -37,10 +37,10 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
         F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
-def automatic_bins(df: DataFrame, col: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def automatic_bins(df: DataFrame, col: str) -> DataFrame:
     """The bin count chosen by default in plotting: the finer of the Sturges and Freedman-Diaconis rules."""
     v = finite(F.col(col).cast("double"))
-    q = exact_quantiles(df, [col], [0.25, 0.75], hot_rows=hot_rows).select(F.struct("n", "q")).scalar()
+    q = exact_quantiles(df, [col], [0.25, 0.75]).select(F.struct("n", "q")).scalar()
     s = df.agg(F.min(v).alias("a"), F.max(v).alias("b")).withColumn("_q", q)
     width = F.col("b") - F.col("a")
     sturges = width / (F.log2(F.col("_q.n")) + 1)
@@ -49,11 +49,11 @@ def automatic_bins(df: DataFrame, col: str, hot_rows: int = HOT_ROWS) -> DataFra
     return s.select(F.col("_q.n").alias("n"), F.when(width > 0, F.ceil(width / step)).otherwise(1).cast("int").alias("bins"))
 
 
-def box_stats(df: DataFrame, col: str, by=(), k: float = 1.5, hot_rows: int = HOT_ROWS) -> DataFrame:
+def box_stats(df: DataFrame, col: str, by=(), k: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (extreme values inside the fences) and outlier count per group."""
     by = list(by)
     rows = df.select(*by, finite(F.col(col).cast("double")).alias("v")).where("v is not null")
-    q = exact_quantiles(rows, ["v"], [0.25, 0.5, 0.75], by, hot_rows).select(
+    q = exact_quantiles(rows, ["v"], [0.25, 0.5, 0.75], by).select(
         *by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     fenced = q.withColumn("_lo", F.col("q1") - k * iqr).withColumn("_hi", F.col("q3") + k * iqr)
@@ -70,29 +70,32 @@ def box_stats(df: DataFrame, col: str, by=(), k: float = 1.5, hot_rows: int = HO
 def kde(df: DataFrame, col: str, by=(), points: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian density on an even grid (Scott bandwidth, grid ``cut`` bandwidths past the data).
 
-    Equal values are merged first; each remaining value adds its kernel to the grid and the
-    sums combine map-side, so what is shuffled is at most points x groups per task.
+    Every row adds its kernel to ``points`` sums of one map-side combined aggregate; no row is multiplied. A group
+    whose values are all equal has no bandwidth: it has one row, without point and density, that names its value.
     """
     by = list(by)
     v = df.select(*by, finite(F.col(col).cast("double")).alias("v")).where("v is not null")
-    weights = v.groupBy(*by, "v").agg(F.count("*").alias("w"))
     h = F.col("s") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
     stats = (v.groupBy(*by) if by else v.groupBy()).agg(
         F.count("*").alias("n"), F.stddev_samp("v").alias("s"), F.min("v").alias("a"), F.max("v").alias("b")
-    ).where("s > 0").withColumn("h", h).select(
-        *by, "n", "h", (F.col("a") - cut * F.col("h")).alias("lo"), (F.col("b") + cut * F.col("h")).alias("hi"))
+    ).withColumn("h", F.when(F.col("s") > 0, h)).select(
+        *by, "n", "h", (F.col("a") - cut * F.coalesce("h", F.lit(0.0))).alias("lo"), (F.col("b") + cut * F.coalesce("h", F.lit(0.0))).alias("hi"))
     if by:
-        rows = null_safe_join(weights, measured(stats), by, "inner")
+        rows = null_safe_join(v, measured(stats), by, "inner")
     else:
-        rows = weights.withColumn("_s", stats.select(F.struct("*")).scalar()).select("v", "w", "_s.*")
+        rows = v.withColumn("_s", stats.select(F.struct("*")).scalar()).select("v", "_s.*")
     step = (F.col("hi") - F.col("lo")) / (points - 1)
-    rows = rows.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    at = F.col("lo") + F.col("point") * step
-    z = (at - F.col("v")) / F.col("h")
-    rows = rows.withColumn("x", at).withColumn("k", F.col("w") * F.exp(-0.5 * z * z))
-    return rows.groupBy(*by, "point").agg(
-        F.first("x").alias("x"),
-        (F.sum("k") / (F.first("n") * F.first("h") * math.sqrt(2 * math.pi))).alias("density"))
+
+    def kernel(i: int) -> Column:
+        z = (F.col("lo") + i * step - F.col("v")) / F.col("h")
+        return F.sum(F.exp(-0.5 * z * z))
+
+    sums = rows.groupBy(*by, "n", "h", "lo", "hi").agg(F.array(*[kernel(i) for i in range(points)]).alias("k"))
+    grid = F.posexplode(F.when(F.col("h").isNotNull(), F.col("k")).otherwise(F.array(F.lit(None).cast("double"))))
+    point = F.when(F.col("h").isNotNull(), F.col("point"))
+    return sums.select(*by, "n", "h", "lo", "hi", grid.alias("point", "_k")).select(
+        *by, point.alias("point"), F.when(point.isNotNull(), F.col("lo") + F.col("point") * step).otherwise(F.col("lo")).alias("x"),
+        (F.col("_k") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))
 
 
 def mean_bar(df: DataFrame, category: str, value: str) -> DataFrame:
@@ -112,11 +115,6 @@ def bins_2d(df: DataFrame, x: str, y: str, bins: int = 20, by=()) -> DataFrame:
         _bin(F.col("y"), F.col("_y.a"), F.col("_y.b"), bins).alias("y_bin")).agg(F.count("*").alias("count"))
 
 
-def scatter_sample(df: DataFrame, cols, fraction: float, seed: int = 42) -> DataFrame:
-    """A seeded row sample for scatter and pair plots."""
-    return df.select(*cols).sample(fraction=fraction, seed=seed)
-
-
 def line_series(df: DataFrame, group, x: str, y) -> DataFrame:
     """Series by group over time, ordered for drawing."""
     ys = [y] if isinstance(y, str) else list(y)

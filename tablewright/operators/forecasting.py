@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tablewright.functions.dates import quarter_from_index, quarter_index
 from tablewright.operators.joining import null_safe_join
@@ -49,9 +49,15 @@ def forest_features(lags: int) -> list[str]:
     return ["_year", "_quarter", "_level", *[f"lag{i}" for i in range(1, lags + 1)]]
 
 
-def forest_training(panel: DataFrame, series, date: str, value: str, lags: int = 4) -> DataFrame:
-    """Training rows of the panel forest: calendar, series level and the own lags over the level."""
-    level = panel.groupBy(*series).agg(F.avg(F.abs(F.col(value).cast("double"))).alias("_level")).where("_level > 0")
+def forest_training(panel: DataFrame, series, date: str, value: str, lags: int = 4, fit_on: Column | None = None) -> DataFrame:
+    """Training rows of the panel forest: calendar, series level and the own lags over the level.
+
+    ``fit_on`` limits the rows the level is taken from (those a score must not have seen are left out); a level of
+    zero counts as one, so a series of zeros is kept.
+    """
+    size = F.abs(F.col(value).cast("double"))
+    level = panel.groupBy(*series).agg(F.avg(size if fit_on is None else F.when(fit_on, size)).alias("_level"))
+    level = level.withColumn("_level", F.coalesce(F.nullif("_level", F.lit(0.0)), F.lit(1.0)))
     rows = null_safe_join(panel, level, series, "inner").withColumn("_v", F.col(value) / F.col("_level"))
     return lag_matrix(rows, series, date, "_v", lags).withColumn("_year", F.year(date)).withColumn("_quarter", F.quarter(date))
 

@@ -14,10 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.session import measured
 
-# largest dictionary inlined as a map literal; a larger one must come as a DataFrame
-MAX_INLINE_MAP = 10_000
-# largest product of category levels that may be built from one row of level arrays
-MAX_LEVELS = 100_000
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
@@ -78,9 +74,10 @@ def common_range(frames, order: str) -> list[DataFrame]:
 
 
 def map_values(c: Column, mapping: dict[str, str], default: Column | None = None) -> Column:
-    """Single-pass dictionary lookup; unmatched values take ``default`` (the value itself)."""
-    if len(mapping) > MAX_INLINE_MAP:
-        raise ValueError("use map_through with a DataFrame for a mapping of this size")
+    """Single-pass dictionary lookup; unmatched values take ``default`` (the value itself).
+
+    The dictionary is in the driver and goes into the plan; `map_through` takes one that is a table.
+    """
     table = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
     return F.coalesce(F.try_element_at(table, c), c if default is None else default)
 
@@ -117,16 +114,15 @@ def backfill_missing(df: DataFrame, listed: DataFrame, key: str, lookups: list[t
 
 
 def category_grid(df: DataFrame, categories, name: str, first: int, last: int) -> DataFrame:
-    """Every combination of the observed category levels with the integers first..last.
+    """Every combination of the observed category levels with the integers first..last; missing levels are left out.
 
-    The levels come from one aggregate row (a set per category) that is exploded, so no
-    join is involved; the product is the requested output.
+    The first category's levels stay a distributed frame; those of each further category enter as one array (a
+    scalar subquery) that every row explodes, so the requested product is built where the rows are.
     """
-    sets = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in categories])
-    size = reduce(lambda a, b: a * b, [F.size(c).cast("bigint") for c in categories])
-    out = sets.where(F.assert_true(size <= MAX_LEVELS, F.lit("category levels out of bounds")).isNull())
-    for c in categories:
-        out = out.withColumn(c, F.explode(c))
+    seen = [df.select(c).where(F.col(c).isNotNull()).distinct() for c in categories]
+    out = seen[0]
+    for c, levels in zip(categories[1:], seen[1:]):
+        out = out.withColumn(c, F.explode(levels.agg(F.sort_array(F.collect_list(c))).scalar()))
     return out.select(*categories, F.explode(F.sequence(F.lit(first), F.lit(last))).alias(name))
 
 

@@ -23,12 +23,12 @@ def assemble(df: DataFrame, features) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(ready)
 
 
-def decision_tree(df: DataFrame, features, label: str, max_depth: int = 12, seed: int = 42) -> Model:
+def decision_tree(df: DataFrame, features, label: str, max_depth: int = 30, seed: int = 42) -> Model:
     t = DecisionTreeRegressor(featuresCol=VECTOR, labelCol=label, maxDepth=max_depth, seed=seed)
     return t.fit(assemble(require(df, label), features))
 
 
-def random_forest(df: DataFrame, features, label: str, trees: int = 100, max_depth: int = 8,
+def random_forest(df: DataFrame, features, label: str, trees: int = 100, max_depth: int = 30,
                   min_split: int = 2, seed: int = 42) -> Model:
     """Forest that considers every feature at each split."""
     f = RandomForestRegressor(featuresCol=VECTOR, labelCol=label, numTrees=trees, maxDepth=max_depth,
@@ -63,7 +63,7 @@ def long_predictions(df: DataFrame, ids, names) -> DataFrame:
     return df.unpivot(list(ids), list(names), "model", "prediction")
 
 
-def forest_impute(df: DataFrame, features, target: str, trees: int = 100, max_depth: int = 8, seed: int = 42) -> DataFrame:
+def forest_impute(df: DataFrame, features, target: str, trees: int = 100, max_depth: int = 30, seed: int = 42) -> DataFrame:
     """Fill missing targets with a forest trained on the rows that have one.
 
     Rows missing a feature cannot be predicted and stay as they are.
@@ -75,7 +75,3 @@ def forest_impute(df: DataFrame, features, target: str, trees: int = 100, max_de
     known, unknown = df.where(~(F.col(target).isNull() & ready)), df.where(F.col(target).isNull())
     filled = score(unknown, model, features, "_p").withColumn(target, F.col("_p")).select(*df.columns)
     return known.unionByName(filled)
-
-
-def flag(c: Column) -> Column:
-    return F.when(c, 1.0).otherwise(0.0)

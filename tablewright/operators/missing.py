@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.operators.joining import null_safe_join
 from tablewright.operators.ordered import fill_along
-from tablewright.operators.quantiles import HOT_ROWS, medians, quantile_struct
+from tablewright.operators.quantiles import medians, quantile_struct
 from tablewright.session import measured
 
 
@@ -14,18 +14,13 @@ def fill_constant(df: DataFrame, values: dict) -> DataFrame:
     return df.na.fill(values)
 
 
-def fill_global_median(df: DataFrame, cols, hot_rows: int = HOT_ROWS, total: int | None = None,
-                       store: bool = False) -> DataFrame:
-    """Fill with the exact column median (a scalar subquery, no join).
-
-    ``total`` and ``store`` as for `quantiles.exact_quantiles`.
-    """
-    out = df.withColumn("_m", quantile_struct(df, cols, [0.5], hot_rows, total, store))
+def fill_global_median(df: DataFrame, cols) -> DataFrame:
+    """Fill with the exact column median (a scalar subquery, no join)."""
+    out = df.withColumn("_m", quantile_struct(df, cols, [0.5]))
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_m.`{c}`")[0]) for c in cols}).drop("_m")
 
 
-def fill_group_median(df: DataFrame, col: str, by, fallback: bool = True, legacy_null_key: bool = False,
-                      hot_rows: int = HOT_ROWS) -> DataFrame:
+def fill_group_median(df: DataFrame, col: str, by, fallback: bool = True, legacy_null_key: bool = False) -> DataFrame:
     """Fill with the median of the row's group, then with the median of the filled column.
 
     A row whose group key is missing keeps its own value and gets no group median.
@@ -35,18 +30,16 @@ def fill_group_median(df: DataFrame, col: str, by, fallback: bool = True, legacy
     keyless = F.lit(False)
     for k in by:
         keyless = keyless | F.col(k).isNull()
-    total = df.count()
-    grouped = measured(medians(df.where(~keyless), col, by, hot_rows, "_gm", total))
+    grouped = measured(medians(df.where(~keyless), col, by, "_gm"))
     own = F.when(~keyless, F.col(col)) if legacy_null_key else F.col(col)
     filled = df.join(grouped, by, "left").withColumn(col, F.coalesce(own, "_gm")).select(*df.columns)
-    return fill_global_median(filled, [col], hot_rows, total, store=True) if fallback else filled
+    return fill_global_median(filled, [col]) if fallback else filled
 
 
-def fill_cascade(df: DataFrame, col: str, sources, by, hot_rows: int = HOT_ROWS,
-                 legacy_null_key: bool = False) -> DataFrame:
+def fill_cascade(df: DataFrame, col: str, sources, by, legacy_null_key: bool = False) -> DataFrame:
     """Fill from sibling columns, then the group median, then the global median."""
     first = df.withColumn(col, F.coalesce(F.col(col), *[F.col(s).cast(df.schema[col].dataType) for s in sources]))
-    return fill_group_median(first, col, by, True, legacy_null_key, hot_rows)
+    return fill_group_median(first, col, by, True, legacy_null_key)
 
 
 def fill_by_rule(df: DataFrame, col: str, when: Column, value) -> DataFrame:
@@ -66,9 +59,3 @@ def masked(df: DataFrame, col: str, mask: Column, value) -> DataFrame:
     """Masked assignment."""
     v = value if isinstance(value, Column) else F.lit(value)
     return df.withColumn(col, F.when(mask, v).otherwise(F.col(col)) if col in df.columns else F.when(mask, v))
-
-
-def group_spread(df: DataFrame, by, **aggs: Column) -> DataFrame:
-    """Group aggregates put back on every row (aggregate + join, so no group is buffered)."""
-    per = measured(df.groupBy(*by).agg(*[e.alias(n) for n, e in aggs.items()]))
-    return null_safe_join(df, per, by, "left")

@@ -3,9 +3,11 @@
 Donors are split into leaves of a k-d partition (split points from a bounded sample; they
 steer the work, not the result). Every query point first meets only its own leaf, which
 gives a radius, and then exactly those other leaves whose box reaches into that radius.
-Neither side is broadcast, no leaf holds more than a bounded share of the donors, and busy
-leaves spread their queries over several tasks. Equal points are merged beforehand: at most
-k donors of one point can be among the k nearest, and equal queries share an answer.
+Neither side is broadcast. The driver holds the tree and one box per leaf, at most TREE_LEAVES of them.
+A leaf with many donors is dealt into shares of about LEAF_ROWS donors, each of which a query of the
+leaf meets; busy leaves also spread their queries over tasks. So no task holds more than one share
+of donors and one of queries. Equal points are merged beforehand: at most k donors of one point
+can be among the k nearest, and equal queries share an answer.
 """
 
 from __future__ import annotations
@@ -20,26 +22,64 @@ from tablewright.operators.joining import null_safe_join
 from tablewright.session import cut_lineage, measured
 
 LEAF_ROWS = 1024
-MAX_LEAVES = 32_768
+TREE_LEAVES = 4096
 SAMPLE_PER_LEAF = 32
 QUERIES_PER_TASK = 8192
 CELLS_PER_BLOCK = 4_000_000
 
 
+def _cut(part: np.ndarray) -> tuple[int, float] | None:
+    """Dimension and value of a split with points on both sides, near the median of the widest dimension that has one."""
+    for dim in np.argsort(part.min(0) - part.max(0), kind="stable"):
+        values, many = np.unique(part[:, dim], return_counts=True)
+        if len(values) > 1:
+            # of all borders between neighbouring distinct values the one that halves the points best
+            at = int(np.argmin(np.abs(np.cumsum(many)[:-1] - len(part) / 2)))
+            middle = values[at] / 2 + values[at + 1] / 2
+            return int(dim), float(values[at] if middle >= values[at + 1] else middle)
+    return None
+
+
 def _split_points(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Split dimension and value of each inner node of a complete binary k-d partition."""
-    dims, cuts = np.zeros(2**depth, int), np.zeros(2**depth)
+    """Split dimension and value of each inner node of a binary k-d partition; -1 where the sample gives no split."""
+    dims, cuts = np.full(2**depth, -1), np.zeros(2**depth)
     groups = {1: sample}
     for node in range(1, 2**depth):
         part = groups.pop(node)
-        if len(part):
-            dims[node] = int(np.argmax(part.max(0) - part.min(0)))
-            cuts[node] = np.median(part[:, dims[node]])
-        right = part[:, dims[node]] > cuts[node]
+        found = _cut(part) if len(part) > 1 else None
+        if found:
+            dims[node], cuts[node] = found
+            right = part[:, dims[node]] > cuts[node]
+        else:
+            right = np.zeros(len(part), bool)
         groups[2 * node], groups[2 * node + 1] = part[~right], part[right]
     return dims, cuts
 
 
+def _leaves(x: np.ndarray, dims: np.ndarray, cuts: np.ndarray, depth: int) -> np.ndarray:
+    node, rows = np.ones(len(x), int), np.arange(len(x))
+    for _ in range(depth):
+        node = 2 * node + ((dims[node] >= 0) & (x[rows, dims[node]] > cuts[node]))
+    return node - 2**depth
+
+
+def _reached(x: np.ndarray, r: np.ndarray, low: np.ndarray, high: np.ndarray, depth: int):
+    """(rows, leaf) pairs of the leaves whose box lies within a row's squared radius, by descent from the root.
+
+    ``low`` and ``high`` are the boxes of all nodes in heap order; an empty node has an empty box.
+    """
+    todo = [(1, np.arange(len(x)))]
+    while todo:
+        node, rows = todo.pop()
+        gap = np.maximum(np.maximum(low[node] - x[rows], x[rows] - high[node]), 0)
+        rows = rows[(gap**2).sum(1) <= r[rows]] if (low[node] <= high[node]).all() else rows[:0]
+        if len(rows):
+            if node >= 2**depth:
+                yield rows, node - 2**depth
+            else:
+                todo += [(2 * node, rows), (2 * node + 1, rows)]
+
+
 def _nearest(points: np.ndarray, donors: np.ndarray, k: int):
     """Index and squared distance of the k nearest donors per point; donors come in id order."""
     k = min(k, len(donors))
@@ -71,23 +111,20 @@ def knn_mean(donors: DataFrame, queries: DataFrame, key: str, features, target:
 
     n = points.count()
     depth = 0
-    while 2**depth < MAX_LEAVES and n > LEAF_ROWS * 2**depth:
+    while 2**depth < TREE_LEAVES and n > LEAF_ROWS * 2**depth:
         depth += 1
-    # a sample of at most about SAMPLE_PER_LEAF * MAX_LEAVES points
     fraction = min(1.0, SAMPLE_PER_LEAF * 2**depth / max(n, 1))
     sample = points.select(*names).sample(fraction=fraction, seed=7).toPandas().to_numpy(float) if depth else np.zeros((0, len(names)))
     dims, cuts = _split_points(sample, depth)
 
     @F.pandas_udf("int")
     def leaf_of(*cols: pd.Series) -> pd.Series:
-        x = np.column_stack([c.to_numpy(float) for c in cols])
-        node, rows = np.ones(len(x), int), np.arange(len(x))
-        for _ in range(depth):
-            node = 2 * node + (x[rows, dims[node]] > cuts[node])
-        return pd.Series(node - 2**depth)
+        return pd.Series(_leaves(np.column_stack([c.to_numpy(float) for c in cols]), dims, cuts, depth))
 
     placed = points.withColumn("_leaf", leaf_of(*names))
     wanted = cut_lineage(wanted.withColumn("_leaf", leaf_of(*names)))
+    shares = measured(placed.groupBy("_leaf").agg(F.ceil(F.count("*") / (2 * LEAF_ROWS)).cast("int").alias("_shares")))
+    placed = placed.join(shares, "_leaf").withColumn("_share", F.pmod(F.xxhash64("_id"), F.col("_shares")).cast("int")).drop("_shares")
 
     id_type = donors.schema[key].dataType.simpleString()
     schema = ", ".join(f"{c} double" for c in names) + f", _id {id_type}, _d double, _y double"
@@ -108,35 +145,39 @@ def knn_mean(donors: DataFrame, queries: DataFrame, key: str, features, target:
         return pd.concat(out)
 
     def meet(asked: DataFrame) -> DataFrame:
-        """Nearest donors of each (query, leaf) pair, busy leaves split over tasks."""
-        load = measured(asked.groupBy("_leaf").agg(F.ceil(F.count("*") / QUERIES_PER_TASK).cast("int").alias("_parts")))
-        left = asked.join(load, "_leaf").withColumn("_part", F.pmod(F.xxhash64(*names), F.col("_parts")).cast("int"))
-        copies = load.select("_leaf", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"))
-        right = placed.join(copies.toDF("_l", "_part"), F.col("_leaf") == F.col("_l")).drop("_l")
-        return left.groupBy("_leaf", "_part").cogroup(right.groupBy("_leaf", "_part")).applyInPandas(local, schema)
+        """Nearest donors of each (query, share of a leaf) pair, busy leaves split over tasks."""
+        load = asked.groupBy("_leaf").agg(F.ceil(F.count("*") / QUERIES_PER_TASK).cast("int").alias("_parts"))
+        load = measured(load.join(shares, "_leaf"))
+        left = asked.join(load, "_leaf").withColumn("_part", F.pmod(F.xxhash64(*names), F.col("_parts")).cast("int")).withColumn(
+            "_share", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)))
+        copies = load.select(F.col("_leaf").alias("_l"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"))
+        right = placed.join(copies, F.col("_leaf") == F.col("_l")).drop("_l")
+        group = ["_leaf", "_share", "_part"]
+        return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(local, schema)
 
     if depth == 0:
         found = meet(wanted)
     else:
         first = cut_lineage(meet(wanted))
+        nearest_own = Window.partitionBy(*names).orderBy("_d", "_id")
+        first = first.withColumn("_rn", F.row_number().over(nearest_own)).where(F.col("_rn") <= k).drop("_rn")
         radius = first.groupBy(*names).agg(F.max("_d").alias("_r"), F.count("*").alias("_k"))
         bounds = [f(c).alias(f"{p}{c}") for c in names for f, p in ((F.min, "lo"), (F.max, "hi"))]
-        boxes = placed.groupBy("_leaf").agg(*bounds).toPandas()  # one row per leaf, at most MAX_LEAVES
-        leaf = boxes["_leaf"].to_numpy()
-        low, high = boxes[[f"lo{c}" for c in names]].to_numpy(float), boxes[[f"hi{c}" for c in names]].to_numpy(float)
+        boxes = placed.groupBy("_leaf").agg(*bounds).toPandas()  # one row per leaf, at most TREE_LEAVES
+        low, high = np.full((2 ** (depth + 1), len(names)), np.inf), np.full((2 ** (depth + 1), len(names)), -np.inf)
+        at = boxes["_leaf"].to_numpy() + 2**depth
+        low[at], high[at] = boxes[[f"lo{c}" for c in names]].to_numpy(float), boxes[[f"hi{c}" for c in names]].to_numpy(float)
+        for node in range(2**depth - 1, 0, -1):
+            low[node] = np.minimum(low[2 * node], low[2 * node + 1])
+            high[node] = np.maximum(high[2 * node], high[2 * node + 1])
 
         def reach(batches):
             for b in batches:
-                x = b[names].to_numpy(float)
+                x, own = b[names].to_numpy(float), b["_leaf"].to_numpy()
                 r = np.where(b["_k"].to_numpy() >= k, b["_r"].to_numpy(float), np.inf)
-                own = b["_leaf"].to_numpy()
-                step = max(1, CELLS_PER_BLOCK // len(leaf))
-                for s in range(0, len(x), step):
-                    part = x[s:s + step]
-                    gap = sum(np.maximum(np.maximum(low[:, j] - part[:, [j]], part[:, [j]] - high[:, j]), 0) ** 2
-                              for j in range(len(names)))
-                    q, hit = np.nonzero((gap <= r[s:s + step, None]) & (leaf[None, :] != own[s:s + step, None]))
-                    yield pd.DataFrame(part[q], columns=names).assign(_leaf=leaf[hit])
+                for rows, leaf in _reached(x, r, low, high, depth):
+                    rows = rows[own[rows] != leaf]
+                    yield pd.DataFrame(x[rows], columns=names).assign(_leaf=leaf)
 
         # queries whose own leaf held no donor have no radius yet and visit every leaf
         asked = wanted.join(radius, names, "left").fillna({"_r": 0.0, "_k": 0})

@@ -1,54 +1,29 @@
 """Order-dependent operators for series of any length.
 
-A window over one long series would sort that series in a single task. Here the order
-column is cut into balanced chunks first; windows run inside (series, chunk) and only one
-carry row per chunk crosses chunk borders.
+A window over one long series would sort that series in a single task. Here the rows are dealt into ranges of the whole
+order tuple first, whatever its types and however often one value occurs; windows run inside (series, range) and only
+one carry row per range crosses borders.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, functions as F, types as T, Window
+from pyspark.sql import DataFrame, functions as F, types as T, Window
 
 from tablewright.operators.joining import null_safe_join
-from tablewright.session import measured
-
-CHUNK_ROWS = 5_000_000
-MAX_CHUNKS = 4096
-
-
-def _numeric(df: DataFrame, order: str) -> Column:
-    """A number that never falls as the order column (numeric, date or time) rises."""
-    kind, c = df.schema[order].dataType, F.col(order)
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(kind, T.TimestampNTZType):  # wall-clock seconds, free of the session's time zone
-        return F.unix_date(c.cast("date")).cast("double") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(order)).cast("double")
-    return F.col(order).cast("double")
+from tablewright.session import cut_lineage, deal_by_range, measured
 
+TIE = ["_tie", "_row"]
 
-def chunk_count(df: DataFrame, chunks: int | None = None) -> int:
-    """As many chunks as keep each near CHUNK_ROWS rows, unless a number is given."""
-    return chunks or max(1, min(MAX_CHUNKS, math.ceil(df.count() / CHUNK_ROWS)))
 
+def in_ranges(df: DataFrame, keys, order, chunks: int | None = None) -> DataFrame:
+    """Rows with ``_chunk``, which never falls along (keys, order), and the tie-breakers of equal order values.
 
-def add_chunks(df: DataFrame, order: str, chunks: int, name: str = "_chunk") -> DataFrame:
-    """Number rows 0.. by slices of the order column holding about equally many rows.
-
-    The slice borders come from a quantile sketch, so a busy period gets more slices.
+    Ties are broken by a hash of the row, then by the row's place, so that a busy order value can be split as well.
+    ``chunks`` defaults to the session's shuffle partitions. The result is stored: its ranges stay as they are.
     """
-    if chunks <= 1:
-        return df.withColumn(name, F.lit(0.0))
-    keyed = df.withColumn("_at", _numeric(df, order))
-    marks = [i / chunks for i in range(1, chunks)]
-    borders = sorted(set(keyed.approxQuantile("_at", marks, 1 / (4 * chunks))))
-    splits = [-math.inf, *borders, math.inf]
-    cut = Bucketizer(splits=splits, inputCol="_at", outputCol=name, handleInvalid="keep")
-    return cut.transform(keyed).drop("_at")
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    rows = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in plain])).withColumn("_row", F.monotonically_increasing_id())
+    return cut_lineage(deal_by_range(rows, [*keys, *order, *TIE], "_chunk", chunks), "ranges")
 
 
 def _running(keys, order, upto: int = 0) -> Window:
@@ -61,12 +36,8 @@ def fill_along(df: DataFrame, keys, order, cols, chunks: int | None = None,
                back: bool = True) -> DataFrame:
     """Forward fill, then (``back``) fill what is left backwards, along ``order`` within a series."""
     keys, order = list(keys), [order] if isinstance(order, str) else list(order)
-    chunks = chunk_count(df, chunks)
-    if chunks == 1:
-        upto, onward = _running(keys, order), _running(keys, [F.desc(o) for o in order])
-        return df.withColumns({c: F.coalesce(F.last(c, True).over(upto), *([F.last(c, True).over(onward)] if back else []))
-                               for c in cols})
-    part = add_chunks(df, order[0], chunks)
+    part = in_ranges(df, keys, order, chunks)
+    order = [*order, *TIE]
     at = F.struct(*order)
     edges = part.groupBy(*keys, "_chunk").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_last_{c}") for c in cols],
@@ -76,13 +47,13 @@ def fill_along(df: DataFrame, keys, order, cols, chunks: int | None = None,
         *keys, "_chunk",
         *[F.last(f"_last_{c}", True).over(before).alias(f"_before_{c}") for c in cols],
         *[F.last(f"_first_{c}", True).over(after).alias(f"_after_{c}") for c in cols])
-    carry = measured(carry)  # series x chunks rows
+    carry = measured(carry)  # series + ranges rows
     group = [*keys, "_chunk"]
     upto, onward = _running(group, order), _running(group, [F.desc(o) for o in order])
     local = part.withColumns({f"_f_{c}": F.last(c, True).over(upto) for c in cols})
     if back:
         local = local.withColumns({f"_b_{c}": F.last(c, True).over(onward) for c in cols})
-    out = null_safe_join(local, carry, [*keys, "_chunk"], "left")
+    out = null_safe_join(local, carry, group, "left")
     for c in cols:
         sources = [f"_f_{c}", f"_before_{c}"] + ([f"_b_{c}", f"_after_{c}"] if back else [])
         out = out.withColumn(c, F.coalesce(*sources))
@@ -92,20 +63,16 @@ def fill_along(df: DataFrame, keys, order, cols, chunks: int | None = None,
 def lag_along(df: DataFrame, keys, order, col: str, into: str, chunks: int | None = None) -> DataFrame:
     """The previous row's value along ``order`` within a series (``keys`` may be empty)."""
     keys, order = list(keys), [order] if isinstance(order, str) else list(order)
-    chunks = chunk_count(df, chunks)
-    if chunks == 1:
-        w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
-        return df.withColumn(into, F.lag(col).over(w))
-    part = add_chunks(df, order[0], chunks)
-    # a constant series key keeps the carry window partitioned; it holds one row per chunk
-    part = part if keys else part.withColumn("_all", F.lit(0))
-    group = keys or ["_all"]
-    edges = part.groupBy(*group, "_chunk").agg(F.max_by(F.struct(F.col(col).alias("v")), F.struct(*order)).alias("_e"))
-    carry = edges.select(
-        *group, "_chunk", F.lag("_e").over(Window.partitionBy(*group).orderBy("_chunk"))["v"].alias("_carry"))
-    carry = measured(carry)
-    inside = Window.partitionBy(*group, "_chunk").orderBy(*order)
+    part = in_ranges(df, keys, order, chunks)
+    order = [*order, *TIE]
+    edges = part.groupBy(*keys, "_chunk").agg(F.max_by(F.struct(F.col(col).alias("v")), F.struct(*order)).alias("e"))
+    # a series' last values per range, as many entries as ranges it reaches into
+    listed = edges.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_chunk", "e"))).alias("_l"))
+    placed = listed.select(*keys, "_l", F.posexplode("_l").alias("_i", "_x"))
+    carry = measured(placed.select(*keys, F.col("_x._chunk").alias("_chunk"),
+                                   F.when(F.col("_i") > 0, F.get("_l", F.col("_i") - 1)["e"]["v"]).alias("_carry")))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     local = part.withColumn("_lag", F.lag(col).over(inside)).withColumn("_rn", F.row_number().over(inside))
-    out = null_safe_join(local, carry, [*group, "_chunk"], "left")
+    out = null_safe_join(local, carry, [*keys, "_chunk"], "left")
     return out.withColumn(into, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_lag"))).select(
         *[c for c in df.columns if c != into], into)

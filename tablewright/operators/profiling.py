@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tablewright.functions.numbers import finite, percent_of, ratio
-from tablewright.operators.quantiles import HOT_ROWS, exact_quantiles
+from tablewright.functions.numbers import finite, ratio
+from tablewright.operators.quantiles import exact_quantiles
 from tablewright.operators.schema import columns_of
 from tablewright.session import small_frame
 
@@ -37,24 +38,25 @@ def schema_report(df: DataFrame) -> DataFrame:
 
 
 def type_counts(df: DataFrame) -> DataFrame:
-    """How many columns have each type."""
-    return schema_report(df).groupBy("type").agg(F.count("*").alias("columns"))
+    """How many columns have each type; read off the schema, no data is touched."""
+    kinds = Counter(f.dataType.simpleString() for f in df.schema.fields)
+    return small_frame(df.sparkSession, sorted(kinds.items()), "type string, columns bigint")
 
 
-def describe(df: DataFrame, cols, by=(), hot_rows: int = HOT_ROWS) -> DataFrame:
+def describe(df: DataFrame, cols, by=()) -> DataFrame:
     """by..., column, count, mean, std, min, q25, q50, q75, max with exact quartiles.
 
-    Columns (or groups) without any value have no row.
+    A column without any value in a group has count 0 and nothing else.
     """
     extra = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], by, hot_rows, extra)
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], by, extra)
     return q.select(*by, "column", F.col("n").alias("count"), "mean", "std", "min", F.col("q")[0].alias("q25"),
                     F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
 
 
-def basic_stats(df: DataFrame, col: str, by=(), hot_rows: int = HOT_ROWS) -> DataFrame:
+def basic_stats(df: DataFrame, col: str, by=()) -> DataFrame:
     """Min, max, mean, median and sample deviation of one column."""
-    return describe(df, [col], by, hot_rows).select(
+    return describe(df, [col], by).select(
         *by, "min", "max", "mean", F.col("q50").alias("median"), "std")
 
 
@@ -101,10 +103,6 @@ def category_counts(df: DataFrame, col: str, order) -> DataFrame:
         position[F.col(col)].alias("position"), col, "count")
 
 
-def value_counts(df: DataFrame, col: str) -> DataFrame:
-    return df.groupBy(col).agg(F.count("*").alias("count"))
-
-
 def correlation(df: DataFrame, a: str, b: str, by=()) -> DataFrame:
     """Pearson correlation over the pairs in which both values are present."""
     x, y = finite(F.col(a).cast("double")), finite(F.col(b).cast("double"))
@@ -136,7 +134,3 @@ def structure_report(df: DataFrame, entity: str, period: str) -> DataFrame:
                                    F.max(F.when(F.col("column") == period, F.col("distinct"))).alias("p"))).scalar()
     return df.agg(F.count("*").alias("rows"), F.min(period).alias("first"), F.max(period).alias("last")).withColumn(
         "_c", counts).select("rows", F.col("_c.p").alias("periods"), F.col("_c.e").alias("entities"), "first", "last")
-
-
-def share(df: DataFrame, part, whole, name: str = "share") -> DataFrame:
-    return df.withColumn(name, percent_of(F.col(part), F.col(whole)))

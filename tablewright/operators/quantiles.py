@@ -1,26 +1,17 @@
-"""Exact linear-interpolated quantiles that survive a hot group.
+"""Exact linear-interpolated quantiles, by one method for every size and any hot group.
 
-Spark's ``percentile`` keeps one map entry per distinct value of a group, so a group
-holding a large part of the table would live in a single task. Groups above ``hot_rows``
-are therefore narrowed instead: an approximate sketch (mergeable, combined map-side) gives
-an interval around each wanted rank, exact counts verify it, and the step repeats inside
-the interval until at most ``hot_rows`` rows or one distinct value remain. The result is
-exact in both cases.
+Equal values are counted first (combined map-side). The distinct values of all groups and columns are then dealt into
+ranges of about equal size, so a group that holds a large part of the table spreads over many ranges. Within a range a
+window numbers the ranks; one row per group and range carries the count of what lies before it.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, functions as F, types as T, Window
+from pyspark.sql import DataFrame, functions as F, Window
 
 from tablewright.functions.numbers import finite
 from tablewright.operators.joining import null_safe_join
-from tablewright.session import cut_lineage, small_frame
-
-HOT_ROWS = 1_000_000
-# bounds what the driver tracks: with more rows the threshold for a hot group rises
-MAX_HOT_GROUPS = 100_000
+from tablewright.session import cut_lineage, deal_by_range, measured
 
 
 def melt(df: DataFrame, cols, by=()) -> DataFrame:
@@ -29,147 +20,50 @@ def melt(df: DataFrame, cols, by=()) -> DataFrame:
     return df.select(*by, F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
 
 
-def exact_quantiles(df: DataFrame, cols, probs, by=(), hot_rows: int = HOT_ROWS, extra=None,
-                    total: int | None = None, store: bool = False) -> DataFrame:
-    """by..., column, n, q: the quantiles ``probs`` of every column, within every group.
+def exact_quantiles(df: DataFrame, cols, probs, by=(), extra=None) -> DataFrame:
+    """by..., column, n, q: the quantiles ``probs`` of every column, within every group that has a value.
 
-    ``extra`` maps names to aggregates of the value (column -> aggregate) computed in the same pass.
-    ``total`` is the row count where known. ``store`` writes the values once before they are read
-    repeatedly for hot groups; worth it when ``df`` is more than a column scan.
+    ``extra`` maps names to aggregates of the value (column -> aggregate), added as columns; with it, groups and
+    columns without any value have a row too, with n = 0 and no quantiles.
     """
-    by, cols, probs, extra = list(by), list(cols), [float(p) for p in probs], dict(extra or {})
-    total = df.count() if total is None else total
-    if total <= hot_rows:
-        return _grouped(df, cols, probs, by, extra)
-    hot_rows = max(hot_rows, total // MAX_HOT_GROUPS)
-    long, keys = melt(df, cols, by), [*by, "column"]
-    long = cut_lineage(long, "values") if store else long
-    sizes = long.groupBy(*keys).agg(F.count("*").alias("n"))
-    # per column at most MAX_HOT_GROUPS groups can be this large
-    hot = sizes.where(F.col("n") > hot_rows).collect()
-    if not hot:
-        return _grouped(df, cols, probs, by, extra)
-    key_schema = T.StructType([long.schema[k] for k in keys])
-    hot_keys = small_frame(df.sparkSession, [[r[k] for k in keys] for r in hot], key_schema)
-    cold = null_safe_join(long, hot_keys, keys, "left_anti")
-    spread = F.percentile("value", F.array(*map(F.lit, probs)))
-    cold_q = cold.groupBy(*keys).agg(F.count("*").alias("n"), spread.alias("q"))
-    out = cold_q.unionByName(_narrowed(null_safe_join(long, hot_keys, keys, "left_semi"), hot, probs, keys, hot_rows))
+    by, cols, probs = list(by), list(cols), [float(p) for p in probs]
+    keys = [*by, "column"]
+    counts = melt(df, cols, by).groupBy(*keys, "value").agg(F.count("*").alias("c"))
+    placed = cut_lineage(deal_by_range(counts, [*keys, "value"], "_range"), "values")
+    # one row per group and range
+    sums = placed.groupBy(*keys, "_range").agg(F.sum("c").alias("_s"))
+    so_far = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carry = measured(sums.select(*keys, "_range", (F.sum("_s").over(so_far) - F.col("_s")).alias("_before"),
+                                 F.sum("_s").over(Window.partitionBy(*keys)).alias("n")))
+    within = Window.partitionBy(*keys, "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = null_safe_join(placed.withColumn("_run", F.sum("c").over(within)), carry, [*keys, "_range"], "inner")
+    upto = F.col("_before") + F.col("_run")
+
+    def at(rank):
+        return F.max(F.when((upto - F.col("c") <= rank) & (rank < upto), F.col("value")))
+
+    ranks = [(F.col("n") - 1) * F.lit(p) for p in probs]
+    ends = [x for i, r in enumerate(ranks) for x in (at(F.floor(r)).alias(f"_a{i}"), at(F.ceil(r)).alias(f"_b{i}"))]
+    found = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *ends)
+    q = F.array(*[F.when(F.col(f"_a{i}") == F.col(f"_b{i}"), F.col(f"_a{i}")).otherwise(
+        F.col(f"_a{i}") * (F.ceil(r) - r) + F.col(f"_b{i}") * (r - F.floor(r))) for i, r in enumerate(ranks)])
+    out = found.select(*keys, "n", q.alias("q"))
     if not extra:
         return out
-    stats = long.groupBy(*keys).agg(*[f(F.col("value")).alias(n) for n, f in extra.items()])
-    return null_safe_join(out, stats, keys, "left").select(*keys, "n", "q", *extra)
-
-
-def _grouped(df: DataFrame, cols, probs, by, extra) -> DataFrame:
-    wanted = F.array(*map(F.lit, probs))
-    clean = [finite(F.col(f"`{c}`").cast("double")) for c in cols]
-    aggs = [
-        F.struct(F.lit(c).alias("column"), F.count(v).alias("n"), F.percentile(v, wanted).alias("q"),
-                 *[f(v).alias(n) for n, f in extra.items()])
-        for c, v in zip(cols, clean)
-    ]
-    out = df.groupBy(*by).agg(F.array(*aggs).alias("_a")) if by else df.agg(F.array(*aggs).alias("_a"))
-    return out.select(*by, F.inline("_a")).where(F.col("n") > 0)
-
-
-def _narrowed(long: DataFrame, hot, probs, keys, hot_rows) -> DataFrame:
-    """Quantiles of the hot groups. Each round keeps, per group and rank, the interval that holds the rank.
-
-    A round reads its rows for the sketch, for the exact counts and to store the rows inside the
-    new intervals; the next round starts from those, a small share of the previous ones. The
-    first round sketches a group once for all its ranks.
-    """
-    spark = long.sparkSession
-    id_fields = [*[long.schema[k] for k in keys], T.StructField("p", T.IntegerType())]
-    ids = [*keys, "p"]
-    bracket = T.ArrayType(T.StructType.fromDDL("p int, lo double, hi double"))
-
-    def frame(rows, *extra):
-        return small_frame(spark, rows, T.StructType([*id_fields, *[T.StructField(n, t) for n, t in extra]]))
-
-    def intervals(group, limits):
-        """One row per group with the intervals of its ranks."""
-        held = {}
-        for key, (low, high) in limits.items():
-            held.setdefault(key[:len(group)], []).append({"p": key[-1], "lo": low, "hi": high})
-        fields = [f for f in id_fields if f.name in group]
-        return small_frame(spark, [(*k, sorted(v, key=lambda x: x["p"])) for k, v in held.items()],
-                           T.StructType([*fields, T.StructField("b", bracket)]))
-
-    state = {}
-    for row in hot:
-        for i, p in enumerate(probs):
-            rank = (row["n"] - 1) * p
-            state[(*[row[k] for k in keys], i)] = {
-                "below": 0, "inside": row["n"], "first": math.floor(rank), "last": math.ceil(rank), "done": False}
-    rows, group, width = long, keys, len(probs)
-
-    while not all(s["done"] for s in state.values()):
-        # few groups can afford a finer sketch: each holds its marks once per task
-        steps = 1024 if len(state) <= 1000 else 256
-        sketch = rows.groupBy(*group).agg(
-            F.percentile_approx("value", [i / steps for i in range(steps + 1)], 10 * steps).alias("f"),
-            F.min("value").alias("least"), F.max("value").alias("most"))
-        marks = {tuple(r[k] for k in group): r for r in sketch.collect()}
-        limits = {}
-        for key, s in state.items():
-            r = marks[key[:len(group)]]
-            i = math.floor((s["first"] - s["below"]) / s["inside"] * steps) - 1
-            j = math.ceil((s["last"] - s["below"]) / s["inside"] * steps) + 1
-            limits[key] = ((-math.inf, math.inf) if s["done"] else
-                           (r["f"][i] if i > 0 else r["least"], r["f"][j] if j < steps else r["most"]))
-        tagged = null_safe_join(rows, intervals(group, limits), group, "inner")
-        counted = tagged.groupBy(*group).agg(F.array(*[F.struct(
-            F.max(F.col("b")[i]["p"]).alias("p"), F.count_if(F.col("value") < F.col("b")[i]["lo"]).alias("under"),
-            F.count_if(F.col("value").between(F.col("b")[i]["lo"], F.col("b")[i]["hi"])).alias("within"))
-            for i in range(width)]).alias("c"))
-        for r in counted.collect():
-            for c in r["c"]:
-                key = (*[r[k] for k in keys], c["p"])
-                s, (low, high) = state[key], limits[key]
-                if s["done"]:
-                    continue
-                below = s["below"] + c["under"]
-                if not (below <= s["first"] and s["last"] < below + c["within"]):
-                    s["done"] = True  # the sketch erred beyond its margin: keep all rows, which stays exact
-                    limits[key] = (-math.inf, math.inf)
-                    continue
-                s["done"] = c["within"] <= hot_rows or low == high or c["within"] == s["inside"]
-                s.update(below=below, inside=c["within"])
-        tagged = null_safe_join(rows, intervals(group, limits), group, "inner")
-        holding = F.filter("b", lambda x: F.col("value").between(x["lo"], x["hi"]))
-        rows = cut_lineage(tagged.select(*keys, "value", F.inline(holding)).select(*ids, "value"))
-        group, width = ids, 1
-
-    ranks = frame([(*k, s["below"], s["first"], s["last"]) for k, s in state.items()],
-                  ("below", T.LongType()), ("first", T.LongType()), ("last", T.LongType()))
-    # equal values are merged; at most hot_rows distinct ones per interval are left to order
-    per_value = null_safe_join(rows.groupBy(*ids, "value").agg(F.count("*").alias("c")), ranks, ids, "inner")
-    running = Window.partitionBy(*ids).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.col("below") + F.sum("c").over(running)
-    picked = (per_value.withColumn("_upto", upto).groupBy(*ids).agg(
-        F.min(F.when(F.col("_upto") > F.col("first"), F.col("value"))).alias("a"),
-        F.min(F.when(F.col("_upto") > F.col("last"), F.col("value"))).alias("b")))
-    sizes = small_frame(spark, [(*[r[k] for k in keys], r["n"]) for r in hot],
-                        T.StructType([*id_fields[:-1], T.StructField("n", T.LongType())]))
-    rank = (F.col("n") - 1) * F.element_at(F.array(*map(F.lit, probs)), F.col("p") + 1)
-    value = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(
-        F.col("a") * (F.ceil(rank) - rank) + F.col("b") * (rank - F.floor(rank)))
-    joined = null_safe_join(picked, sizes, keys, "inner").withColumn("v", value)
-    # one entry per wanted quantile
-    return joined.groupBy(*keys, "n").agg(F.sort_array(F.collect_list(F.struct("p", "v"))).alias("_s")).select(
-        *keys, "n", F.transform("_s", lambda s: s["v"]).alias("q"))
+    per = [F.struct(F.lit(c).alias("column"), *[f(finite(F.col(f"`{c}`").cast("double"))).alias(n) for n, f in extra.items()])
+           for c in cols]
+    stats = (df.groupBy(*by) if by else df.groupBy()).agg(F.array(*per).alias("_a")).select(*by, F.inline("_a"))
+    return null_safe_join(stats, measured(out), keys, "left").select(
+        *keys, F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "q", *extra)
 
 
-def quantile_struct(df: DataFrame, cols, probs, hot_rows: int = HOT_ROWS, total: int | None = None, store: bool = False):
+def quantile_struct(df: DataFrame, cols, probs):
     """Quantiles of whole columns as one scalar-subquery struct: field per column, array per field."""
-    q = exact_quantiles(df, cols, probs, hot_rows=hot_rows, total=total, store=store)
+    q = exact_quantiles(df, cols, probs)
     one = [F.max(F.when(F.col("column") == c, F.col("q"))).alias(c) for c in cols]
     return q.agg(F.struct(*one)).scalar()
 
 
-def medians(df: DataFrame, col: str, by, hot_rows: int = HOT_ROWS, name: str = "median",
-            total: int | None = None) -> DataFrame:
+def medians(df: DataFrame, col: str, by, name: str = "median") -> DataFrame:
     """by..., median."""
-    return exact_quantiles(df, [col], [0.5], by, hot_rows, total=total).select(*by, F.col("q")[0].alias(name))
+    return exact_quantiles(df, [col], [0.5], by).select(*by, F.col("q")[0].alias(name))

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_LEVELS = 10_000
-
 
 def pivot(df: DataFrame, index, column: str, value: str, levels) -> DataFrame:
     """Long to wide with a given level list; a duplicate (index, level) fails the job."""
@@ -28,11 +26,8 @@ def unpivot(df: DataFrame, ids, cols, names: str = "variable", values: str = "va
 
 
 def levels_of(df: DataFrame, col: str) -> list:
-    """Sorted distinct levels; they become columns, so they must fit a schema."""
-    found = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()]
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"{col} has more than {MAX_LEVELS} levels")
-    return sorted(found)
+    """Sorted distinct levels. They are to become columns of a schema, so they are read into the driver."""
+    return sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
 
 
 def dummies(df: DataFrame, cols, levels: dict[str, list] | None = None, sep: str = "_") -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.functions.numbers import clipped, finite, percent_of, ratio
-from tablewright.operators.quantiles import HOT_ROWS, exact_quantiles, melt, quantile_struct
+from tablewright.operators.quantiles import exact_quantiles, melt, quantile_struct
 
 
-def iqr_fences(df: DataFrame, cols, by=(), k: float = 1.5, hot_rows: int = HOT_ROWS) -> DataFrame:
+def iqr_fences(df: DataFrame, cols, by=(), k: float = 1.5) -> DataFrame:
     """by..., column, q1, q3, iqr, lower, upper."""
-    q = exact_quantiles(df, cols, [0.25, 0.75], by, hot_rows)
+    q = exact_quantiles(df, cols, [0.25, 0.75], by)
     q1, q3 = F.col("q")[0], F.col("q")[1]
     return q.select(*by, "column", q1.alias("q1"), q3.alias("q3"), (q3 - q1).alias("iqr"),
                     (q1 - k * (q3 - q1)).alias("lower"), (q3 + k * (q3 - q1)).alias("upper"))
@@ -92,12 +92,12 @@ def minmax(df: DataFrame, cols, suffix: str = "", fit_on: Column | None = None)
 QUARTILE_LABELS = ("Low", "Medium", "High", "Very High")
 
 
-def quartile_label(df: DataFrame, cols, suffix: str = "_category", hot_rows: int = HOT_ROWS) -> DataFrame:
+def quartile_label(df: DataFrame, cols, suffix: str = "_category") -> DataFrame:
     """Quartile class per value: right-closed intervals, lowest value included.
 
     Tied quartiles are legal: a value takes the first class whose upper edge it does not exceed.
     """
-    out = df.withColumn("_q", quantile_struct(df, cols, [0.25, 0.5, 0.75], hot_rows))
+    out = df.withColumn("_q", quantile_struct(df, cols, [0.25, 0.5, 0.75]))
     labels = {}
     for c in cols:
         edge, v = F.col(f"_q.`{c}`"), F.col(c)

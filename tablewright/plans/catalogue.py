@@ -19,14 +19,14 @@ COORDINATES = ("latitude", "longitude")
 def impute_catalogue(events: DataFrame, legacy_null_key: bool = False, trees: int = 100) -> DataFrame:
     """No missing measurement left: medians per magnitude type, neighbours, a forest, global medians.
 
-    The frame is materialised after each model-based step, so later steps do not repeat it.
+    The frame is stored before and after each model-based step, so no step repeats an earlier one.
     """
     where = ["latitude", "longitude", "depth"]
     q = require(events, "mag")
-    q = fill_group_median(q, "nst", ["magType"], legacy_null_key=legacy_null_key)
+    q = cut_lineage(fill_group_median(q, "nst", ["magType"], legacy_null_key=legacy_null_key))
     q = cut_lineage(knn_impute(q, "id", [*where, "mag"], "gap"))
     q = cut_lineage(knn_impute(q, "id", where, "dmin"))
-    q = fill_global_median(q, ["rms"])
+    q = cut_lineage(fill_global_median(q, ["rms"]))
     q = cut_lineage(forest_impute(q, [*where, "mag", "rms"], "horizontalError", trees=trees))
     q = fill_global_median(q, ["depthError"])
     q = fill_group_median(q, "magError", ["magType"], legacy_null_key=legacy_null_key)

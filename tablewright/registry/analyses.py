@@ -28,7 +28,7 @@ def _catalogue(spark, sf):
 
 @query("catalogue_cleanup")
 def catalogue_cleanup(spark, sf):
-    clean = catalogue.impute_catalogue(_catalogue(spark, sf), trees=20)
+    clean = catalogue.impute_catalogue(_catalogue(spark, sf))
     return catalogue.cap_catalogue(clean)
 
 

@@ -146,7 +146,7 @@ def _life(spark, sf):
 
 
 def _three(train, features):
-    return {"tree": ml.decision_tree(train, features, "price"), "forest": ml.random_forest(train, features, "price", trees=20)}
+    return {"tree": ml.decision_tree(train, features, "price"), "forest": ml.random_forest(train, features, "price")}
 
 
 @query("tree_models")
@@ -172,15 +172,17 @@ def future_scores(spark, sf):
 
 @query("boosted_early_stop")
 def boosted_early_stop(spark, sf):
-    d = rg.hash_split(_signal(spark, sf), "event_id").withColumn("validation", ~F.col("is_train"))
+    """Training, validation and test rows are three shares; the score is that of the test rows."""
+    d = rg.hash_split(_signal(spark, sf), "event_id")
+    d = rg.hash_split(d, "event_id", 10, seed=7, into="fitted").withColumn("validation", ~F.col("fitted"))
     features = ["user_id", "k", "h"]
-    model = ml.boosted_early_stop(d, features, "y", "validation", rounds=20)
-    return rg.regression_scores(ml.score(d.where("validation"), model, features, "p"), "y", "p").withColumn("trees", F.lit(model.getNumTrees))
+    model = ml.boosted_early_stop(d.where("is_train"), features, "y", "validation")
+    return rg.regression_scores(ml.score(d.where("not is_train"), model, features, "p"), "y", "p").withColumn("trees", F.lit(model.getNumTrees))
 
 
 @query("forest_impute")
 def forest_impute(spark, sf):
-    return ml.forest_impute(gaps(spark, sf), ["user_id", "h", "k", "value"], "w", trees=20).select("event_id", "w")
+    return ml.forest_impute(gaps(spark, sf), ["user_id", "h", "k", "value"], "w").select("event_id", "w")
 
 
 @query("arima_order_search")
@@ -209,8 +211,8 @@ def seasonal_holdout(spark, sf):
 
 @query("forest_holdout")
 def forest_holdout(spark, sf):
-    training = fc.forest_training(panel(spark, sf, stored=True), ["series"], "period", "value")
-    marked = cut_lineage(rg.chronological_split(training, ["series"], "period"))
+    p = cut_lineage(rg.chronological_split(panel(spark, sf, stored=True), ["series"], "period"))
+    marked = cut_lineage(fc.forest_training(p, ["series"], "period", "value", fit_on=F.col("is_train")))
     model = fc.fit_panel_forest(marked.where("is_train"))
     held = ml.score(marked.where("not is_train"), model, fc.forest_features(4), "p")
     return rg.regression_scores(held, "_v", "p")

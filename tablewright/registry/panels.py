@@ -85,14 +85,14 @@ def last_rows(spark, sf):
 
 @query("share_of_total", f"WITH {PANEL} SELECT series, period, round(100 * value / SUM(value) OVER (PARTITION BY period), 6) AS share FROM panel")
 def share_of_total(spark, sf):
-    return rounded(pn.share_of_total(panel(spark, sf), "period", "value"), 6, "share").drop("value")
+    return rounded(pn.share_of_total(panel(spark, sf, stored=True), "period", "value"), 6, "share").drop("value")
 
 
 @query("share_of_members", f"""WITH {PANEL} SELECT series, period, round(100 * value / SUM(value) FILTER (series NOT IN ('Brand#1', 'Brand#2'))
 OVER (PARTITION BY period), 6) AS share FROM panel""")
 def share_of_members(spark, sf):
     members = ~F.col("series").isin("Brand#1", "Brand#2")
-    return rounded(pn.share_of_total(panel(spark, sf), "period", "value", members), 6, "share").drop("value")
+    return rounded(pn.share_of_total(panel(spark, sf, stored=True), "period", "value", members), 6, "share").drop("value")
 
 
 @query("seasonal_stats", f"""WITH {PANEL} SELECT series, CAST(quarter(period) AS INTEGER) AS season, round(avg(value), 2) AS mean,

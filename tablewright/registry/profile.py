@@ -17,15 +17,15 @@ def _union(template: str, cols) -> str:
 
 @query("null_audit", f"""WITH {GAPS} {_union('''
 SELECT '{c}' AS "column", COUNT(*) AS "rows", COUNT({c}) AS present, COUNT(*) - COUNT({c}) AS missing,
-       round(COUNT({c}) / CAST(COUNT(*) AS DOUBLE), 6) AS completeness FROM gaps''', ["event_id", "kind", "v", "w"])}""")
+       round(COUNT({c}) / CAST(COUNT(*) AS DOUBLE), 6) AS completeness FROM gaps''', ["event_id", "ts", "user_id", "k", "kind", "v", "w", "h", "value"])}""")
 def null_audit(spark, sf):
-    return rounded(prof.null_audit(gaps(spark, sf), ["event_id", "kind", "v", "w"]), 6, "completeness")
+    return rounded(prof.null_audit(gaps(spark, sf)), 6, "completeness")
 
 
 @query("null_columns", f"""WITH {GAPS} SELECT "column", missing FROM ({_union('''
-SELECT '{c}' AS "column", COUNT(*) - COUNT({c}) AS missing FROM gaps''', ["event_id", "kind", "v", "w"])}) WHERE missing > 0""")
+SELECT '{c}' AS "column", COUNT(*) - COUNT({c}) AS missing FROM gaps''', ["event_id", "ts", "user_id", "k", "kind", "v", "w", "h", "value"])}) WHERE missing > 0""")
 def null_columns(spark, sf):
-    return prof.columns_with_nulls(gaps(spark, sf), ["event_id", "kind", "v", "w"]).select("column", "missing")
+    return prof.columns_with_nulls(gaps(spark, sf)).select("column", "missing")
 
 
 DESCRIBE = """SELECT '{c}' AS "column", COUNT({c}) AS "count", round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
@@ -60,15 +60,23 @@ def distinct_counts(spark, sf):
     return prof.distinct_counts(load(spark, sf, "lineitem"))
 
 
-@query("dup_count", """SELECT CAST(SUM(n - 1) AS BIGINT) AS duplicates, CAST(SUM(n) AS BIGINT) AS "rows" FROM (
-  SELECT COUNT(*) AS n FROM lineitem GROUP BY l_partkey, l_quantity, l_returnflag)""")
+# some rows twice, so that whole-row duplicates occur
+TWICE = "(SELECT * FROM {t} UNION ALL SELECT * FROM {t} WHERE {when})"
+
+
+def twice(df, when):
+    return df.unionByName(df.where(when))
+
+
+@query("dup_count", f"""SELECT CAST(SUM(n - 1) AS BIGINT) AS duplicates, CAST(SUM(n) AS BIGINT) AS "rows" FROM (
+  SELECT COUNT(*) AS n FROM {TWICE.format(t="lineitem", when="l_orderkey % 7 = 0")} GROUP BY ALL)""".replace("SELECT COUNT(*) AS n", "SELECT COLUMNS(*), COUNT(*) AS n"))
 def dup_count(spark, sf):
-    return prof.duplicate_count(load(spark, sf, "lineitem").select("l_partkey", "l_quantity", "l_returnflag"))
+    return prof.duplicate_count(twice(load(spark, sf, "lineitem"), "l_orderkey % 7 = 0"))
 
 
-@query("drop_duplicates", "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer")
+@query("drop_duplicates", f"SELECT DISTINCT * FROM {TWICE.format(t='customer', when='c_custkey % 7 = 0')}")
 def drop_duplicates(spark, sf):
-    return prof.without_duplicates(load(spark, sf, "customer").select("c_nationkey", "c_mktsegment"))
+    return prof.without_duplicates(twice(load(spark, sf, "customer"), "c_custkey % 7 = 0"))
 
 
 @query("sign_inf_checks", _union("""SELECT '{c}' AS "column", bool_or(isinf(CAST({c} AS DOUBLE))) AS any_infinite, bool_or({c} < 0) AS any_negative,

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
@@ -63,6 +63,16 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def deal_by_range(df: DataFrame, by, name: str, parts: int | None = None) -> DataFrame:
+    """``df`` range-partitioned by the columns, with the number of its range as column ``name``.
+
+    The ranges come from a sample, so they hold about equally many rows; store the result before it is read twice.
+    ``parts`` defaults to the session's shuffle partitions.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(parts, *by).withColumn(name, F.spark_partition_id())
+
+
 def small_frame(spark: SparkSession, rows, schema: T.StructType | str) -> DataFrame:
     """A frame of driver-side rows as a local relation: no Python workers, true size known to the planner."""
     shape = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

@@ -21,12 +21,22 @@ def elements(df: DataFrame, html: str, tag: str, keep) -> DataFrame:
 def table_rows(df: DataFrame, html: str, table_id: str, names, keep=(), strict: bool = True) -> DataFrame:
     """Rows of the table with the given id: positional names, header-only rows skipped.
 
-    With ``strict`` a row with another number of cells is left out rather than shifted.
+    With ``strict`` a row with another number of cells is left out rather than shifted; `rejected_rows` lists those.
     """
-    table = F.regexp_extract(F.col(html), f'(?s)<table[^>]*\\bid="{table_id}"[^>]*>(.*?)</table>', 1)
-    rows = F.regexp_extract_all(table, F.lit("(?s)<tr(?:\\s[^>]*)?>(.*?)</tr>"), F.lit(1))
-    out = df.select(*keep, F.posexplode(rows).alias("row", "_tr")).withColumn("_c", cells(F.col("_tr"), "td"))
-    out = out.where(F.size("_c") > 0)
+    out = _rows_of(df, html, table_id, keep)
     if strict:
         out = out.where(F.size("_c") == len(names))
     return out.select(*keep, "row", *[F.try_element_at("_c", F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
+
+
+def rejected_rows(df: DataFrame, html: str, table_id: str, names, keep=()) -> DataFrame:
+    """keep..., row, cells: the rows `table_rows` leaves out for their number of cells."""
+    out = _rows_of(df, html, table_id, keep).where(F.size("_c") != len(names))
+    return out.select(*keep, "row", F.size("_c").alias("cells"))
+
+
+def _rows_of(df: DataFrame, html: str, table_id: str, keep) -> DataFrame:
+    table = F.regexp_extract(F.col(html), f'(?s)<table[^>]*\\bid="{table_id}"[^>]*>(.*?)</table>', 1)
+    rows = F.regexp_extract_all(table, F.lit("(?s)<tr(?:\\s[^>]*)?>(.*?)</tr>"), F.lit(1))
+    out = df.select(*keep, F.posexplode(rows).alias("row", "_tr")).withColumn("_c", cells(F.col("_tr"), "td"))
+    return out.where(F.size("_c") > 0)

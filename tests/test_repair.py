@@ -113,3 +113,28 @@ def test_knn_equals_brute_force(spark, monkeypatch, leaf):
 def test_rules(spark):
     df = spark.createDataFrame([(1905, None), (1905, 5.0), (1950, None)], "y int, v double")
     assert rows(missing.fill_by_rule(df, "v", F.col("y").between(1900, 1909), 9.0), "y", "v") == [(1905, 5.0), (1905, 9.0), (1950, None)]
+
+
+@pytest.mark.parametrize("kind", ["t date", "t string"])
+def test_ranges_split_a_busy_order_value(spark, kind):
+    """Nine of ten rows fall on one order value; no range holds more than a few times its share, whatever the type."""
+    df = spark.range(20_000).selectExpr("id", "if(id % 10 = 0, date_add(date'2024-01-01', int(id)), date'2024-06-01') as d")
+    df = df.withColumn("t", F.col("d") if "date" in kind else F.col("d").cast("string")).drop("d")
+    sizes = [r["count"] for r in ordered.in_ranges(df, [], ["t"], 16).groupBy("_chunk").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 3 * 20_000 / 16
+
+
+def test_leaves_stay_balanced_when_values_saturate():
+    rng = np.random.default_rng(4)
+    x = np.column_stack([np.minimum(rng.integers(0, 40, 20_000), 15), rng.random(20_000)]).astype(float)
+    dims, cuts = neighbours._split_points(x[:4000], 6)
+    sizes = np.bincount(neighbours._leaves(x, dims, cuts, 6), minlength=64)
+    assert sizes.max() < 3 * sizes.mean()
+
+
+def test_density_names_constant_groups(spark):
+    from tablewright.operators import distributions as dist
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 5.0), ("b", 5.0)], "g string, v double")
+    got = dist.kde(df, "v", ["g"], points=5).collect()
+    assert [(r["point"], r["x"], r["density"]) for r in got if r["g"] == "b"] == [(None, 5.0, None)]
+    assert sum(r["g"] == "a" and r["density"] > 0 for r in got) == 5
