@@ -28,11 +28,15 @@ def decision_tree(df: DataFrame, features, label: str, max_depth: int = 30, seed
     return t.fit(assemble(require(df, label), features))
 
 
-def random_forest(df: DataFrame, features, label: str, trees: int = 100, max_depth: int = 30,
+def random_forest(df: DataFrame, features, label: str, trees: int = 100, max_depth: int = 10,
                   min_split: int = 2, seed: int = 42) -> Model:
-    """Forest that considers every feature at each split."""
+    """Forest that considers every feature at each split.
+
+    Growing 100 trees to purity takes minutes on ten thousand rows of a noisy label; ``max_depth`` up to 30 is there for that.
+    """
     f = RandomForestRegressor(featuresCol=VECTOR, labelCol=label, numTrees=trees, maxDepth=max_depth,
-                              minInstancesPerNode=max(1, min_split // 2), featureSubsetStrategy="all", seed=seed)
+                              minInstancesPerNode=max(1, min_split // 2), featureSubsetStrategy="all", seed=seed,
+                              maxMemoryInMB=1024)
     return f.fit(assemble(require(df, label), features))
 
 
@@ -63,7 +67,7 @@ def long_predictions(df: DataFrame, ids, names) -> DataFrame:
     return df.unpivot(list(ids), list(names), "model", "prediction")
 
 
-def forest_impute(df: DataFrame, features, target: str, trees: int = 100, max_depth: int = 30, seed: int = 42) -> DataFrame:
+def forest_impute(df: DataFrame, features, target: str, trees: int = 100, max_depth: int = 10, seed: int = 42) -> DataFrame:
     """Fill missing targets with a forest trained on the rows that have one.
 
     Rows missing a feature cannot be predicted and stay as they are.

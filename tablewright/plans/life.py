@@ -43,7 +43,7 @@ def fit(wide: DataFrame, features, trees: int = 100, test_percent: int = 25, see
     safe = {c: f"_f{i}" for i, c in enumerate(features)}
     train = train.withColumnsRenamed(safe)
     models = {"tree": ml.decision_tree(train, list(safe.values()), "_y"),
-              "forest": ml.random_forest(train, list(safe.values()), "_y", trees)}
+              "forest": ml.random_forest(train, list(safe.values()), "_y", trees, max_depth=30)}
     return marked, rg.ols(train, list(safe.values()), "_y"), models, safe
 
 

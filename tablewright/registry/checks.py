@@ -129,7 +129,7 @@ STEP = "CAST((h * 7) % 5 AS DOUBLE)"
 def tree_steps(spark, sf):
     """A full tree predicts group means; forest and (to a tenth) boosting reproduce a label that depends on the hour alone."""
     g = gaps(spark, sf).withColumn("step", ((F.col("h") * 7) % 5).cast("double")).withColumn("valid", F.col("event_id") % 10 == 0)
-    models = {"tree": ml.decision_tree(g, ["h"], "value"), "forest": ml.random_forest(g, ["h"], "step"),
+    models = {"tree": ml.decision_tree(g, ["h"], "value"), "forest": ml.random_forest(g, ["h"], "step", max_depth=30),
               "boosted": ml.boosted_early_stop(g, ["h"], "step", "valid", max_depth=10)}
     scored = ml.score_all(g.select("h").distinct(), models, ["h"])
     return scored.select("h", *[(F.round(m, 1 if m == "boosted" else 6) + 0.0).alias(m) for m in models])  # no negative zero
@@ -139,7 +139,7 @@ def tree_steps(spark, sf):
 def forest_impute_steps(spark, sf):
     step = ((F.col("h") * 7) % 5).cast("double")
     g = gaps(spark, sf).select("event_id", "h", F.when(F.col("event_id") % 7 != 0, step).alias("s"))
-    return ml.forest_impute(g, ["h"], "s").select("event_id", (F.round("s", 6) + 0.0).alias("s"))
+    return ml.forest_impute(g, ["h"], "s", max_depth=30).select("event_id", (F.round("s", 6) + 0.0).alias("s"))
 
 
 @query("future_score_rows", f"""WITH {CELLS} SELECT r.region, s.segment, CAST(y AS INTEGER) AS year, m AS model, true AS scored

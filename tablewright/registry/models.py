@@ -146,7 +146,7 @@ def _life(spark, sf):
 
 
 def _three(train, features):
-    return {"tree": ml.decision_tree(train, features, "price"), "forest": ml.random_forest(train, features, "price")}
+    return {"tree": ml.decision_tree(train, features, "price"), "forest": ml.random_forest(train, features, "price", max_depth=30)}
 
 
 @query("tree_models")
