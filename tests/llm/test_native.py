@@ -200,6 +200,42 @@ def test_license_edges(spark):
     assert licenses.scan(edge_docs(spark, texts), licenses.template_frame(spark).limit(0)).count() == 0
 
 
+def test_license_passages(spark):
+    mit, gpl2, apache = (licenses.TEMPLATES[i][1] for i in (4, 15, 1))
+    wrapped = apache.replace("; you", ";\nyou").replace("except", "\n except")
+    texts = [(30, "Some code.\n\n" + mit.replace("any person", "any\n * person").replace("deal in", "deal\nin") + "\nrest"),
+             (31, "Copyright (c) 2021 Example Corp. All rights reserved."), (32, "x\nThe photos in this book are licensed under CC BY 4.0. See more."),
+             (33, "  GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\n Copyright"), (34, "so:\n" + gpl2.replace("modify", "modify\n")),
+             (35, "Licensed under the MIT License. Licensed under CC BY-SA 4.0. All rights reserved."), (36, wrapped),
+             (37, "All rights are reserved by them; under the MIT rule it is licensed."), (38, gpl2), (39, "All\n\nrights\nreserved")]
+    got = licenses.scan(edge_docs(spark, texts + texts[:1]), licenses.template_frame(spark)).select("doc_id", "line_no", "license", "template").collect()
+    want = [(30, 2, "MIT", 4), (31, 0, "Proprietary", 14), (32, 1, "CC-BY-4.0", 9), (33, 0, "GPL-3.0", 20), (34, 1, "GPL-2.0", 15), (35, 0, "CC-BY-SA-4.0", 10),
+            (35, 0, "MIT", 3), (35, 0, "Proprietary", 14), (36, 0, "Apache-2.0", 0), (36, 0, "Apache-2.0", 1), (38, 0, "GPL-2.0", 15), (39, 0, "Proprietary", 14)]
+    assert [x for x in sorted(map(tuple, got)) if x != (34, 2, "GPL-2.0", 15)] == want
+
+
+def test_no_passage_is_missed(spark):
+    """Texts of template words and others, torn at random: a text has a unit exactly when some run of its words reaches the bound."""
+    import random
+    rnd, texts = random.Random(5), []
+    for i in range(60):
+        words = re.findall("[a-z0-9]+", licenses.TEMPLATES[i % 15][1].lower())[:25]
+        words = [w for w in words if rnd.random() > 0.04] + rnd.sample(["and", "so", "reserved", "under", "the"], 2)
+        texts.append((i, " ".join(["x1", "y1"] + words + ["z1"]).replace(" ", "\n", rnd.randrange(3))))
+    got = {r[0] for r in licenses.scan(edge_docs(spark, texts), licenses.template_frame(spark)).select("doc_id").collect()}
+
+    def grams(words):
+        return set(zip(words, words[1:]))
+    held = [grams(re.findall("[a-z0-9]+", t.lower())) for _, t in licenses.TEMPLATES]
+    want = set()
+    for i, text in texts:
+        words = text.split()
+        runs = [grams(words[a:b]) for a in range(len(words)) for b in range(a + 2, len(words) + 1)]
+        if any(2 * len(g & t) >= 0.8 * (len(g) + len(t)) for g in runs for t in held):
+            want.add(i)
+    assert got == want and 20 < len(want) < 60
+
+
 # fingerprints ---------------------------------------------------------------------------------------------------------
 
 def edits(rows):
