@@ -1,6 +1,7 @@
 """Format-preserving pseudonyms for personal data, in SQL expressions only.
 
-Candidates are found by one pattern and validated (check digits, calendar, ranges). Each valid value is replaced by a keyed
+Candidates are validated (check digits, calendar, ranges); where the longest one at a place fails, shorter ones and other
+kinds are tried there, and the search goes on after the first that is valid. Each valid value is replaced by a keyed
 permutation of its own format: a Feistel network over the value's characters, or over a pair of residues for numbers
 with gaps. Being a permutation, equal values get equal pseudonyms in every document and different ones stay different;
 the result validates as the value did. Separators stay where they were.
@@ -16,16 +17,30 @@ _EDGE, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}" + _END
 SECRET = r"AKIA[0-9A-Z]{16}" + _END
 ASSIGNED = r"(?:token|secret|password|api_key) = \"[0-9A-Za-z]{16,128}\""
-IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?" + _END
+#: Kinds without a check; at one place in this order.
+SURE = [("secret", SECRET), ("assigned", ASSIGNED)]
+PATTERN = EMAIL + "|" + _EDGE + "(?:" + "|".join(p for _, p in SURE) + ")"
+
+#: The longest that an IBAN or card at a place can be; its beginnings are tried too.
+IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?"
+CARD = r"[0-9](?:[ -]?[0-9]){12,18}" + _END
 IP = r"(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9A-Za-z])"
 DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})" + _END
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _END
-CARD = r"[0-9](?:[ -]?[0-9]){12,18}" + _END
-PHONE = (r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|(?<=\+[0-9]{1,3}[ .-])[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4})"
-         + _END)
-#: Kinds in the order in which they are tried at one place.
-KINDS = [("secret", SECRET), ("assigned", ASSIGNED), ("iban", IBAN), ("date", DATE), ("ssn", SSN), ("ip", IP), ("card", CARD), ("phone", PHONE)]
-PATTERN = EMAIL + "|" + _EDGE + "(?:" + "|".join(p for _, p in KINDS) + ")"
+_LOCAL = r"[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}" + _END
+#: A number after + takes no group with which a local number or a date starts.
+PHONE = (r"(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})"
+         rf"|\+[0-9]{{1,3}}[ .-][0-9]{{2,4}}(?:[ .-]?(?!{_LOCAL}|{DATE})[0-9]{{2,4}}){{1,4}})" + _END)
+START = _EDGE + "(?=" + "|".join([IBAN, DATE, SSN, IP, CARD, PHONE]) + ")"
+#: How cards are printed: in one piece or in their usual groups; and what a card followed by other numbers looks like at least.
+CARD_GROUPS = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$"
+CARD_LEAST = r"^[0-9]{3,}(?:[ -][0-9]{3,})*$"
+#: Characters of an IBAN by country.
+IBAN_SIZES = ("AD24AE23AL28AT20AZ28BA20BE16BG22BH22BI27BR29BY28CH21CR22CY28CZ24DE22DJ27DK18DO28EE20EG29ES24FI18FK18FO18FR27GB22GE22GI23GL18GR27GT28"
+              "HR21HU28IE22IL23IQ23IS26IT27JO30KW30KZ20LB28LC32LI21LT20LU20LV21LY25MC27MD24ME22MK19MN20MR27MT31MU30NI28NL18NO15OM23PK24PL28PS29PT25"
+              "QA29RO24RS22RU33SA24SC31SD18SE24SI19SK24SM27SO23ST25SV28TL23TN24TR26UA29VA22VG24XK20YE30")
+#: Pieces of text that hold any value of a checked kind: each has a character at least.
+REACH = 64
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FIRST_DAY, _DAYS = "1700-01-01", (189, 773)  # 400 Gregorian years have 146,097 = 189 x 773 days
@@ -95,36 +110,47 @@ def _mod97(s: str) -> str:
 
 def _date(m: str, key: str) -> str:
     def one(form: str, look: str) -> str:
-        day = f"to_date({m}, '{form}')"
         index = f"datediff(try_to_date({m}, '{form}'), date'{_FIRST_DAY}')"
         moved = feistel_number(f"n div {_DAYS[1]}", f"n % {_DAYS[1]}", _DAYS, key, "date")
         # a date that is none, or lies outside the 400 years, stays
-        body = f"if(n is null or n < 0 or n >= {_DAYS[0] * _DAYS[1]}, {m}, " + _let(
+        body = f"if(n is null or n < 0 or n >= {_DAYS[0] * _DAYS[1]}, null, " + _let(
             moved, "d", f"date_format(date_add(date'{_FIRST_DAY}', cast(d.a * {_DAYS[1]} + d.b as int)), '{form}')") + ")"
         return f"when {m} rlike '{look}' then " + _let(index, "n", body)
     return f"case {one('yyyy-MM-dd', '^....-')} {one('dd/MM/yyyy', '/')} {one('dd.MM.yyyy', '[.]')} end"
 
 
-def _replace(key: str) -> str:
-    """SQL for the pseudonym of one match m; what does not validate stays."""
+def _beginnings(m: str, least: int) -> str:
+    """The beginnings of the match ``m`` of the text r, from ``least`` characters, that end where a value can end; longest first."""
+    ends = f"substr({m}, k, 1) rlike '[0-9A-Z]' and not substr(r, k + 1, 1) rlike '[0-9A-Za-z]'"
+    return f"if(length({m}) < {least}, cast(array() as array<string>), transform(filter(sequence(length({m}), {least}, -1), k -> {ends}), k -> substr({m}, 1, k)))"
+
+
+def _first(values: str, new: str) -> str:
+    """(old, new) of the first of ``values`` whose pseudonym, an expression of m, is not null; else null."""
+    none = "cast(null as struct<old:string,new:string>)"
+    return f"aggregate({values}, {none}, (s, m) -> if(s is not null, s, " + _let(new, "v", f"if(v is null, {none}, named_struct('old', m, 'new', v))") + "))"
+
+
+def _replace(key: str) -> tuple[str, str]:
+    """SQL for the pseudonym of a match m of PATTERN, and for (old, new) of the first valid value at the start of text r, after characters c."""
     alnum = ["0123456789", _LOWER, _UPPER]
     d = _digits("m")
-    card = _let(d, "d", f"if({_luhn('d', False)} % 10 <> 0, m, " + _let(
+    card = _let(d, "d", f"if(length(d) < 13 or length(d) > 19 or {_luhn('d', False)} % 10 <> 0, null, " + _let(
         "substr(d, 2, length(d) - 2)", "s", _let(feistel_text("s", key, "card", ["0123456789"]), "e", _let(
             "concat(substr(d, 1, 1), e)", "f", _let(f"concat(f, cast((10 - {_luhn('f', True)} % 10) % 10 as string))", "g", _refill("m", "g"))))) + ")")
-    phone = _let(d, "d", "if(length(d) < 8 or length(d) > 15, m, " + _let(
+    phone = _let(d, "d", "if(length(d) < 8 or length(d) > 15, null, " + _let(
         "substr(d, greatest(length(d) - 9, 2 - cast(length(d) >= 10 as int)))", "s", _let(
             feistel_text("s", key, "phone", ["0123456789"]), "e", _let("concat(substr(d, 1, length(d) - length(s)), e)", "g", _refill("m", "g")))) + ")")
     octets = "transform(split(m, '[.]'), x -> cast(x as bigint))"
-    ip = _let(octets, "o", "if(exists(o, x -> x > 255), m, " + _let(
+    ip = _let(octets, "o", "if(exists(o, x -> x > 255), null, " + _let(
         feistel_number("o[0] * 256 + o[1]", "o[2] * 256 + o[3]", (65536, 65536), key, "ip"), "v",
         "concat_ws('.', v.a div 256, v.a % 256, v.b div 256, v.b % 256)") + ")")
     ssn = _let("transform(split(m, '-'), x -> cast(x as bigint))", "o",
-               "if(o[0] = 0 or o[0] = 666 or o[0] > 899 or o[1] = 0 or o[2] = 0, m, " + _let(
+               "if(o[0] = 0 or o[0] = 666 or o[0] > 899 or o[1] = 0 or o[2] = 0, null, " + _let(
                    feistel_number("o[0] - 1 - cast(o[0] > 666 as int)", "(o[1] - 1) * 9999 + o[2] - 1", (898, 989901), key, "ssn"), "v",
                    "concat_ws('-', lpad(v.a + 1 + cast(v.a >= 665 as int), 3, '0'), lpad(v.b div 9999 + 1, 2, '0'), lpad(v.b % 9999 + 1, 4, '0'))") + ")")
     bare = "replace(m, ' ', '')"
-    iban = _let(bare, "d", f"if({_mod97('concat(substr(d, 5), substr(d, 1, 4))')} <> 1, m, " + _let(
+    iban = _let(bare, "d", f"if({_mod97('concat(substr(d, 5), substr(d, 1, 4))')} <> 1, null, " + _let(
         "substr(d, 5)", "s", _let(feistel_text("s", key, "iban", alnum), "e", _let(
             f"concat(substr(d, 1, 2), lpad(98 - {_mod97('concat(e, substr(d, 1, 2), ' + _sql('00') + ')')}, 2, '0'), e)", "g", _refill("m", "g", "[ ]")))) + ")")
     email = _let("lower(substring_index(m, '.', size(split(m, '[.]')) - 1))", "s", _let(
@@ -133,9 +159,35 @@ def _replace(key: str) -> str:
     secret = _let("substr(m, 5)", "s", f"concat('AKIA', {feistel_text('s', key, 'secret', ['0123456789', _UPPER])})")
     quoted = _let("regexp_extract(m, '\"(.*)\"', 1)", "s", "concat(substring_index(m, '\"', 1), '\"', "
                   f"if(s rlike '^[0-9a-f]+$', {feistel_text('s', key, 'hex', ['0123456789abcdef'])}, {feistel_text('s', key, 'assigned', alnum)}), '\"')")
-    by = {"secret": secret, "assigned": quoted, "iban": iban, "date": _date("m", key), "ssn": ssn, "ip": ip, "card": card, "phone": phone}
-    tests = " ".join(f"when m rlike {_sql('^(?:' + p + ')$')} then {by[k]}" for k, p in KINDS)
-    return f"case when instr(m, '@') > 0 then {email} {tests} else m end"
+    tests = " ".join(f"when m rlike {_sql('^(?:' + p + ')$')} then {by}" for (_, p), by in zip(SURE, (secret, quoted)))
+    sure = f"case when instr(m, '@') > 0 then {email} {tests} end"
+
+    def one(pattern: str) -> str:
+        # lookbehinds see the two characters before
+        return f"filter(array(regexp_extract(concat(c, r), {_sql('(?s)^..(' + pattern + ')')}, 1)), x -> x <> '')"
+    iban_size = _let("instr('" + IBAN_SIZES + "', substr(x, 1, 2))", "i", f"i > 0 and length(replace(x, ' ', '')) = cast(substr('{IBAN_SIZES}', i + 2, 2) as int)")
+    ibans = _let(f"regexp_extract(r, {_sql('^' + IBAN)}, 0)", "l", _let(_beginnings("l", 12), "all", f"concat(filter(all, x -> {iban_size}), all)"))
+    cards = _let(f"regexp_extract(r, {_sql('^' + CARD)}, 0)", "l", _beginnings("l", 13))
+    printed = f"filter({cards}, x -> x rlike {_sql(CARD_GROUPS)})"
+    # other groups only where a run of digits starts: one in ten of all beginnings in a table of numbers passes the check
+    others = _let(cards, "all", f"if(c rlike '[0-9][ -]$', cast(array() as array<string>), filter(all, (x, i) -> i = 0 or x rlike {_sql(CARD_LEAST)}))")
+    plus = f"filter({_let(f'regexp_extract(r, {_sql("^" + PHONE)}, 0)', 'l', _beginnings('l', 8))}, (x, i) -> i = 0 or x like '+%')"
+    tries = [(ibans, iban), (one(DATE), _date("m", key)), (one(SSN), ssn), (one(IP), ip), (printed, card), (plus, phone), (others, card)]
+    return sure, "coalesce(" + ", ".join(_first(values, new) for values, new in tries) + ")"
+
+
+def _checked(gap: str, found: str) -> str:
+    """SQL for (text, n) of a text ``gap``: its values of checked kinds replaced. It is cut wherever one can start."""
+    rest = _let("array_join(slice(cut, j, " + str(REACH) + "), '')", "r", _let("right(concat_ws('', slice(cut, greatest(j - 2, 1), least(j - 1, 2))), 2)", "c", found))
+    # skip: characters that the last value took from the pieces to come
+    step = ("if(s.skip > 0, named_struct('out', concat(s.out, array(substr(cut[j - 1], least(s.skip, length(cut[j - 1])) + 1))), 'skip', greatest(s.skip - length(cut[j - 1]), 0), 'n', s.n), "
+            + _let(rest, "f", "if(f is null, named_struct('out', concat(s.out, array(cut[j - 1])), 'skip', 0, 'n', s.n), "
+                   "named_struct('out', concat(s.out, array(f.new, substr(cut[j - 1], length(f.old) + 1))), 'skip', greatest(length(f.old) - length(cut[j - 1]), 0), "
+                   "'n', s.n + if(f.old <> f.new, 1L, 0L)))") + ")")
+    # two characters before the text, so that there are some before every piece but the first
+    return _let(f"split(concat('\\n\\n', {gap}), {_sql(START)}, -1)", "cut",
+                "if(size(cut) = 1, named_struct('text', " + gap + ", 'n', 0L), aggregate(sequence(2, size(cut)), named_struct('out', array(cut[0]), 'skip', 0, 'n', 0L), "
+                f"(s, j) -> {step}, s -> named_struct('text', substr(array_join(s.out, ''), 3), 'n', s.n)))")
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", into: str = "text", count: str | None = None) -> DataFrame:
@@ -148,10 +200,12 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", into: str = "tex
     """
     spot = f"`{text}`"
     found = f"regexp_extract_all({spot}, {_sql(PATTERN)}, 0)"
-    done = f"transform({found}, m -> named_struct('old', m, 'new', {_replace(_sql(key))}))"
+    sure, checked = _replace(_sql(key))
+    done = f"transform({found}, m -> named_struct('old', m, 'new', {sure}))"
     # the gaps around n matches are n + 1 pieces
-    whole = _let(done, "r", f"named_struct('text', array_join(zip_with(split({spot}, {_sql(PATTERN)}, -1), r, "
-                            "(g, x) -> concat(g, coalesce(x.new, ''))), ''), 'n', cast(size(filter(r, x -> x.old <> x.new)) as bigint))")
+    gaps = f"transform(split({spot}, {_sql(PATTERN)}, -1), g -> {_checked('g', checked)})"
+    whole = _let(done, "r0", _let(gaps, "gs", "named_struct('text', array_join(zip_with(gs, r0, (g, x) -> concat(g.text, coalesce(x.new, ''))), ''), "
+                                  "'n', aggregate(gs, 0L, (s, g) -> s + g.n) + cast(size(filter(r0, x -> x.old <> x.new)) as bigint))"))
     plain = f"named_struct('text', {spot}, 'n', 0L)"
     held = docs.withColumn("_pii", F.expr(f"case when {spot} rlike '[0-9@]' then {whole} else {plain} end"))
     out = [F.col(f"`{c}`") if c != into else F.col("_pii.text").alias(into) for c in docs.columns]

@@ -75,6 +75,27 @@ def test_pseudonyms_against_python(spark):
     assert run(spark, list(cases)) == list(cases.values())
 
 
+ADJACENT = ["4111111111111111 12/27", "4111 1111 1111 1111 123", "212-555-0147 2024-03-01", "555-123-4567 555-123-4568",
+            "ES91 2100 0418 4502 0005 1332 PAID", "DE89370400440532013000 4111111111111111", "+44 20 7946 0958 555-123-4567",
+            "123-45-6789 4111-1111-1111-1111 1999-12-31", "10.20.30.40 10.20.30.41", "000-12-3456 555-123-4567", "7 4111 1111 1111 1111 3782 822463 10005"]
+
+
+def test_adjacent_values_as_if_alone(spark):
+    """Each value gets the pseudonym that it has on its own, beside digits or capitals."""
+    values = [["4111111111111111"], ["4111 1111 1111 1111"], ["212-555-0147", "2024-03-01"], ["555-123-4567", "555-123-4568"],
+              ["ES91 2100 0418 4502 0005 1332"], ["DE89370400440532013000", "4111111111111111"], ["+44 20 7946 0958", "555-123-4567"],
+              ["123-45-6789", "4111-1111-1111-1111", "1999-12-31"], ["10.20.30.40", "10.20.30.41"], ["555-123-4567"], ["4111 1111 1111 1111", "3782 822463 10005"]]
+    flat = sorted({v for vs in values for v in vs})
+    alone = dict(zip(flat, run(spark, flat)))
+    assert all(alone[v] != v for v in flat)
+    want = list(ADJACENT)
+    for i, vs in enumerate(values):
+        for v in vs:
+            want[i] = want[i].replace(v, alone[v])
+    assert run(spark, ADJACENT) == want
+    assert run(spark, [" | ".join(ADJACENT)]) == [" | ".join(want)]
+
+
 def test_pseudonyms_keep_format_and_links(spark):
     texts = ["4111 1111 1111 1111 and 4111-1111-1111-1111 and 4111111111111111", "DE89 3704 0044 0532 0130 00 or DE89370400440532013000",
              "born 1999-12-31, 31/12/1999 and 31.12.1999", "Jo.Doe@X.org jo.doe@x.org", "(988) 555-2485 is 988-555-2485 is +1 988 555 2485"]
