@@ -25,12 +25,12 @@ PATTERN = EMAIL + "|" + _EDGE + "(?:" + "|".join(p for _, p in SURE) + ")"
 IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?"
 CARD = r"[0-9](?:[ -]?[0-9]){12,18}" + _END
 IP = r"(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9A-Za-z])"
-DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})" + _END
+DATE = (r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?:(?=T[0-9]{2}(?::?[0-9]{2}|(?![0-9A-Za-z])))|" + _END + r")|(?:[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})" + _END + ")")
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _END
 _LOCAL = r"[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}" + _END
 #: A number after + takes no group with which a local number or a date starts.
 PHONE = (r"(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})"
-         rf"|\+[0-9]{{1,3}}[ .-][0-9]{{2,4}}(?:[ .-]?(?!{_LOCAL}|{DATE})[0-9]{{2,4}}){{1,4}})" + _END)
+         rf"|\+[0-9]{{1,3}}[ .-](?:[0-9][ .-])?[0-9]{{2,4}}(?:[ .-]?(?!{_LOCAL}|{DATE})[0-9]{{2,4}}){{1,4}}|\+[0-9]{{8,15}})" + _END)
 START = _EDGE + "(?=" + "|".join([IBAN, DATE, SSN, IP, CARD, PHONE]) + ")"
 #: How cards are printed: in one piece or in their usual groups; and what a card followed by other numbers looks like at least.
 CARD_GROUPS = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$"
@@ -43,6 +43,7 @@ IBAN_SIZES = ("AD24AE23AL28AT20AZ28BA20BE16BG22BH22BI27BR29BY28CH21CR22CY28CZ24D
 REACH = 64
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WALK = 128
 _FIRST_DAY, _DAYS = "1700-01-01", (189, 773)  # 400 Gregorian years have 146,097 = 189 x 773 days
 
 
@@ -109,14 +110,20 @@ def _mod97(s: str) -> str:
 
 
 def _date(m: str, key: str) -> str:
-    def one(form: str, look: str) -> str:
+    def one(form: str, among: str = "") -> str:
+        """Pseudonym in the spelling ``form``; ``among``: a condition on the day n that the value meets, and the result has to."""
+        def moved(n: str) -> str:
+            pair = feistel_number(f"{n} div {_DAYS[1]}", f"{n} % {_DAYS[1]}", _DAYS, key, "date")
+            return _let(pair, "d", f"cast(d.a * {_DAYS[1]} + d.b as int)")
         index = f"datediff(try_to_date({m}, '{form}'), date'{_FIRST_DAY}')"
-        moved = feistel_number(f"n div {_DAYS[1]}", f"n % {_DAYS[1]}", _DAYS, key, "date")
+        # moved again until the day meets the condition, as two days in three do: still a permutation of those days
+        to = f"aggregate(sequence(1, {WALK}), {moved('n')}, (n, i) -> if({among}, n, {moved('n')}))" if among else moved("n")
         # a date that is none, or lies outside the 400 years, stays
-        body = f"if(n is null or n < 0 or n >= {_DAYS[0] * _DAYS[1]}, null, " + _let(
-            moved, "d", f"date_format(date_add(date'{_FIRST_DAY}', cast(d.a * {_DAYS[1]} + d.b as int)), '{form}')") + ")"
-        return f"when {m} rlike '{look}' then " + _let(index, "n", body)
-    return f"case {one('yyyy-MM-dd', '^....-')} {one('dd/MM/yyyy', '/')} {one('dd.MM.yyyy', '[.]')} end"
+        return _let(index, "n", f"if(n is null or n < 0 or n >= {_DAYS[0] * _DAYS[1]}, null, " + _let(to, "n", f"date_format(date_add(date'{_FIRST_DAY}', n), '{form}')") + ")")
+    # a month first only where the day does not come first
+    month_first = one("MM/dd/yyyy", f"day(date_add(date'{_FIRST_DAY}', n)) > 12")
+    return (f"case when {m} rlike '^....-' then {one('yyyy-MM-dd')} when {m} rlike '/' then coalesce({one('dd/MM/yyyy')}, "
+            f"if(cast(substr({m}, 4, 2) as int) > 12, {month_first}, null)) when {m} rlike '[.]' then {one('dd.MM.yyyy')} end")
 
 
 def _beginnings(m: str, least: int) -> str:

@@ -96,6 +96,18 @@ def test_adjacent_values_as_if_alone(spark):
     assert run(spark, [" | ".join(ADJACENT)]) == [" | ".join(want)]
 
 
+def test_common_spellings(spark):
+    texts = ["2024-01-05T10:00:00Z", "2024-01-05", "+14155550123", "(415) 555-0123", "+442079460958", "+44 20 7946 0958", "+33 1 23 45 67 89", "2024-01-05T", "2024-01-05Tx", "13/13/1999", "+1234567"]
+    got = run(spark, texts)
+    assert got[0] == got[1] + "T10:00:00Z" and got[1] != texts[1]
+    assert re.fullmatch(r"\+1\d{10}", got[2]) and got[2][2:] == re.sub(r"\D", "", got[3]) and got[2] != texts[2]
+    assert got[4] == got[5].replace(" ", "") and got[4] != texts[4] and re.fullmatch(r"\+3\d \d \d\d \d\d \d\d \d\d", got[6]) and got[6] != texts[6]
+    assert got[7:] == texts[7:]
+    days = [f"{m:02d}/{d}/{y}" for y in range(1990, 2000) for m in range(1, 13) for d in range(13, 29)]
+    moved = run(spark, days)
+    assert len(set(moved)) == len(days) and all(re.fullmatch(r"(0\d|1[0-2])/(1[3-9]|2\d|3[01])/\d{4}", m) for m in moved)
+
+
 def test_pseudonyms_keep_format_and_links(spark):
     texts = ["4111 1111 1111 1111 and 4111-1111-1111-1111 and 4111111111111111", "DE89 3704 0044 0532 0130 00 or DE89370400440532013000",
              "born 1999-12-31, 31/12/1999 and 31.12.1999", "Jo.Doe@X.org jo.doe@x.org", "(988) 555-2485 is 988-555-2485 is +1 988 555 2485"]
