@@ -16,7 +16,7 @@ ROUNDS = 8
 _EDGE, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}" + _END
 SECRET = r"AKIA[0-9A-Z]{16}" + _END
-ASSIGNED = r"(?:token|secret|password|api_key) = \"[0-9A-Za-z]{16,128}\""
+ASSIGNED = r"(?:token|secret|password|api_key) = \"[0-9A-Za-z]{16,}\""
 #: Kinds without a check; at one place in this order.
 SURE = [("secret", SECRET), ("assigned", ASSIGNED)]
 PATTERN = EMAIL + "|" + _EDGE + "(?:" + "|".join(p for _, p in SURE) + ")"
@@ -61,17 +61,17 @@ def _chars(s: str) -> str:
 
 
 def _shift(s: str, pad: str, alphabets: list[str]) -> str:
-    """Each character of ``s`` moved within its alphabet by the hex digits of ``pad``; others stay."""
+    """Each character of ``s`` moved within its alphabet by eight hex digits of ``pad``, an array of 64 digits each; others stay."""
     cases = " ".join(
-        f"when instr({_sql(a)}, c) > 0 then substr({_sql(a)}, cast((instr({_sql(a)}, c) - 1 + cast(conv(substr(p, 8 * i + 1, 8), 16, 10) as bigint)) % {len(a)} as int) + 1, 1)"
+        f"when instr({_sql(a)}, c) > 0 then substr({_sql(a)}, cast((instr({_sql(a)}, c) - 1 + cast(conv(substr(p[i div 8], 8 * (i % 8) + 1, 8), 16, 10) as bigint)) % {len(a)} as int) + 1, 1)"
         for a in alphabets)
     return _let(pad, "p", f"array_join(transform({_chars(s)}, (c, i) -> case {cases} else c end), '')")
 
 
 def feistel_text(s: str, key: str, kind: str, alphabets: list[str]) -> str:
     """A keyed permutation of the strings with the same alphabet at every place. ``s``: a variable or column name."""
-    pad = (f"array_join(transform(sequence(0, cast(length(h.a) div 8 as int)), b -> "
-           f"sha2(concat_ws('|', {key}, '{kind}', r, b, h.b), 256)), '')")
+    pad = (f"transform(sequence(0, cast(length(h.a) div 8 as int)), b -> "
+           f"sha2(concat_ws('|', {key}, '{kind}', r, b, h.b), 256))")
     # a round shifts the first half by the second and swaps them; an even number of rounds restores their places
     step = f"named_struct('a', h.b, 'b', {_shift('h.a', pad, alphabets)})"
     start = f"named_struct('a', substr({s}, 1, cast(length({s}) div 2 as int)), 'b', substr({s}, cast(length({s}) div 2 as int) + 1))"
@@ -214,7 +214,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", into: str = "tex
     whole = _let(done, "r0", _let(gaps, "gs", "named_struct('text', array_join(zip_with(gs, r0, (g, x) -> concat(g.text, coalesce(x.new, ''))), ''), "
                                   "'n', aggregate(gs, 0L, (s, g) -> s + g.n) + cast(size(filter(r0, x -> x.old <> x.new)) as bigint))"))
     plain = f"named_struct('text', {spot}, 'n', 0L)"
-    held = docs.withColumn("_pii", F.expr(f"case when {spot} rlike '[0-9@]' then {whole} else {plain} end"))
+    held = docs.withColumn("_pii", F.expr(f'''case when {spot} rlike '[0-9@]|AKIA|= "' then {whole} else {plain} end'''))
     out = [F.col(f"`{c}`") if c != into else F.col("_pii.text").alias(into) for c in docs.columns]
     if into not in docs.columns:
         out.append(F.col("_pii.text").alias(into))
