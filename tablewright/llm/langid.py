@@ -23,13 +23,13 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 CACHE_WORDS = 100_000
 
 
-def vocabulary(path: str, longest: int) -> list[str]:
-    """Lower-cased letter pieces (with the word-start mark) of a sentencepiece model, up to ``longest`` characters."""
+def vocabulary(path: str) -> list[str]:
+    """All lower-cased letter pieces (with the word-start mark) of a sentencepiece model."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
-    return sorted(p for p in pieces if len(p) <= longest and WORD.fullmatch(p.removeprefix(START) or "a"))
+    return sorted(p for p in pieces if WORD.fullmatch(p.removeprefix(START) or "a"))
 
 
 def _hashes(points: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -118,7 +118,7 @@ def fit(counts: pd.DataFrame, pieces: list[str], longest: int, rounds: int = 5,
     return model
 
 
-def train(docs: DataFrame, vocab_path: str, rows_per_lang: int = 200, max_langs: int = 200, longest: int = 8,
+def train(docs: DataFrame, vocab_path: str, rows_per_lang: int = 200, max_langs: int = 200,
           text: str = "text", lang: str = "lang", doc_id: str = "doc_id", seed: int = 11) -> LanguageModel | None:
     """Fit on about ``rows_per_lang`` whole texts of each of the ``max_langs`` most frequent languages.
 
@@ -140,7 +140,8 @@ def train(docs: DataFrame, vocab_path: str, rows_per_lang: int = 200, max_langs:
     counts = picked.select("lang", "text").mapInPandas(words, "lang string, word string").groupBy("lang", "word").agg(F.count("*").alias("n")).toPandas()
     if not len(counts):
         return None
-    return fit(counts.sort_values(["lang", "word"], ignore_index=True), vocabulary(vocab_path, longest), longest)
+    pieces = vocabulary(vocab_path)
+    return fit(counts.sort_values(["lang", "word"], ignore_index=True), pieces, max(map(len, pieces)))
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text", carry: tuple = ("doc_id",), prefix: str = "") -> DataFrame:

@@ -58,6 +58,13 @@ def test_language_edges(spark):
     assert langid.identify(none_of(spark), model).count() == 0
 
 
+def test_language_uses_the_whole_vocabulary(spark):
+    pieces = langid.vocabulary(PIECES)
+    model = langid.train(edge_docs(spark), PIECES)
+    assert model.longest == max(map(len, pieces)) == 16
+    assert len(model.keys) == len(set(pieces))
+
+
 def test_toxicity_learns_unseen_spellings(spark):
     rng = np.random.default_rng(1)
     calm = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}en" for i in range(300)]
