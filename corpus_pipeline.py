@@ -22,8 +22,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents in which a language is recognised with a posterior of a half or more.
 
     The model learns from this stage's own rows that name a language. Null texts and texts without a letter go.
+    Where there are texts but nothing names a language, nothing can be recognised: that is an error.
     """
     model = langid.train(docs, public_tokenizers.path(LANG_MODEL))
+    if model is None and not docs.where(F.col("text").rlike(r"\p{L}")).isEmpty():
+        raise ValueError("no text names its language in column lang: nothing to learn from")
     found = langid.identify(docs, model, carry=tuple(docs.columns), prefix="_id_")
     return found.where("_id_lang_pred <> 'und' and _id_score >= 0.5").select(*docs.columns)
 

@@ -83,15 +83,20 @@ class LanguageModel:
         return out
 
 
-def fit(counts: pd.DataFrame, pieces: list[str], longest: int, rounds: int = 5, smooth: float = 0.1) -> LanguageModel:
-    """Expectation-maximisation of each language's piece probabilities from its word counts (lang, word, n)."""
-    langs = sorted(counts["lang"].unique())
+def _keys(pieces: list[str], longest: int) -> np.ndarray:
+    """The pieces' hashes, sorted."""
     key = np.zeros(len(pieces), np.uint64)
     for own, points in by_length(pieces):
         for k, h in _hashes(points, longest):
             if k == points.shape[1]:
                 key[own] = h[:, 0]
-    model = LanguageModel(langs, np.unique(key), np.empty(0), longest)
+    return np.unique(key)
+
+
+def fit(counts: pd.DataFrame, pieces: list[str], longest: int, rounds: int = 5, smooth: float = 0.1) -> LanguageModel:
+    """Expectation-maximisation of each language's piece probabilities from its word counts (lang, word, n)."""
+    langs = sorted(counts["lang"].unique())
+    model = LanguageModel(langs, _keys(pieces, longest), np.empty(0), longest)
     size = len(model.keys) + 1
     model.prob = np.full((size, len(langs)), 1.0 / size)
     for c, lang in enumerate(langs):
@@ -118,30 +123,36 @@ def fit(counts: pd.DataFrame, pieces: list[str], longest: int, rounds: int = 5,
     return model
 
 
-def train(docs: DataFrame, vocab_path: str, rows_per_lang: int = 200, max_langs: int = 200,
+def train(docs: DataFrame, vocab_path: str, rows_per_lang: int = 200,
           text: str = "text", lang: str = "lang", doc_id: str = "doc_id", seed: int = 11) -> LanguageModel | None:
-    """Fit on about ``rows_per_lang`` whole texts of each of the ``max_langs`` most frequent languages.
+    """Fit on about ``rows_per_lang`` whole texts of every language.
 
-    These two bounds keep what reaches the driver independent of the input: a hash of the id picks the rows. Only
-    word counts are collected. Rows without text or language are left out; None if no word is left.
+    A hash of the id picks the rows, so what one language learns from does not grow with the input. Each language is
+    fitted by a task of its own; the driver gets its piece probabilities (eight bytes a piece and language). Rows without
+    text or language are left out; None if no word is left.
     """
     known = text_batches(docs).where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(doc_id).alias("i"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    total = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
-    if not total:
-        return None
-    share = F.create_map(*[F.lit(x) for k, n in total.items() for x in (k, rows_per_lang / n)])
-    picked = known.where(uniform(F.col("i"), seed=seed) < F.coalesce(share[F.col("lang")], F.lit(0.0)))
+    total = known.groupBy("lang").agg(F.count("*").alias("n"))
+    picked = known.join(F.broadcast(total), "lang").where(uniform(F.col("i"), seed=seed) < F.lit(float(rows_per_lang)) / F.col("n"))
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame([(g, w) for g, t in zip(b["lang"], b["text"]) for w in WORD.findall(t.lower())], columns=["lang", "word"])
 
-    counts = picked.select("lang", "text").mapInPandas(words, "lang string, word string").groupBy("lang", "word").agg(F.count("*").alias("n")).toPandas()
-    if not len(counts):
-        return None
     pieces = vocabulary(vocab_path)
-    return fit(counts.sort_values(["lang", "word"], ignore_index=True), pieces, max(map(len, pieces)))
+    longest = max(map(len, pieces))
+    sent = docs.sparkSession.sparkContext.broadcast(pieces)
+
+    def learnt(own: pd.DataFrame) -> pd.DataFrame:
+        model = fit(own.sort_values("word", ignore_index=True), sent.value, longest)
+        return pd.DataFrame({"lang": model.langs, "prob": [model.prob[:, 0].tobytes()]})
+
+    counts = picked.select("lang", "text").mapInPandas(words, "lang string, word string").groupBy("lang", "word").agg(F.count("*").alias("n"))
+    rows = sorted(counts.groupBy("lang").applyInPandas(learnt, "lang string, prob binary").collect(), key=lambda r: r["lang"])
+    if not rows:
+        return None
+    return LanguageModel([r["lang"] for r in rows], _keys(pieces, longest), np.column_stack([np.frombuffer(r["prob"]) for r in rows]), longest)
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text", carry: tuple = ("doc_id",), prefix: str = "") -> DataFrame:
@@ -151,7 +162,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text", c
     text, a text without a letter and an untrained model give ``und`` with score 0. Whole texts are scored; a task
     holds one Arrow batch and a bounded cache of word scores. Other columns of ``docs`` are not returned.
     """
-    # plain arrays, bounded by vocabulary x max_langs
+    # plain arrays of the size of vocabulary x languages
     sent = docs.sparkSession.sparkContext.broadcast(model and (model.langs, model.keys, model.prob, model.longest))
 
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 from helpers import TEXTS, edge_docs, none_of
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from check_oracle import compare
@@ -53,6 +54,12 @@ def test_stages_on_nothing(spark, tmp_path):
     assert docs.count() == 0
 
 
+def test_language_with_nothing_to_learn_from(spark):
+    docs = edge_docs(spark).drop("ids").withColumn("lang", F.lit(None).cast("string"))
+    with pytest.raises(ValueError):
+        corpus_pipeline.language(spark, docs, "")
+
+
 def test_pipeline_keeps_clean_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     language = corpus_pipeline.language(spark, docs, sf)

@@ -9,6 +9,7 @@ from helpers import TEXTS, edge_docs, none_of
 from pyspark.sql import functions as F
 
 from tablewright.llm import bpe, langid, queries, toxicity
+from tablewright.session import small_frame
 
 RANKS, PIECES = P.path("byte_bpe_50k.tiktoken"), P.path("piece_bpe_32k.model")
 
@@ -58,6 +59,15 @@ def test_language_edges(spark):
     assert langid.identify(none_of(spark), model).count() == 0
 
 
+def test_every_language_is_learnt(spark):
+    rows = [(i, f"{chr(97 + k // 26) * 3}{chr(97 + k % 26) * 3} {chr(97 + k % 26) * 2}{chr(97 + k // 26) * 4}" * 3, f"l{k:03d}") for i, k in enumerate(list(range(230)) * 2)]
+    docs = small_frame(spark, rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, PIECES)
+    assert model.langs == [f"l{k:03d}" for k in range(230)]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, model).collect()}
+    assert sum(got[i] == n for i, _, n in rows) > 0.9 * len(rows)
+
+
 def test_language_uses_the_whole_vocabulary(spark):
     pieces = langid.vocabulary(PIECES)
     model = langid.train(edge_docs(spark), PIECES)
