@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablewright.llm import bpe, embeddings, fingerprint, langid, licenses, minhash, mixing, pii, toxicity, url_filter
+from tablewright.llm import (bpe, embeddings, fingerprint, langid, licenses, merkle, minhash, mixing, packing, pii, toxicity,
+                             url_filter)
 from tablewright.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +142,50 @@ def op10(spark, sf):
     out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out")
     model = langid.train(docs.where(fold("doc_id", 4) != 2), public_tokenizers.path("piece_bpe_32k.model"))
     return langid.identify(docs, model, carry=("doc_id", out))
+
+
+
+def _leaf_sql(text: str) -> str:
+    field = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR) END"
+    return "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+# crc32, bit by bit: each byte enters before the first of its eight steps
+_ODD_CRC = """list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(d) + 1),
+  lambda i: [ascii(d[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda c, e: xor(xor(c, e) >> 1, 3988292384 * (xor(c, e) & 1)))"""
+
+
+@query("op11_merkle_manifest", f"""
+WITH RECURSIVE leaves AS (SELECT doc_id, coalesce('s' || source, 'n') AS tree, {_leaf_sql('text')} AS leaf,
+    {_leaf_sql("replace(text, chr(10), '')")} AS cleaned, CAST(doc_id AS VARCHAR) AS d FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n,
+    CASE WHEN d IS NOT NULL AND xor({_ODD_CRC}, 4294967295) % 2 = 0 THEN cleaned ELSE leaf END AS seen FROM leaves),
+low(tree, lvl, pos, n, h) AS (SELECT tree, 0, pos, n, leaf FROM placed
+  UNION ALL SELECT tree, lvl + 1, pos // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY tree, lvl, pos // 3),
+subroots AS (SELECT tree, lvl AS height, h AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+high(lvl, pos, n, h) AS (SELECT 0, pos, n, subroot FROM subroots
+  UNION ALL SELECT lvl + 1, pos // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY lvl, pos // 3),
+sides AS (SELECT x.tree, x.lvl, x.pos, coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (y.pos < x.pos), '') AS l,
+    coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (y.pos > x.pos), '') AS r
+  FROM (SELECT * FROM low WHERE n > 1 UNION ALL SELECT NULL, * FROM high WHERE n > 1) x
+  JOIN (SELECT * FROM low UNION ALL SELECT NULL, * FROM high) y ON x.tree IS NOT DISTINCT FROM y.tree AND x.lvl = y.lvl AND x.pos // 3 = y.pos // 3
+  GROUP BY x.tree, x.lvl, x.pos),
+steps(tree, start, lvl, pos, step, h, proof, last) AS (
+  SELECT tree, pos, 0, pos, 0, seen, '', false FROM placed
+  UNION ALL SELECT s.tree, start, CASE WHEN up THEN 1 ELSE s.lvl + 1 END, (CASE WHEN up THEN o.pos ELSE s.pos END) // 3, step + 1, sha256(d.l || s.h || d.r),
+    proof || d.l || d.r, s.last OR up
+  FROM (SELECT steps.*, subroots.pos AS own, lvl >= height AND NOT last AS up FROM steps JOIN subroots USING (tree)) s
+  JOIN subroots o ON s.tree = o.tree
+  JOIN sides d ON d.tree IS NOT DISTINCT FROM (CASE WHEN up OR s.last THEN NULL ELSE s.tree END) AND d.lvl = (CASE WHEN up THEN 0 ELSE s.lvl END)
+    AND d.pos = (CASE WHEN up THEN own ELSE s.pos END)),
+ended AS (SELECT tree, start, arg_max(h, step) AS folded, sha256(arg_max(proof, step)) AS proof FROM steps GROUP BY tree, start),
+top AS (SELECT h AS root FROM high WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, proof AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM placed p JOIN ended e ON p.tree = e.tree AND p.pos = e.start JOIN subroots s ON s.tree = p.tree CROSS JOIN top""")
+def op11(spark, sf):
+    return merkle.manifest(table(spark, sf, "documents"))
+
+
+@query("op12_best_fit_packing")
+def op12(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 2048)
