@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablewright.llm import (bpe, embeddings, fingerprint, langid, licenses, merkle, minhash, mixing, packing, pii, toxicity,
-                             url_filter)
+from tablewright.llm import (bpe, collocations, embeddings, fingerprint, langid, licenses, merkle, minhash, mixing, packing, pii,
+                             toxicity, url_filter)
 from tablewright.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +189,27 @@ def op11(spark, sf):
 @query("op12_best_fit_packing")
 def op12(spark, sf):
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 2048)
+
+
+def _grams_sql(k: int) -> str:
+    return (f"SELECT lang, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i : i + {k - 1}], ' '))) AS g, {k} AS k"
+            f" FROM words WHERE len(w) >= {k}")
+
+
+@query("op13_phrase_collocations", f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+f AS (SELECT lang, g, k, count(*) AS f FROM ({' UNION ALL '.join(_grams_sql(k) for k in (1, 2, 3, 4))}) GROUP BY ALL HAVING count(*) >= 30),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+c AS (SELECT lang, g, k, f AS a, string_split(g, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT c.*, j, array_to_string(w[1:j], ' ') AS gl, array_to_string(w[j+1:], ' ') AS gr FROM c, (SELECT unnest([1, 2, 3]) AS j) WHERE j < k),
+scored AS (SELECT cuts.*, x.f AS l, y.f AS r, CAST(2000000 * CAST(a AS HUGEINT) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.g = gl JOIN f y ON y.lang = cuts.lang AND y.g = gr),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+kept AS (SELECT * FROM lowest s WHERE NOT EXISTS (SELECT 1 FROM c x WHERE x.lang = s.lang AND x.k > s.k
+  AND contains(' ' || x.g || ' ', ' ' || s.g || ' ') AND 100 * CAST(x.a AS HUGEINT) >= 80 * CAST(s.a AS HUGEINT)))
+SELECT lang, rank, g AS phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(g)) AS rank FROM kept) JOIN total USING (lang) WHERE rank <= 2000""")
+def op13(spark, sf):
+    return collocations.collocations(table(spark, sf, "documents"))
