@@ -1,13 +1,14 @@
-"""Tree learners on Spark ML, model-based imputation and side-by-side prediction."""
+"""Trees and boosting on Spark ML, forests, model-based imputation and side-by-side prediction."""
 
 from __future__ import annotations
 
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.operators.filters import require
+from tablewright.operators.forests import Forest, fit_forest
 
 VECTOR = "_features"
 
@@ -28,16 +29,10 @@ def decision_tree(df: DataFrame, features, label: str, max_depth: int = 30, seed
     return t.fit(assemble(require(df, label), features))
 
 
-def random_forest(df: DataFrame, features, label: str, trees: int = 100, max_depth: int = 10,
-                  min_split: int = 2, seed: int = 42) -> Model:
-    """Forest that considers every feature at each split.
-
-    Growing 100 trees to purity takes minutes on ten thousand rows of a noisy label; ``max_depth`` up to 30 is there for that.
-    """
-    f = RandomForestRegressor(featuresCol=VECTOR, labelCol=label, numTrees=trees, maxDepth=max_depth,
-                              minInstancesPerNode=max(1, min_split // 2), featureSubsetStrategy="all", seed=seed,
-                              maxMemoryInMB=1024)
-    return f.fit(assemble(require(df, label), features))
+def random_forest(df: DataFrame, features, label: str, trees: int = 100, max_depth: int | None = None,
+                  min_split: int = 2, seed: int = 42) -> Forest:
+    """Forest that considers every feature at each split, grown to purity unless ``max_depth`` is set."""
+    return fit_forest(df, features, label, trees, max_depth, min_split, seed)
 
 
 def boosted_early_stop(df: DataFrame, features, label: str, is_validation: str, rounds: int = 50,
@@ -48,17 +43,22 @@ def boosted_early_stop(df: DataFrame, features, label: str, is_validation: str,
     return g.fit(assemble(require(df, label, is_validation), features))
 
 
-def score(df: DataFrame, model: Model, features, into: str) -> DataFrame:
+def score(df: DataFrame, model: Model | Forest, features, into: str) -> DataFrame:
     """Add a model's prediction column; the input columns are kept."""
+    if isinstance(model, Forest):
+        return model.predict(df, into)
     out = model.transform(assemble(df, features))
     return out.withColumnRenamed(model.getPredictionCol(), into).drop(VECTOR)
 
 
-def score_all(df: DataFrame, models: dict[str, Model], features) -> DataFrame:
+def score_all(df: DataFrame, models: dict[str, Model | Forest], features) -> DataFrame:
     """Predictions of several models side by side."""
     out = assemble(df, features)
     for name, model in models.items():
-        out = model.transform(out).withColumnRenamed(model.getPredictionCol(), name)
+        if isinstance(model, Forest):
+            out = model.predict(out, name)
+        else:
+            out = model.transform(out).withColumnRenamed(model.getPredictionCol(), name)
     return out.drop(VECTOR)
 
 
@@ -67,7 +67,7 @@ def long_predictions(df: DataFrame, ids, names) -> DataFrame:
     return df.unpivot(list(ids), list(names), "model", "prediction")
 
 
-def forest_impute(df: DataFrame, features, target: str, trees: int = 100, max_depth: int = 10, seed: int = 42) -> DataFrame:
+def forest_impute(df: DataFrame, features, target: str, trees: int = 100, max_depth: int | None = None, seed: int = 42) -> DataFrame:
     """Fill missing targets with a forest trained on the rows that have one.
 
     Rows missing a feature cannot be predicted and stay as they are.
