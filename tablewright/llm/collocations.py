@@ -93,7 +93,8 @@ def _marks(texts: DataFrame, least: int, longest: int) -> np.ndarray:
             places = np.sort(np.concatenate([h[there] for h, there in _hashes(*block, longest)]))
             cuts = np.searchsorted(places, np.arange(1, RANGES, dtype=np.uint64) * np.uint64(VALUES))
             found = [(i, _packed(own - np.uint32(i * VALUES), squeeze)) for i, own in enumerate(np.split(places, cuts)) if len(own)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), shape)], schema=shape)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), shape)], schema=shape)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The marks of each range. Its rows follow one another; few values are sorted, more are counted in place."""

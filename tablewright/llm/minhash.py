@@ -22,7 +22,8 @@ from tablewright.session import cut_lineage
 
 MISS = 1e-7       # probability that a pair at the threshold shares no band
 WIDE = 4096       # bits of the sketch that compares texts of one bucket in different components
-MARKS = 1 << 23   # bits of the bitmap that picks candidates' texts
+MARKS = 1 << 23   # bits of the bitmap that picks candidates' texts, and keys with company
+TILE = 256        # members of a bucket that are compared with as many others at a time
 SLACK = 7.0       # standard deviations by which a linked pair's sketch may disagree more than expected
 _NONE, _LOW40 = np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64((1 << 40) - 1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -147,6 +148,42 @@ def _wide(texts: DataFrame, size: int) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, wide array<long>")
 
 
+def _across(rest: DataFrame, full: DataFrame, threshold: float, percent: int) -> DataFrame:
+    """(a, b): pairs of a bucket in different components whose sizes and wide sketches allow a link.
+
+    ``rest`` holds (doc_id, key, component_id, tiles). The members of a bucket are dealt into its tiles of about TILE, and a
+    group compares two tiles, so no group grows with the bucket. A pair is told in the first of the buckets it shares.
+    """
+    apart = (1 - threshold) / 2
+    most = WIDE * apart + SLACK * math.sqrt(WIDE * apart * (1 - apart))
+    tile = F.pmod(F.xxhash64("doc_id", F.lit(7)), "tiles").cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
+    dealt = rest.withColumn("tile", tile).select("doc_id", "key", "component_id", "tile", other).select(
+        "doc_id", "key", "component_id", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")).join(full, "doc_id")
+    shape = to_arrow_schema(T.StructType.fromDDL("a long, b long"))
+
+    def compare(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        band, i, j = (k.as_py() for k in key)
+        ids, own, tile, n = (group[c].to_numpy() for c in ("doc_id", "component_id", "tile", "n"))
+        if own.min() == own.max():
+            return shape.empty_table()
+        sketches = group["wide"].combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(ids), -1)
+        bands = group["bands"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+        found = []
+        for x in np.flatnonzero(tile == i):
+            fits = (tile == j) & (own != own[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
+            if i == j:
+                fits &= ids > ids[x]
+            at = np.flatnonzero(fits)
+            at = at[np.bitwise_count(sketches[at] ^ sketches[x]).sum(axis=1, dtype=np.int64) <= most]
+            same = bands[at] == bands[x]
+            at = at[bands[x][same.argmax(axis=1)] == band] if len(at) else at
+            found += [(min(a, b), max(a, b)) for a, b in zip(ids[at].tolist(), [int(ids[x])] * len(at))]
+        return pa.Table.from_pylist([{"a": a, "b": b} for a, b in found], schema=shape)
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs``; other columns are not returned.
 
@@ -157,8 +194,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
 
     Equal sets are merged first, so a group of copies counts once from then on. Band buckets are not expanded into
     pairs: every text meets the smallest id of all its buckets, one pair a text. Only buckets whose members are still
-    in different components after that compare those members, behind the size bound and a sharper sketch, so no link
-    between different texts is lost beyond MISS and SLACK. All links are confirmed on full shingle sets.
+    in different components after that compare those members, tile by tile behind the size bound and a sharper sketch, so no
+    link between different texts is lost beyond MISS and SLACK. All links are confirmed on full shingle sets.
     """
     threshold = percent / 100
     docs = text_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -177,7 +214,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
 
     keys = sets.select("doc_id", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.count("*").alias("c"), F.min("doc_id").alias("first")).where("c > 1").select("key", "first")
-    members = cut_lineage(keys.join(buckets, "key"), "buckets")
+    buckets = cut_lineage(buckets, "buckets")
+    # most keys are alone in their bucket and stay where they are
+    members = cut_lineage(keys.where(_marked(buckets.select("key"), F.col("key"))).join(buckets, "key"), "members")
     star = members.where("doc_id <> first").groupBy(F.col("doc_id").alias("b")).agg(F.min("first").alias("a"))
     side = sets.select("doc_id", F.struct("n", "bits").alias("s"))
     star = star.join(side.toDF("b", "y"), "b").join(side.toDF("a", "x"), "a")
@@ -187,21 +226,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
 
     labelled = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
         "component_id", F.coalesce("component_id", "doc_id"))
-    open_keys = labelled.groupBy("key").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo < hi").select("key")
-    rest = cut_lineage(labelled.join(open_keys, "key").select("doc_id", "key", "component_id"), "rest")
+    open_keys = labelled.groupBy("key").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi"), F.count("*").alias("c"))
+    open_keys = cut_lineage(open_keys.where("lo < hi").select("key", F.ceil(F.col("c") / TILE).cast("int").alias("tiles")), "open")
+    rest = cut_lineage(labelled.join(open_keys, "key").select("doc_id", "key", "component_id", "tiles"), "rest")
     wide = _wide(_one_text(texts, rest.select("doc_id").distinct()), size)
     full = cut_lineage(wide.join(sets.select("doc_id", "n", "bands"), "doc_id"), "wide")
-    rest = rest.join(full, "doc_id")
-    # a pair is told in the first of the buckets it shares
-    once = "array_position(zip_with(x.bands, y.bands, (p, q) -> p = q), true) = array_position(x.bands, x.key)"
-    more = rest.alias("x").join(rest.alias("y"), F.expr(
-        f"x.key = y.key and x.doc_id < y.doc_id and x.component_id <> y.component_id and {fits('x', 'y', WIDE, 'wide')} and {once}"))
-    more = cut_lineage(more.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct(), "pairs")
+    more = cut_lineage(_across(rest, full, threshold, percent).distinct(), "pairs")
     extra = cut_lineage(_confirmed(more, texts, size, percent), "links")
     found = found if extra.isEmpty() else components(linked.union(extra))
 
-    first = base.where("n > 0 and doc_id is not null").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("first"), F.count("*").alias("c")).where("c > 1")
-    owner = base.drop("bands", "bits").join(first.drop("c"), ["n", "d1", "d2"], "left").withColumn("first", F.coalesce("first", "doc_id"))
+    known = base.drop("bands", "bits").where("n > 0 and doc_id is not null")
+    first = known.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
+    copies = known.join(cut_lineage(first, "copies"), ["n", "d1", "d2"], "left").select("doc_id", "n", F.coalesce("first", "doc_id").alias("first"))
+    alone = base.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("first"))
+    owner = copies.union(alone)
     out = owner.join(found.withColumnRenamed("node", "first"), "first", "left")
     component = F.coalesce("component_id", "first")
     return out.select(F.col("doc_id").alias(doc_id), F.col("n").alias("n_shingles"), component.alias("component_id"),
@@ -210,18 +248,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
 
 def _one_text(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """The texts of the given ids, repeated rows once (dealt by id already, so this moves nothing)."""
-    near = texts.where(_marked(ids, F.col("doc_id")))
+    near = texts.where(_marked(ids.select("doc_id"), F.col("doc_id")))
     return near.join(ids, "doc_id").groupBy("doc_id", "text").agg(F.lit(1).alias("one")).drop("one")
 
 
 def _marked(ids: DataFrame, of: Column) -> Column:
-    """True for every given id, and for few others: a bitmap of hashed ids, of MARKS bits at most, so that a join with
-    ``ids`` need not move the texts of all documents. Beyond some millions of ids it passes more, and the join decides."""
+    """True for every number in the only column of ``ids``, and for few others: a bitmap of hashes, of MARKS bits at most, so
+    that a join need not move all rows. Beyond some millions of numbers it passes more, and the join decides."""
     def place(c: Column) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(MARKS))
 
-    each = ids.groupBy(F.bitmap_bucket_number(place(F.col("doc_id"))).alias("k")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place(F.col("doc_id")))).alias("m"))
+    number = F.col(ids.columns[0])
+    each = ids.groupBy(F.bitmap_bucket_number(place(number)).alias("k")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place(number))).alias("m"))
     marks = each.agg(F.map_from_entries(F.collect_list(F.struct("k", "m")))).scalar()
     bit = F.bitmap_bit_position(place(of))
     byte = F.substring(F.try_element_at(marks, F.bitmap_bucket_number(place(of))), F.floor(bit / 8).cast("int") + 1, F.lit(1))
