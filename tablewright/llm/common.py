@@ -25,6 +25,14 @@ def text_batches(df: DataFrame, rows: int = 500) -> DataFrame:
     return df
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with as many more underscores before it as no column has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def fold(doc_id: str, folds: int) -> Column:
     """crc32 of the id written as text, modulo ``folds``."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds

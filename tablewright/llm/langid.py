@@ -15,7 +15,8 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from tablewright.llm.common import by_length, grown, sliced, text_batches, uniform
+from tablewright.llm.common import by_length, grown, sliced, text_batches, uniform, unused
+from tablewright.session import measured
 
 WORD = regex.compile(r"\p{L}+")
 START = "▁"
@@ -134,7 +135,7 @@ def train(docs: DataFrame, vocab_path: str, rows_per_lang: int = 200,
     known = text_batches(docs).where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(doc_id).alias("i"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     total = known.groupBy("lang").agg(F.count("*").alias("n"))
-    picked = known.join(F.broadcast(total), "lang").where(uniform(F.col("i"), seed=seed) < F.lit(float(rows_per_lang)) / F.col("n"))
+    picked = known.join(measured(total), "lang").where(uniform(F.col("i"), seed=seed) < F.lit(float(rows_per_lang)) / F.col("n"))
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -192,4 +193,6 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text", c
 
     udf = F.pandas_udf(scored, "lang_pred string, score double")
     names = docs.select(*carry).columns
-    return text_batches(docs).select(*carry, udf(F.col(text)).alias("_p")).select(*names, F.col("_p.lang_pred").alias(f"{prefix}lang_pred"), F.col("_p.score").alias(f"{prefix}score"))
+    own = unused(names, "_p")
+    out = text_batches(docs).select(*carry, udf(F.col(text)).alias(own))
+    return out.select(*[F.col(f"`{n}`") for n in names], F.col(f"{own}.lang_pred").alias(f"{prefix}lang_pred"), F.col(f"{own}.score").alias(f"{prefix}score"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.llm.common import uniform
+from tablewright.llm.common import uniform, unused
 from tablewright.session import measured
 
 SEED = 20
@@ -65,17 +65,20 @@ def poisson_count(key: Column, rate: Column, seed: int) -> Column:
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, size: float = 1.0, doc_id: str = "doc_id",
         source: str = "source", units: Column | None = None, seed: int = SEED, extra: bool = True) -> DataFrame:
-    """The mixture in random order: the columns of ``docs``, with ``extra`` also _copy, _rate and _order.
+    """The mixture in random order: the columns of ``docs``, with ``extra`` also _copy, _rate and _order (with more
+    underscores where ``docs`` has such columns).
 
     Every row is repeated by its Poisson count (0 leaves it out), all columns kept. Rows that repeat an id are repeated
-    alike. A null id draws as the empty id. The order is that of a hash of seed, id and copy number: one range
-    shuffle of the exploded rows over all tasks, sorted within. An empty table gives no rows.
+    alike. A null id draws as the empty id. The order is that of a hash of seed, id and copy number, which is uniform: its
+    equal parts are the ranges of the one shuffle of the exploded rows, sorted within. An empty table gives no rows.
     """
     table = rates(docs, source, units, weights, power, size)
-    mine = table.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"))
-    joined = docs.join(mine, F.col(source).eqNullSafe(F.col("_source")))
-    copies = poisson_count(F.col(doc_id), F.col("_rate"), seed)
-    many = joined.withColumn("_copies", copies).where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    order = uniform(F.col(doc_id), F.col("_copy"), seed=seed + 1)
-    out = many.withColumn("_order", order).orderBy("_order", doc_id, "_copy")
-    return out.select(*docs.columns, *(["_copy", "_rate", "_order"] if extra else []))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).alias("id"), F.col(source).alias("of"))
+    joined = rows.join(table.select(F.col("source").alias("name"), "rate"), F.col("of").eqNullSafe(F.col("name")))
+    drawn = joined.withColumn("copies", poisson_count(F.col("id"), F.col("rate"), seed)).where("copies > 0")
+    many = drawn.select("row", "id", "rate", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = many.withColumn("place", uniform(F.col("id"), F.col("copy"), seed=seed + 1))
+    dealt = placed.repartitionById(parts, F.floor(F.col("place") * parts).cast("int")).sortWithinPartitions("place", "id", "copy")
+    own = [F.col(c).alias(unused(docs.columns, n)) for c, n in (("copy", "_copy"), ("rate", "_rate"), ("place", "_order"))]
+    return dealt.select("row.*", *(own if extra else []))

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tablewright.llm.common import unused
+
 ROUNDS = 8
 
 _EDGE, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
@@ -41,6 +43,7 @@ IBAN_SIZES = ("AD24AE23AL28AT20AZ28BA20BE16BG22BH22BI27BR29BY28CH21CR22CY28CZ24D
               "QA29RO24RS22RU33SA24SC31SD18SE24SI19SK24SM27SO23ST25SV28TL23TN24TR26UA29VA22VG24XK20YE30")
 #: Pieces of text that hold any value of a checked kind: each has a character at least.
 REACH = 64
+RUN = 256  # pieces of a text put together at a time
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WALK = 128
@@ -191,10 +194,13 @@ def _checked(gap: str, found: str) -> str:
             + _let(rest, "f", "if(f is null, named_struct('out', concat(s.out, array(cut[j - 1])), 'skip', 0, 'n', s.n), "
                    "named_struct('out', concat(s.out, array(f.new, substr(cut[j - 1], length(f.old) + 1))), 'skip', greatest(length(f.old) - length(cut[j - 1]), 0), "
                    "'n', s.n + if(f.old <> f.new, 1L, 0L)))") + ")")
+    # the pieces are put together RUN at a time, so a list of very many values is not copied for each of them
+    run = _let(f"aggregate(sequence(k, least(k + {RUN - 1}, size(cut))), named_struct('out', cast(array() as array<string>), 'skip', a.skip, 'n', a.n), (s, j) -> {step})", "b",
+               "named_struct('out', concat(a.out, array(array_join(b.out, ''))), 'skip', b.skip, 'n', b.n)")
     # two characters before the text, so that there are some before every piece but the first
     return _let(f"split(concat('\\n\\n', {gap}), {_sql(START)}, -1)", "cut",
-                "if(size(cut) = 1, named_struct('text', " + gap + ", 'n', 0L), aggregate(sequence(2, size(cut)), named_struct('out', array(cut[0]), 'skip', 0, 'n', 0L), "
-                f"(s, j) -> {step}, s -> named_struct('text', substr(array_join(s.out, ''), 3), 'n', s.n)))")
+                "if(size(cut) = 1, named_struct('text', " + gap + f", 'n', 0L), aggregate(sequence(2, size(cut), {RUN}), named_struct('out', array(cut[0]), 'skip', 0, 'n', 0L), "
+                f"(a, k) -> {run}, a -> named_struct('text', substr(array_join(a.out, ''), 3), 'n', a.n)))")
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", into: str = "text", count: str | None = None) -> DataFrame:
@@ -214,8 +220,9 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", into: str = "tex
     whole = _let(done, "r0", _let(gaps, "gs", "named_struct('text', array_join(zip_with(gs, r0, (g, x) -> concat(g.text, coalesce(x.new, ''))), ''), "
                                   "'n', aggregate(gs, 0L, (s, g) -> s + g.n) + cast(size(filter(r0, x -> x.old <> x.new)) as bigint))"))
     plain = f"named_struct('text', {spot}, 'n', 0L)"
-    held = docs.withColumn("_pii", F.expr(f'''case when {spot} rlike '[0-9@]|AKIA|= "' then {whole} else {plain} end'''))
-    out = [F.col(f"`{c}`") if c != into else F.col("_pii.text").alias(into) for c in docs.columns]
+    name = unused([*docs.columns, into], "_pii")
+    held = docs.withColumn(name, F.expr(f'''case when {spot} rlike '[0-9@]|AKIA|= "' then {whole} else {plain} end'''))
+    out = [F.col(f"`{c}`") if c != into else F.col(f"{name}.text").alias(into) for c in docs.columns]
     if into not in docs.columns:
-        out.append(F.col("_pii.text").alias(into))
-    return held.select(*out, *([F.col("_pii.n").alias(count)] if count else []))
+        out.append(F.col(f"{name}.text").alias(into))
+    return held.select(*out, *([F.col(f"{name}.n").alias(count)] if count else []))
