@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.llm import bpe, langid, minhash, mixing, pii
+from tablewright.llm.common import unused
 from tablewright.session import scratch_path
 
 LANG_MODEL, BPE_RANKS = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
@@ -27,22 +28,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs, public_tokenizers.path(LANG_MODEL))
     if model is None and not docs.where(F.col("text").rlike(r"\p{L}")).isEmpty():
         raise ValueError("no text names its language in column lang: nothing to learn from")
-    found = langid.identify(docs, model, carry=tuple(docs.columns), prefix="_id_")
-    return found.where("_id_lang_pred <> 'und' and _id_score >= 0.5").select(*docs.columns)
+    prefix = unused([c.lower().removesuffix("lang_pred").removesuffix("score") for c in docs.columns], "_id_")
+    found = langid.identify(docs, model, carry=tuple(f"`{c}`" for c in docs.columns), prefix=prefix)
+    return found.where(f"{prefix}lang_pred <> 'und' and {prefix}score >= 0.5").drop(f"{prefix}lang_pred", f"{prefix}score")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near-duplicates (five words, similarity 0.8), once."""
     groups = minhash.near_duplicates(docs, size=5, percent=80)
-    gone = groups.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").dropDuplicates(["doc_id", "text"])
+    name = unused(docs.columns, "_gone")
+    gone = groups.where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti").dropDuplicates(["doc_id", "text"])
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by format-preserving pseudonyms; n_chars follows the text where it changed."""
-    done = pii.pseudonymise(docs, PII_KEY, count="_replaced")
-    chars = F.when(F.col("_replaced") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return done.withColumn("n_chars", chars).select(*docs.columns)
+    count = unused(docs.columns, "_replaced")
+    done = pii.pseudonymise(docs, PII_KEY, count=count)
+    chars = F.when(F.col(count) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return done.withColumn("n_chars", chars).drop(count)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
