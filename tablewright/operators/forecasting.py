@@ -1,16 +1,19 @@
-"""Forecasts for all series of a panel at once: trend lines and a recursive forest."""
+"""Forecasts for all series of a panel at once: trend lines, a recursive panel forest and a joint forest."""
 
 from __future__ import annotations
 
-from pyspark.ml import Model
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tablewright.functions.dates import quarter_from_index, quarter_index
+from tablewright.operators.forests import Forest, fit_arrays, mean_of_trees
 from tablewright.operators.joining import null_safe_join
-from tablewright.operators.learners import random_forest, score
+from tablewright.operators.learners import random_forest
 from tablewright.operators.panel import lag_matrix
 from tablewright.operators.regression import simple_ols
-from tablewright.session import cut_lineage
 
 
 def future_calendar(panel: DataFrame, date: str, periods: int = 40) -> DataFrame:
@@ -63,33 +66,103 @@ def forest_training(panel: DataFrame, series, date: str, value: str, lags: int =
 
 
 def fit_panel_forest(training: DataFrame, lags: int = 4, trees: int = 50, max_depth: int = 8, min_split: int = 5,
-                     seed: int = 42) -> Model:
+                     seed: int = 42) -> Forest:
     """One forest for every series, so the fit is one distributed job."""
     return random_forest(training, forest_features(lags), "_v", trees, max_depth, min_split, seed)
 
 
-def recursive_forecast(training: DataFrame, model: Model, series, date: str, lags: int = 4, periods: int = 40,
-                       cut_every: int = 10) -> DataFrame:
+def _calendar(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Year and quarter of a quarter number."""
+    return t // 4, t % 4 + 1
+
+
+def recursive_forecast(training: DataFrame, model: Forest, series, date: str, lags: int = 4, periods: int = 40) -> DataFrame:
     """Forecast step by step, each prediction becoming the newest lag: series..., step, period_end, forecast.
 
-    A step scores all series at once. Every ``cut_every`` steps the state is checkpointed, so
-    neither the plan nor recovery after a lost executor grows with the horizon.
+    The model is sent to the tasks, and each walks all steps for its share of the series: one job whatever the horizon,
+    with nothing but a series' last lags as its state. A forest too large to be sent is an error; ``max_depth`` bounds its size.
     """
-    names = [f"lag{i}" for i in range(1, lags + 1)]
+    sent, opened = model.sent(), {}
     w = Window.partitionBy(*series).orderBy(F.desc(date))
     state = training.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(
-        *series, "_level", quarter_index(F.col(date)).alias("_t"), F.col("_v").alias("lag1"),
-        *[F.col(f"lag{i}").alias(f"lag{i + 1}") for i in range(1, lags)], F.array().cast("array<double>").alias("_path"))
-    for step in range(1, periods + 1):
-        t = F.col("_t") + step
-        ready = state.withColumn("_year", F.floor(t / 4).cast("int")).withColumn("_quarter", (F.pmod(t, F.lit(4)) + 1).cast("int"))
-        scored = score(ready, model, forest_features(lags), "_next")
-        state = scored.select(
-            *series, "_level", "_t", F.col("_next").alias("lag1"),
-            *[F.col(n).alias(m) for n, m in zip(names, names[1:])], F.concat("_path", F.array("_next")).alias("_path"))
-        if step % cut_every == 0:
-            state = cut_lineage(state)
+        *series, "_level", quarter_index(F.col(date)).alias("_t"), F.array("_v", *[f"lag{i}" for i in range(1, lags)]).cast("array<double>").alias("_lags"))
+
+    def walk(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for last, level, recent in batches:
+            t, level, recent = last.to_numpy(), level.to_numpy(), np.array(recent.tolist(), float).reshape(len(last), -1)
+            path = np.empty((len(t), periods))
+            for step in range(periods):
+                year, quarter = _calendar(t + step + 1)
+                path[:, step] = mean_of_trees(np.column_stack((year, quarter, level, recent)), *sent.value, opened)[:, 0]
+                recent = np.column_stack((path[:, step], recent[:, :-1]))
+            yield pd.Series(list(path))
+
+    state = state.withColumn("_path", F.pandas_udf(walk, "array<double>")("_t", "_level", "_lags"))
     path = state.select(*series, "_level", "_t", F.posexplode("_path").alias("_i", "_v"))
     start = quarter_from_index(F.col("_t") + F.col("_i") + 1)
     return path.select(*series, (F.col("_i") + 1).alias("step"), F.last_day(F.add_months(start, 2)).alias("period_end"),
                        (F.col("_v") * F.col("_level")).alias("forecast"))
+
+
+#: Numbers in a row of the joint table: lags times series.
+WIDEST = 20_000
+
+
+def joint_training(panel: DataFrame, series: str, date: str, value: str, lags: int = 4) -> DataFrame:
+    """One row per period: date, names, x (year, quarter, the values of all series in each of the ``lags`` periods before,
+    the latest first) and y (all series). Only periods that have every series, after as many such periods, are kept.
+
+    A row holds all series, so their number is bounded: above WIDEST numbers a row, use `forest_training`.
+    """
+    rows = panel.where(F.col(value).isNotNull()).select(F.col(series).cast("string").alias("_s"), F.col(date).alias("_d"), F.col(value).cast("double").alias("_v"))
+    size = rows.select("_s").distinct().count()
+    if size * lags > WIDEST:
+        raise ValueError(f"{size} series times {lags} lags are more than {WIDEST} numbers in a row: fit a panel forest instead")
+    whole = rows.groupBy("_d").agg(F.array_sort(F.collect_list(F.struct("_s", "_v"))).alias("_all")).where(F.size("_all") == size)
+    w = Window.orderBy("_d")  # one row per period
+    y = F.col("_all._v")
+    lagged = whole.select("_d", F.col("_all._s").alias("names"), y.alias("y"), *[F.lag(y, i).over(w).alias(f"_{i}") for i in range(1, lags + 1)])
+    x = F.concat(F.array(F.year("_d").cast("double"), F.quarter("_d").cast("double")), *[F.col(f"_{i}") for i in range(1, lags + 1)])
+    return lagged.where(F.col(f"_{lags}").isNotNull()).select(F.col("_d").alias(date), "names", x.alias("x"), "y")
+
+
+def fit_joint_forest(training: DataFrame, trees: int = 50, max_depth: int | None = 8, min_split: int = 5, seed: int = 42,
+                     bootstrap: bool = True) -> Forest:
+    """One forest whose leaves hold all series at once; a split lowers the squared error summed over the series."""
+    return fit_arrays(training, ["x"], trees, max_depth, min_split, seed, bootstrap)
+
+
+def joint_scores(training: DataFrame, model: Forest, date: str) -> DataFrame:
+    """date, series, value, prediction of the rows of a joint table."""
+    sent, opened = model.sent(), {}
+
+    def mean(xs: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for x in xs:
+            yield pd.Series(list(mean_of_trees(np.array(x.tolist(), float).reshape(len(x), -1), *sent.value, opened)))
+
+    rows = training.withColumn("p", F.pandas_udf(mean, "array<double>")("x"))
+    each = rows.select(date, F.inline(F.arrays_zip("names", "y", "p")))
+    return each.select(date, F.col("names").alias("series"), F.col("y").alias("value"), F.col("p").alias("prediction"))
+
+
+def joint_forecast(training: DataFrame, model: Forest, date: str, lags: int = 4, periods: int = 40) -> DataFrame:
+    """series, step, period_end, forecast: every step's vector becomes the newest lag of the next."""
+    sent, opened = model.sent(), {}
+    last = training.orderBy(F.desc(date)).limit(1).select("names", quarter_index(F.col(date)).alias("t"), "x", "y")
+
+    def walk(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for t, x, y in batches:
+            out = []
+            for t0, x0, y0 in zip(t, x, y):
+                recent, path = np.concatenate((y0, x0[2: 2 + len(y0) * (lags - 1)])), []
+                for step in range(1, periods + 1):
+                    row = np.concatenate((_calendar(t0 + step), recent))[None, :]
+                    path.append(mean_of_trees(row, *sent.value, opened)[0])
+                    recent = np.concatenate((path[-1], recent))[: len(recent)]
+                out.append([p.tolist() for p in path])
+            yield pd.Series(out)
+
+    path = last.select("names", "t", F.posexplode(F.pandas_udf(walk, "array<array<double>>")("t", "x", "y")).alias("i", "f"))
+    each = path.select("t", "i", F.inline(F.arrays_zip("names", "f")))
+    end = F.last_day(F.add_months(quarter_from_index(F.col("t") + F.col("i") + 1), 2))
+    return each.select(F.col("names").alias("series"), (F.col("i") + 1).alias("step"), end.alias("period_end"), F.col("f").alias("forecast"))

@@ -285,13 +285,43 @@ def _split_large(rows: DataFrame, n: int, width: int, mean: list[float], trees:
     return top, left
 
 
+def mean_of_trees(x: np.ndarray, top: list[Tree], below: dict[tuple[int, int], bytes], opened: dict[tuple[int, int], Tree]) -> np.ndarray:
+    """Mean of the trees' values for every row; ``opened`` keeps the subtrees that were met."""
+    total = np.zeros((len(x), top[0].value.shape[1]))
+    for t, upper in enumerate(top):
+        node = upper.find(x)
+        for own in np.unique(node).tolist():
+            at = node == own
+            if (t, own) in below:
+                if (t, own) not in opened:
+                    opened[t, own] = Tree.unpack(below[t, own])
+                low = opened[t, own]
+                total[at] += low.value[low.find(x[at])]
+            else:
+                total[at] += upper.value[own]
+    return total / len(top)
+
+
 class Forest:
     """A fitted forest: the top levels of its trees, and a stored table (tree, node, data) of the subtrees below them."""
 
-    def __init__(self, features: list[str], top: list[Tree], subtrees: DataFrame, size: int, outputs: int, trees: int):
-        self.features, self.top, self.subtrees, self.size, self.outputs, self.trees = features, top, subtrees, size, outputs, trees
+    def __init__(self, features: list[str], top: list[Tree], subtrees: DataFrame, size: int, outputs: int):
+        self.features, self.top, self.subtrees, self.size, self.outputs = features, top, subtrees, size, outputs
         self._sent: Broadcast | None = None
 
+    @property
+    def small(self) -> bool:
+        return self.size <= SENT_BYTES
+
+    def sent(self) -> Broadcast:
+        """(top levels, subtrees) for `mean_of_trees` in tasks; for a ``small`` model."""
+        if not self.small:
+            raise ValueError(f"a model of {self.size} bytes is too large to be sent to every task")
+        if self._sent is None:
+            below = {(r.tree, r.node): bytes(r.data) for r in self.subtrees.collect()}
+            self._sent = self.subtrees.sparkSession.sparkContext.broadcast((self.top, below))
+        return self._sent
+
     def predict(self, df: DataFrame, into: str, vector: bool = False) -> DataFrame:
         """``df`` without its rows that miss a feature, with the mean of the trees as ``into``; ``vector``: all outputs as an array.
 
@@ -299,29 +329,12 @@ class Forest:
         busy subtrees to several tasks, and the trees' values are averaged per row.
         """
         ready = require(df, *self.features)
-        if self.size <= SENT_BYTES:
-            if self._sent is None:
-                self._sent = df.sparkSession.sparkContext.broadcast((self.top, {(r.tree, r.node): bytes(r.data) for r in self.subtrees.collect()}))
-            sent = self._sent
-            opened: dict[tuple[int, int], Tree] = {}
+        if self.small:
+            sent, opened = self.sent(), {}
 
             def mean(xs: Iterator[pd.Series]) -> Iterator[pd.Series]:
-                top, data = sent.value
                 for x in xs:
-                    x = np.array(x.tolist(), float).reshape(len(x), -1)
-                    total = np.zeros((len(x), top[0].value.shape[1]))
-                    for t, upper in enumerate(top):
-                        node = upper.find(x)
-                        for own in np.unique(node).tolist():
-                            at = node == own
-                            if (t, own) in data:
-                                if (t, own) not in opened:
-                                    opened[t, own] = Tree.unpack(data[t, own])
-                                low = opened[t, own]
-                                total[at] += low.value[low.find(x[at])]
-                            else:
-                                total[at] += upper.value[own]
-                    yield pd.Series(list(total / len(top)))
+                    yield pd.Series(list(mean_of_trees(np.array(x.tolist(), float).reshape(len(x), -1), *sent.value, opened)))
 
             out = ready.withColumn(into, F.pandas_udf(mean, "array<double>")(F.array(*[F.col(f"`{f}`").cast("double") for f in self.features])))
         else:
@@ -376,11 +389,18 @@ def fit_forest(df: DataFrame, features, outputs, trees: int = 100, depth: int |
     def matrix(names: list[str]) -> Column:
         return F.array(*[F.col(f"`{c}`").cast("double") for c in names])
 
-    rows = cut_lineage(ready.select(F.monotonically_increasing_id().alias("uid"), matrix(features).alias("x"), matrix(outputs).alias("y")), "training")
-    n, *mean = rows.agg(F.count("*"), *[F.avg(F.col("y")[j]) for j in range(len(outputs))]).first()
-    if not n:
+    return fit_arrays(ready.select(matrix(features).alias("x"), matrix(outputs).alias("y")), features, trees, depth, min_split, seed, bootstrap, task_rows)
+
+
+def fit_arrays(df: DataFrame, features: list[str], trees: int = 100, depth: int | None = None, min_split: int = 2, seed: int = 42,
+               bootstrap: bool = True, task_rows: int = 200_000) -> Forest:
+    """As `fit_forest`, from columns x and y that hold the features and the outputs of a row as arrays of equal lengths."""
+    rows = cut_lineage(df.select(F.monotonically_increasing_id().alias("uid"), "x", "y"), "training")
+    width, outputs = rows.agg(F.max(F.size("x")), F.max(F.size("y"))).first()
+    if not outputs:
         raise ValueError("no row has all features and outputs: nothing to learn from")
-    top, left = _split_large(rows, n, len(features), mean, trees, depth, seed, bootstrap, task_rows)
+    n, *mean = rows.agg(F.count("*"), *[F.avg(F.col("y")[j]) for j in range(outputs)]).first()
+    top, left = _split_large(rows, n, width, mean, trees, depth, seed, bootstrap, task_rows)
     sent = rows.sparkSession.sparkContext.broadcast((top.frozen(), left))
     schema = "tree int, node int, x binary, y binary, w binary"
     shape = to_arrow_schema(T.StructType.fromDDL(schema))
@@ -414,4 +434,4 @@ def fit_forest(df: DataFrame, features, outputs, trees: int = 100, depth: int |
     subtrees = rows.mapInArrow(dealt, schema).groupBy("tree", "node").applyInArrow(grown, from_arrow_schema(model))
     subtrees = cut_lineage(subtrees, "subtrees")
     size = subtrees.agg(F.sum(F.octet_length("data").cast("long"))).first()[0] or 0
-    return Forest(features, top.frozen(), subtrees, size, len(outputs), trees)
+    return Forest(features, top.frozen(), subtrees, size, len(mean))

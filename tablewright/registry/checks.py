@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tablewright.operators import arima, forecasting as fc, joining, learners as ml, neighbours, ordered, profiling as prof, regression as rg, reshape
 from tablewright.operators.quantiles import exact_quantiles
@@ -11,6 +11,7 @@ from tablewright.plans import economy
 from tablewright.registry.analyses import TYPES, _economy, _energy
 from tablewright.registry.common import CELLS, GAPS, PANEL, cells, gaps, panel, query, r, rounded
 from tablewright.registry.models import LEVELS, SIGNAL, _life, _signal, _three
+from tablewright.session import cut_lineage
 from tablewright.sources import html
 from tablewright.sources.tables import load
 
@@ -180,36 +181,82 @@ def arima_zero_series(spark, sf):
     seasonal = total(arima.seasonal_arima(p, ["series"], "period", "value"), "seasonal")
     zeros = p.where(_number() % 2 == 0)
     training = fc.forest_training(zeros, ["series"], "period", "value")
-    paths = fc.recursive_forecast(training, fc.fit_panel_forest(training, trees=5), ["series"], "period", periods=4)
+    paths = fc.recursive_forecast(training, fc.fit_panel_forest(training), ["series"], "period")
     forest = paths.groupBy("series").agg(F.abs(F.round(F.sum(F.abs("forecast")), 9)).alias("forest"))
     return searched.join(seasonal, "series").join(forest, "series")
 
 
+def _refined(levels: int, form: str) -> str:
+    """CTEs g1, b1, g2, b2, ...: the best coefficient of a grid of hundredths, then of ever finer ones around it. ``form`` scores a grid."""
+    out = ["g1 AS (SELECT *, i / 100.0 AS c FROM sums, range(-99, 100) t(i))"]
+    for k in range(1, levels + 1):
+        if k > 1:
+            out.append(f"g{k} AS (SELECT sums.*, c + i / {100 ** k}.0 AS c FROM b{k - 1} JOIN sums USING (series, d), range(-100, 101) t(i) WHERE abs(c + i / {100 ** k}.0) < 1)")
+        out.append(form.replace("{g}", f"g{k}").replace("{k}", str(k)))
+        out.append(f"b{k} AS (SELECT series, d, c, dev, m FROM s{k} QUALIFY row_number() OVER (PARTITION BY series, d ORDER BY dev) = 1)")
+    return ",\n".join(out)
+
+
+# exact likelihood of a first-order autoregression, with the mean that is best for each coefficient
+AR1_SCORE = """s{k} AS (SELECT *, n * (ln(2 * pi() * ss / n) + 1) - ln(1 - c * c) AS dev FROM (SELECT *, (1 - c * c) * pow(first - m, 2) + a - 2 * c * x + c * c * b
+    - 2 * (1 - c) * m * (s1 - c * s0) + (n - 1) * pow((1 - c) * m, 2) AS ss
+  FROM (SELECT *, CASE WHEN d = 0 THEN ((1 - c * c) * first + (1 - c) * (s1 - c * s0)) / ((1 - c * c) + (n - 1) * pow(1 - c, 2)) ELSE 0 END AS m FROM {g})))"""
 AR1 = f"""WITH RECURSIVE {PANEL}, l AS (SELECT series, avg(abs(value)) AS level FROM panel GROUP BY 1),
-y AS (SELECT series, row_number() OVER w AS t, value / level AS y, lag(value / level) OVER w AS y1, lag(value / level, 2) OVER w AS y2
-  FROM panel JOIN l USING (series) WINDOW w AS (PARTITION BY series ORDER BY period)),
-u AS (SELECT series, y AS w0, y1 AS a0, y - y1 AS w1, y1 - y2 AS a1 FROM y WHERE t >= 3),
-f AS (SELECT series, CAST(COUNT(*) AS DOUBLE) AS n, avg(w0) AS m, var_pop(w0) AS v, regr_slope(w0, a0) AS b, regr_intercept(w0, a0) AS c,
-  var_pop(w0) * (1 - regr_r2(w0, a0)) AS vb, avg(w1 * w1) AS d, sum(w1 * a1) / sum(a1 * a1) AS g,
-  avg(w1 * w1) - sum(w1 * a1) * sum(w1 * a1) / sum(a1 * a1) / COUNT(*) AS vg FROM u GROUP BY 1),
-o AS (SELECT series, 0 AS p, 0 AS d, m AS c, 0.0 AS phi, n * (ln(v) + 1 + ln(2 * pi())) + 4 AS aic FROM f
-  UNION ALL SELECT series, 1, 0, c, b, n * (ln(vb) + 1 + ln(2 * pi())) + 6 FROM f WHERE abs(b) < 0.999
-  UNION ALL SELECT series, 0, 1, 0, 0.0, n * (ln(d) + 1 + ln(2 * pi())) + 2 FROM f
-  UNION ALL SELECT series, 1, 1, 0, g, n * (ln(vg) + 1 + ln(2 * pi())) + 4 FROM f WHERE abs(g) < 0.999),
-b AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY series ORDER BY aic, p) = 1),
-last AS (SELECT series, y, y1 FROM y QUALIFY row_number() OVER (PARTITION BY series ORDER BY t DESC) = 1),
+y AS (SELECT series, period, value / level AS y FROM panel JOIN l USING (series)),
+w AS (SELECT series, 0 AS d, period, y AS w FROM y
+  UNION ALL SELECT * FROM (SELECT series, 1, period, y - lag(y) OVER (PARTITION BY series ORDER BY period) AS w FROM y) WHERE w IS NOT NULL),
+lagged AS (SELECT *, lag(w) OVER (PARTITION BY series, d ORDER BY period) AS v FROM w),
+sums AS (SELECT series, d, CAST(COUNT(*) AS DOUBLE) AS n, sum(w) FILTER (v IS NULL) AS first, sum(w) FILTER (v IS NOT NULL) AS s1, sum(v) AS s0,
+  sum(w * w) FILTER (v IS NOT NULL) AS a, sum(v * v) AS b, sum(w * v) AS x FROM lagged GROUP BY 1, 2),
+{_refined(4, AR1_SCORE)},
+o AS (SELECT series, d, 1 AS p, c, m, dev + 2 * (CASE WHEN d = 0 THEN 3 ELSE 2 END) AS aic FROM b4
+  UNION ALL SELECT series, d, 0, 0.0, CASE WHEN d = 0 THEN mu ELSE 0 END, n * (ln(2 * pi() * CASE WHEN d = 0 THEN vp ELSE sq END) + 1) + 2 * (CASE WHEN d = 0 THEN 2 ELSE 1 END)
+    FROM (SELECT series, d, CAST(COUNT(*) AS DOUBLE) AS n, avg(w) AS mu, var_pop(w) AS vp, avg(w * w) AS sq FROM w GROUP BY 1, 2)),
+best AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY series ORDER BY aic, p, d) = 1),
+last AS (SELECT series, y, y1 FROM (SELECT *, lag(y) OVER (PARTITION BY series ORDER BY period) AS y1 FROM y)
+  QUALIFY row_number() OVER (PARTITION BY series ORDER BY period DESC) = 1),
 r AS (SELECT series, 0 AS step, y, y1 FROM last
-  UNION ALL SELECT r.series, step + 1, CASE WHEN b.d = 0 THEN c + phi * y ELSE y + phi * (y - y1) END, y FROM r JOIN b USING (series) WHERE step < 40)
-SELECT series, step, b.p, b.d, round(aic, 4) AS aic, round(phi, 6) AS phi, round(y * level, 2) AS forecast FROM r JOIN b USING (series) JOIN l USING (series) WHERE step > 0"""
+  UNION ALL SELECT r.series, step + 1, CASE WHEN d = 0 THEN m + c * (y - m) ELSE y + c * (y - y1) END, y FROM r JOIN best USING (series) WHERE step < 40)
+SELECT series, step, CAST(p AS INTEGER) AS p, CAST(d AS INTEGER) AS d, round(aic, 4) AS aic, round(c, 4) AS phi, round(y, 3) AS forecast FROM r JOIN best USING (series) WHERE step > 0"""
+
+
+def _level(frame):
+    return frame.groupBy("series").agg(F.avg(F.abs("value")).alias("level"))
 
 
 @query("arima_ar1", AR1)
 def arima_ar1(spark, sf):
-    """The order search over p, d <= 1 without moving average has a closed form."""
-    out = arima.arima_search(panel(spark, sf, stored=True), ["series"], "period", "value", max_p=1, max_d=1, max_q=0)
-    steps = out.select("series", "order", "aic", F.coalesce(F.get("ar", F.lit(0)), F.lit(0.0)).alias("phi"), F.posexplode("forecast").alias("i", "f"))
+    """The order search over p, d <= 1 without moving average: order, AIC, coefficient and forecasts of the exact likelihood."""
+    p = panel(spark, sf, stored=True)
+    out = arima.arima_search(p, ["series"], "period", "value", max_p=1, max_d=1, max_q=0).join(_level(p), "series")
+    steps = out.select("series", "order", "aic", "level", F.coalesce(F.get("ar", F.lit(0)), F.lit(0.0)).alias("phi"), F.posexplode("forecast").alias("i", "f"))
     return steps.select("series", (F.col("i") + 1).cast("int").alias("step"), F.col("order.p").alias("p"), F.col("order.d").alias("d"),
-                        r("aic").alias("aic"), r("phi", 6).alias("phi"), r("f", 2).alias("forecast"))
+                        r("aic").alias("aic"), (r("phi", 4) + 0.0).alias("phi"), r(F.col("f") / F.col("level"), 3).alias("forecast"))
+
+
+# exact likelihood of a first-order moving average by the innovations of series and ones, from which the mean follows
+MA1_SCORE = """k{k} AS (SELECT g.series, g.d, c, 1 AS t, 1 + c * c AS f, w AS v, CAST(1 AS DOUBLE) AS o, ln(1 + c * c) AS logs, w * w / (1 + c * c) AS yy,
+    w / (1 + c * c) AS yo, 1 / (1 + c * c) AS oo FROM {g} g JOIN w ON w.series = g.series AND w.t = 1
+  UNION ALL SELECT k.series, k.d, c, n.t, n.f, n.v, n.o, logs + ln(n.f), yy + n.v * n.v / n.f, yo + n.v * n.o / n.f, oo + n.o * n.o / n.f
+    FROM (SELECT k.*, w.t AS nt, 1 + c * c - c * c / f AS nf, w - c * v / f AS nv, 1 - c * o / f AS no FROM k{k} k JOIN w ON w.series = k.series AND w.t = k.t + 1) k,
+      LATERAL (SELECT nt AS t, nf AS f, nv AS v, no AS o) n),
+s{k} AS (SELECT series, d, c, yo / oo AS m, n * (ln(2 * pi() * (yy - yo * yo / oo) / n) + 1) + logs AS dev FROM k{k} JOIN sums USING (series, d) WHERE t = n)"""
+MA1 = f"""WITH RECURSIVE {PANEL}, mixed AS (SELECT series, period, value + 0.7 * lag(value) OVER (PARTITION BY series ORDER BY period) AS value FROM panel),
+l AS (SELECT series, avg(abs(value)) AS level FROM mixed WHERE value IS NOT NULL GROUP BY 1),
+w AS (SELECT series, row_number() OVER (PARTITION BY series ORDER BY period) AS t, value / level AS w FROM mixed JOIN l USING (series) WHERE value IS NOT NULL),
+sums AS (SELECT series, 0 AS d, CAST(COUNT(*) AS DOUBLE) AS n FROM w GROUP BY 1),
+{_refined(4, MA1_SCORE)},
+o AS (SELECT series, 1 AS q, c, dev + 6 AS aic FROM b4 UNION ALL SELECT series, 0, 0.0, COUNT(*) * (ln(2 * pi() * var_pop(w)) + 1) + 4 FROM w GROUP BY 1)
+SELECT series, CAST(q AS INTEGER) AS q, round(aic, 3) AS aic, round(c, 3) AS theta FROM o QUALIFY row_number() OVER (PARTITION BY series ORDER BY aic, q) = 1"""
+
+
+@query("arima_ma1", MA1)
+def arima_ma1(spark, sf):
+    """Whether a first-order moving average beats none, by the AIC of the exact likelihood, on sums of neighbouring quarters."""
+    before = F.lag("value").over(Window.partitionBy("series").orderBy("period"))
+    mixed = panel(spark, sf, stored=True).withColumn("value", F.col("value") + 0.7 * before).where("value is not null")
+    out = arima.arima_search(mixed, ["series"], "period", "value", max_p=0, max_d=0, max_q=1)
+    return out.select("series", "order.q", r("aic", 3).alias("aic"), (r(F.coalesce(F.get("ma", F.lit(0)), F.lit(0.0)), 3) + 0.0).alias("theta"))
 
 
 @query("seasonal_continuation", f"""WITH {PANEL.replace("p_brand", "p_type")}, m AS (SELECT min({{q}}) AS a, max({{q}}) AS b FROM panel)
@@ -225,18 +272,60 @@ def seasonal_continuation(spark, sf):
 
 
 @query("recursive_forest_calendar", f"""WITH {PANEL}, last AS (SELECT series, max(period) AS p, min(value) AS lo, max(value) AS hi FROM panel GROUP BY 1)
-SELECT series, CAST(s AS INTEGER) AS step, CAST(last_day(p + to_months(CAST(3 * s + 2 AS INTEGER))) AS DATE) AS period_end, true AS within FROM last, range(1, 9) t(s)""")
+SELECT series, CAST(s AS INTEGER) AS step, CAST(last_day(p + to_months(CAST(3 * s + 2 AS INTEGER))) AS DATE) AS period_end, true AS within FROM last, range(1, 41) t(s)""")
 def recursive_forest_calendar(spark, sf):
     """Steps, dates, and forecasts inside the panel's scaled range, which a forest cannot leave."""
     training = fc.forest_training(panel(spark, sf, stored=True), ["series"], "period", "value")
     limits = training.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"))).scalar()
-    paths = fc.recursive_forecast(training, fc.fit_panel_forest(training, trees=10), ["series"], "period", periods=8)
+    paths = fc.recursive_forecast(training, fc.fit_panel_forest(training), ["series"], "period")
     level = training.groupBy("series").agg(F.max("_level").alias("_level"))
     scaled = F.col("forecast") / F.col("_level")
     return paths.join(level, "series").withColumn("_l", limits).select(
         "series", "step", "period_end", scaled.between(F.col("_l.lo") - 1e-9, F.col("_l.hi") + 1e-9).alias("within"))
 
 
+JOINT = f"""WITH {PANEL}, whole AS (SELECT period, list(value ORDER BY series) AS y, list(series ORDER BY series) AS names FROM panel GROUP BY 1
+  HAVING COUNT(*) = (SELECT COUNT(DISTINCT series) FROM panel)),
+joint AS (SELECT * FROM (SELECT period, names, y, year(period) AS yr, quarter(period) AS qu, lag(y) OVER w AS l1, lag(y, 2) OVER w AS l2, lag(y, 3) OVER w AS l3,
+  lag(y, 4) OVER w AS l4 FROM whole WINDOW w AS (ORDER BY period)) WHERE l4 IS NOT NULL)"""
+
+
+@query("joint_forest_pure", f"""{JOINT} SELECT period, unnest(names) AS series, round(unnest(y), 4) AS prediction FROM joint""")
+def joint_forest_pure(spark, sf):
+    """One tree on all rows, grown to purity, returns every series of every period."""
+    rows = cut_lineage(fc.joint_training(panel(spark, sf, stored=True), "series", "period", "value"))
+    model = fc.fit_joint_forest(rows, 1, None, 2, bootstrap=False)
+    return fc.joint_scores(rows, model, "period").select("period", "series", F.round("prediction", 4).alias("prediction"))
+
+
+@query("joint_forest_stump", f"""{JOINT}, x AS (SELECT period, unnest(list_concat([yr, qu], l1, l2, l3, l4)) AS x, unnest(range(1, 3 + 4 * len(y))) AS f FROM joint),
+y AS (SELECT period, unnest(names) AS series, unnest(y) AS y FROM joint),
+cuts AS (SELECT DISTINCT f, x AS cut FROM x),
+sides AS (SELECT f, cut, period, x <= cut AS low FROM x JOIN cuts USING (f)),
+both_sides AS (SELECT f, cut FROM sides GROUP BY 1, 2 HAVING bool_or(low) AND NOT bool_and(low)),
+sums AS (SELECT f, cut, low, series, COUNT(*) AS n, sum(y - m) AS s FROM sides JOIN both_sides USING (f, cut) JOIN y USING (period)
+  JOIN (SELECT series, avg(y) AS m FROM y GROUP BY 1) USING (series) GROUP BY ALL),
+best AS (SELECT f, cut FROM sums GROUP BY 1, 2 ORDER BY sum(s * s / n) DESC LIMIT 1),
+placed AS (SELECT period, low FROM sides JOIN best USING (f, cut))
+SELECT period, series, round(avg(y) OVER (PARTITION BY low, series), 4) AS prediction FROM y JOIN placed USING (period)""")
+def joint_forest_stump(spark, sf):
+    """The first split is the one with the least squared error summed over all series."""
+    rows = cut_lineage(fc.joint_training(panel(spark, sf, stored=True), "series", "period", "value"))
+    model = fc.fit_joint_forest(rows, 1, 1, 2, bootstrap=False)
+    return fc.joint_scores(rows, model, "period").select("period", "series", F.round("prediction", 4).alias("prediction"))
+
+
+@query("joint_forest_calendar", f"""{JOINT}, last AS (SELECT max(period) AS p FROM joint)
+SELECT series, CAST(s AS INTEGER) AS step, CAST(last_day(p + to_months(CAST(3 * s + 2 AS INTEGER))) AS DATE) AS period_end, true AS within
+FROM (SELECT DISTINCT unnest(names) AS series FROM joint), last, range(1, 41) t(s)""")
+def joint_forest_calendar(spark, sf):
+    """Every series, step and date; forecasts stay in the range of the series' own training values."""
+    rows = cut_lineage(fc.joint_training(panel(spark, sf, stored=True), "series", "period", "value"))
+    paths = fc.joint_forecast(rows, fc.fit_joint_forest(rows), "period")
+    each = rows.select(F.inline(F.arrays_zip("names", "y"))).groupBy(F.col("names").alias("series")).agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
+    return paths.join(each, "series").select("series", "step", "period_end", F.col("forecast").between(F.col("lo") * (1 - 1e-12), F.col("hi") * (1 + 1e-12)).alias("within"))
+
+
 @query("calendar_features", """SELECT o_orderkey, [CAST(month(o_orderdate) AS DOUBLE), CAST(year(o_orderdate) AS DOUBLE), CAST(isodow(o_orderdate) - 1 AS DOUBLE),
   CAST(o_totalprice AS DOUBLE)] AS features FROM orders""")
 def calendar_features(spark, sf):

@@ -252,3 +252,9 @@ def recursive_forest(spark, sf):
     training = cut_lineage(fc.forest_training(panel(spark, sf, stored=True), ["series"], "period", "value"))
     model = fc.fit_panel_forest(training)
     return fc.recursive_forecast(training, model, ["series"], "period")
+
+
+@query("joint_forest")
+def joint_forest(spark, sf):
+    rows = cut_lineage(fc.joint_training(panel(spark, sf, stored=True), "series", "period", "value"))
+    return fc.joint_forecast(rows, fc.fit_joint_forest(rows), "period")

@@ -140,7 +140,7 @@ def test_recursive_forest_runs_over_all_series(spark):
     p = panel(spark, {"a": [10 + (i % 4) for i in range(24)], "b": [1000 + 10 * (i % 4) for i in range(24)]})
     training = fc.forest_training(p, ["series"], "period", "value")
     model = fc.fit_panel_forest(training, trees=10)
-    out = fc.recursive_forecast(training, model, ["series"], "period", periods=6, cut_every=3).collect()
+    out = fc.recursive_forecast(training, model, ["series"], "period", periods=6).collect()
     assert len(out) == 12 and {r["step"] for r in out} == set(range(1, 7))
     assert all(9 < r["forecast"] < 14 for r in out if r["series"] == "a")
     assert all(950 < r["forecast"] < 1100 for r in out if r["series"] == "b")
