@@ -325,7 +325,7 @@ def arima_search(panel: DataFrame, series, date: str, value: str, max_p: int = 3
     best = null_safe_join(in_rows(short, series, date, value), best, series, "inner")
     weights = F.array(*[F.lit(difference_weights(d) + [0.0] * (max_d - d)) for d in range(max_d + 1)])
     poly = F.slice(F.get(weights, F.col("d")), F.lit(1), F.col("d") + 1)
-    out = forecast_rows(best, periods, poly).withColumn("order", F.struct("p", "d", "q")).drop("_y", "p", "d", "q")
+    out = forecast_rows(best, periods, poly).withColumn("order", F.struct("p", "d", "q")).drop("_level", "_y", "p", "d", "q")
     out = _with_growth(null_safe_join(out, last_mean(short, series, date, value, recent), series, "inner"))
     if long.isEmpty():
         return out
@@ -366,7 +366,7 @@ def seasonal_arima(panel: DataFrame, series, date: str, value: str, periods: int
     parts = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = in_rows(short, series, date, value).repartition(parts, *[F.col(c) for c in series])
     fits = cut_lineage(rows.withColumn("_f", search("_y")).select(*series, "_level", "_y", "_f.*"), "fits").where("failed is null").drop("failed")
-    out = forecast_rows(fits, periods, F.array(*[F.lit(float(w)) for w in poly])).drop("_y")
+    out = forecast_rows(fits, periods, F.array(*[F.lit(float(w)) for w in poly])).drop("_level", "_y")
     if long.isEmpty():
         return out
     choices, lags = {"s": poly}, [1, season, season + 1]

@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from itertools import combinations
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablewright.functions.numbers import finite, ratio
 from tablewright.operators.quantiles import exact_quantiles
 from tablewright.operators.schema import columns_of
 from tablewright.session import small_frame
 
+WIDE = 40  # columns up to which a correlation matrix is one aggregate of expressions
+
 
 def null_audit(df: DataFrame, cols=None) -> DataFrame:
     """Per column: rows, present, missing, completeness. One aggregate over all columns."""
@@ -107,26 +113,105 @@ def correlation(df: DataFrame, a: str, b: str, by=()) -> DataFrame:
     """Pearson correlation over the pairs in which both values are present."""
     x, y = finite(F.col(a).cast("double")), finite(F.col(b).cast("double"))
     both = df.where(x.isNotNull() & y.isNotNull())
-    return (both.groupBy(*by) if by else both.groupBy()).agg(finite(F.corr(x, y)).alias("r"), F.count("*").alias("n"))
+    return (both.groupBy(*by) if by else both.groupBy()).agg(
+        finite(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))).alias("r"), F.count("*").alias("n"))
 
 
 def correlation_matrix(df: DataFrame, cols=None) -> DataFrame:
-    """Long matrix (a, b, r) of all numeric columns, pairwise complete, in one aggregate."""
+    """Long matrix (a, b, r) of all numeric columns, pairwise complete.
+
+    Up to WIDE columns are one aggregate of built-in expressions; a plan with an expression per pair does not carry
+    hundreds of columns, so those are summed up in blocks (`gram_correlations`).
+    """
     cols = cols or columns_of(df, "number")
+    if len(cols) > WIDE:
+        return gram_correlations(df, cols)
     v = {c: finite(F.col(f"`{c}`").cast("double")) for c in cols}
 
     def pair(a, b):
         both = v[a].isNotNull() & v[b].isNotNull()
-        return finite(F.corr(F.when(both, v[a]), F.when(both, v[b])))
+        x, y = F.when(both, v[a]), F.when(both, v[b])
+        return finite(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))  # corr fails on a constant
 
     upper = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), pair(a, b).alias("r")) for a, b in combinations(cols, 2)]
     diagonal = [F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"),
                          F.when(F.stddev_pop(v[c]) > 0, 1.0).alias("r")) for c in cols]
     half = df.agg(F.array(*upper, *diagonal).alias("m")).select(F.inline("m"))
+    return _both_halves(half)
+
+
+def _both_halves(half: DataFrame) -> DataFrame:
     return half.select(F.inline(F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b", "r"))).otherwise(
         F.array(F.struct("a", "b", "r"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r")))))
 
 
+def gram_correlations(df: DataFrame, cols) -> DataFrame:
+    """(a, b, r) as `correlation_matrix`, in one pass for any number of columns.
+
+    A task adds up the products of its rows and of their presence masks, all pairs of columns at a time, about the first
+    value it meets in each column. One row per column goes on; the rows of a column are moved to a common origin and
+    added as they arrive, so no task holds more than one column's sums besides its own square ones.
+    """
+    cols, k = list(cols), len(cols)
+    schema = "i int, sums binary"
+    shape = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        origin, total = np.full(k, np.nan), np.zeros((6, k, k))
+        for b in batches:
+            for at in range(0, b.num_rows, 4096):
+                x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.slice(at, 4096).columns])
+                there = np.isfinite(x)
+                new = np.isnan(origin) & there.any(axis=0)
+                origin[new] = x[there.argmax(axis=0)[new], new]
+                m = there.astype(float)
+                z = np.where(there, x - np.where(np.isnan(origin), 0, origin), 0.0)
+                s, q = z.T @ m, (z * z).T @ m
+                total += np.stack((m.T @ m, s, s.T, q, q.T, z.T @ z))
+        if not np.isnan(origin).all():
+            whole = np.where(np.isnan(origin), 0, origin)
+            for i in range(k):
+                data = np.concatenate(([whole[i]], whole[i:], total[:, i, i:].ravel())).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([data])], schema=shape)
+
+    names = pa.array(cols)
+    result = to_arrow_schema(T.StructType.fromDDL("a string, b string, r double"))
+
+    def related(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, origin, sums = None, None, None
+
+        def done() -> pa.RecordBatch:
+            n, sx, sy, xx, yy, xy = sums
+            with np.errstate(divide="ignore", invalid="ignore"):
+                vx, vy = xx - sx * sx / n, yy - sy * sy / n
+                r = (xy - sx * sy / n) / np.sqrt(vx * vy)
+            r[~((vx > 1e-13 * xx) & (vy > 1e-13 * yy) & (n > 1))] = np.nan
+            r[0] = 1.0 if r[0] == r[0] else np.nan
+            values = pa.array(np.clip(r, -1, 1), from_pandas=True)
+            return pa.RecordBatch.from_arrays([pa.array([cols[held]] * len(r)), names.slice(held), values], schema=result)
+
+        for b in batches:
+            for i, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                x0, *rest = np.split(np.frombuffer(data), [1, 1 + k - i])
+                y0, more = rest[0], rest[1].reshape(6, k - i)
+                if i != held:
+                    if held is not None:
+                        yield done()
+                    held, origin, sums = i, (x0, y0), more.copy()
+                    continue
+                dx, dy = x0 - origin[0], y0 - origin[1]
+                n, sx, sy, xx, yy, xy = more
+                sums += np.stack((n, sx + n * dx, sy + n * dy, xx + 2 * dx * sx + n * dx * dx, yy + 2 * dy * sy + n * dy * dy,
+                                  xy + dx * sy + dy * sx + n * dx * dy))
+        if held is not None:
+            yield done()
+
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(cols)])
+    parts = min(k, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = values.mapInArrow(summed, schema).repartition(parts, "i").sortWithinPartitions("i")
+    return _both_halves(dealt.mapInArrow(related, "a string, b string, r double"))
+
+
 def structure_report(df: DataFrame, entity: str, period: str) -> DataFrame:
     """Rows, number of periods and entities, and the period range of a long panel."""
     entities = distinct_counts(df, [entity, period])

@@ -8,11 +8,14 @@ such as calendar years do no harm); the remaining k x k solve touches one row pe
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablewright.functions.numbers import finite, ratio
 from tablewright.functions.special import f_upper, t_quantile_two_sided, t_two_sided
@@ -21,6 +24,9 @@ from tablewright.operators.joining import null_safe_join
 from tablewright.operators.ordered import lag_along
 from tablewright.session import cut_lineage, measured
 
+MODELS = 2000  # factors that a task holds before it passes them on
+SHARES = 64    # parts of a model's factors that are folded side by side
+
 
 def moments(df: DataFrame, features, label: str, by=()) -> DataFrame:
     """by..., n, mean (array), cov (upper triangle, population) over rows complete in all columns."""
@@ -92,6 +98,86 @@ def simple_ols(df: DataFrame, x: str, y: str, by=()) -> DataFrame:
         F.regr_r2("_y", "_x").alias("r2"), F.regr_count("_y", "_x").alias("n"))
 
 
+def qr_factors(df: DataFrame, features, label: str, by=(), intercept: bool = True) -> DataFrame:
+    """by..., n, r: the triangular factor of (1, features, label) of each model, over rows complete in all columns.
+
+    A task folds its rows into one small factor per model, a few thousand rows at a time; factors are then folded by
+    models and shares, and at last by models (a tree of two levels), so no task takes in more than a share of them.
+    Unlike covariances, factors do not square the condition number of the features.
+    """
+    by, cols = list(by), [*features, label]
+    width = len(cols) + intercept
+    clean = df.select(*by, *[finite(F.col(f"`{c}`").cast("double")).alias(f"_x{i}") for i, c in enumerate(cols)])
+    ready = require(clean, *[f"_x{i}" for i in range(len(cols))])
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*by).schema)
+    schema = (kinds + ", " if by else "") + "n long, r binary"
+    shape = to_arrow_schema(ready.select(*by, F.lit(0).cast("long").alias("n"), F.lit(b"").alias("r")).schema)
+
+    def folded(blocks: list[np.ndarray]) -> np.ndarray:
+        r = np.linalg.qr(np.vstack(blocks), mode="r")
+        return np.vstack((r, np.zeros((width - len(r), width)))) if len(r) < width else r
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, tuple[int, np.ndarray]] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            rows = [(*key, n, r.tobytes()) for key, (n, r) in held.items()]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), shape)], schema=shape)
+
+        for b in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns[len(by):]]) if b.num_rows else np.empty((0, len(cols)))
+            x = np.column_stack((np.ones(len(x)), x)) if intercept else x
+            keys = list(zip(*[c.to_pylist() for c in b.columns[: len(by)]])) if by else [()] * len(x)
+            at: dict[tuple, list[int]] = {}
+            for i, key in enumerate(keys):
+                at.setdefault(key, []).append(i)
+            for key, own in at.items():
+                n, r = held.get(key, (0, np.zeros((0, width))))
+                for i in range(0, len(own), 4096):
+                    r = folded([r, x[own[i: i + 4096]]])
+                held[key] = (n + len(own), r)
+            if len(held) > MODELS:
+                yield from out()
+                held.clear()
+        yield from out()
+
+    def merged(rows: pd.DataFrame) -> pd.DataFrame:
+        r = folded([np.frombuffer(x).reshape(width, width) for x in rows["r"]])
+        return rows.iloc[:1].drop(columns=["_share"], errors="ignore").assign(n=int(rows["n"].sum()), r=[r.tobytes()])
+
+    parts = ready.mapInArrow(local, schema).withColumn("_share", F.pmod(F.xxhash64("r"), F.lit(SHARES)).cast("int"))
+    first = parts.groupBy(*by, "_share").applyInPandas(merged, schema)
+    last = first if by else first.withColumn("_share", F.lit(0))
+    return last.groupBy(*by or ["_share"]).applyInPandas(merged, schema)
+
+
+def ols_qr(df: DataFrame, features, label: str, by=(), intercept: bool = True) -> DataFrame:
+    """by..., n, intercept, coef, rss, r2, cond: least squares from triangular factors; of several best fits the one with the
+    least coefficients (relative to the columns' sizes). cond is the condition number of the features (and the constant)."""
+    @F.pandas_udf("intercept double, coef array<double>, rss double, r2 double, cond double")
+    def fit(n: pd.Series, data: pd.Series) -> pd.DataFrame:
+        out = []
+        for rows, r in zip(n, data):
+            r = np.frombuffer(r)
+            r = r.reshape(math.isqrt(len(r)), -1)
+            x, y = r[:, :-1], r[:, -1]
+            unit = np.linalg.norm(x, axis=0)
+            unit = np.where(unit > 0, unit, 1.0)
+            u, s, v = np.linalg.svd(x / unit, full_matrices=False)
+            keep = s > s.max(initial=0.0) * max(rows, x.shape[1]) * np.finfo(float).eps
+            b = v.T[:, keep] @ ((u.T @ y)[keep] / s[keep]) / unit
+            rss = float(np.square(y - x @ b).sum())
+            # the constant's column is the first: what its direction takes off the label is the mean
+            tss = float(np.square(y[1:]).sum()) if intercept else float(np.square(y).sum())
+            whole = np.linalg.svd(x, compute_uv=False)
+            out.append((float(b[0]) if intercept else 0.0, b[int(intercept):].tolist(), rss, 1 - rss / tss if tss > 0 else None,
+                        float(whole.max() / whole.min()) if whole.min(initial=np.inf) > 0 else None))
+        return pd.DataFrame(out, columns=["intercept", "coef", "rss", "r2", "cond"])
+
+    return qr_factors(df, features, label, by, intercept).withColumn("f", fit("n", "r")).select(*by, "n", "f.*")
+
+
 def ols_coefficients(df: DataFrame, features, label: str, by=(), alpha: float = 0.05) -> DataFrame:
     """by..., term, coef, se, t, p, ci_low, ci_high (the constant first)."""
     names = ["const", *features]

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tablewright.functions import dates, numbers, text
 from tablewright.operators import filters, profiling, schema
 from tablewright.registry.common import query
 from tablewright.session import scratch_path
-from tablewright.sources import csv, html, json_pages, tables
+from tablewright.sources import csv, feature_pages, html, json_pages, tables
 from tablewright.sources.tables import load
 from tablewright.streaming.landing import land_new_pages
 
@@ -206,6 +206,19 @@ def paged_json(spark, sf):
     return schema.rename(rows, PAGE_NAMES)
 
 
+@query("paged_json_source", PAGED_SQL)
+def paged_json_source(spark, sf):
+    """Pages planned by offset, the years compared by the reader; an empty page ends the query."""
+    path, limit = scratch_path(spark, "offsets"), 1000
+    pages = _pages(spark, sf).where(F.contains("value", F.lit("attributes")))
+    nth = F.row_number().over(Window.orderBy(F.xxhash64("value"))) - 1  # one row per response
+    empty = pages.limit(1).select(F.lit('{"features": []}').alias("value"), F.lit(pages.count() * limit).alias("offset"))
+    pages.select("value", (nth * limit).alias("offset")).unionByName(empty).write.partitionBy("offset").text(path)
+    feature_pages.register(spark)
+    rows = spark.read.format("feature_pages").schema(ATTRIBUTES).option("path", path).option("limit", limit).load()
+    return schema.rename(rows.where(F.col("yr").between(1996, 1999)), PAGE_NAMES)
+
+
 @query("paged_json_landing", PAGED_SQL)
 def paged_json_landing(spark, sf):
     base = scratch_path(spark, "landing")

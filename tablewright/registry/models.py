@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright.operators import arima, forecasting as fc, joining, learners as ml, panel as pn, ranking, regression as rg, reshape
+from tablewright.operators import arima, forecasting as fc, joining, learners as ml, network, panel as pn, ranking, regression as rg, reshape
 from tablewright.registry.common import GAPS, PANEL, cells, gaps, panel, query, r, rounded
 from tablewright.session import cut_lineage
 from tablewright.sources.tables import load
@@ -258,3 +258,33 @@ def recursive_forest(spark, sf):
 def joint_forest(spark, sf):
     rows = cut_lineage(fc.joint_training(panel(spark, sf, stored=True), "series", "period", "value"))
     return fc.joint_forecast(rows, fc.fit_joint_forest(rows), "period")
+
+
+@query("network_early_stop")
+def network_early_stop(spark, sf):
+    """Scores of a dense network, stopped by a validation share, on test rows."""
+    d = rg.hash_split(_signal(spark, sf), "event_id")
+    d = rg.hash_split(d, "event_id", 10, seed=7, into="fitted").withColumn("validation", ~F.col("fitted"))
+    features = ["user_id", "k", "h"]
+    model = network.fit(d.where("is_train"), features, "y", "validation", epochs=15, steps=2)
+    return rg.regression_scores(model.predict(d.where("not is_train"), "p"), "y", "p").withColumn("epochs", F.lit(len(model.losses)))
+
+
+@query("network_without_layers", f"WITH {SIGNAL} SELECT CAST(unnest([min(user_id), max(user_id)]) AS BIGINT) AS user_id, true AS near FROM d")
+def network_without_layers(spark, sf):
+    """Without hidden layers the loss falls to that of least squares: predictions lie within three hundredths of the label's deviation of the line."""
+    d = _signal(spark, sf).withColumn("held", F.lit(True))
+    both = d.unionByName(d.withColumn("held", F.lit(False)))
+    model = network.fit(both, ["user_id"], "y", "held", hidden=(), epochs=60, steps=1, rate=0.1, dropout=0.0, patience=60)
+    line = rg.simple_ols(d, "user_id", "y").crossJoin(d.agg(F.min("user_id").alias("lo"), F.max("user_id").alias("hi"), F.stddev_pop("y").alias("s")))
+    ends = model.predict(line.select("slope", "intercept", "s", F.explode(F.array("lo", "hi")).alias("user_id")), "p")
+    fits = F.abs(F.col("p") - F.col("intercept") - F.col("slope") * F.col("user_id")) < 0.03 * F.col("s")
+    return ends.select(F.col("user_id").cast("long").alias("user_id"), fits.alias("near"))
+
+
+@query("ols_near_collinear", f"""WITH {SIGNAL}, s AS (SELECT var_pop(user_id) AS s11, var_pop(k) AS s22, covar_pop(user_id, k) AS s12, covar_pop(user_id, y) AS s1y,
+  covar_pop(k, y) AS s2y FROM d) SELECT round((s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12), 3) AS gain FROM s""")
+def ols_near_collinear(spark, sf):
+    """Two features that differ by a billionth of a third: triangular factors still find how much the difference counts for."""
+    d = _signal(spark, sf).withColumn("twin", F.col("k") + 1e-9 * F.col("user_id"))
+    return rg.ols_qr(d, ["k", "twin"], "y").select(F.round(F.col("coef")[1] * 1e-9, 3).alias("gain"))
