@@ -13,6 +13,7 @@ from collections.abc import Callable
 import numpy as np
 
 TINY = 1e-300
+EDGE = 0.9995   # of autoregressive parts: nearer to a unit root the start of the filter cannot be told from noise
 TOGETHER = 256  # series of a batch that are fitted side by side
 
 
@@ -20,9 +21,12 @@ def bounded(u: np.ndarray) -> np.ndarray:
     return u / np.sqrt(1 + u * u)
 
 
-def coefficients(u: np.ndarray) -> np.ndarray:
-    """Coefficients c of a stationary 1 - c1 B - ... from unbounded parameters, per row (Durbin and Levinson)."""
-    r = bounded(u)
+def coefficients(u: np.ndarray, edge: float = 1.0) -> np.ndarray:
+    """Coefficients c of a stationary 1 - c1 B - ... from unbounded parameters, per row (Durbin and Levinson).
+
+    Partial autocorrelations stay below ``edge``.
+    """
+    r = edge * bounded(u)
     c = np.zeros_like(u)
     for k in range(u.shape[1]):
         c[:, :k] = c[:, :k] - r[:, k: k + 1] * c[:, :k][:, ::-1]
@@ -32,13 +36,13 @@ def coefficients(u: np.ndarray) -> np.ndarray:
 
 def plain(most: int) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
     """Parameters (ar..., ma...), ``most`` each, to coefficients; parameters of 0 at the end of each half are lags left out."""
-    return lambda u: (coefficients(u[:, :most]), -coefficients(u[:, most:]))
+    return lambda u: (coefficients(u[:, :most], EDGE), -coefficients(u[:, most:]))
 
 
 def seasonal(season: int) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
     """Four parameters to the products (1 - a B)(1 - A B^s) and (1 + m B)(1 + M B^s)."""
     def spread(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        a, big_a, m, big_m = bounded(u).T
+        a, big_a, m, big_m = (bounded(u) * [EDGE, EDGE, 1, 1]).T
         ar, ma = np.zeros((len(u), season + 1)), np.zeros((len(u), season + 1))
         ar[:, 0], ar[:, season - 1], ar[:, season] = a, big_a, -a * big_a
         ma[:, 0], ma[:, season - 1], ma[:, season] = m, big_m, m * big_m
@@ -65,7 +69,7 @@ def filtered(w: np.ndarray, used: np.ndarray, ar: np.ndarray, ma: np.ndarray, ce
     logs, yy, yo, oo = (np.zeros(n) for _ in range(4))
     for t in range(most):
         live = used > t
-        f = np.maximum(p[:, 0, 0], TINY)
+        f = np.maximum(p[:, 0, 0], 1.0)  # never below the noise of the value itself, but for rounding
         v, o = w[:, t] - a[:, 0, 0], 1 - a[:, 0, 1]
         logs += np.where(live, np.log(f), 0)
         yy += np.where(live, v * v / f, 0)
