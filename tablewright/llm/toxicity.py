@@ -22,14 +22,10 @@ GRAMS = (3, 4, 5, 6)
 BUCKETS = 1 << 15
 WINDOW, STRIDE = 4, 2
 CACHE_WORDS = 100_000
-LONGEST = 64  # a longer run of letters is read as consecutive pieces of this length
 
 
 def words_of(text: str | None) -> list[str]:
-    found = WORD.findall(text.lower()) if text else []
-    if any(len(w) > LONGEST for w in found):
-        found = [w[i: i + LONGEST] for w in found for i in range(0, len(w), LONGEST)]
-    return found
+    return WORD.findall(text.lower()) if text else []
 
 
 def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,14 +130,15 @@ def fit(texts: list[str], labels: np.ndarray, dim: int = 8, steps: int = 400, ba
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: int = 4000, text: str = "text",
-          label: str = "toxic", doc_id: str = "doc_id", seed: int = 7) -> ToxicityModel | None:
+          label: str = "toxic", doc_id: str = "doc_id", seed: int = 7, max_chars: int = 200_000) -> ToxicityModel | None:
     """Fit on at most ``max_rows`` whole labelled texts, about a third of them toxic where there are enough.
 
-    ``max_rows`` bounds what reaches the driver; a hash of the id picks the rows. Rows without text, or whose label
-    is neither 0 nor 1, are left out. None if a class is missing.
+    ``max_rows`` texts of up to ``max_chars`` characters bound what reaches the driver; longer ones are not learnt from, but
+    scored like all others. A hash of the id picks the rows. Rows without text, or whose label is neither 0 nor 1, are
+    left out. None if a class is missing.
     """
     marks = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("i")).agg(F.max(label).alias("y"))
-    known = docs.where(learn & F.col(text).isNotNull()).select(F.col(doc_id).alias("i"), F.col(text).alias("t"))
+    known = docs.where(learn & (F.length(text) <= max_chars)).select(F.col(doc_id).alias("i"), F.col(text).alias("t"))
     marked = known.select("i").join(marks, "i").withColumn("u", uniform(F.col("i"), seed=seed))
     n = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import time
 
 import numpy as np
 import public_tokenizers as P
@@ -155,3 +156,135 @@ def test_long_words_merge_alike(library, word):
 def test_packed_numbers():
     for x in (np.array([], np.int64), np.array([0, 1, 127, 128, 16383, 16384, 2**31 - 1, 5])):
         assert bpe.unpack(bpe.pack(x)).tolist() == x.tolist()
+
+
+def grams_by_hand(word):
+    """Buckets of a word's n-grams, one after the other."""
+    points, out = [ord(c) for c in f"<{word}>"], []
+    for k in toxicity.GRAMS:
+        for i in range(len(points) - k + 1):
+            h = k
+            for p in points[i: i + k]:
+                x = (h * 0x100000001B3 + p) % 2 ** 64
+                x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) % 2 ** 64
+                x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) % 2 ** 64
+                h = x ^ (x >> 31)
+            out.append(h % toxicity.BUCKETS)
+    return out
+
+
+def score_by_hand(text, model):
+    words = [grams_by_hand(w) for w in toxicity.WORD.findall((text or "").lower())]
+    best = None
+    for start in range(0, max(len(words) - toxicity.STRIDE, 1), toxicity.STRIDE):
+        grams = [g for w in words[start: start + toxicity.WINDOW] for g in w]
+        z = sum(model.logit[g] for g in grams) / max(len(grams), 1) + model.bias
+        best = z if best is None else max(best, z)
+    return 1 / (1 + np.exp(-best))
+
+
+def test_toxicity_scores_by_hand(spark):
+    """Whole texts and whole words, however long."""
+    draw = np.random.default_rng(6)
+    model = toxicity.ToxicityModel(draw.normal(size=toxicity.BUCKETS), -0.3)
+    texts = [None, "", "...", "a", "One two", "It was the best of times, it WAS the worst of times; éà 12", "x" * 300 + " y", "ab " * 50]
+    docs = small_frame(spark, list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == pytest.approx(score_by_hand(t, model), abs=1e-12), t
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_toxicity_gradient_is_the_difference_quotient(whole):
+    draw = np.random.default_rng(7)
+    texts, labels = ["a bad word here and there again", "good day", "", "the sun is out today my friend yes"], np.array([1.0, 0.0, 1.0, 0.0])
+    batch = toxicity._Batch(texts, labels, np.array([0.3, 0.2, 0.4, 0.1]))
+    logit, bias = draw.normal(size=toxicity.BUCKETS), 0.1
+
+    def loss(logit, bias):
+        total = 0.0
+        for t, y, w in zip(texts, labels, batch.weight):
+            words = [grams_by_hand(x) for x in toxicity.WORD.findall(t)]
+            z = []
+            for start in range(0, max(len(words) - toxicity.STRIDE, 1), toxicity.STRIDE):
+                grams = [g for x in words[start: start + toxicity.WINDOW] for g in x]
+                z.append(sum(logit[g] for g in grams) / max(len(grams), 1) + bias)
+            v = np.mean(z) if whole else max(z)
+            total += w * (np.log1p(np.exp(v)) - y * v)
+        return total
+
+    pull, slope = batch.pull(logit, bias, whole)
+    assert slope == pytest.approx((loss(logit, bias + 1e-6) - loss(logit, bias - 1e-6)) / 2e-6, abs=1e-7)
+    for g in np.flatnonzero(pull)[:25].tolist() + [int(np.flatnonzero(pull == 0)[0])]:
+        up, down = logit.copy(), logit.copy()
+        up[g] += 1e-6
+        down[g] -= 1e-6
+        assert pull[g] == pytest.approx((loss(up, bias) - loss(down, bias)) / 2e-6, abs=1e-7)
+
+
+def test_toxicity_learns_from_bounded_texts_only(spark):
+    docs = small_frame(spark, [(i, ("bad " if i % 2 else "fine ") * 5) for i in range(40)] + [(99, "bad " * 100)], "doc_id long, text string")
+    labels = small_frame(spark, [(i, i % 2) for i in range(40)] + [(99, 0)], "doc_id long, toxic int")
+    with_long = toxicity.train(docs, labels, F.lit(True), max_chars=50)
+    without = toxicity.train(docs.where("doc_id < 99"), labels, F.lit(True))
+    assert np.array_equal(with_long.logit, without.logit)
+
+
+def segmentations(word, pieces):
+    """Every way to cut a word into pieces; single characters stand in for the unknown."""
+    if not word:
+        return [[]]
+    return [[word[:k], *rest] for k in range(1, len(word) + 1) if k == 1 or word[:k] in pieces for rest in segmentations(word[k:], pieces)]
+
+
+def rows_of(model, pieces):
+    """Row of ``prob`` for every piece."""
+    out = {}
+    for own, points in langid.by_length(pieces):
+        for k, h in langid._hashes(points, model.longest):
+            if k == points.shape[1]:
+                out |= {pieces[i]: int(np.searchsorted(model.keys, v)) for i, v in zip(own, h[:, 0])}
+    return out
+
+
+def test_posterior_of_a_text_by_listing_segmentations(spark):
+    import pandas as pd
+    pieces = ["▁", "a", "b", "ab", "▁a", "ba", "▁ab"]
+    model = langid.fit(pd.DataFrame({"lang": list("xxyyz"), "word": ["aba", "ab", "ba", "bb", "abab"], "n": [3, 2, 5, 1, 4]}), pieces, 3)
+    at = rows_of(model, pieces)
+    text = "Aba ba, zab AB! abba"
+    logs = np.zeros(3)
+    for w in langid.WORD.findall(text.lower()):
+        for c in range(3):
+            logs[c] += np.log(sum(np.prod([model.prob[at.get(p, len(model.keys)), c] for p in cut]) for cut in segmentations("▁" + w, pieces)))
+    posterior = np.exp(logs - logs.max()) / np.exp(logs - logs.max()).sum()
+    row = langid.identify(small_frame(spark, [(1, text)], "doc_id long, text string"), model).first()
+    assert row.lang_pred == model.langs[posterior.argmax()] and row.score == pytest.approx(posterior.max(), abs=1e-9)
+
+
+def test_em_counts_by_listing_segmentations():
+    import pandas as pd
+    pieces, words, smooth = ["▁", "a", "b", "ab", "▁a", "ba"], {"aba": 3, "ab": 2, "zb": 1}, 0.1
+    model = langid.fit(pd.DataFrame({"lang": "x", "word": list(words), "n": list(words.values())}), pieces, 3, rounds=3, smooth=smooth)
+    at = rows_of(model, pieces)
+    size = len(model.keys) + 1
+    prob = np.full(size, 1.0 / size)
+    for _ in range(3):
+        seen = np.zeros(size)
+        for w, n in words.items():
+            cuts = [[at.get(p, size - 1) for p in cut] for cut in segmentations("▁" + w, pieces)]
+            weight = np.array([np.prod(prob[cut]) for cut in cuts])
+            for cut, share in zip(cuts, weight / weight.sum()):
+                np.add.at(seen, cut, n * share)
+        prob = (seen + smooth) / (seen.sum() + smooth * size)
+    assert np.allclose(model.prob[:, 0], prob)
+
+
+def test_language_of_a_very_long_run(spark, medium):
+    """A hundred thousand letters without a space are one word."""
+    docs = spark.read.parquet(f"{medium}/documents.parquet")
+    model = langid.train(docs, PIECES, rows_per_lang=20)
+    run = "".join("the quick brown fox jumps over this lazy dog and then that other one" .split()) * 1800
+    started = time.time()
+    row = langid.identify(small_frame(spark, [(1, run)], "doc_id long, text string"), model).first()
+    assert time.time() - started < 120 and row.lang_pred == "en"
