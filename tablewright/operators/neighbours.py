@@ -1,11 +1,14 @@
 """Exact k-nearest-neighbour imputation as a partitioned join.
 
-Donors are split into leaves of a k-d partition (split points from a bounded sample; they
+Donors are split into leaves of a k-d partition (split points from bounded samples; they
 steer the work, not the result). Every query point first meets only its own leaf, which
 gives a radius, and then exactly those other leaves whose box reaches into that radius.
-Neither side is broadcast. The driver holds the tree and one box per leaf, at most TREE_LEAVES of them.
-A leaf with many donors is dealt into shares of about LEAF_ROWS donors, each of which a query of the
-leaf meets; busy leaves also spread their queries over tasks. So no task holds more than one share
+Neither side is broadcast. The partition has two levels. The driver holds the upper tree and one box
+per branch, at most TREE_LEAVES of them; with more donors than these can hold, each branch is split again
+by a tree of its own, from its own sample. These lower trees and their boxes are rows of a table that donors and
+queries meet branch by branch, so a leaf keeps about LEAF_ROWS donors as the donors grow (TREE_LEAVES squared leaves).
+A leaf that cannot be split is dealt into shares of about LEAF_ROWS donors, each of which a query of the
+leaf meets; busy branches and leaves spread their rows over tasks. So no task holds more than one share
 of donors and one of queries. Equal points are merged beforehand: at most k donors of one point
 can be among the k nearest, and equal queries share an answer.
 """
@@ -95,6 +98,72 @@ def _nearest(points: np.ndarray, donors: np.ndarray, k: int):
         yield start, best, np.take_along_axis(d, best, 1)
 
 
+def _heap(boxes: pd.DataFrame, names: list[str], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lows and highs of all nodes of a tree in heap order, from those of its leaves; an empty node has an empty box."""
+    low, high = np.full((2 ** (depth + 1), len(names)), np.inf), np.full((2 ** (depth + 1), len(names)), -np.inf)
+    at = boxes["_leaf"].to_numpy(int) % 2**depth + 2**depth
+    low[at], high[at] = boxes[[f"lo{c}" for c in names]].to_numpy(float), boxes[[f"hi{c}" for c in names]].to_numpy(float)
+    for node in range(2**depth - 1, 0, -1):
+        low[node] = np.minimum(low[2 * node], low[2 * node + 1])
+        high[node] = np.maximum(high[2 * node], high[2 * node + 1])
+    return low, high
+
+
+def _lower_trees(placed: DataFrame, names: list[str], lower: int, fraction: float) -> DataFrame:
+    """(_leaf, dims, cuts): a tree of its own for every branch, from a sample of about SAMPLE_PER_LEAF donors a leaf."""
+    def build(key: tuple, sample: pd.DataFrame) -> pd.DataFrame:
+        dims, cuts = _split_points(sample[names].to_numpy(float), lower)
+        return pd.DataFrame({"_leaf": [key[0]], "dims": [dims.astype(np.int32).tobytes()], "cuts": [cuts.tobytes()]})
+
+    sample = placed.select("_leaf", *names).sample(fraction=min(1.0, fraction), seed=8)
+    return sample.groupBy("_leaf").applyInPandas(build, "_leaf int, dims binary, cuts binary")
+
+
+def _shared(rows: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with _part: the rows of a branch in parts of about QUERIES_PER_TASK, its row of the table once for each part."""
+    parts = measured(rows.groupBy("_leaf").agg(F.ceil(F.count("*") / QUERIES_PER_TASK).cast("int").alias("_parts")))
+    dealt = rows.join(parts, "_leaf").withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.col("_parts")).cast("int")).drop("_parts")
+    copies = table.join(parts, "_leaf").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    return dealt, copies
+
+
+def _in_branches(rows: DataFrame, trees: DataFrame, names: list[str], lower: int) -> DataFrame:
+    """``rows`` with the number of the leaf within the branch added to _leaf; a branch without a tree is one leaf."""
+    def place(own: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        inner = 0
+        if len(tree) and len(own):
+            dims, cuts = np.frombuffer(tree["dims"].iloc[0], np.int32), np.frombuffer(tree["cuts"].iloc[0])
+            inner = _leaves(own[names].to_numpy(float), dims, cuts, lower)
+        return own.assign(_leaf=own["_leaf"].astype("int64") * 2**lower + inner)[out]
+
+    out = rows.columns
+    schema = ", ".join(f"{f.name} {'bigint' if f.name == '_leaf' else f.dataType.simpleString()}" for f in rows.schema)
+    dealt, copies = _shared(rows, trees)
+    return dealt.groupBy("_leaf", "_part").cogroup(copies.groupBy("_leaf", "_part")).applyInPandas(place, schema)
+
+
+def _reached_below(asked: DataFrame, boxes: DataFrame, names: list[str], lower: int) -> DataFrame:
+    """names..., _leaf: from (query, branch, _own, _r) the leaves of the branch within the squared radius, but the query's own."""
+    own = boxes.withColumn("_branch", F.expr(f"_leaf div {2**lower}"))
+    fields = ["_leaf", *[f"{p}{c}" for c in names for p in ("lo", "hi")]]
+    table = own.groupBy("_branch").agg(F.collect_list(F.struct(*fields)).alias("boxes")).withColumnRenamed("_branch", "_leaf")  # TREE_LEAVES at most
+
+    def reach(rows: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        found = [pd.DataFrame(columns=[*names, "_leaf"])]
+        if len(rows) and len(held):
+            leaves = pd.DataFrame([tuple(b.values()) if isinstance(b, dict) else tuple(b) for b in held["boxes"].iloc[0]], columns=fields)
+            low, high = _heap(leaves, names, lower)
+            x, mine, base = rows[names].to_numpy(float), rows["_own"].to_numpy(), int(rows["_leaf"].iloc[0]) * 2**lower
+            for at, leaf in _reached(x, rows["_r"].to_numpy(float), low, high, lower):
+                at = at[mine[at] != base + leaf]
+                found.append(pd.DataFrame(x[at], columns=names).assign(_leaf=base + leaf))
+        return pd.concat(found).astype({"_leaf": "int64"})
+
+    dealt, copies = _shared(asked, table)
+    schema = ", ".join(f"{c} double" for c in names) + ", _leaf long"
+    return dealt.groupBy("_leaf", "_part").cogroup(copies.groupBy("_leaf", "_part")).applyInPandas(reach, schema)
+
+
 def knn_mean(donors: DataFrame, queries: DataFrame, key: str, features, target: str, k: int = 5) -> DataFrame:
     """features..., estimate: mean target of the k nearest donors of each distinct query point.
 
@@ -110,9 +179,11 @@ def knn_mean(donors: DataFrame, queries: DataFrame, key: str, features, target:
     wanted = require(queries.select(*xs), *names).distinct()
 
     n = points.count()
-    depth = 0
+    depth = lower = 0
     while 2**depth < TREE_LEAVES and n > LEAF_ROWS * 2**depth:
         depth += 1
+    while depth and 2**lower < TREE_LEAVES and n > LEAF_ROWS * 2**(depth + lower):
+        lower += 1
     fraction = min(1.0, SAMPLE_PER_LEAF * 2**depth / max(n, 1))
     sample = points.select(*names).sample(fraction=fraction, seed=7).toPandas().to_numpy(float) if depth else np.zeros((0, len(names)))
     dims, cuts = _split_points(sample, depth)
@@ -122,7 +193,14 @@ def knn_mean(donors: DataFrame, queries: DataFrame, key: str, features, target:
         return pd.Series(_leaves(np.column_stack([c.to_numpy(float) for c in cols]), dims, cuts, depth))
 
     placed = points.withColumn("_leaf", leaf_of(*names))
-    wanted = cut_lineage(wanted.withColumn("_leaf", leaf_of(*names)))
+    wanted = wanted.withColumn("_leaf", leaf_of(*names))
+    if lower:
+        placed = cut_lineage(placed, "branches")
+        trees = cut_lineage(_lower_trees(placed, names, lower, SAMPLE_PER_LEAF * 2**(depth + lower) / n), "trees")
+        placed, wanted = (cut_lineage(_in_branches(df, trees, names, lower)) for df in (placed, wanted))
+    else:
+        placed = placed.withColumn("_leaf", F.col("_leaf").cast("long"))
+        wanted = cut_lineage(wanted.withColumn("_leaf", F.col("_leaf").cast("long")))
     shares = measured(placed.groupBy("_leaf").agg(F.ceil(F.count("*") / (2 * LEAF_ROWS)).cast("int").alias("_shares")))
     placed = placed.join(shares, "_leaf").withColumn("_share", F.pmod(F.xxhash64("_id"), F.col("_shares")).cast("int")).drop("_shares")
 
@@ -163,26 +241,27 @@ def knn_mean(donors: DataFrame, queries: DataFrame, key: str, features, target:
         first = first.withColumn("_rn", F.row_number().over(nearest_own)).where(F.col("_rn") <= k).drop("_rn")
         radius = first.groupBy(*names).agg(F.max("_d").alias("_r"), F.count("*").alias("_k"))
         bounds = [f(c).alias(f"{p}{c}") for c in names for f, p in ((F.min, "lo"), (F.max, "hi"))]
-        boxes = placed.groupBy("_leaf").agg(*bounds).toPandas()  # one row per leaf, at most TREE_LEAVES
-        low, high = np.full((2 ** (depth + 1), len(names)), np.inf), np.full((2 ** (depth + 1), len(names)), -np.inf)
-        at = boxes["_leaf"].to_numpy() + 2**depth
-        low[at], high[at] = boxes[[f"lo{c}" for c in names]].to_numpy(float), boxes[[f"hi{c}" for c in names]].to_numpy(float)
-        for node in range(2**depth - 1, 0, -1):
-            low[node] = np.minimum(low[2 * node], low[2 * node + 1])
-            high[node] = np.maximum(high[2 * node], high[2 * node + 1])
+        boxes = placed.groupBy("_leaf").agg(*bounds)
+        boxes = cut_lineage(boxes, "boxes") if lower else boxes
+        whole = [f(f"{p}{c}").alias(f"{p}{c}") for c in names for f, p in ((F.min, "lo"), (F.max, "hi"))]
+        branches = boxes.groupBy(F.expr(f"_leaf div {2**lower}").alias("_leaf")).agg(*whole).toPandas()  # TREE_LEAVES at most
+        low, high = _heap(branches, names, depth)
 
         def reach(batches):
             for b in batches:
                 x, own = b[names].to_numpy(float), b["_leaf"].to_numpy()
                 r = np.where(b["_k"].to_numpy() >= k, b["_r"].to_numpy(float), np.inf)
                 for rows, leaf in _reached(x, r, low, high, depth):
-                    rows = rows[own[rows] != leaf]
-                    yield pd.DataFrame(x[rows], columns=names).assign(_leaf=leaf)
+                    if not lower:
+                        rows = rows[own[rows] != leaf]
+                    yield pd.DataFrame(x[rows], columns=names).assign(_leaf=leaf, _own=own[rows], _r=r[rows])
 
         # queries whose own leaf held no donor have no radius yet and visit every leaf
         asked = wanted.join(radius, names, "left").fillna({"_r": 0.0, "_k": 0})
-        others = asked.mapInPandas(reach, ", ".join(f"{c} double" for c in names) + ", _leaf int")
-        found = first.unionByName(meet(cut_lineage(others)))
+        others = asked.mapInPandas(reach, ", ".join(f"{c} double" for c in names) + ", _leaf long, _own long, _r double")
+        if lower:
+            others = _reached_below(cut_lineage(others, "reached"), boxes, names, lower)
+        found = first.unionByName(meet(cut_lineage(others.select(*names, "_leaf"))))
 
     nearest = Window.partitionBy(*names).orderBy("_d", "_id")
     best = found.withColumn("_rn", F.row_number().over(nearest)).where(F.col("_rn") <= k)

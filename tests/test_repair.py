@@ -92,10 +92,11 @@ def brute_knn(donors, queries, k):
     return out
 
 
-@pytest.mark.parametrize("leaf", [8, 10_000])
-def test_knn_equals_brute_force(spark, monkeypatch, leaf):
-    """Many ties, a third of all donors and of all queries on one point, queries far outside."""
+@pytest.mark.parametrize("leaf,tree", [(8, 4096), (10_000, 4096), (4, 4), (8, 2)])
+def test_knn_equals_brute_force(spark, monkeypatch, leaf, tree):
+    """Many ties, a third of all donors and of all queries on one point, queries far outside; one level of tree, or two."""
     monkeypatch.setattr(neighbours, "LEAF_ROWS", leaf)
+    monkeypatch.setattr(neighbours, "TREE_LEAVES", tree)
     monkeypatch.setattr(neighbours, "QUERIES_PER_TASK", 7)
     rng = np.random.default_rng(2)
     pts = [tuple(map(float, p)) for p in rng.integers(0, 12, (400, 2))] + [(3.0, 3.0)] * 200 + [(100.0, -50.0)] * 3
@@ -132,6 +133,22 @@ def test_leaves_stay_balanced_when_values_saturate():
     assert sizes.max() < 3 * sizes.mean()
 
 
+def test_leaves_stay_small_at_ten_times_the_donors(spark):
+    """With ten times the donors the branches get deeper trees, not larger leaves."""
+    rng = np.random.default_rng(5)
+    largest = []
+    for n, lower in ((4_000, 2), (40_000, 6)):
+        x = rng.normal(size=(n, 2))
+        dims, cuts = neighbours._split_points(x[:500], 2)
+        rows = [(int(b), *map(float, p)) for b, p in zip(neighbours._leaves(x, dims, cuts, 2), x)]
+        placed = spark.createDataFrame(rows, "_leaf int, a double, b double")
+        trees = neighbours._lower_trees(placed, ["a", "b"], lower, 32 * 2 ** (2 + lower) / n).cache()
+        inner = neighbours._in_branches(placed, trees, ["a", "b"], lower)
+        assert inner.count() == n
+        largest.append(inner.groupBy("_leaf").count().agg(F.max("count")).first()[0])
+    assert largest[1] < 1.5 * largest[0]
+
+
 def test_density_names_constant_groups(spark):
     from tablewright.operators import distributions as dist
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 5.0), ("b", 5.0)], "g string, v double")
