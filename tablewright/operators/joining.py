@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablewright.session import measured
 
@@ -113,16 +113,19 @@ def backfill_missing(df: DataFrame, listed: DataFrame, key: str, lookups: list[t
     return df.unionByName(extra.select(*wanted), allowMissingColumns=True)
 
 
-def category_grid(df: DataFrame, categories, name: str, first: int, last: int) -> DataFrame:
+def category_grid(df: DataFrame, categories, name: str, first: int, last: int, most: int = 100_000) -> DataFrame:
     """Every combination of the observed category levels with the integers first..last; missing levels are left out.
 
     The first category's levels stay a distributed frame; those of each further category enter as one array (a
-    scalar subquery) that every row explodes, so the requested product is built where the rows are.
+    scalar subquery) that every row explodes, so the requested product is built where the rows are. A further category of
+    more than ``most`` levels is an error: give the largest one first.
     """
     seen = [df.select(c).where(F.col(c).isNotNull()).distinct() for c in categories]
     out = seen[0]
     for c, levels in zip(categories[1:], seen[1:]):
-        out = out.withColumn(c, F.explode(levels.agg(F.sort_array(F.collect_list(c))).scalar()))
+        some = levels.limit(most + 1)
+        checked = F.when(F.count("*") > most, F.raise_error(F.lit(f"{c} has more than {most} levels")).cast(T.ArrayType(df.schema[c].dataType)))
+        out = out.withColumn(c, F.explode(some.agg(checked.otherwise(F.sort_array(F.collect_list(c)))).scalar()))
     return out.select(*categories, F.explode(F.sequence(F.lit(first), F.lit(last))).alias(name))
 
 

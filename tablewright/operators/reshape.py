@@ -25,9 +25,12 @@ def unpivot(df: DataFrame, ids, cols, names: str = "variable", values: str = "va
     return df.unpivot(list(ids), list(cols), names, values)
 
 
-def levels_of(df: DataFrame, col: str) -> list:
-    """Sorted distinct levels. They are to become columns of a schema, so they are read into the driver."""
-    return sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+def levels_of(df: DataFrame, col: str, most: int = 10_000) -> list:
+    """Sorted distinct levels. They are to become columns of a schema, so they are read into the driver; above ``most`` an error."""
+    found = df.select(col).where(F.col(col).isNotNull()).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{col} has more than {most} levels: too many for columns")
+    return sorted(r[0] for r in found)
 
 
 def dummies(df: DataFrame, cols, levels: dict[str, list] | None = None, sep: str = "_") -> DataFrame:

@@ -121,7 +121,9 @@ def first_last(spark, sf):
     return rounded(pn.first_last(panel(spark, sf), ["series"], "period", "value"), 4, "first_value", "last_value")
 
 
-@query("frequency", f"WITH {PANEL} SELECT DISTINCT series, CAST(3 AS DOUBLE) AS months FROM panel")
+@query("frequency", f"""WITH {PANEL}, g AS (SELECT series, date_diff('month', lag(period) OVER (PARTITION BY series ORDER BY period), period) AS gap FROM panel),
+c AS (SELECT series, gap, COUNT(*) AS n FROM g WHERE gap IS NOT NULL GROUP BY 1, 2)
+SELECT series, CAST(gap AS DOUBLE) AS months FROM c QUALIFY row_number() OVER (PARTITION BY series ORDER BY n DESC, gap) = 1""")
 def frequency(spark, sf):
     return pn.frequency(panel(spark, sf), ["series"], "period")
 

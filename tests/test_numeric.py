@@ -213,3 +213,14 @@ def test_json_values_become_plain_types():
     assert [[feature_pages.cast(v, k) for k in kinds] for v in (1, "2", 2.5, True, None, [1], "x", float("inf"))] == [
         [1, 1.0, "1", None], [2, 2.0, "2", None], [None, 2.5, "2.5", None], [None, None, "true", True], [None] * 4, [None] * 4,
         [None, None, "x", None], [None, float("inf"), "Infinity", None]]
+
+
+def test_too_many_levels_are_told(spark):
+    from tablewright.operators import joining, reshape
+    df = spark.range(30).selectExpr("cast(id as string) as a", "id % 3 as b")
+    assert len(reshape.levels_of(df, "a", 30)) == 30 and reshape.levels_of(df, "b") == [0, 1, 2]
+    with pytest.raises(ValueError, match="more than 29 levels"):
+        reshape.levels_of(df, "a", 29)
+    assert joining.category_grid(df, ["a", "b"], "y", 1, 2, most=3).count() == 180
+    with pytest.raises(Exception, match="more than 2 levels"):
+        joining.category_grid(df, ["a", "b"], "y", 1, 2, most=2).count()
