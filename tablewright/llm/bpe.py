@@ -27,6 +27,9 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from tablewright.llm.common import parts, text_batches
 
 
+KNOWN = 1_000_000  # distinct words whose ids a task remembers before it starts anew
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -181,7 +184,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", c
             yield from flush()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Word lists to id lists; each distinct word is encoded once. Token streams are passed over."""
+        """Word lists to id lists; each distinct word is encoded once, or anew after KNOWN others. Token streams are passed over."""
         ranks, known = sent.value, {}
         for b in batches:
             lists = b.filter(pc.starts_with(b.column("_route"), "w"))
@@ -189,6 +192,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", c
             for block, data in zip(lists.column("_block").to_pylist(), lists.column("_data").to_pylist()):
                 places, words = _split(data)
                 ids = []
+                if len(known) > KNOWN:
+                    known.clear()
                 for w in _unpack_words(words):
                     if w not in known:
                         known[w] = array("i", encode_word(w, ranks))
