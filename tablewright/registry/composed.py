@@ -89,7 +89,8 @@ SEASON = f"{PANEL}, grid AS (SELECT series, period, CAST({NUMBER} * {PATTERN} AS
 
 def _season(spark, sf):
     p = panel(spark, sf, stored=True)
-    grid = p.select("series").distinct().crossJoin(p.select("period").distinct())  # the series and quarters that occur: some hundreds
+    periods = p.agg(F.sort_array(F.collect_set("period"))).scalar()  # quarters that occur: some tens
+    grid = p.select("series").distinct().withColumn("period", F.explode(periods))
     of_quarter = F.element_at(F.array(*map(F.lit, (80, 110, 90, 120))), F.quarter("period"))
     return cut_lineage(grid.withColumn("value", (_number() * of_quarter).cast("double")), "season")
 

@@ -276,10 +276,10 @@ def network_without_layers(spark, sf):
     d = _signal(spark, sf).withColumn("held", F.lit(True))
     both = d.unionByName(d.withColumn("held", F.lit(False)))
     model = network.fit(both, ["user_id"], "y", "held", hidden=(), epochs=60, steps=1, rate=0.1, dropout=0.0, patience=60)
-    line = rg.simple_ols(d, "user_id", "y").crossJoin(d.agg(F.min("user_id").alias("lo"), F.max("user_id").alias("hi"), F.stddev_pop("y").alias("s")))
-    ends = model.predict(line.select("slope", "intercept", "s", F.explode(F.array("lo", "hi")).alias("user_id")), "p")
-    fits = F.abs(F.col("p") - F.col("intercept") - F.col("slope") * F.col("user_id")) < 0.03 * F.col("s")
-    return ends.select(F.col("user_id").cast("long").alias("user_id"), fits.alias("near"))
+    line = d.agg(F.struct(F.regr_slope("y", "user_id").alias("b"), F.regr_intercept("y", "user_id").alias("a"), F.stddev_pop("y").alias("s"))).scalar()
+    ends = d.agg(F.array(F.min("user_id"), F.max("user_id")).alias("ends")).select(F.explode("ends").alias("user_id")).withColumn("l", line)
+    fits = F.abs(F.col("p") - F.col("l.a") - F.col("l.b") * F.col("user_id")) < 0.03 * F.col("l.s")
+    return model.predict(ends, "p").select(F.col("user_id").cast("long").alias("user_id"), fits.alias("near"))
 
 
 @query("ols_near_collinear", f"""WITH {SIGNAL}, s AS (SELECT var_pop(user_id) AS s11, var_pop(k) AS s22, covar_pop(user_id, k) AS s12, covar_pop(user_id, y) AS s1y,

@@ -11,9 +11,10 @@ import __spark_entry__ as entry
 from check_oracle import compare
 from tablewright.registry import REGISTRY
 
-# plans that hold a Python stage by design: small solves, neighbour search
+# plans that hold a Python stage by design: small solves, neighbour search, trees, tables of pages
 REGISTERED = set(REGISTRY)
-RANKED = {"seasonal_growth", "growth_ranking", "trend_ranking", "arima_ranking", "forest_ranking", "outlook_by_growth", "cross_validate", "rank_summary"}
+RANKED = {"seasonal_growth", "growth_ranking", "trend_ranking", "arima_ranking", "forest_ranking", "outlook_by_growth", "cross_validate", "rank_summary",
+          "outlook_lines_by_growth", "arima_lines_ranking", "forest_season_ranking"}
 PYTHON_STAGE = {"knn_impute_saturated", "ols_summary_tests", "energy_normal_equations", "economy_normal_equations",
                 "ols_group_normal_equations", "tree_steps", "forest_impute_steps", "future_score_rows", "arima_zero_series",
                 "arima_ar1", "seasonal_continuation", "recursive_forest_calendar", "calendar_features", "life_projection",
@@ -21,7 +22,12 @@ PYTHON_STAGE = {"knn_impute_saturated", "ols_summary_tests", "energy_normal_equa
                 "forest_ranking", "boosted_early_stop", "outlook_by_growth", "outlook_sector_growth", "outlook_stability",
                 "first_predictions", "ols_two_features", "ols_no_intercept", "ols_coefficients", "ols_summary", "ols_summary_by_group", "ols_summary_per_kind",
                 "cross_validate", "tree_models", "future_scores", "knn_impute", "energy_regression", "energy_scores",
-                "economy_regression", "arima_order_search", "arima_ranking", "seasonal_arima", "seasonal_holdout"}
+                "economy_regression", "arima_order_search", "arima_ranking", "seasonal_arima", "seasonal_holdout",
+                # likelihoods, forests and networks, tables by a tag scan
+                "arima_ma1", "arima_lines_ranking", "seasonal_holdout_exact", "outlook_lines_by_growth", "outlook_lines_sector_growth",
+                "outlook_lines_stability", "forest_season_holdout", "forest_season_ranking", "joint_forest", "joint_forest_pure",
+                "joint_forest_stump", "joint_forest_calendar", "network_early_stop", "network_without_layers", "ols_near_collinear",
+                "catalogue_cells", "html_table_rows", "html_rejects", "storm_merge"}
 
 
 @pytest.fixture(scope="module")
