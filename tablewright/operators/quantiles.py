@@ -45,7 +45,8 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), extra=None) -> DataFrame:
     ranks = [((F.col("n") - 1) * F.lit(p)) for p in probs]
     width = 3 * 2.296 / SKETCH ** 0.9723  # three times the error of a rank that the sketch keeps in 99 of 100 cases
     rows = melt(df, cols, by)
-    stats = measured(groups.select(*keys, "n", *extra, *_brackets(ranks, [("_s", F.lit(0), F.col("n"))] * len(probs), width)))
+    drawn = groups.withColumn("_g", _grid("_s", "n"))
+    stats = measured(drawn.select(*keys, "n", *extra, *_brackets(ranks, [("_g", F.lit(0), F.col("n"))] * len(probs), width)))
     while True:
         share = 2 * (width + 1 / GRID)
         inside = (stats.agg(F.max("n")).first()[0] or 0) * share
@@ -56,7 +57,7 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), extra=None) -> DataFrame:
         if found.where("not _sure").isEmpty():
             break
         width *= 4
-        stats = measured(groups.select(*keys, "n", *extra, *_brackets(ranks, [("_s", F.lit(0), F.col("n"))] * len(probs), width)))
+        stats = measured(drawn.select(*keys, "n", *extra, *_brackets(ranks, [("_g", F.lit(0), F.col("n"))] * len(probs), width)))
     q = F.array(*[F.when(F.col(f"_a{i}") == F.col(f"_b{i}"), F.col(f"_a{i}")).otherwise(
         F.col(f"_a{i}") * (F.ceil(r) - r) + F.col(f"_b{i}") * (r - F.floor(r))) for i, r in enumerate(ranks)])
     out = found.select(*keys, "n", q.alias("q"))
@@ -65,12 +66,16 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), extra=None) -> DataFrame:
     return null_safe_join(stats.drop("n", *sides), out, keys, "left").select(*keys, F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "q", *extra)
 
 
+def _grid(sketch: str, n: str) -> Column:
+    """The values at GRID + 1 even ranks: a sketch tells values at fixed ranks only. Null where there are none."""
+    ranks = ", ".join(f"{k / GRID}D" for k in range(GRID + 1))
+    return F.expr(f"if({n} > 0, kll_sketch_get_quantile_double({sketch}, array({ranks})), null)")
+
+
 def _brackets(ranks: list[Column], parts: list[tuple[str, Column, Column]], width: float) -> list[Column]:
-    """For every rank the values around it, from (sketch, rows below it, rows in it); open at the ends, and for few rows."""
+    """For every rank the values around it, from (grid, rows below it, rows in it); open at the ends, and for few rows."""
     out = []
-    for i, (r, (sketch, below, size)) in enumerate(zip(ranks, parts)):
-        # a sketch tells the values at fixed ranks only: those of a grid
-        grid = F.kll_sketch_get_quantile_double(F.col(sketch), F.array(*[F.lit(k / GRID) for k in range(GRID + 1)]))
+    for i, (r, (grid, below, size)) in enumerate(zip(ranks, parts)):
         low = F.floor(((F.floor(r) - below) / size - width) * GRID).cast("int")
         high = F.ceil(((F.ceil(r) + 1 - below) / size + width) * GRID).cast("int")
         few = size * width < 2
@@ -90,8 +95,8 @@ def _narrowed(rows: DataFrame, bounds: DataFrame, keys, ranks: list[Column], wid
         F.count_if(F.col("value") < F.col(f"_lo{i}")).alias(f"_c{i}"), F.count_if(_within(i)).alias(f"_n{i}"),
         F.kll_sketch_agg_double(F.when(_within(i), F.col("value")), F.lit(SKETCH)).alias(f"_s{i}"))]
     held = [F.first(F.struct(*[f"_{x}{i}" for x in ("lo", "hi")])).alias(f"_old{i}") for i in range(len(ranks))]
-    sums = met.groupBy(*keys, "n").agg(*each, *held)
-    new = _brackets(ranks, [(f"_s{i}", F.col(f"_c{i}"), F.col(f"_n{i}")) for i in range(len(ranks))], width)
+    sums = met.groupBy(*keys, "n").agg(*each, *held).withColumns({f"_g{i}": _grid(f"_s{i}", f"_n{i}") for i in range(len(ranks))})
+    new = _brackets(ranks, [(f"_g{i}", F.col(f"_c{i}"), F.col(f"_n{i}")) for i in range(len(ranks))], width)
     drawn = sums.select("*", *new)
     out = []
     for i, r in enumerate(ranks):
