@@ -1,8 +1,8 @@
 """A dense regression network trained by data-parallel gradient descent.
 
-Each step sends the weights to the tasks, which return the summed gradient of their rows; the driver adds these up (one row a
-task, as long as the weights) and moves the weights by Adam. Rows stay where they are stored. Steps of an epoch go through
-the hashed parts of the rows in turn. After every epoch the loss of the validation rows comes from the same kind of job;
+Each step sends the weights to the tasks, which run side by side and return the summed gradient of their rows; the driver adds
+these up (one row a task, as long as the weights, and TASKS_A_CORE tasks a core at any number of rows) and moves the weights by
+Adam. Rows stay where they are stored, each hashed part in files of its own; steps of an epoch read these parts in turn. After every epoch the loss of the validation rows comes from the same kind of job;
 training stops when it has not fallen for ``patience`` epochs, and the best weights are kept.
 """
 
@@ -18,7 +18,12 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablewright.operators.filters import require
-from tablewright.session import cut_lineage
+from tablewright.session import scratch_path
+
+FILE_ROWS = 500_000   # training rows in a file, so that files spread over tasks however the source is cut
+TASKS_A_CORE = 2      # tasks of a step, each of which returns one gradient
+DRAWN_ROWS = 4096     # rows whose dropped values are drawn together
+BLOCK_ROWS = 512      # rows whose layers are worked out together: they stay in the processor's cache
 
 
 class Network(NamedTuple):
@@ -94,15 +99,17 @@ def fit(df: DataFrame, features, label: str, is_validation: str, hidden: tuple[i
     ready = require(df, *cols, is_validation)
     picked = [F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(cols)]
     part = F.pmod(F.xxhash64(*picked), F.lit(steps)).cast("int").alias("_part")
-    rows = cut_lineage(ready.select(*picked, part, F.col(is_validation).alias("_held")), "training")
-    names = [f"_{i}" for i in range(len(cols))]
+    spark, names = df.sparkSession, [f"_{i}" for i in range(len(cols))]
+    rows, path = ready.select(*picked, part, F.col(is_validation).alias("_held")), scratch_path(spark, "training")
+    rows.write.partitionBy("_held", "_part").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
     told = rows.where("not _held").agg(*[F.avg(c) for c in names], *[F.stddev_pop(c) for c in names]).first()
     if told[0] is None:
         raise ValueError("no row has all features and the label: nothing to learn from")
     centre, scale = (np.array(told[i * len(cols): (i + 1) * len(cols)], float) for i in (0, 1))
     scale = np.where(scale > 0, scale, 1.0)
     layers = start(len(features), hidden, seed)
-    spark = rows.sparkSession
+    most = TASKS_A_CORE * spark.sparkContext.defaultParallelism
     schema = "n long, loss double, gradient binary"
     shape = to_arrow_schema(T.StructType.fromDDL(schema))
 
@@ -117,19 +124,23 @@ def fit(df: DataFrame, features, label: str, is_validation: str, hidden: tuple[i
             net = sent.value
             n, loss, total = 0, 0.0, np.zeros(sum(w.size + b.size for w, b in net))
             for b in batches:
-                for at in range(0, b.num_rows, 4096):
-                    z = (np.column_stack([c.to_numpy() for c in b.slice(at, 4096).columns]) - centre) / scale
-                    x, y = z[:, :-1], z[:, -1]
-                    n += len(y)
-                    if step is None:
-                        loss += float(np.square(forward(net, x)[-1][:, 0] - y).sum())
-                        continue
-                    masks = [(draw.random((len(y), w.shape[1])) >= dropout) / (1 - dropout) for w, _ in net[:-1]] if dropout else None
-                    more, g = gradient(net, x, y, masks)
-                    loss, total = loss + more, total + g
+                for at in range(0, b.num_rows, DRAWN_ROWS):
+                    z = (np.column_stack([c.to_numpy() for c in b.slice(at, DRAWN_ROWS).columns]) - centre) / scale
+                    n, masks = n + len(z), None
+                    if step is not None and dropout:
+                        masks = [(draw.random((len(z), w.shape[1])) >= dropout) / (1 - dropout) for w, _ in net[:-1]]
+                    for i in range(0, len(z), BLOCK_ROWS):
+                        own = slice(i, i + BLOCK_ROWS)
+                        x, y = z[own, :-1], z[own, -1]
+                        if step is None:
+                            loss += float(np.square(forward(net, x)[-1][:, 0] - y).sum())
+                            continue
+                        more, g = gradient(net, x, y, [m[own] for m in masks] if masks else None)
+                        loss, total = loss + more, total + g
             yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([loss]), pa.array([total.tobytes()])], schema=shape)
 
-        found = own.select(*names).mapInArrow(work, schema).toLocalIterator()  # one task's sums at a time
+        # all tasks in one job: toLocalIterator would start the next one when the last has ended
+        found = own.select(*names).coalesce(most).mapInArrow(work, schema).collect()
         n, loss, total = 0, 0.0, 0.0
         for r in found:
             n, loss, total = n + r.n, loss + r.loss, total + np.frombuffer(bytes(r.gradient))

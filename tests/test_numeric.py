@@ -114,6 +114,23 @@ def test_network_stops_and_keeps_the_best(spark):
         network.fit(df.limit(0), ["a"], "y", "held")
 
 
+def test_network_steps_are_single_jobs(spark):
+    """A step runs its tasks side by side, however many files hold the rows: the number of jobs does not grow with them."""
+    df = spark.range(4000).select(F.rand(3).alias("a"), (F.col("id") % 7).cast("double").alias("y"), (F.col("id") % 5 == 0).alias("held"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        jobs = []
+        for epochs in (1, 3):
+            spark.sparkContext.setJobGroup(f"network-{epochs}", "a fit")
+            model = network.fit(df.repartition(8), ["a"], "y", "held", (4,), epochs=epochs, steps=2, patience=9)
+            jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"network-{epochs}")))
+            assert len(model.losses) == epochs
+        assert jobs[1] - jobs[0] == 2 * 3  # two steps and the validation rows, in each of two more epochs
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 # --- HTML tables
 
 class ByParser(html.parser.HTMLParser):
