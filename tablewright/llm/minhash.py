@@ -148,32 +148,58 @@ def _wide(texts: DataFrame, size: int) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, wide array<long>")
 
 
+def _open_buckets(labelled: DataFrame) -> DataFrame:
+    """key, top, tiles, others of the buckets whose members (doc_id, key, component_id) are in different components.
+
+    ``top`` is the component most members are in; all members make ``tiles`` of about TILE, those outside of it ``others``.
+    """
+    each = labelled.groupBy("key", "component_id").agg(F.count("*").alias("c"))
+    found = each.groupBy("key").agg(F.count("*").alias("n"), F.sum("c").alias("c"), F.max(F.struct("c", "component_id")).alias("t")).where("n > 1")
+
+    def tiles(c: Column) -> Column:
+        return F.ceil(c / TILE).cast("int")
+
+    return found.select("key", F.col("t.component_id").alias("top"), tiles(F.col("c")).alias("tiles"), tiles(F.col("c") - F.col("t.c")).alias("others"))
+
+
+def _dealt(rest: DataFrame) -> DataFrame:
+    """The members of open buckets with the groups (i, j) they go to: tile i of those outside of ``top`` meets tile j of all.
+
+    Members of ``top`` need not meet each other, so they go to the tiles of the others only.
+    """
+    hashed = F.xxhash64("doc_id", F.lit(7))
+    mine = rest.withColumns({"left": F.when(F.col("component_id") != F.col("top"), F.pmod(hashed, "others").cast("int")),
+                             "right": F.pmod(hashed, "tiles").cast("int")})
+    as_right = F.expr("transform(sequence(0, others - 1), i -> struct(i as i, right as j))")
+    as_left = F.expr("transform(sequence(0, tiles - 1), j -> struct(left as i, j as j))")
+    groups = F.when(F.col("left").isNull(), as_right).otherwise(F.array_union(as_left, as_right))
+    return mine.withColumn("g", F.explode(groups)).select("doc_id", "key", "component_id", "top", "left", "right", "g.i", "g.j")
+
+
 def _across(rest: DataFrame, full: DataFrame, threshold: float, percent: int) -> DataFrame:
     """(a, b): pairs of a bucket in different components whose sizes and wide sketches allow a link.
 
-    ``rest`` holds (doc_id, key, component_id, tiles). The members of a bucket are dealt into its tiles of about TILE, and a
-    group compares two tiles, so no group grows with the bucket. A pair is told in the first of the buckets it shares.
+    ``rest`` holds (doc_id, key, component_id) with the columns of `_open_buckets`. A group compares two tiles of a bucket, so no
+    group grows with the bucket. A pair is told in the first of the buckets it shares.
     """
     apart = (1 - threshold) / 2
     most = WIDE * apart + SLACK * math.sqrt(WIDE * apart * (1 - apart))
-    tile = F.pmod(F.xxhash64("doc_id", F.lit(7)), "tiles").cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
-    dealt = rest.withColumn("tile", tile).select("doc_id", "key", "component_id", "tile", other).select(
-        "doc_id", "key", "component_id", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")).join(full, "doc_id")
+    dealt = _dealt(rest).join(full, "doc_id")
     shape = to_arrow_schema(T.StructType.fromDDL("a long, b long"))
 
     def compare(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         band, i, j = (k.as_py() for k in key)
-        ids, own, tile, n = (group[c].to_numpy() for c in ("doc_id", "component_id", "tile", "n"))
-        if own.min() == own.max():
+        ids, own, top, right, n = (group[c].to_numpy() for c in ("doc_id", "component_id", "top", "right", "n"))
+        main = own == top
+        asked = np.flatnonzero(~main & (group["left"].fill_null(-1).to_numpy() == i))
+        if own.min() == own.max() or not len(asked):
             return shape.empty_table()
         sketches = group["wide"].combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(ids), -1)
         bands = group["bands"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
         found = []
-        for x in np.flatnonzero(tile == i):
-            fits = (tile == j) & (own != own[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
-            if i == j:
-                fits &= ids > ids[x]
+        for x in asked:
+            # two members outside of the main component meet twice
+            fits = (right == j) & (own != own[x]) & (main | (ids > ids[x])) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
             at = np.flatnonzero(fits)
             at = at[np.bitwise_count(sketches[at] ^ sketches[x]).sum(axis=1, dtype=np.int64) <= most]
             same = bands[at] == bands[x]
@@ -194,7 +220,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
 
     Equal sets are merged first, so a group of copies counts once from then on. Band buckets are not expanded into
     pairs: every text meets the smallest id of all its buckets, one pair a text. Only buckets whose members are still
-    in different components after that compare those members, tile by tile behind the size bound and a sharper sketch, so no
+    in different components after that compare those members, tile by tile behind the size bound and a sharper sketch (members of
+    the bucket's largest component not with each other), so no
     link between different texts is lost beyond MISS and SLACK. All links are confirmed on full shingle sets.
     """
     threshold = percent / 100
@@ -226,9 +253,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
 
     labelled = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
         "component_id", F.coalesce("component_id", "doc_id"))
-    open_keys = labelled.groupBy("key").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi"), F.count("*").alias("c"))
-    open_keys = cut_lineage(open_keys.where("lo < hi").select("key", F.ceil(F.col("c") / TILE).cast("int").alias("tiles")), "open")
-    rest = cut_lineage(labelled.join(open_keys, "key").select("doc_id", "key", "component_id", "tiles"), "rest")
+    open_keys = cut_lineage(_open_buckets(labelled), "open")
+    rest = cut_lineage(labelled.join(open_keys, "key").select("doc_id", "key", "component_id", "top", "tiles", "others"), "rest")
     wide = _wide(_one_text(texts, rest.select("doc_id").distinct()), size)
     full = cut_lineage(wide.join(sets.select("doc_id", "n", "bands"), "doc_id"), "wide")
     more = cut_lineage(_across(rest, full, threshold, percent).distinct(), "pairs")

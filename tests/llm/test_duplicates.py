@@ -65,6 +65,24 @@ def test_minhash_against_all_pairs(spark, size, percent):
     assert sorted(map(tuple, got.collect())) == brute(rows, size, percent)
 
 
+def test_crowded_bucket_meets_outside_its_main_component(spark):
+    """All pairs of different components share a group, and the members of the main one are not sent to each other's tiles."""
+    labelled = small_frame(spark, [(i, 5, 0 if i % 20 else i + 1) for i in range(9000)], "doc_id long, key long, component_id long")
+    rest = labelled.join(minhash._open_buckets(labelled), "key")
+    groups = {}
+    for r in minhash._dealt(rest).collect():
+        groups.setdefault((r.i, r.j), []).append(r)
+    assert sum(map(len, groups.values())) < 36_000  # all members to all 36 tiles: 324,000
+    met = {(min(x.doc_id, y.doc_id), max(x.doc_id, y.doc_id)) for (i, j), own in groups.items()
+           for x in own if x.left == i and x.doc_id % 400 == 0 for y in own if y.right == j and y.doc_id != x.doc_id}
+    assert met == {(min(a, b), max(a, b)) for a in range(0, 9000, 400) for b in range(9000) if a != b}
+
+
+def test_minhash_with_small_tiles(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE", 5)
+    test_minhash_against_all_pairs(spark, 3, 85)
+
+
 def test_minhash_edges(spark):
     got = sorted(map(tuple, minhash.near_duplicates(edge_docs(spark), 3, 85).collect()), key=repr)
     assert len(got) == len(TEXTS)
