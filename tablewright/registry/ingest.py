@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from tablewright.functions import dates, numbers, text
 from tablewright.operators import filters, profiling, schema
 from tablewright.registry.common import query
-from tablewright.session import scratch_path
+from tablewright.session import cut_lineage, scratch_path
 from tablewright.sources import csv, feature_pages, html, json_pages, tables
 from tablewright.sources.tables import load
 from tablewright.streaming.landing import land_new_pages
@@ -206,14 +207,24 @@ def paged_json(spark, sf):
     return schema.rename(rows, PAGE_NAMES)
 
 
+def _numbered(pages):
+    """(value, nth) with the numbers 0, 1, 2, ... in any order, and how many there are: rows keep their place in their task, only
+    the tasks' counts meet."""
+    stored = cut_lineage(pages.select("value", F.monotonically_increasing_id().alias("uid")), "pages")
+    task, place = F.shiftright("uid", 33), F.col("uid").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = stored.groupBy(task.alias("task")).agg(F.count("*").alias("c")).orderBy("task").collect()  # one row a task
+    starts = list(itertools.accumulate((r.c for r in counts), initial=0))
+    first = tables.literal_table(stored.sparkSession, [(r.task, at) for r, at in zip(counts, starts)], "task long, first long")
+    return stored.withColumn("task", task).join(first, "task").select("value", (F.col("first") + place).alias("nth")), starts[-1]
+
+
 @query("paged_json_source", PAGED_SQL)
 def paged_json_source(spark, sf):
     """Pages planned by offset, the years compared by the reader; an empty page ends the query."""
     path, limit = scratch_path(spark, "offsets"), 1000
-    pages = _pages(spark, sf).where(F.contains("value", F.lit("attributes")))
-    nth = F.row_number().over(Window.orderBy(F.xxhash64("value"))) - 1  # one row per response
-    empty = pages.limit(1).select(F.lit('{"features": []}').alias("value"), F.lit(pages.count() * limit).alias("offset"))
-    pages.select("value", (nth * limit).alias("offset")).unionByName(empty).write.partitionBy("offset").text(path)
+    pages, n = _numbered(_pages(spark, sf).where(F.contains("value", F.lit("attributes"))))
+    empty = tables.literal_table(spark, [('{"features": []}', n)], "value string, nth long")
+    pages.unionByName(empty).select("value", (F.col("nth") * limit).alias("offset")).write.partitionBy("offset").text(path)
     feature_pages.register(spark)
     rows = spark.read.format("feature_pages").schema(ATTRIBUTES).option("path", path).option("limit", limit).load()
     return schema.rename(rows.where(F.col("yr").between(1996, 1999)), PAGE_NAMES)

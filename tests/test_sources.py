@@ -7,6 +7,7 @@ from conftest import rows
 from tablewright.functions.numbers import money
 from tablewright.operators import schema
 from tablewright.plans import economy
+from tablewright.registry import ingest
 from tablewright.sources import csv, html, json_pages, tables
 from tablewright.streaming.landing import land_new_pages
 
@@ -44,6 +45,17 @@ def test_feature_pages(spark, tmp_path):
     assert rows(got) == [(2010, "TX", None)]
 
 
+def test_pages_are_numbered_in_their_tasks(spark):
+    df = spark.range(0, 1000, numPartitions=7).where("id < 900 and id % 3 > 0").select(F.col("id").cast("string").alias("value"))
+    pages, n = ingest._numbered(df)
+    got = rows(pages, "nth")
+    assert n == 600 and [r[1] for r in got] == list(range(600)) and len({r[0] for r in got}) == 600
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan
+    none, n = ingest._numbered(df.limit(0))
+    assert n == 0 and none.count() == 0
+
+
 def test_landing_is_incremental(spark, tmp_path):
     pages, args = tmp_path / "pages", [str(tmp_path / d) for d in ("pages", "table", "progress")]
     pages.mkdir()
