@@ -28,7 +28,7 @@ BINS = 64                # parts of a feature's range in a histogram
 HIST_BYTES = 128 << 20   # of histograms a task holds at a time
 SENT_BYTES = 64 << 20    # a model up to this size is sent to all tasks; a larger one meets its rows in a shuffle
 BUSY_ROWS = 50_000       # rows that meet one subtree in one task
-CHUNK_ROWS = 5_000       # rows that travel together
+BLOCK_BYTES = 4 << 20    # of rows a task sorts by node at a time; those of a node travel together
 
 
 class Tree(NamedTuple):
@@ -71,40 +71,47 @@ def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int | None = None,
     """
     n, k = y.shape
     order = [np.argsort(x[:, f], kind="stable") for f in range(x.shape[1])]
-    node, size = np.zeros(n, np.int64), np.array([n])
+    node, size, rest = np.zeros(n, np.int64), np.array([n]), np.arange(n)  # rest: the rows that are in no leaf yet
     features, thresholds, lefts, values = [], [], [], []
     total, level = 1, 0
+
+    def squares(a: np.ndarray) -> np.ndarray:
+        return np.square(a[:, 0]) if k == 1 else np.square(a).sum(axis=1)
+
     while len(size):
         m = len(size)
-        inside = node >= 0
-        rows = node[inside]
-        weight = np.bincount(rows, w[inside], m)
-        mean = np.stack([np.bincount(rows, w[inside] * y[inside, j], m) for j in range(k)], axis=1) / weight[:, None]
-        off = np.zeros_like(y)
-        off[inside] = y[inside] - mean[rows]
-        spread = np.bincount(rows, w[inside] * np.square(off[inside]).sum(axis=1), m)
-        scale = np.bincount(rows, w[inside] * np.square(y[inside]).sum(axis=1), m)
+        rows, wr, yr = node[rest], w[rest], y[rest]
+        weight = np.bincount(rows, wr, m)
+        mean = np.stack([np.bincount(rows, wr * yr[:, j], m) for j in range(k)], axis=1) / weight[:, None]
+        off = np.empty_like(y)
+        off[rest] = near = yr - mean[rows]
+        spread = np.bincount(rows, wr * squares(near), m)
+        scale = np.bincount(rows, wr * squares(yr), m)
         values.append(mean)
         open_ = (spread > 1e-24 * scale) & (size >= max(2, min_split)) & (depth is None or level < depth)
         best, feature, threshold = np.full(m, -1.0), np.full(m, -1, np.int64), np.zeros(m)
         if open_.any():
+            # the rows of a node stand together in the order of every feature
             starts = np.cumsum(size) - size
+            whole, can = np.repeat(weight, size), np.repeat(open_, size)
+            can[starts + size - 1] = False
             for f, o in enumerate(order):
-                xs, own, ws = x[o, f], node[o], w[o]
+                xs, ws = x[o, f], w[o]
                 sums = np.cumsum(off[o] * ws[:, None], axis=0)
                 got = np.cumsum(ws)
                 before = np.concatenate((np.zeros((1, k)), sums))[starts]
-                left_w = got - np.concatenate(([0.0], got))[starts][own]
-                right_w = weight[own] - left_w
-                ok = np.append((xs[1:] > xs[:-1]) & (own[1:] == own[:-1]), False) & open_[own]
+                left_w = got - np.repeat(np.concatenate(([0.0], got))[starts], size)
+                right_w = whole - left_w
+                ok = np.append(xs[1:] > xs[:-1], False) & can
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    gain = np.where(ok, np.square(sums - before[own]).sum(axis=1) * (1 / left_w + 1 / right_w), -1.0)
+                    gain = np.where(ok, squares(sums - np.repeat(before, size, axis=0)) * (1 / left_w + 1 / right_w), -1.0)
                 top = np.maximum.reduceat(gain, starts)
                 better = top > best
                 if better.any():
-                    hit = np.flatnonzero((gain == top[own]) & better[own])
-                    first = hit[np.unique(own[hit], return_index=True)[1]]
-                    at = own[first]
+                    hit = np.flatnonzero(gain == np.repeat(np.where(better, top, np.inf), size))
+                    own = np.searchsorted(starts, hit, side="right") - 1
+                    new = np.append(True, own[1:] != own[:-1])
+                    first, at = hit[new], own[new]
                     middle = xs[first] + (xs[first + 1] - xs[first]) / 2
                     best[at], feature[at] = top[at], f
                     threshold[at] = np.where(middle < xs[first + 1], middle, xs[first])
@@ -115,25 +122,16 @@ def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int | None = None,
         thresholds.append(threshold)
         lefts.append(np.where(split, total + child, -1))
         total += 2 * int(split.sum())
-        go = inside.copy()
-        go[inside] = split[rows]
-        at = node[go]
-        node = np.full(n, -1, np.int64)
-        node[go] = child[at] + ~(x[go, feature[at]] <= threshold[at])
-        size = np.bincount(node[go], minlength=2 * int(split.sum()))
-        ends = np.cumsum(size) - size
+        rest = rest[split[rows]]
+        at = node[rest]
+        node[:] = -1
+        node[rest] = child[at] + ~(x[rest, feature[at]] <= threshold[at])
+        size = np.bincount(node[rest], minlength=2 * int(split.sum()))
         for f, o in enumerate(order):
-            o = o[go[o]]
             own = node[o]
-            # rows of a node keep their order: the place of each among its node's
-            place = np.empty(len(o), np.int64)
-            for side in (0, 1):
-                mine = own % 2 == side
-                nth = np.cumsum(mine) - 1
-                first = np.cumsum(size[side::2]) - size[side::2]
-                place[mine] = ends[own[mine]] + nth[mine] - first[own[mine] // 2]
-            order[f] = np.empty_like(o)
-            order[f][place] = o
+            o, own = o[own >= 0], own[own >= 0]
+            # rows of a node keep their order; short numbers are sorted by digits
+            order[f] = o[np.argsort(own.astype(np.uint16) if len(size) <= 1 << 16 else own, kind="stable")]
         level += 1
     return Tree(np.concatenate(features), np.concatenate(thresholds), np.concatenate(lefts), np.concatenate(values))
 
@@ -160,6 +158,37 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np
             yield b.column(0).to_numpy(), _matrix(b.column(1)), _matrix(b.column(2))
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """As `_batches`, in blocks of about BLOCK_BYTES: what a node costs per block is paid seldom."""
+    held, size = [], 0
+    for uid, x, y in _batches(batches):
+        a_row = 8 * (1 + x.shape[1] + y.shape[1])
+        step = max(1, BLOCK_BYTES // a_row)
+        for at in range(0, len(uid), step):
+            held.append((uid[at: at + step], x[at: at + step], y[at: at + step]))
+            size += a_row * len(held[-1][0])
+            if size + a_row > BLOCK_BYTES:
+                yield tuple(np.concatenate(c) for c in zip(*held))
+                held, size = [], 0
+    if held:
+        yield tuple(np.concatenate(c) for c in zip(*held))
+
+
+def _sorted_by(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in the order of their nodes, and where each node met starts: one pass, however many nodes there are."""
+    short = len(node) and node.max() < 1 << 16
+    order = np.argsort(node.astype(np.uint16) if short else node, kind="stable")
+    own = node[order]
+    return order, np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, np.int64)
+
+
+def _by_node(node: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(node, its rows in their order) for all nodes met."""
+    order, starts = _sorted_by(node)
+    for a, z in zip(starts.tolist(), [*starts[1:].tolist(), len(order)]):
+        yield int(node[order[a]]), order[a:z]
+
+
 class _Top:
     """The levels of all trees that were split by histograms, on the driver: at most some rows / task_rows nodes a tree."""
 
@@ -199,28 +228,40 @@ def _histograms(rows: DataFrame, top: list[Tree], wanted: dict[tuple[int, int],
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top, wanted = sent.value
-        out: dict[tuple[int, int], np.ndarray] = {}
-        for uid, x, y in _batches(batches):
-            for t in sorted({t for t, _ in wanted}):
+        nodes: dict[int, list[int]] = {}
+        for t, own in sorted(wanted):
+            nodes.setdefault(t, []).append(own)
+        rank, limits, out, met = {}, {}, {}, {}
+        for t, own in nodes.items():
+            rank[t] = np.full(len(top[t].feature), -1)
+            rank[t][own] = np.arange(len(own))
+            limits[t] = None if first else np.stack([wanted[t, m] for m in own])
+            out[t] = np.full((len(own), *form), np.inf if first else 0.0)
+            met[t] = np.zeros(len(own), bool)
+        for uid, x, y in _blocks(batches):
+            squares = None if first else np.square(y).sum(axis=1)
+            for t in nodes:
                 w = weights(uid, t, seed, bootstrap)
-                node = top[t].find(x)
-                for own in np.unique(node).tolist():
-                    if (t, own) not in wanted:
-                        continue
-                    at = np.flatnonzero((node == own) & (w > 0))
-                    if not len(at):
-                        continue
-                    if first:
-                        found = np.stack((x[at].min(axis=0), -x[at].max(axis=0)))
-                    else:
-                        low, high = wanted[t, own]
-                        with np.errstate(divide="ignore", invalid="ignore"):
-                            place = np.where(high > low, (x[at] - low) / (high - low) * BINS, 0).astype(np.int64).clip(0, BINS - 1)
-                        parts = [w[at], *(w[at] * y[at, j] for j in range(outputs)), w[at] * np.square(y[at]).sum(axis=1)]
-                        found = np.stack([np.stack([np.bincount(place[:, f], p, BINS) for p in parts], axis=1) for f in range(width)])
-                    held = out.get((t, own))
-                    out[t, own] = found if held is None else merge(held, found)
-        yield from _rows(((t, n, s.tobytes()) for (t, n), s in out.items()), shape)
+                place = rank[t][top[t].find(x)]
+                at = np.flatnonzero((place >= 0) & (w > 0))
+                own, xs, m = place[at], x[at], len(nodes[t])
+                met[t][own] = True
+                if first:
+                    order, starts = _sorted_by(own)
+                    if len(starts):
+                        there, xs = own[order[starts]], xs[order]
+                        found = np.stack((np.minimum.reduceat(xs, starts, axis=0), -np.maximum.reduceat(xs, starts, axis=0)), axis=1)
+                        out[t][there] = np.minimum(out[t][there], found)
+                    continue
+                parts = [w[at], *(w[at] * y[at, j] for j in range(outputs)), w[at] * squares[at]]
+                for f in range(width):
+                    low, high = limits[t][own, 0, f], limits[t][own, 1, f]
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        bin_ = np.where(high > low, (xs[:, f] - low) / (high - low) * BINS, 0).astype(np.int64).clip(0, BINS - 1)
+                    bin_ += own * BINS
+                    for j, p in enumerate(parts):
+                        out[t][:, f, :, j] += np.bincount(bin_, p, m * BINS).reshape(m, BINS)
+        yield from _rows(((t, nodes[t][i], out[t][i].tobytes()) for t in nodes for i in np.flatnonzero(met[t]).tolist()), shape)
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, sums = None, None
@@ -289,9 +330,7 @@ def mean_of_trees(x: np.ndarray, top: list[Tree], below: dict[tuple[int, int], b
     """Mean of the trees' values for every row; ``opened`` keeps the subtrees that were met."""
     total = np.zeros((len(x), top[0].value.shape[1]))
     for t, upper in enumerate(top):
-        node = upper.find(x)
-        for own in np.unique(node).tolist():
-            at = node == own
+        for own, at in _by_node(upper.find(x)):
             if (t, own) in below:
                 if (t, own) not in opened:
                     opened[t, own] = Tree.unpack(below[t, own])
@@ -407,18 +446,16 @@ def fit_arrays(df: DataFrame, features: list[str], trees: int = 100, depth: int
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         upper, wanted = sent.value
-        for uid, x, y in _batches(batches):
-            for i in range(0, len(uid), CHUNK_ROWS):
-                part = slice(i, i + CHUNK_ROWS)
-                for t, tree in enumerate(upper):
-                    w = weights(uid[part], t, seed, bootstrap)
-                    node = tree.find(x[part])
-                    out = []
-                    for own in np.unique(node).tolist():
-                        at = np.flatnonzero((node == own) & (w > 0))
-                        if (t, own) in wanted and len(at):
-                            out.append((t, own, x[part][at].tobytes(), y[part][at].tobytes(), w[at].tobytes()))
-                    yield from _rows(out, shape)
+        for uid, x, y in _blocks(batches):
+            for t, tree in enumerate(upper):
+                w = weights(uid, t, seed, bootstrap)
+                drawn = np.flatnonzero(w > 0)
+                out = []
+                for own, at in _by_node(tree.find(x[drawn])):
+                    if (t, own) in wanted:
+                        at = drawn[at]
+                        out.append((t, own, x[at].tobytes(), y[at].tobytes(), w[at].tobytes()))
+                yield from _rows(out, shape)
 
     model = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("data", pa.binary())])
 

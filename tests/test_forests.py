@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +49,24 @@ def test_weights_are_poisson():
     assert not np.array_equal(w, forests.weights(np.arange(200_000), 4, 42, True))
 
 
+def test_nodes_are_met_once_a_block():
+    """Batches are joined to blocks of bounded size, and one sort finds the rows of all nodes."""
+    draw = np.random.default_rng(6)
+    x = draw.normal(size=(50_000, 3))
+    def batch(at, n):
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(at, at + n)), pa.array(list(x[at: at + n])), pa.array(list(x[at: at + n, :1]))], ["uid", "x", "y"])
+    blocks = list(forests._blocks(batch(at, 1000) for at in range(0, 50_000, 1000)))
+    assert len(blocks) == 1 and np.array_equal(blocks[0][1], x)
+    wide = np.zeros((40, 20_000))
+    rows = pa.RecordBatch.from_arrays([pa.array(np.arange(40)), pa.array(list(wide)), pa.array(list(wide[:, :1]))], ["uid", "x", "y"])
+    assert max(len(b[0]) for b in forests._blocks([rows])) == forests.BLOCK_BYTES // (8 * 20_002)
+    for high in (3, 500, 100_000):
+        node = draw.integers(0, high, 5000)
+        got = dict(forests._by_node(node))
+        assert sorted(got) == np.unique(node).tolist() and all(np.array_equal(at, np.flatnonzero(node == n)) for n, at in got.items())
+    assert list(forests._by_node(node[:0])) == []
+
+
 def noisy(spark, n=3000, seed=1):
     draw = np.random.default_rng(seed)
     x = draw.normal(size=(n, 3)).round(2)
