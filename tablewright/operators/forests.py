@@ -28,6 +28,7 @@ BINS = 64                # parts of a feature's range in a histogram
 HIST_BYTES = 128 << 20   # of histograms a task holds at a time
 SENT_BYTES = 64 << 20    # a model up to this size is sent to all tasks; a larger one meets its rows in a shuffle
 BUSY_ROWS = 50_000       # rows that meet one subtree in one task
+NEAR_ROWS = 16_384       # rows whose nodes are grown together once they are small
 BLOCK_BYTES = 4 << 20    # of rows a task sorts by node at a time; those of a node travel together
 
 
@@ -50,6 +51,19 @@ class Tree(NamedTuple):
             todo = todo[self.feature[at[todo]] >= 0]
         return at
 
+    def parts(self, x: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(leaf, its rows in their order) of some rows of x, which is best laid out by columns; for trees of few nodes."""
+        todo = [(0, rows)]
+        while todo:
+            node, rows = todo.pop()
+            if not len(rows):
+                continue
+            if self.feature[node] < 0:
+                yield node, rows
+                continue
+            goes = x[:, self.feature[node]].take(rows) <= self.threshold[node]
+            todo += [(int(self.left[node]) + 1, rows.compress(~goes)), (int(self.left[node]), rows.compress(goes))]
+
     def pack(self) -> bytes:
         head = np.array([len(self.feature), self.value.shape[1]], np.int64)
         return b"".join(a.tobytes() for a in (head, self.threshold, self.value, self.left.astype(np.int32), self.feature.astype(np.int32)))
@@ -69,73 +83,138 @@ def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int | None = None,
     A node is a leaf where all outputs are equal, all features are equal, fewer than ``min_split`` rows are left, or ``depth`` is
     reached. Of equal splits the first feature's lowest one is taken.
     """
-    n, k = y.shape
-    order = [np.argsort(x[:, f], kind="stable") for f in range(x.shape[1])]
-    node, size, rest = np.zeros(n, np.int64), np.array([n]), np.arange(n)  # rest: the rows that are in no leaf yet
-    features, thresholds, lefts, values = [], [], [], []
-    total, level = 1, 0
+    cols, outs = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)
+    return _levels(cols, outs, w, [np.argsort(c, kind="stable") for c in cols], np.array([len(y)]), 0, depth, min_split)
+
 
-    def squares(a: np.ndarray) -> np.ndarray:
-        return np.square(a[:, 0]) if k == 1 else np.square(a).sum(axis=1)
+def _levels(cols: np.ndarray, outs: np.ndarray, w: np.ndarray, order: list[np.ndarray], size: np.ndarray, level: int,
+            depth: int | None, min_split: int) -> Tree:
+    """The subtrees of several nodes, which come first; ``order`` holds the rows in no leaf yet, those of a node together.
+
+    As soon as all nodes have at most NEAR_ROWS rows, they are grown in groups of about as many, in memory close to the core.
+    """
+    (k, n), total = outs.shape, len(size)
+    near, left = np.empty((k, n)), np.empty(n, bool)
+    features, thresholds, lefts, values = [], [], [], []
 
     while len(size):
-        m = len(size)
-        rows, wr, yr = node[rest], w[rest], y[rest]
-        weight = np.bincount(rows, wr, m)
-        mean = np.stack([np.bincount(rows, wr * yr[:, j], m) for j in range(k)], axis=1) / weight[:, None]
-        off = np.empty_like(y)
-        off[rest] = near = yr - mean[rows]
-        spread = np.bincount(rows, wr * squares(near), m)
-        scale = np.bincount(rows, wr * squares(yr), m)
+        if len(order[0]) > 2 * NEAR_ROWS and size.max() <= NEAR_ROWS:
+            lows = _grouped(cols, outs, w, order, size, level, depth, min_split)
+            base = total
+            for part in (0, 1):  # the nodes of this level, then those below
+                for low, m in lows:
+                    some = slice(0, m) if part == 0 else slice(m, None)
+                    if part == 0:
+                        offset = base - m
+                        base += len(low.feature) - m
+                        low.left[low.left >= 0] += offset
+                    for out, of in zip((features, thresholds, lefts, values), (low.feature, low.threshold, low.left, low.value)):
+                        out.append(of[some])
+            break
+        m, o = len(size), order[0]
+        own = np.repeat(np.arange(m), size)
+        starts = np.cumsum(size) - size
+        wr = w.take(o)
+        weight = np.add.reduceat(wr, starts)
+        mean, spread, scale = np.empty((m, k)), np.zeros(m), np.zeros(m)
+        for j in range(k):
+            yr = outs[j].take(o)
+            wy = wr * yr
+            mean[:, j] = np.add.reduceat(wy, starts) / weight
+            off = yr - mean[:, j].take(own)
+            moved = wr * off
+            spread += np.add.reduceat(moved * off, starts)
+            scale += np.add.reduceat(wy * yr, starts)
+            near[j, o] = moved
         values.append(mean)
-        open_ = (spread > 1e-24 * scale) & (size >= max(2, min_split)) & (depth is None or level < depth)
-        best, feature, threshold = np.full(m, -1.0), np.full(m, -1, np.int64), np.zeros(m)
-        if open_.any():
-            # the rows of a node stand together in the order of every feature
-            starts = np.cumsum(size) - size
-            whole, can = np.repeat(weight, size), np.repeat(open_, size)
-            can[starts + size - 1] = False
+        at = np.flatnonzero((spread > 1e-24 * scale) & (size >= max(2, min_split)) & (depth is None or level < depth))
+        feature, threshold = np.full(m, -1, np.int64), np.zeros(m)
+        if len(at):
+            order, own, starts, size = _kept(order, own, size, at)
+            best, on, cut = np.full(len(at), -1.0), np.full(len(at), -1, np.int64), np.zeros(len(at))
+            weight = weight[at]
+            whole, before, last = weight.take(own), (np.cumsum(weight) - weight).take(own), starts + size - 1
             for f, o in enumerate(order):
-                xs, ws = x[o, f], w[o]
-                sums = np.cumsum(off[o] * ws[:, None], axis=0)
-                got = np.cumsum(ws)
-                before = np.concatenate((np.zeros((1, k)), sums))[starts]
-                left_w = got - np.repeat(np.concatenate(([0.0], got))[starts], size)
-                right_w = whole - left_w
-                ok = np.append(xs[1:] > xs[:-1], False) & can
+                xs = cols[f].take(o)
+                left_w = np.cumsum(w.take(o)) - before
+                gain = None
+                for j in range(k):
+                    sums = np.cumsum(near[j].take(o))
+                    sums -= np.append(0.0, sums[starts[1:] - 1]).take(own)
+                    sums *= sums
+                    gain = sums if gain is None else gain + sums
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    gain = np.where(ok, squares(sums - np.repeat(before, size, axis=0)) * (1 / left_w + 1 / right_w), -1.0)
+                    gain /= left_w * (whole - left_w)  # but for a factor of the node
+                ok = np.append(xs[1:] > xs[:-1], False)
+                ok[last] = False
+                gain = np.where(ok, gain, -1.0)
                 top = np.maximum.reduceat(gain, starts)
                 better = top > best
                 if better.any():
-                    hit = np.flatnonzero(gain == np.repeat(np.where(better, top, np.inf), size))
-                    own = np.searchsorted(starts, hit, side="right") - 1
-                    new = np.append(True, own[1:] != own[:-1])
-                    first, at = hit[new], own[new]
+                    hit = np.flatnonzero(gain == np.where(better, top, np.inf).take(own))
+                    met = own[hit]
+                    new = np.append(True, met[1:] != met[:-1])
+                    first, met = hit[new], met[new]
                     middle = xs[first] + (xs[first + 1] - xs[first]) / 2
-                    best[at], feature[at] = top[at], f
-                    threshold[at] = np.where(middle < xs[first + 1], middle, xs[first])
-        split = feature >= 0
+                    best[met], on[met] = top[met], f
+                    cut[met] = np.where(middle < xs[first + 1], middle, xs[first])
+            feature[at], threshold[at] = on, cut
+        split = np.flatnonzero(feature >= 0)
         child = np.full(m, -1, np.int64)
-        child[split] = 2 * np.arange(int(split.sum()))
+        child[split] = total + 2 * np.arange(len(split))
         features.append(feature)
         thresholds.append(threshold)
-        lefts.append(np.where(split, total + child, -1))
-        total += 2 * int(split.sum())
-        rest = rest[split[rows]]
-        at = node[rest]
-        node[:] = -1
-        node[rest] = child[at] + ~(x[rest, feature[at]] <= threshold[at])
-        size = np.bincount(node[rest], minlength=2 * int(split.sum()))
-        for f, o in enumerate(order):
-            own = node[o]
-            o, own = o[own >= 0], own[own >= 0]
-            # rows of a node keep their order; short numbers are sorted by digits
-            order[f] = o[np.argsort(own.astype(np.uint16) if len(size) <= 1 << 16 else own, kind="stable")]
+        lefts.append(child)
+        total += 2 * len(split)
         level += 1
+        if not len(split):
+            break
+        order, own, starts, size = _kept(order, own, size, np.flatnonzero(on >= 0))
+        goes = cols.ravel().take(feature[split].take(own) * n + order[0]) <= threshold[split].take(own)
+        left[order[0]] = goes
+        lower = np.add.reduceat(goes, starts, dtype=np.int64)
+        # where the rows of each child go, in their order: the same places for every feature
+        size = np.stack((lower, size - lower), axis=1).ravel()
+        place = _places(size)
+        for f, o in enumerate(order):
+            goes = left.take(o)
+            order[f] = new = np.empty_like(o)
+            new[place[0]], new[place[1]] = o.compress(goes), o.compress(~goes)
     return Tree(np.concatenate(features), np.concatenate(thresholds), np.concatenate(lefts), np.concatenate(values))
 
 
+def _grouped(cols, outs, w, order, size, level, depth, min_split) -> list[tuple[Tree, int]]:
+    """(subtrees, number of nodes) of consecutive nodes with about NEAR_ROWS rows together."""
+    ends = np.cumsum(size)
+    group = (ends - 1) // NEAR_ROWS
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    place, out = np.empty(len(w), np.int64), []
+    for a, z in zip(first.tolist(), [*first[1:].tolist(), len(size)]):
+        some = slice(int(ends[a] - size[a]), int(ends[z - 1]))
+        rows = np.sort(order[0][some])
+        place[rows] = np.arange(len(rows))
+        out.append((_levels(cols.take(rows, axis=1), outs.take(rows, axis=1), w.take(rows), [place.take(o[some]) for o in order],
+                            size[a:z], level, depth, min_split), z - a))
+    return out
+
+
+def _kept(order: list[np.ndarray], own: np.ndarray, size: np.ndarray, nodes: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """The orders without the rows of all but some nodes, with the new number of each row's node, and the nodes' starts and sizes."""
+    if len(nodes) < len(size):
+        keep = np.zeros(len(size), bool)
+        keep[nodes] = True
+        rows = np.flatnonzero(keep.take(own))
+        order, size = [o.take(rows) for o in order], size[nodes]
+        own = np.repeat(np.arange(len(size)), size)
+    return order, own, np.cumsum(size) - size, size
+
+
+def _places(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all rows of left children, and of all rows of right ones, from the children's sizes in turn."""
+    starts = np.cumsum(size) - size
+    return tuple(np.arange(size[s::2].sum()) + np.repeat(starts[s::2] - (np.cumsum(size[s::2]) - size[s::2]), size[s::2]) for s in (0, 1))
+
+
 def weights(uid: np.ndarray, tree: int, seed: int, bootstrap: bool) -> np.ndarray:
     """Poisson weights with mean 1, inverted from a hash of row, tree and seed."""
     if not bootstrap:
@@ -239,26 +318,32 @@ def _histograms(rows: DataFrame, top: list[Tree], wanted: dict[tuple[int, int],
             out[t] = np.full((len(own), *form), np.inf if first else 0.0)
             met[t] = np.zeros(len(own), bool)
         for uid, x, y in _blocks(batches):
-            squares = None if first else np.square(y).sum(axis=1)
+            x, squares = np.asfortranarray(x), None if first else np.square(y).sum(axis=1)
+            place = np.empty(len(uid), np.int64)
             for t in nodes:
-                w = weights(uid, t, seed, bootstrap)
-                place = rank[t][top[t].find(x)]
-                at = np.flatnonzero((place >= 0) & (w > 0))
-                own, xs, m = place[at], x[at], len(nodes[t])
-                met[t][own] = True
-                if first:
-                    order, starts = _sorted_by(own)
-                    if len(starts):
-                        there, xs = own[order[starts]], xs[order]
-                        found = np.stack((np.minimum.reduceat(xs, starts, axis=0), -np.maximum.reduceat(xs, starts, axis=0)), axis=1)
-                        out[t][there] = np.minimum(out[t][there], found)
+                w, m = weights(uid, t, seed, bootstrap), len(nodes[t])
+                at = []
+                for leaf, own in top[t].parts(x, np.flatnonzero(w > 0)):
+                    n = rank[t][leaf]
+                    if n < 0:
+                        continue
+                    met[t][n] = True
+                    if first:
+                        for f in range(width):
+                            xs = x[:, f].take(own)
+                            out[t][n, :, f] = np.minimum(out[t][n, :, f], (xs.min(), -xs.max()))
+                    else:
+                        place[own] = n
+                        at.append(own)
+                if not at:
                     continue
-                parts = [w[at], *(w[at] * y[at, j] for j in range(outputs)), w[at] * squares[at]]
+                at = np.sort(np.concatenate(at)) if len(at) > 1 else at[0]
+                own, wa = place.take(at), w.take(at)
+                parts = [wa, *(wa * y[:, j].take(at) for j in range(outputs)), wa * squares.take(at)]
                 for f in range(width):
-                    low, high = limits[t][own, 0, f], limits[t][own, 1, f]
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        bin_ = np.where(high > low, (xs[:, f] - low) / (high - low) * BINS, 0).astype(np.int64).clip(0, BINS - 1)
-                    bin_ += own * BINS
+                    low, span = limits[t][:, 0, f], limits[t][:, 1, f] - limits[t][:, 0, f]
+                    bin_ = (x[:, f].take(at) - low.take(own)) / np.where(span > 0, span, np.inf).take(own) * BINS
+                    bin_ = bin_.astype(np.int64).clip(0, BINS - 1) + own * BINS
                     for j, p in enumerate(parts):
                         out[t][:, f, :, j] += np.bincount(bin_, p, m * BINS).reshape(m, BINS)
         yield from _rows(((t, nodes[t][i], out[t][i].tobytes()) for t in nodes for i in np.flatnonzero(met[t]).tolist()), shape)
@@ -434,7 +519,9 @@ def fit_forest(df: DataFrame, features, outputs, trees: int = 100, depth: int |
 def fit_arrays(df: DataFrame, features: list[str], trees: int = 100, depth: int | None = None, min_split: int = 2, seed: int = 42,
                bootstrap: bool = True, task_rows: int = 200_000) -> Forest:
     """As `fit_forest`, from columns x and y that hold the features and the outputs of a row as arrays of equal lengths."""
-    rows = cut_lineage(df.select(F.monotonically_increasing_id().alias("uid"), "x", "y"), "training")
+    rows = df.select(F.monotonically_increasing_id().alias("uid"), "x", "y")
+    # a pass costs far more than reading its rows: they are dealt evenly, however the input lies in files
+    rows = cut_lineage(rows.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism, "uid"), "training")
     width, outputs = rows.agg(F.max(F.size("x")), F.max(F.size("y"))).first()
     if not outputs:
         raise ValueError("no row has all features and outputs: nothing to learn from")
@@ -447,21 +534,18 @@ def fit_arrays(df: DataFrame, features: list[str], trees: int = 100, depth: int
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         upper, wanted = sent.value
         for uid, x, y in _blocks(batches):
+            by_column = np.asfortranarray(x)
             for t, tree in enumerate(upper):
                 w = weights(uid, t, seed, bootstrap)
-                drawn = np.flatnonzero(w > 0)
-                out = []
-                for own, at in _by_node(tree.find(x[drawn])):
-                    if (t, own) in wanted:
-                        at = drawn[at]
-                        out.append((t, own, x[at].tobytes(), y[at].tobytes(), w[at].tobytes()))
-                yield from _rows(out, shape)
+                some = w.astype(np.uint8)  # draws are small numbers
+                yield from _rows(((t, own, x[at].tobytes(), y[at].tobytes(), some[at].tobytes())
+                                  for own, at in tree.parts(by_column, np.flatnonzero(w > 0)) if (t, own) in wanted), shape)
 
     model = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("data", pa.binary())])
 
     def grown(key: tuple[pa.Scalar, ...], own: pa.Table) -> pa.Table:
         upper, wanted = sent.value
-        x, y, w = (np.frombuffer(b"".join(own[c].to_pylist())) for c in ("x", "y", "w"))
+        x, y, w = (np.frombuffer(b"".join(own[c].to_pylist()), d).astype(float) for c, d in (("x", float), ("y", float), ("w", np.uint8)))
         x, y = x.reshape(len(w), -1), y.reshape(len(w), -1)
         order = np.lexsort([w, *y.T[::-1], *x.T[::-1]])  # the same tree however the rows came
         t, m = key[0].as_py(), key[1].as_py()

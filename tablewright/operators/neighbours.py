@@ -29,6 +29,7 @@ TREE_LEAVES = 4096
 SAMPLE_PER_LEAF = 32
 QUERIES_PER_TASK = 8192
 CELLS_PER_BLOCK = 4_000_000
+PAIRS_PER_FRAME = 200_000
 
 
 def _cut(part: np.ndarray) -> tuple[int, float] | None:
@@ -83,6 +84,24 @@ def _reached(x: np.ndarray, r: np.ndarray, low: np.ndarray, high: np.ndarray, de
                 todo += [(2 * node, rows), (2 * node + 1, rows)]
 
 
+def _together(pairs):
+    """(rows, leaf of each) of many (rows, leaf) pairs at a time: PAIRS_PER_FRAME or a little more."""
+    held, size = [], 0
+    for rows, leaf in pairs:
+        held.append((rows, leaf))
+        size += len(rows)
+        if size >= PAIRS_PER_FRAME:
+            yield _joined(held)
+            held, size = [], 0
+    if held:
+        yield _joined(held)
+
+
+def _joined(pairs: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+    rows = [r for r, _ in pairs]
+    return np.concatenate(rows), np.repeat(np.array([leaf for _, leaf in pairs], np.int64), [len(r) for r in rows])
+
+
 def _nearest(points: np.ndarray, donors: np.ndarray, k: int):
     """Index and squared distance of the k nearest donors per point; donors come in id order."""
     k = min(k, len(donors))
@@ -149,15 +168,15 @@ def _reached_below(asked: DataFrame, boxes: DataFrame, names: list[str], lower:
     table = own.groupBy("_branch").agg(F.collect_list(F.struct(*fields)).alias("boxes")).withColumnRenamed("_branch", "_leaf")  # TREE_LEAVES at most
 
     def reach(rows: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        found = [pd.DataFrame(columns=[*names, "_leaf"])]
+        found = []
         if len(rows) and len(held):
             leaves = pd.DataFrame([tuple(b.values()) if isinstance(b, dict) else tuple(b) for b in held["boxes"].iloc[0]], columns=fields)
             low, high = _heap(leaves, names, lower)
             x, mine, base = rows[names].to_numpy(float), rows["_own"].to_numpy(), int(rows["_leaf"].iloc[0]) * 2**lower
             for at, leaf in _reached(x, rows["_r"].to_numpy(float), low, high, lower):
-                at = at[mine[at] != base + leaf]
-                found.append(pd.DataFrame(x[at], columns=names).assign(_leaf=base + leaf))
-        return pd.concat(found).astype({"_leaf": "int64"})
+                found.append((at[mine[at] != base + leaf], base + leaf))
+        at, leaf = _joined(found) if found else (np.zeros(0, int), np.zeros(0, np.int64))
+        return pd.DataFrame(rows[names].to_numpy(float)[at], columns=names).assign(_leaf=leaf)
 
     dealt, copies = _shared(asked, table)
     schema = ", ".join(f"{c} double" for c in names) + ", _leaf long"
@@ -251,13 +270,16 @@ def knn_mean(donors: DataFrame, queries: DataFrame, key: str, features, target:
             for b in batches:
                 x, own = b[names].to_numpy(float), b["_leaf"].to_numpy()
                 r = np.where(b["_k"].to_numpy() >= k, b["_r"].to_numpy(float), np.inf)
-                for rows, leaf in _reached(x, r, low, high, depth):
+                for rows, leaf in _together(_reached(x, r, low, high, depth)):
                     if not lower:
-                        rows = rows[own[rows] != leaf]
+                        other = own[rows] != leaf
+                        rows, leaf = rows[other], leaf[other]
                     yield pd.DataFrame(x[rows], columns=names).assign(_leaf=leaf, _own=own[rows], _r=r[rows])
 
         # queries whose own leaf held no donor have no radius yet and visit every leaf
         asked = wanted.join(radius, names, "left").fillna({"_r": 0.0, "_k": 0})
+        # few bytes, much work: dealt evenly, and by leaves within a task, so that a batch descends to few of them
+        asked = asked.repartition(2 * points.sparkSession.sparkContext.defaultParallelism, *names).sortWithinPartitions("_leaf")
         others = asked.mapInPandas(reach, ", ".join(f"{c} double" for c in names) + ", _leaf long, _own long, _r double")
         if lower:
             others = _reached_below(cut_lineage(others, "reached"), boxes, names, lower)

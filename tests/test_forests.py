@@ -148,3 +148,30 @@ def test_met_model_keeps_columns(spark, monkeypatch):
 def test_one_row(spark):
     rows = small_frame(spark, [(1, 2.0, 5.0)], "id long, a double, y double")
     assert predicted(rows, fit_forest(rows, ["a"], "y", trees=5)) == {1: 5.0}
+
+
+def test_small_nodes_grow_in_groups(monkeypatch):
+    """Groups of small nodes give the tree that all nodes at a time give; a tree tells its parts as it finds leaves."""
+    draw = np.random.default_rng(8)
+    x, y, w = draw.normal(size=(3000, 3)), draw.normal(size=(3000, 2)), draw.integers(1, 4, 3000).astype(float)
+    whole = grow(x, y, w)
+    monkeypatch.setattr(forests, "NEAR_ROWS", 100)
+    parts = grow(x, y, w)
+    assert len(parts.feature) == len(whole.feature) and (parts.left[parts.feature >= 0] > np.flatnonzero(parts.feature >= 0)).all()
+    np.testing.assert_allclose(parts.value[parts.find(x)], whole.value[whole.find(x)])
+    top, rows = grow(x, y, w, depth=4), np.arange(0, 3000, 2)
+    leaves = top.find(x)
+    met = dict(top.parts(np.asfortranarray(x), rows))
+    assert sorted(met) == np.unique(leaves[rows]).tolist() and all(np.array_equal(at, rows[leaves[rows] == leaf]) for leaf, at in met.items())
+
+
+def test_training_rows_are_dealt_evenly(spark, monkeypatch):
+    """Rows of one file are learned from by all tasks."""
+    stored = {}
+    def kept(df, name="stage", own=forests.cut_lineage):
+        stored[name] = own(df, name)
+        return stored[name]
+    monkeypatch.setattr(forests, "cut_lineage", kept)
+    fit_forest(noisy(spark).coalesce(1), ["a", "b", "c"], "y", trees=2)
+    held = stored["training"].groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) >= spark.sparkContext.defaultParallelism // 2 and max(r["count"] for r in held) < 1500

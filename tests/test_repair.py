@@ -111,6 +111,17 @@ def test_knn_equals_brute_force(spark, monkeypatch, leaf, tree):
         assert got[i] == pytest.approx(v if v is not None else want[(x, y)])
 
 
+def test_reached_leaves_travel_together(monkeypatch):
+    """Queries that reach many leaves make few frames, not one for each leaf."""
+    pairs = [(np.arange(leaf % 5), leaf) for leaf in range(500)]
+    want = [(row, leaf) for rows, leaf in pairs for row in rows.tolist()]
+    assert len(list(neighbours._together(iter(pairs)))) == 1
+    monkeypatch.setattr(neighbours, "PAIRS_PER_FRAME", 100)
+    frames = list(neighbours._together(iter(pairs)))
+    assert 5 <= len(frames) <= 10
+    assert [pair for rows, leaf in frames for pair in zip(rows.tolist(), leaf.tolist())] == want
+
+
 def test_rules(spark):
     df = spark.createDataFrame([(1905, None), (1905, 5.0), (1950, None)], "y int, v double")
     assert rows(missing.fill_by_rule(df, "v", F.col("y").between(1900, 1909), 9.0), "y", "v") == [(1905, 5.0), (1905, 9.0), (1950, None)]
