@@ -4,7 +4,8 @@ A tree takes its rows with weights drawn per row and tree (Poisson with mean 1,
 counts out). While a node holds more than ``task_rows`` rows it is split by histograms: one pass gives the ranges of its
 features, the next one sums the outputs over equal parts of these ranges. As soon as a node fits a task, its rows are
 sent there and the whole subtree is grown in memory, all subtrees side by side. So a forest costs a few passes over the
-table plus one shuffle, whatever the depth of its trees.
+table plus one shuffle, whatever the depth of its trees. Where the features take few distinct values together (hours, days,
+categories), a tree depends on its rows by their sums per point only: one pass adds these up, and whole trees are grown from them.
 
 Splits lower the summed squared error of all outputs. Large nodes split at one of BINS parts, small ones at the best midpoint.
 """
@@ -22,15 +23,18 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
 from tablewright.operators.filters import require
-from tablewright.session import cut_lineage
+from tablewright.session import cut_lineage, small_frame
 
 BINS = 64                # parts of a feature's range in a histogram
 HIST_BYTES = 128 << 20   # of histograms a task holds at a time
 SENT_BYTES = 64 << 20    # a model up to this size is sent to all tasks; a larger one meets its rows in a shuffle
 BUSY_ROWS = 50_000       # rows that meet one subtree in one task
+FEW_POINTS = 4096        # distinct points up to which a tree is grown from sums per point
 NEAR_ROWS = 16_384       # rows whose nodes are grown together once they are small
 BLOCK_BYTES = 4 << 20    # of rows a task sorts by node at a time; those of a node travel together
 
+MODEL = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("data", pa.binary())])  # of the stored subtrees
+
 
 class Tree(NamedTuple):
     """Nodes in arrays: a split sends x[feature] <= threshold to ``left``, else to left + 1; feature -1 is a leaf."""
@@ -525,7 +529,11 @@ def fit_arrays(df: DataFrame, features: list[str], trees: int = 100, depth: int
     width, outputs = rows.agg(F.max(F.size("x")), F.max(F.size("y"))).first()
     if not outputs:
         raise ValueError("no row has all features and outputs: nothing to learn from")
-    n, *mean = rows.agg(F.count("*"), *[F.avg(F.col("y")[j]) for j in range(outputs)]).first()
+    n, about, *mean = rows.agg(F.count("*"), F.approx_count_distinct(F.xxhash64("x"), 0.02), *[F.avg(F.col("y")[j]) for j in range(outputs)]).first()
+    # with min_split 2 a node may be split wherever it holds two points; few sums, for a task holds those of all trees
+    if about <= FEW_POINTS < n and min_split <= 2 and about * (outputs + 1) * trees * 8 <= HIST_BYTES:
+        subtrees = cut_lineage(_from_points(rows, outputs, trees, depth, seed, bootstrap), "subtrees")
+        return _fitted(features, _Top(trees, mean).frozen(), subtrees, outputs)
     top, left = _split_large(rows, n, width, mean, trees, depth, seed, bootstrap, task_rows)
     sent = rows.sparkSession.sparkContext.broadcast((top.frozen(), left))
     schema = "tree int, node int, x binary, y binary, w binary"
@@ -541,8 +549,6 @@ def fit_arrays(df: DataFrame, features: list[str], trees: int = 100, depth: int
                 yield from _rows(((t, own, x[at].tobytes(), y[at].tobytes(), some[at].tobytes())
                                   for own, at in tree.parts(by_column, np.flatnonzero(w > 0)) if (t, own) in wanted), shape)
 
-    model = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("data", pa.binary())])
-
     def grown(key: tuple[pa.Scalar, ...], own: pa.Table) -> pa.Table:
         upper, wanted = sent.value
         x, y, w = (np.frombuffer(b"".join(own[c].to_pylist()), d).astype(float) for c, d in (("x", float), ("y", float), ("w", np.uint8)))
@@ -550,9 +556,48 @@ def fit_arrays(df: DataFrame, features: list[str], trees: int = 100, depth: int
         order = np.lexsort([w, *y.T[::-1], *x.T[::-1]])  # the same tree however the rows came
         t, m = key[0].as_py(), key[1].as_py()
         low = grow(x[order], y[order], w[order], None if depth is None else depth - wanted[t, m], min_split)
-        return pa.Table.from_arrays([pa.array([t], pa.int32()), pa.array([m], pa.int32()), pa.array([low.pack()], pa.binary())], schema=model)
+        return pa.Table.from_arrays([pa.array([t], pa.int32()), pa.array([m], pa.int32()), pa.array([low.pack()], pa.binary())], schema=MODEL)
+
+    subtrees = rows.mapInArrow(dealt, schema).groupBy("tree", "node").applyInArrow(grown, from_arrow_schema(MODEL))
+    return _fitted(features, top.frozen(), cut_lineage(subtrees, "subtrees"), outputs)
+
 
-    subtrees = rows.mapInArrow(dealt, schema).groupBy("tree", "node").applyInArrow(grown, from_arrow_schema(model))
-    subtrees = cut_lineage(subtrees, "subtrees")
+def _fitted(features: list[str], top: list[Tree], subtrees: DataFrame, outputs: int) -> Forest:
     size = subtrees.agg(F.sum(F.octet_length("data").cast("long"))).first()[0] or 0
-    return Forest(features, top.frozen(), subtrees, size, len(mean))
+    return Forest(features, top, subtrees, size, outputs)
+
+
+def _from_points(rows: DataFrame, outputs: int, trees: int, depth: int | None, seed: int, bootstrap: bool) -> DataFrame:
+    """The table (tree, node, data) of whole trees, from weights and weighted outputs added up per tree and distinct point."""
+    spark = rows.sparkSession
+    x = np.array(sorted(list(r.x) for r in rows.select("x").distinct().collect()), float)  # FEW_POINTS or some more
+    points = small_frame(spark, [(x.tolist(), i) for i, x in enumerate(x)], "x array<double>, point int")
+    sent = spark.sparkContext.broadcast(x)
+    schema = "tree int, first long, sums binary"
+    shape = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, first = len(sent.value), None
+        sums = np.zeros((trees, 1 + outputs, m))
+        for b in batches:
+            if not b.num_rows:
+                continue
+            uid, at, y = b.column(0).to_numpy(), b.column(1).to_numpy(), _matrix(b.column(2))
+            first = int(uid[0]) if first is None else first
+            for t in range(trees):
+                w = weights(uid, t, seed, bootstrap)
+                sums[t, 0] += np.bincount(at, w, m)
+                for j in range(outputs):
+                    sums[t, 1 + j] += np.bincount(at, w * y[:, j], m)
+        if first is not None:
+            yield from _rows(((t, first, sums[t].tobytes()) for t in range(trees)), shape)
+
+    def grown(key: tuple[pa.Scalar, ...], own: pa.Table) -> pa.Table:
+        each = sorted(zip(own["first"].to_pylist(), own["sums"].to_pylist()))  # the same tree however the sums came
+        sums = sum(np.frombuffer(s).reshape(1 + outputs, -1) for _, s in each)
+        drawn = np.flatnonzero(sums[0] > 0)
+        low = grow(sent.value[drawn], (sums[1:, drawn] / sums[0, drawn]).T, sums[0, drawn], depth)
+        return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([0], pa.int32()), pa.array([low.pack()], pa.binary())], schema=MODEL)
+
+    met = rows.join(F.broadcast(points), "x").select("uid", "point", "y")
+    return met.mapInArrow(added, schema).groupBy("tree").applyInArrow(grown, from_arrow_schema(MODEL))

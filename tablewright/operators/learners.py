@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.operators.filters import require
 from tablewright.operators.forests import Forest, fit_forest
+from tablewright.session import cut_lineage
 
 VECTOR = "_features"
+WEIGHT = "_weight"
 
 
 def date_features(df: DataFrame, date: str) -> DataFrame:
@@ -24,9 +26,22 @@ def assemble(df: DataFrame, features) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(ready)
 
 
+def merged(df: DataFrame, features, label: str, by=()) -> DataFrame:
+    """features..., by..., label, WEIGHT: rows of equal features as at most two, with their count, mean and squares about it.
+
+    Squared errors of predictions differ by equal sums, so trees and boosting learn and stop alike. Stored: learners read it often.
+    """
+    at = [*features, *by]
+    y = F.col(label).cast("double")
+    sums = df.groupBy(*at).agg(F.count("*").alias("_n"), F.avg(y).alias("_mean"), F.stddev_pop(y).alias("_s"))
+    one = F.array(F.struct(F.col("_mean").alias(label), F.col("_n").cast("double").alias(WEIGHT)))
+    two = F.array(*[F.struct((F.col("_mean") + side * F.col("_s")).alias(label), (F.col("_n") / 2).alias(WEIGHT)) for side in (-1, 1)])
+    return cut_lineage(sums.select(*at, F.inline(F.when(F.col("_s") > 0, two).otherwise(one))), "merged")
+
+
 def decision_tree(df: DataFrame, features, label: str, max_depth: int = 30, seed: int = 42) -> Model:
-    t = DecisionTreeRegressor(featuresCol=VECTOR, labelCol=label, maxDepth=max_depth, seed=seed)
-    return t.fit(assemble(require(df, label), features))
+    t = DecisionTreeRegressor(featuresCol=VECTOR, labelCol=label, maxDepth=max_depth, seed=seed, weightCol=WEIGHT)
+    return t.fit(assemble(merged(require(df, label, *features), features, label), features))
 
 
 def random_forest(df: DataFrame, features, label: str, trees: int = 100, max_depth: int | None = None,
@@ -39,8 +54,8 @@ def boosted_early_stop(df: DataFrame, features, label: str, is_validation: str,
                        max_depth: int = 5, seed: int = 42) -> Model:
     """Non-linear regressor that stops when the error on the flagged rows no longer falls."""
     g = GBTRegressor(featuresCol=VECTOR, labelCol=label, maxIter=rounds, maxDepth=max_depth, seed=seed,
-                     validationIndicatorCol=is_validation, validationTol=0.001)
-    return g.fit(assemble(require(df, label, is_validation), features))
+                     validationIndicatorCol=is_validation, validationTol=0.001, weightCol=WEIGHT)
+    return g.fit(assemble(merged(require(df, label, is_validation, *features), features, label, [is_validation]), features))
 
 
 def score(df: DataFrame, model: Model | Forest, features, into: str) -> DataFrame:

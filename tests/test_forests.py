@@ -175,3 +175,30 @@ def test_training_rows_are_dealt_evenly(spark, monkeypatch):
     fit_forest(noisy(spark).coalesce(1), ["a", "b", "c"], "y", trees=2)
     held = stored["training"].groupBy(F.spark_partition_id()).count().collect()
     assert len(held) >= spark.sparkContext.defaultParallelism // 2 and max(r["count"] for r in held) < 1500
+
+
+def test_few_points_are_learned_from_their_sums(spark, monkeypatch):
+    """Rows of few distinct points are added up per point and tree; the trees are those of the rows."""
+    rows = noisy(spark, 6000).select("id", F.hash("id").alias("a"), "y", "z").withColumns({"a": F.pmod("a", F.lit(7)).cast("double"), "b": (F.col("id") % 5).cast("double")})
+    want = predicted(rows, fit_forest(rows, ["a", "b"], ["y", "z"], trees=6, min_split=3), vector=True)  # not from sums
+    def never(*_, **__):
+        raise AssertionError("rows are looked through level by level")
+    monkeypatch.setattr(forests, "_split_large", never)
+    got = predicted(rows, fit_forest(rows, ["a", "b"], ["y", "z"], trees=6), vector=True)
+    assert got.keys() == want.keys() and all(np.allclose(got[i], want[i]) for i in got)
+
+
+def test_trees_and_boosting_learn_from_merged_rows(spark):
+    """A table of few points keeps weights, means and squares, and has as many rows however many it is made from."""
+    rows = small_frame(spark, [(float(i % 4), float(i % 3), i % 12 < 4) for i in range(1200)], "h double, y double, v boolean")
+    points = learners.merged(rows, ["h"], "y", ["v"])
+    assert points.count() <= 16
+    for of in (rows.withColumn(learners.WEIGHT, F.lit(1.0)), points):
+        w = F.col(learners.WEIGHT)
+        sums = of.groupBy("h", "v").agg(F.sum(w).alias("n"), F.sum(w * F.col("y")).alias("s"), F.sum(w * F.col("y") ** 2).alias("q")).orderBy("h", "v").collect()
+        if of is points:
+            assert np.allclose(np.array(sums, float), held)
+        held = np.array(sums, float)
+    model = learners.decision_tree(rows, ["h"], "y")
+    got = {r.h: r.p for r in learners.score(rows.select("h").distinct(), model, ["h"], "p").collect()}
+    assert got == pytest.approx({r.h: r.m for r in rows.groupBy("h").agg(F.avg("y").alias("m")).collect()})
