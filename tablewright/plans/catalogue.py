@@ -22,7 +22,7 @@ def impute_catalogue(events: DataFrame, legacy_null_key: bool = False, trees: in
     The frame is stored before and after each model-based step, so no step repeats an earlier one.
     """
     where = ["latitude", "longitude", "depth"]
-    q = require(events, "mag")
+    q = cut_lineage(require(events, "mag"))  # medians read it several times
     q = cut_lineage(fill_group_median(q, "nst", ["magType"], legacy_null_key=legacy_null_key))
     q = cut_lineage(knn_impute(q, "id", [*where, "mag"], "gap"))
     q = cut_lineage(knn_impute(q, "id", where, "dmin"))

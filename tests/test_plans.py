@@ -150,3 +150,17 @@ def test_state_frames(spark):
     assert parts["states"].count() == 8 and parts["country"].count() == 8
     f = outlook.region_features(panel)
     assert f.columns == ["period", "target_gdp", *outlook.REGIONS[:-1]] and f.count() == 7
+
+
+def test_catalogue_input_is_read_once(spark, monkeypatch):
+    """The medians, which read a frame several times, read the stored one."""
+    class Seen(Exception):
+        pass
+
+    def seen(df, *_, **__):
+        raise Seen(df.inputFiles())
+
+    monkeypatch.setattr(catalogue, "fill_group_median", seen)
+    with pytest.raises(Seen) as told:
+        catalogue.impute_catalogue(spark.range(3).withColumn("mag", F.col("id") * 1.0))
+    assert any("tablewright-" in f for f in told.value.args[0])
