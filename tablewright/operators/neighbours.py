@@ -9,7 +9,8 @@ by a tree of its own, from its own sample. These lower trees and their boxes are
 queries meet branch by branch, so a leaf keeps about LEAF_ROWS donors as the donors grow (TREE_LEAVES squared leaves).
 A leaf that cannot be split is dealt into shares of about LEAF_ROWS donors, each of which a query of the
 leaf meets; busy branches and leaves spread their rows over tasks. So no task holds more than one share
-of donors and one of queries. Equal points are merged beforehand: at most k donors of one point
+of donors and one of queries. Neighbouring leaves with few queries travel in bundles, for a group costs far more than
+its few rows; inside a bundle they stay apart. Equal points are merged beforehand: at most k donors of one point
 can be among the k nearest, and equal queries share an answer.
 """
 
@@ -28,6 +29,7 @@ LEAF_ROWS = 1024
 TREE_LEAVES = 4096
 SAMPLE_PER_LEAF = 32
 QUERIES_PER_TASK = 8192
+BUNDLE = 32              # leaves that travel together, if each has few queries
 CELLS_PER_BLOCK = 4_000_000
 PAIRS_PER_FRAME = 200_000
 
@@ -109,10 +111,10 @@ def _nearest(points: np.ndarray, donors: np.ndarray, k: int):
     for start in range(0, len(points), block):
         part = points[start:start + block]
         d = sum((part[:, [j]] - donors[:, j]) ** 2 for j in range(points.shape[1]))
-        reach = np.partition(d, k - 1, axis=1)[:, k - 1]
-        # the k-th distance may be shared: smallest ids win, as a stable sort keeps id order
         best = np.argpartition(d, k - 1, axis=1)[:, :k]
-        tied = (d <= reach[:, None]).sum(1) > k
+        # the k-th distance may be shared: smallest ids win, as a stable sort keeps id order
+        reach = np.take_along_axis(d, best, 1).max(1)
+        tied = np.count_nonzero(d <= reach[:, None], axis=1) > k
         best[tied] = np.argsort(d[tied], axis=1, kind="stable")[:, :k]
         yield start, best, np.take_along_axis(d, best, 1)
 
@@ -229,27 +231,38 @@ def knn_mean(donors: DataFrame, queries: DataFrame, key: str, features, target:
     def local(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame(columns=[*names, "_id", "_d", "_y"])
-        right = right.sort_values("_id")
-        p = left[names].to_numpy(float)
-        out = []
-        for start, best, d in _nearest(p, right[names].to_numpy(float), k):
-            at = np.repeat(np.arange(start, start + len(best)), best.shape[1])
-            block = pd.DataFrame(p[at], columns=names)
-            block["_id"] = right["_id"].to_numpy()[best.ravel()]
-            block["_d"] = d.ravel()
-            block["_y"] = right["_y"].to_numpy()[best.ravel()]
-            out.append(block)
-        return pd.concat(out)
+        right = right.sort_values(["_leaf", "_id"])
+        p, donors, leaf = left[names].to_numpy(float), right[names].to_numpy(float), right["_leaf"].to_numpy()
+        at, best, far = [], [], []
+        for own, rows in left.groupby("_leaf").indices.items():
+            low, high = np.searchsorted(leaf, own), np.searchsorted(leaf, own, side="right")
+            if low == high:
+                continue
+            for start, found, d in _nearest(p[rows], donors[low:high], k):
+                at.append(np.repeat(rows[start:start + len(found)], found.shape[1]))
+                best.append(found.ravel() + low)
+                far.append(d.ravel())
+        if not at:
+            return pd.DataFrame(columns=[*names, "_id", "_d", "_y"])
+        best = np.concatenate(best)
+        return pd.DataFrame(p[np.concatenate(at)], columns=names).assign(
+            _id=right["_id"].to_numpy()[best], _d=np.concatenate(far), _y=right["_y"].to_numpy()[best])
+
+    # leaves of a bundle: fewer where there are not enough bundles for all tasks
+    bundle = min(BUNDLE, max(1, 2**(depth + lower) // (4 * points.sparkSession.sparkContext.defaultParallelism)))
 
     def meet(asked: DataFrame) -> DataFrame:
-        """Nearest donors of each (query, share of a leaf) pair, busy leaves split over tasks."""
-        load = asked.groupBy("_leaf").agg(F.ceil(F.count("*") / QUERIES_PER_TASK).cast("int").alias("_parts"))
-        load = measured(load.join(shares, "_leaf"))
+        """Nearest donors of each (query, share of a leaf) pair, busy leaves split over tasks, leaves with few queries bundled."""
+        few = f"_shares = 1 and _n <= {max(1, QUERIES_PER_TASK // 8)}"
+        load = asked.groupBy("_leaf").agg(F.count("*").alias("_n")).join(shares, "_leaf")
+        load = measured(load.select("_leaf", "_shares", F.ceil(F.col("_n") / QUERIES_PER_TASK).cast("int").alias("_parts"),
+                                    F.expr(f"if({few}, _leaf div {bundle}, -1 - _leaf)").alias("_bundle")))
         left = asked.join(load, "_leaf").withColumn("_part", F.pmod(F.xxhash64(*names), F.col("_parts")).cast("int")).withColumn(
             "_share", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)))
-        copies = load.select(F.col("_leaf").alias("_l"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"))
+        copies = load.select(F.col("_leaf").alias("_l"), F.col("_bundle").alias("_bundle"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"))
         right = placed.join(copies, F.col("_leaf") == F.col("_l")).drop("_l")
-        group = ["_leaf", "_share", "_part"]
+        group = ["_bundle", "_share", "_part"]
+        left = left.select(*group, "_leaf", *names)
         return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(local, schema)
 
     if depth == 0:

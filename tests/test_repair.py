@@ -122,6 +122,30 @@ def test_reached_leaves_travel_together(monkeypatch):
     assert [pair for rows, leaf in frames for pair in zip(rows.tolist(), leaf.tolist())] == want
 
 
+def test_leaves_with_few_queries_travel_in_bundles(spark, monkeypatch):
+    """A group of a shuffle holds many leaves; a leaf of many queries has groups of its own. The neighbours are the same."""
+    monkeypatch.setattr(neighbours, "LEAF_ROWS", 4)
+    monkeypatch.setattr(neighbours, "QUERIES_PER_TASK", 160)
+    groups = []
+    def kept(stats, own=neighbours.measured):
+        groups.append(own(stats))
+        return groups[-1]
+    monkeypatch.setattr(neighbours, "measured", kept)
+    rng = np.random.default_rng(4)
+    pts = [tuple(map(float, p)) for p in rng.normal(size=(1600, 2)).round(3)] + [(0.5, float(i) / 1000) for i in range(200)]
+    data = [(i, *p, float(rng.normal()) if i < 1200 else None) for i, p in enumerate(pts)]
+    df = spark.createDataFrame(data, "id bigint, x double, y double, v double").repartition(6)
+    got = {r["id"]: r["v"] for r in neighbours.knn_impute(df, "id", ["x", "y"], "v", 5).collect()}
+    want = brute_knn([(i, (x, y), v) for i, x, y, v in data[:1200]], {p for p in pts[1200:]}, 5)
+    assert all(got[i] == pytest.approx(want[x, y]) for i, x, y, _ in data[1200:])
+    held = [g.toPandas() for g in groups if "_bundle" in g.columns]
+    assert len(held) == 2
+    for g in held:
+        alone = g["_bundle"] < 0
+        assert g["_bundle"][alone].is_unique and (g["_parts"][~alone] == 1).all()
+    assert held[0]["_bundle"].nunique() < 0.5 * len(held[0]) and (held[1]["_bundle"] < 0).any()
+
+
 def test_rules(spark):
     df = spark.createDataFrame([(1905, None), (1905, 5.0), (1950, None)], "y int, v double")
     assert rows(missing.fill_by_rule(df, "v", F.col("y").between(1900, 1909), 9.0), "y", "v") == [(1905, 5.0), (1905, 9.0), (1950, None)]
