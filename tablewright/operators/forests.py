@@ -4,7 +4,8 @@ A tree takes its rows with weights drawn per row and tree (Poisson with mean 1,
 counts out). While a node holds more than ``task_rows`` rows it is split by histograms: one pass gives the ranges of its
 features, the next one sums the outputs over equal parts of these ranges. As soon as a node fits a task, its rows are
 sent there and the whole subtree is grown in memory, all subtrees side by side. So a forest costs a few passes over the
-table plus one shuffle, whatever the depth of its trees. Where the features take few distinct values together (hours, days,
+table plus one shuffle, whatever the depth of its trees. Rows of one place lie side by side, so that most blocks of rows fall
+in one node of a tree as a whole and are added up there from one sorted order for all trees. Where the features take few distinct values together (hours, days,
 categories), a tree depends on its rows by their sums per point only: one pass adds these up, and whole trees are grown from them.
 
 Splits lower the summed squared error of all outputs. Large nodes split at one of BINS parts, small ones at the best midpoint.
@@ -32,6 +33,12 @@ BUSY_ROWS = 50_000       # rows that meet one subtree in one task
 FEW_POINTS = 4096        # distinct points up to which a tree is grown from sums per point
 NEAR_ROWS = 16_384       # rows whose nodes are grown together once they are small
 BLOCK_BYTES = 4 << 20    # of rows a task sorts by node at a time; those of a node travel together
+AREA_BYTES = 1 << 20     # of rows of one place that are added up together
+CELL_ROWS = 4096         # rows of a cell of the guide, the tree by which training rows are laid out
+GUIDE_CELLS = 4096       # cells of the guide at most, each from SAMPLE_PER_CELL rows of a sample
+SAMPLE_PER_CELL = 32
+ENDS = 32                # rows at the ends of an order that are looked at for the first one drawn
+TASK_BYTES = 32 << 20    # of drawn rows that a task grows subtrees from
 
 MODEL = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("data", pa.binary())])  # of the stored subtrees
 
@@ -55,9 +62,21 @@ class Tree(NamedTuple):
             todo = todo[self.feature[at[todo]] >= 0]
         return at
 
-    def parts(self, x: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(leaf, its rows in their order) of some rows of x, which is best laid out by columns; for trees of few nodes."""
-        todo = [(0, rows)]
+    def whole(self, low: np.ndarray, high: np.ndarray) -> int:
+        """The leaf that all rows of a box fall in, or the first node that may part them."""
+        node = 0
+        while (f := self.feature[node]) >= 0:
+            if high[f] <= self.threshold[node]:
+                node = self.left[node]
+            elif low[f] > self.threshold[node]:
+                node = self.left[node] + 1
+            else:
+                break
+        return int(node)
+
+    def parts(self, x: np.ndarray, rows: np.ndarray, node: int = 0) -> Iterator[tuple[int, np.ndarray]]:
+        """(leaf below ``node``, its rows in their order) of some rows of x, best laid out by columns; for trees of few nodes."""
+        todo = [(node, rows)]
         while todo:
             node, rows = todo.pop()
             if not len(rows):
@@ -88,7 +107,7 @@ def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int | None = None,
     reached. Of equal splits the first feature's lowest one is taken.
     """
     cols, outs = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)
-    return _levels(cols, outs, w, [np.argsort(c, kind="stable") for c in cols], np.array([len(y)]), 0, depth, min_split)
+    return _levels(cols, outs, w, [_ascending(c) for c in cols], np.array([len(y)]), 0, depth, min_split)
 
 
 def _levels(cols: np.ndarray, outs: np.ndarray, w: np.ndarray, order: list[np.ndarray], size: np.ndarray, level: int,
@@ -219,16 +238,47 @@ def _places(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.arange(size[s::2].sum()) + np.repeat(starts[s::2] - (np.cumsum(size[s::2]) - size[s::2]), size[s::2]) for s in (0, 1))
 
 
+def _draws() -> tuple[np.ndarray, np.ndarray]:
+    """The Poisson weights' distribution, and the weight that the first 16 bits of a hash tell; UNSURE where they do not."""
+    upto = np.cumsum(np.exp(-1) / np.concatenate(([1.0], np.cumprod(np.arange(1.0, 19.0)))))
+    first = np.arange((1 << 16) + 1) / (1 << 16)
+    low, high = np.searchsorted(upto, first[:-1], side="right"), np.searchsorted(upto, first[1:], side="right")
+    return upto, np.where(low == high, low, UNSURE).astype(np.uint8)
+
+
+UNSURE = 255
+UPTO, DRAWN = _draws()
+
+
 def weights(uid: np.ndarray, tree: int, seed: int, bootstrap: bool) -> np.ndarray:
     """Poisson weights with mean 1, inverted from a hash of row, tree and seed."""
     if not bootstrap:
         return np.ones(len(uid))
-    h = uid.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((tree * 0x85EBCA6B + seed * 0xC2B2AE35 + 1) & 0xFFFFFFFFFFFF)
+    h = uid.astype(np.uint64)
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h += np.uint64((tree * 0x85EBCA6B + seed * 0xC2B2AE35 + 1) & 0xFFFFFFFFFFFF)
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
-    u = ((h ^ (h >> np.uint64(31))) >> np.uint64(11)) / float(1 << 53)
-    upto = np.cumsum(np.exp(-1) / np.concatenate(([1.0], np.cumprod(np.arange(1.0, 19.0)))))
-    return np.searchsorted(upto, u, side="right").astype(np.float64)
+        h ^= h >> np.uint64(shift)
+        h *= np.uint64(factor)
+    h ^= h >> np.uint64(31)
+    w = DRAWN.take((h >> np.uint64(48)).view(np.int64))
+    rest = np.flatnonzero(w == UNSURE)
+    w[rest] = np.searchsorted(UPTO, (h.take(rest) >> np.uint64(11)) / float(1 << 53), side="right")
+    return w.astype(np.float64)
+
+
+def _ascending(c: np.ndarray) -> np.ndarray:
+    """The stable order of numbers, by sorts of 16 bits at a time, which take linear time."""
+    bits = (c + 0.0).view(np.int64)  # no negative zeros
+    bits ^= (bits >> 63) & np.int64(np.iinfo(np.int64).max)
+    bits ^= np.int64(np.iinfo(np.int64).min)
+    order = None
+    for part in bits.astype("<i8").view(np.uint16).reshape(-1, 4).T:
+        if order is None:
+            order = np.argsort(part, kind="stable")
+        elif (part != part[0]).any():
+            order = order.take(np.argsort(part.take(order), kind="stable"))
+    return order
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -241,16 +291,16 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np
             yield b.column(0).to_numpy(), _matrix(b.column(1)), _matrix(b.column(2))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _blocks(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """As `_batches`, in blocks of about BLOCK_BYTES: what a node costs per block is paid seldom."""
-    held, size = [], 0
+    held, size, most = [], 0, most or BLOCK_BYTES
     for uid, x, y in _batches(batches):
         a_row = 8 * (1 + x.shape[1] + y.shape[1])
-        step = max(1, BLOCK_BYTES // a_row)
+        step = max(1, most // a_row)
         for at in range(0, len(uid), step):
             held.append((uid[at: at + step], x[at: at + step], y[at: at + step]))
             size += a_row * len(held[-1][0])
-            if size + a_row > BLOCK_BYTES:
+            if size + a_row > most:
                 yield tuple(np.concatenate(c) for c in zip(*held))
                 held, size = [], 0
     if held:
@@ -297,12 +347,44 @@ class _Top:
         return [Tree(*(np.array([n[i] for n in t]) for i in range(4))) for t in self.nodes]
 
 
+class _Area:
+    """A block of rows in the order of every feature, for all trees that have it in one node."""
+
+    def __init__(self, uid: np.ndarray, x: np.ndarray, y: np.ndarray):
+        n, width = x.shape
+        self.order = np.stack([_ascending(x[:, f]) for f in range(width)])
+        self.x = np.stack([x[:, f].take(o) for f, o in enumerate(self.order)])
+        self.y = [y[:, j].take(self.order) for j in range(y.shape[1])]
+        some = min(ENDS, n)
+        at = np.concatenate((self.order[:, :some], self.order[:, :-some - 1:-1]))
+        self.end, self.last = uid.take(at), np.concatenate((self.x[:, :some], -self.x[:, :-some - 1:-1]))
+
+    def ends(self, tree: int, seed: int, bootstrap: bool) -> np.ndarray | None:
+        """The features' lows and negative highs among the drawn rows, or None where the rows at the ends do not tell."""
+        drawn = weights(self.end.ravel(), tree, seed, bootstrap).reshape(self.end.shape) > 0
+        if not drawn.any(axis=1).all():
+            return None
+        return self.last[np.arange(len(drawn)), drawn.argmax(axis=1)].reshape(2, -1)
+
+    def add(self, sums: np.ndarray, w: np.ndarray, limits: np.ndarray) -> None:
+        """Weight and weighted outputs per feature and bin, added to ``sums``."""
+        low, high = limits
+        for f, (order, x) in enumerate(zip(self.order, self.x)):
+            upto = np.searchsorted(x, low[f] + (high[f] - low[f]) * np.arange(1, BINS) / BINS)
+            starts = np.append(0, upto)
+            held = np.flatnonzero(np.append(upto, len(x)) > starts)
+            ws = w.take(order)
+            sums[f, held, 0] += np.add.reduceat(ws, starts[held])
+            for j, ys in enumerate(self.y):
+                sums[f, held, 1 + j] += np.add.reduceat(ws * ys[f], starts[held])
+
+
 def _histograms(rows: DataFrame, top: list[Tree], wanted: dict[tuple[int, int], np.ndarray | None], seed: int, bootstrap: bool,
                 width: int, outputs: int) -> Iterator[tuple[int, int, np.ndarray]]:
     """(tree, node, sums) over all rows. With None: the features' lows and negative highs; with ranges: weight, outputs
-    and squares per feature and bin. Tasks add up, a shuffle by node adds the tasks."""
+    per feature and bin, and the first of them all squares. Tasks add up, a shuffle by node adds the tasks."""
     spark = rows.sparkSession
-    sent = spark.sparkContext.broadcast((top, wanted))
+    sent = spark.sparkContext.broadcast(([tuple(t) for t in top], wanted))
     first = next(iter(wanted.values())) is None
     schema = "tree int, node int, sums binary"
     shape = to_arrow_schema(T.StructType.fromDDL(schema))
@@ -311,6 +393,7 @@ def _histograms(rows: DataFrame, top: list[Tree], wanted: dict[tuple[int, int],
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top, wanted = sent.value
+        top = [Tree(*t) for t in top]
         nodes: dict[int, list[int]] = {}
         for t, own in sorted(wanted):
             nodes.setdefault(t, []).append(own)
@@ -321,13 +404,31 @@ def _histograms(rows: DataFrame, top: list[Tree], wanted: dict[tuple[int, int],
             limits[t] = None if first else np.stack([wanted[t, m] for m in own])
             out[t] = np.full((len(own), *form), np.inf if first else 0.0)
             met[t] = np.zeros(len(own), bool)
-        for uid, x, y in _blocks(batches):
+        for uid, x, y in _blocks(batches, AREA_BYTES):
             x, squares = np.asfortranarray(x), None if first else np.square(y).sum(axis=1)
-            place = np.empty(len(uid), np.int64)
+            place, box, area = np.empty(len(uid), np.int64), (x.min(axis=0), x.max(axis=0)), None
             for t in nodes:
+                at_node = top[t].whole(*box)
+                if top[t].feature[at_node] < 0:  # the block as a whole
+                    n = rank[t][at_node]
+                    if n < 0:
+                        continue
+                    area = area or _Area(uid, x, y)
+                    if first:
+                        low = area.ends(t, seed, bootstrap)
+                        if low is not None:
+                            out[t][n] = np.minimum(out[t][n], low)
+                            met[t][n] = True
+                            continue
+                    else:
+                        w = weights(uid, t, seed, bootstrap)
+                        met[t][n] |= bool(w.any())
+                        area.add(out[t][n], w, limits[t][n])
+                        out[t][n][0, 0, -1] += w @ squares
+                        continue
                 w, m = weights(uid, t, seed, bootstrap), len(nodes[t])
                 at = []
-                for leaf, own in top[t].parts(x, np.flatnonzero(w > 0)):
+                for leaf, own in top[t].parts(x, np.flatnonzero(w > 0), at_node):
                     n = rank[t][leaf]
                     if n < 0:
                         continue
@@ -343,13 +444,14 @@ def _histograms(rows: DataFrame, top: list[Tree], wanted: dict[tuple[int, int],
                     continue
                 at = np.sort(np.concatenate(at)) if len(at) > 1 else at[0]
                 own, wa = place.take(at), w.take(at)
-                parts = [wa, *(wa * y[:, j].take(at) for j in range(outputs)), wa * squares.take(at)]
+                parts = [wa, *(wa * y[:, j].take(at) for j in range(outputs))]
                 for f in range(width):
                     low, span = limits[t][:, 0, f], limits[t][:, 1, f] - limits[t][:, 0, f]
                     bin_ = (x[:, f].take(at) - low.take(own)) / np.where(span > 0, span, np.inf).take(own) * BINS
                     bin_ = bin_.astype(np.int64).clip(0, BINS - 1) + own * BINS
                     for j, p in enumerate(parts):
                         out[t][:, f, :, j] += np.bincount(bin_, p, m * BINS).reshape(m, BINS)
+                out[t][:, 0, 0, -1] += np.bincount(own, wa * squares.take(at), m)
         yield from _rows(((t, nodes[t][i], out[t][i].tobytes()) for t in nodes for i in np.flatnonzero(met[t]).tolist()), shape)
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -514,52 +616,170 @@ def fit_forest(df: DataFrame, features, outputs, trees: int = 100, depth: int |
     features, outputs = list(features), [outputs] if isinstance(outputs, str) else list(outputs)
     ready = require(df, *features, *outputs)
 
-    def matrix(names: list[str]) -> Column:
-        return F.array(*[F.col(f"`{c}`").cast("double") for c in names])
+    return fit_arrays(ready.select(_vector(features).alias("x"), _vector(outputs).alias("y")), features, trees, depth, min_split, seed, bootstrap, task_rows)
+
 
-    return fit_arrays(ready.select(matrix(features).alias("x"), matrix(outputs).alias("y")), features, trees, depth, min_split, seed, bootstrap, task_rows)
+def _vector(names: list[str]) -> Column:
+    return F.array(*[F.col(f"`{c}`").cast("double") for c in names])
 
 
 def fit_arrays(df: DataFrame, features: list[str], trees: int = 100, depth: int | None = None, min_split: int = 2, seed: int = 42,
                bootstrap: bool = True, task_rows: int = 200_000) -> Forest:
     """As `fit_forest`, from columns x and y that hold the features and the outputs of a row as arrays of equal lengths."""
+    rows, n, top, left = _prepared(df, trees, depth, min_split, seed, bootstrap, task_rows)
+    if left is None:
+        subtrees = cut_lineage(_from_points(rows, len(top.nodes[0][0][3]), trees, depth, seed, bootstrap), "subtrees")
+        return _fitted(features, top.frozen(), subtrees, len(top.nodes[0][0][3]))
+
+    def grown(key: tuple[pa.Scalar, ...], own: pa.Table) -> pa.Table:
+        t, m = key[0].as_py(), key[1].as_py()
+        chunks = [[c.as_py() for c in row] for row in zip(*(own[c] for c in ("first", "x", "y", "w")))]
+        low = _grown(chunks, None if depth is None else depth - left[t, m], min_split)
+        return pa.Table.from_arrays([pa.array([t], pa.int32()), pa.array([m], pa.int32()), pa.array([low.pack()], pa.binary())], schema=MODEL)
+
+    subtrees = _dealt(rows, top, left, seed, bootstrap).groupBy("tree", "node").applyInArrow(grown, from_arrow_schema(MODEL))
+    return _fitted(features, top.frozen(), cut_lineage(subtrees, "subtrees"), len(top.nodes[0][0][3]))
+
+
+def _prepared(df: DataFrame, trees: int, depth: int | None, min_split: int, seed: int, bootstrap: bool,
+              task_rows: int) -> tuple[DataFrame, int, _Top, dict[tuple[int, int], int] | None]:
+    """(training rows, their number, top levels, depth of the nodes left to be grown); None where sums per point tell whole trees."""
     rows = df.select(F.monotonically_increasing_id().alias("uid"), "x", "y")
     # a pass costs far more than reading its rows: they are dealt evenly, however the input lies in files
-    rows = cut_lineage(rows.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism, "uid"), "training")
+    rows = cut_lineage(rows.repartition(_even(rows), "uid").sortWithinPartitions("uid"), "training")
     width, outputs = rows.agg(F.max(F.size("x")), F.max(F.size("y"))).first()
     if not outputs:
         raise ValueError("no row has all features and outputs: nothing to learn from")
     n, about, *mean = rows.agg(F.count("*"), F.approx_count_distinct(F.xxhash64("x"), 0.02), *[F.avg(F.col("y")[j]) for j in range(outputs)]).first()
     # with min_split 2 a node may be split wherever it holds two points; few sums, for a task holds those of all trees
     if about <= FEW_POINTS < n and min_split <= 2 and about * (outputs + 1) * trees * 8 <= HIST_BYTES:
-        subtrees = cut_lineage(_from_points(rows, outputs, trees, depth, seed, bootstrap), "subtrees")
-        return _fitted(features, _Top(trees, mean).frozen(), subtrees, outputs)
+        return rows, n, _Top(trees, mean), None
+    if n > task_rows:
+        rows = _laid_out(rows, n, width, outputs)
     top, left = _split_large(rows, n, width, mean, trees, depth, seed, bootstrap, task_rows)
-    sent = rows.sparkSession.sparkContext.broadcast((top.frozen(), left))
-    schema = "tree int, node int, x binary, y binary, w binary"
-    shape = to_arrow_schema(T.StructType.fromDDL(schema))
+    return rows, n, top, left
+
+
+def _even(df: DataFrame) -> int:
+    return 2 * df.sparkSession.sparkContext.defaultParallelism
+
+
+def _laid_out(rows: DataFrame, n: int, width: int, outputs: int) -> DataFrame:
+    """The training rows, dealt evenly, with those of one place side by side: by the cells of a tree grown on a bounded sample.
+
+    The cells steer the work, not the result.
+    """
+    cells = min(GUIDE_CELLS, n // CELL_ROWS, max(2, HIST_BYTES // (8 * SAMPLE_PER_CELL * (width + outputs))))
+    if cells < 2:
+        return rows
+    sample = rows.sample(fraction=min(1.0, SAMPLE_PER_CELL * cells / n), seed=9).select("x", "y").toArrow()
+    if not sample.num_rows:
+        return rows
+    x, y = (_matrix(sample[c].combine_chunks()) for c in ("x", "y"))
+    guide = grow(x, y, np.ones(len(x)), min_split=2 * SAMPLE_PER_CELL)
+    place, todo = np.zeros(len(guide.feature), np.int32), [0]  # cells from left to right
+    while todo:
+        node = todo.pop()
+        if guide.feature[node] < 0:
+            place[node] = place.max() + 1
+        else:
+            todo += [int(guide.left[node]) + 1, int(guide.left[node])]
+    sent = rows.sparkSession.sparkContext.broadcast((tuple(guide), place))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        guide, place = sent.value
+        guide = Tree(*guide)
+        for b in batches:
+            if b.num_rows:
+                cell = pa.array(place[guide.find(_matrix(b.column(1)))], pa.int32())
+                yield pa.RecordBatch.from_arrays([*b.columns, cell], schema=b.schema.append(pa.field("cell", pa.int32())))
+
+    dealt = rows.mapInArrow(placed, "uid long, x array<double>, y array<double>, cell int")
+    return cut_lineage(dealt.repartitionByRange(_even(rows), "cell", "uid").sortWithinPartitions("cell", "uid").drop("cell"), "training")
+
+
+PIECES = "tree int, node int, kind int, first long, x binary, y binary, w binary"  # rows of a node: drawn ones, or (kind 1) asked ones
+
+
+def _dealt(rows: DataFrame, top: _Top, left: dict[tuple[int, int], int], seed: int, bootstrap: bool) -> DataFrame:
+    """The drawn rows of all nodes left to be grown, in chunks."""
+    sent = rows.sparkSession.sparkContext.broadcast(([tuple(t) for t in top.frozen()], left))
+    shape = to_arrow_schema(T.StructType.fromDDL(PIECES))
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         upper, wanted = sent.value
-        for uid, x, y in _blocks(batches):
-            by_column = np.asfortranarray(x)
+        upper = [Tree(*t) for t in upper]
+        for uid, x, y in _blocks(batches, AREA_BYTES):
+            by_column, box, first = np.asfortranarray(x), (x.min(axis=0), x.max(axis=0)), int(uid[0])
             for t, tree in enumerate(upper):
                 w = weights(uid, t, seed, bootstrap)
                 some = w.astype(np.uint8)  # draws are small numbers
-                yield from _rows(((t, own, x[at].tobytes(), y[at].tobytes(), some[at].tobytes())
-                                  for own, at in tree.parts(by_column, np.flatnonzero(w > 0)) if (t, own) in wanted), shape)
+                yield from _rows(((t, own, 0, first, x[at].tobytes(), y[at].tobytes(), some[at].tobytes())
+                                  for own, at in tree.parts(by_column, np.flatnonzero(w > 0), tree.whole(*box)) if (t, own) in wanted), shape)
 
-    def grown(key: tuple[pa.Scalar, ...], own: pa.Table) -> pa.Table:
-        upper, wanted = sent.value
-        x, y, w = (np.frombuffer(b"".join(own[c].to_pylist()), d).astype(float) for c, d in (("x", float), ("y", float), ("w", np.uint8)))
-        x, y = x.reshape(len(w), -1), y.reshape(len(w), -1)
-        order = np.lexsort([w, *y.T[::-1], *x.T[::-1]])  # the same tree however the rows came
-        t, m = key[0].as_py(), key[1].as_py()
-        low = grow(x[order], y[order], w[order], None if depth is None else depth - wanted[t, m], min_split)
-        return pa.Table.from_arrays([pa.array([t], pa.int32()), pa.array([m], pa.int32()), pa.array([low.pack()], pa.binary())], schema=MODEL)
+    return rows.mapInArrow(dealt, PIECES)
 
-    subtrees = rows.mapInArrow(dealt, schema).groupBy("tree", "node").applyInArrow(grown, from_arrow_schema(MODEL))
-    return _fitted(features, top.frozen(), cut_lineage(subtrees, "subtrees"), outputs)
+
+def _grown(chunks: list, depth: int | None, min_split: int) -> Tree:
+    """The subtree of a node's rows, from its chunks (first, x, y, w): the same tree in whatever order they came."""
+    chunks = sorted(chunks, key=lambda c: c[0])
+    x, y, w = (np.frombuffer(b"".join(c[i] for c in chunks), d).astype(float) for i, d in ((1, float), (2, float), (3, np.uint8)))
+    return grow(x.reshape(len(w), -1), y.reshape(len(w), -1), w, depth, min_split)
+
+
+def fit_predict(df: DataFrame, features, outputs, asked: DataFrame, into: str, trees: int = 100, depth: int | None = None, min_split: int = 2,
+                seed: int = 42, bootstrap: bool = True, task_rows: int = 200_000) -> DataFrame:
+    """As `fit_forest` and then `Forest.predict`, for a forest that nothing else needs: subtrees predict where they are grown.
+
+    The rows asked about meet the drawn rows of their nodes, so the model, which may take more room than its rows, is not stored.
+    """
+    features, outputs = list(features), [outputs] if isinstance(outputs, str) else list(outputs)
+    ready, k = require(df, *features, *outputs), len(outputs)
+    rows, n, top, left = _prepared(ready.select(_vector(features).alias("x"), _vector(outputs).alias("y")), trees, depth, min_split, seed, bootstrap, task_rows)
+    if left is None:
+        subtrees = cut_lineage(_from_points(rows, k, trees, depth, seed, bootstrap), "subtrees")
+        return _fitted(features, top.frozen(), subtrees, k).predict(asked, into)
+    asked = require(asked, *features)
+    kept = asked.select(F.struct(*[F.col(f"`{c}`") for c in asked.columns]).alias("row"), F.monotonically_increasing_id().alias("uid"), _vector(features).alias("x"))
+    kept = cut_lineage(kept.repartition(_even(kept), "uid"), "rows")
+    upper = [tuple(t) for t in top.frozen()]
+    sent = kept.sparkSession.sparkContext.broadcast((upper, left))
+    chunk, schema = to_arrow_schema(T.StructType.fromDDL(PIECES)), "uid long, value array<double>"
+    shape = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        upper = [Tree(*t) for t in sent.value[0]]
+        for uid, x, _ in _blocks(pa.RecordBatch.from_arrays([*b.columns, b.column(1)], ["uid", "x", "y"]) for b in batches):
+            by_column, every = np.asfortranarray(x), np.arange(len(uid))
+            for t, tree in enumerate(upper):
+                yield from _rows(((t, own, 1, int(uid[0]), x[at].tobytes(), uid[at].tobytes(), b"") for own, at in tree.parts(by_column, every)), chunk)
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        upper, wanted = sent.value
+        upper, held, chunks, low = [Tree(*t) for t in upper], None, [], None
+        for b in batches:
+            for t, m, kind, *c in zip(*(c.to_pylist() for c in b.columns)):
+                if (t, m) != held:
+                    held, chunks, low = (t, m), [], None
+                if kind == 0:
+                    chunks.append(c)
+                    continue
+                uid = np.frombuffer(c[2], np.int64)
+                if held in wanted:
+                    low = low or _grown(chunks, None if depth is None else depth - wanted[held], min_split)
+                    chunks, x = [], np.frombuffer(c[1]).reshape(len(uid), -1)
+                    found = low.value[low.find(x)]
+                else:
+                    found = np.repeat(upper[t].value[m][None, :], len(uid), axis=0)
+                value = pa.ListArray.from_arrays(np.arange(0, found.size + 1, k, np.int32), np.ascontiguousarray(found).ravel())
+                yield pa.RecordBatch.from_arrays([pa.array(uid), value.cast(shape.field(1).type)], schema=shape)
+
+    size = n * trees * 8 * (len(features) + k) * 2 // 3  # of the drawn rows
+    parts = int(min(max(size // TASK_BYTES, 2 * _even(kept)), 10_000))
+    chunks = _dealt(rows, top, left, seed, bootstrap).unionByName(kept.select("uid", "x").mapInArrow(routed, PIECES))
+    chunks = chunks.repartition(parts, "tree", "node").sortWithinPartitions("tree", "node", "kind", "first")
+    mean = chunks.mapInArrow(told, schema).groupBy("uid").agg(F.array(*[F.avg(F.col("value")[j]) for j in range(k)]).alias("mean"))
+    return kept.join(mean, "uid").select("row.*", F.col("mean")[0].alias(into))
 
 
 def _fitted(features: list[str], top: list[Tree], subtrees: DataFrame, outputs: int) -> Forest:

@@ -8,7 +8,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.operators.filters import require
-from tablewright.operators.forests import Forest, fit_forest
+from tablewright.operators.forests import Forest, fit_forest, fit_predict
 from tablewright.session import cut_lineage
 
 VECTOR = "_features"
@@ -90,7 +90,7 @@ def forest_impute(df: DataFrame, features, target: str, trees: int = 100, max_de
     ready = None
     for c in features:
         ready = F.col(c).isNotNull() if ready is None else ready & F.col(c).isNotNull()
-    model = random_forest(df, features, target, trees, max_depth, seed=seed)
     known, unknown = df.where(~(F.col(target).isNull() & ready)), df.where(F.col(target).isNull())
-    filled = score(unknown, model, features, "_p").withColumn(target, F.col("_p")).select(*df.columns)
+    filled = fit_predict(df, features, target, unknown, "_p", trees, max_depth, seed=seed)
+    filled = filled.withColumn(target, F.col("_p")).select(*df.columns)
     return known.unionByName(filled)

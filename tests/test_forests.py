@@ -202,3 +202,53 @@ def test_trees_and_boosting_learn_from_merged_rows(spark):
     model = learners.decision_tree(rows, ["h"], "y")
     got = {r.h: r.p for r in learners.score(rows.select("h").distinct(), model, ["h"], "p").collect()}
     assert got == pytest.approx({r.h: r.m for r in rows.groupBy("h").agg(F.avg("y").alias("m")).collect()})
+
+
+def test_orders_and_draws_are_those_of_plain_sorts():
+    draw = np.random.default_rng(3)
+    for c in (draw.normal(size=5000), draw.integers(-40, 40, 5000).astype(float), np.array([0.0, -0.0, 1.5, -np.inf, np.inf, -0.0, 1e-310, -1e300]), np.ones(3)):
+        assert np.array_equal(forests._ascending(c), np.argsort(c, kind="stable"))
+    h = np.arange(300_000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((7 * 0x85EBCA6B + 42 * 0xC2B2AE35 + 1) & 0xFFFFFFFFFFFF)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    u = ((h ^ (h >> np.uint64(31))) >> np.uint64(11)) / float(1 << 53)
+    assert np.array_equal(forests.weights(np.arange(300_000), 7, 42, True), np.searchsorted(forests.UPTO, u, side="right"))
+
+
+def test_rows_of_a_place_lie_side_by_side(spark, monkeypatch):
+    """Blocks that fall in one node are added up as a whole, and the forest is the one of rows in any order."""
+    rows = noisy(spark, 6000)
+    want = predicted(rows, fit_forest(rows, ["a", "b", "c"], "y", trees=5, task_rows=500))
+    monkeypatch.setattr(forests, "CELL_ROWS", 60)
+    monkeypatch.setattr(forests, "AREA_BYTES", 2400)  # 60 rows
+    stored = []
+    def kept(df, name="stage", own=forests.cut_lineage):
+        stored.append((name, own(df, name)))
+        return stored[-1][1]
+    monkeypatch.setattr(forests, "cut_lineage", kept)
+    model = fit_forest(rows, ["a", "b", "c"], "y", trees=5, task_rows=500)
+    got = predicted(rows, model)
+    assert got.keys() == want.keys() and np.mean([abs(got[i] - want[i]) < 1e-9 for i in got]) > 0.95  # equally good splits aside
+    held = [df for name, df in stored if name == "training"]
+    assert len(held) == 2 and held[1].count() == 6000
+    def whole(df):
+        blocks = forests._blocks(iter(df.toArrow().to_batches(max_chunksize=60)), 2400)
+        return np.mean([t.feature[t.whole(x.min(axis=0), x.max(axis=0))] < 0 for _, x, _ in blocks for t in model.top])
+    assert whole(held[0]) < 0.01 and whole(held[1]) > 0.15
+
+
+def test_a_forest_used_once_is_not_stored(spark, monkeypatch):
+    """Subtrees predict where they are grown, as the stored forest does; rows asked about may outnumber the known ones."""
+    rows = noisy(spark, 4000)
+    train, asked = rows.where("id % 5 = 0"), rows.where("id % 5 <> 0")
+    asked = asked.unionByName(asked.limit(3).withColumns({"a": F.lit(1e6), "id": F.col("id") + 10_000}))
+    want = predicted(asked, fit_forest(train, ["a", "b", "c"], "y", trees=9, task_rows=200))
+    stored = []
+    def kept(df, name="stage", own=forests.cut_lineage):
+        stored.append(name)
+        return own(df, name)
+    monkeypatch.setattr(forests, "cut_lineage", kept)
+    out = forests.fit_predict(train, ["a", "b", "c"], "y", asked, "p", trees=9, task_rows=200)
+    got = {r.id: r.p for r in out.collect()}
+    assert out.columns == [*rows.columns, "p"] and "subtrees" not in stored
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
