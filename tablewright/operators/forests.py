@@ -14,6 +14,7 @@ Splits lower the summed squared error of all outputs. Large nodes split at one o
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -38,7 +39,7 @@ CELL_ROWS = 4096         # rows of a cell of the guide, the tree by which traini
 GUIDE_CELLS = 4096       # cells of the guide at most, each from SAMPLE_PER_CELL rows of a sample
 SAMPLE_PER_CELL = 32
 ENDS = 32                # rows at the ends of an order that are looked at for the first one drawn
-TASK_BYTES = 32 << 20    # of drawn rows that a task grows subtrees from
+BOND = 16                # nodes of about one place, in other trees, that are grown in one task
 
 MODEL = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("data", pa.binary())])  # of the stored subtrees
 
@@ -117,7 +118,8 @@ def _levels(cols: np.ndarray, outs: np.ndarray, w: np.ndarray, order: list[np.nd
     As soon as all nodes have at most NEAR_ROWS rows, they are grown in groups of about as many, in memory close to the core.
     """
     (k, n), total = outs.shape, len(size)
-    near, left = np.empty((k, n)), np.empty(n, bool)
+    pairs, left = np.zeros(((k + 2) // 2, n, 2)), np.empty(n, bool)  # weights and weighted residuals: two running sums at a time
+    moments, pairs[0, :, 0] = pairs.view(complex)[..., 0], w
     features, thresholds, lefts, values = [], [], [], []
 
     while len(size):
@@ -135,8 +137,7 @@ def _levels(cols: np.ndarray, outs: np.ndarray, w: np.ndarray, order: list[np.nd
                         out.append(of[some])
             break
         m, o = len(size), order[0]
-        own = np.repeat(np.arange(m), size)
-        starts = np.cumsum(size) - size
+        own, starts = np.repeat(np.arange(m), size), np.cumsum(size) - size
         wr = w.take(o)
         weight = np.add.reduceat(wr, starts)
         mean, spread, scale = np.empty((m, k)), np.zeros(m), np.zeros(m)
@@ -144,37 +145,37 @@ def _levels(cols: np.ndarray, outs: np.ndarray, w: np.ndarray, order: list[np.nd
             yr = outs[j].take(o)
             wy = wr * yr
             mean[:, j] = np.add.reduceat(wy, starts) / weight
-            off = yr - mean[:, j].take(own)
+            off = yr - np.repeat(mean[:, j], size)
             moved = wr * off
             spread += np.add.reduceat(moved * off, starts)
             scale += np.add.reduceat(wy * yr, starts)
-            near[j, o] = moved
+            pairs[(j + 1) // 2, :, (j + 1) % 2][o] = moved
         values.append(mean)
         at = np.flatnonzero((spread > 1e-24 * scale) & (size >= max(2, min_split)) & (depth is None or level < depth))
         feature, threshold = np.full(m, -1, np.int64), np.zeros(m)
         if len(at):
             order, own, starts, size = _kept(order, own, size, at)
             best, on, cut = np.full(len(at), -1.0), np.full(len(at), -1, np.int64), np.zeros(len(at))
-            weight = weight[at]
-            whole, before, last = weight.take(own), (np.cumsum(weight) - weight).take(own), starts + size - 1
+            whole, last, ok = np.repeat(weight[at], size), starts + size - 1, np.empty(len(own), bool)
             for f, o in enumerate(order):
                 xs = cols[f].take(o)
-                left_w = np.cumsum(w.take(o)) - before
-                gain = None
-                for j in range(k):
-                    sums = np.cumsum(near[j].take(o))
-                    sums -= np.append(0.0, sums[starts[1:] - 1]).take(own)
-                    sums *= sums
-                    gain = sums if gain is None else gain + sums
+                for i, pair in enumerate(moments):
+                    sums = np.cumsum(pair.take(o))
+                    sums -= np.repeat(np.append(0.0, sums[last[:-1]]), size)
+                    if i == 0:
+                        both, gain = whole - sums.real, np.square(sums.imag)
+                        both *= sums.real
+                    else:
+                        gain += np.square(sums.real) + np.square(sums.imag)
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    gain /= left_w * (whole - left_w)  # but for a factor of the node
-                ok = np.append(xs[1:] > xs[:-1], False)
+                    gain /= both  # but for a factor of the node
+                np.greater(xs[1:], xs[:-1], out=ok[:-1])
                 ok[last] = False
                 gain = np.where(ok, gain, -1.0)
                 top = np.maximum.reduceat(gain, starts)
                 better = top > best
                 if better.any():
-                    hit = np.flatnonzero(gain == np.where(better, top, np.inf).take(own))
+                    hit = np.flatnonzero(gain == np.repeat(np.where(better, top, np.inf), size))
                     met = own[hit]
                     new = np.append(True, met[1:] != met[:-1])
                     first, met = hit[new], met[new]
@@ -193,7 +194,7 @@ def _levels(cols: np.ndarray, outs: np.ndarray, w: np.ndarray, order: list[np.nd
         if not len(split):
             break
         order, own, starts, size = _kept(order, own, size, np.flatnonzero(on >= 0))
-        goes = cols.ravel().take(feature[split].take(own) * n + order[0]) <= threshold[split].take(own)
+        goes = cols.ravel().take(np.repeat(feature[split] * n, size) + order[0]) <= np.repeat(threshold[split], size)
         left[order[0]] = goes
         lower = np.add.reduceat(goes, starts, dtype=np.int64)
         # where the rows of each child go, in their order: the same places for every feature
@@ -626,24 +627,26 @@ def _vector(names: list[str]) -> Column:
 def fit_arrays(df: DataFrame, features: list[str], trees: int = 100, depth: int | None = None, min_split: int = 2, seed: int = 42,
                bootstrap: bool = True, task_rows: int = 200_000) -> Forest:
     """As `fit_forest`, from columns x and y that hold the features and the outputs of a row as arrays of equal lengths."""
-    rows, n, top, left = _prepared(df, trees, depth, min_split, seed, bootstrap, task_rows)
+    rows, top, left, homes = _prepared(df, trees, depth, min_split, seed, bootstrap, task_rows)
     if left is None:
         subtrees = cut_lineage(_from_points(rows, len(top.nodes[0][0][3]), trees, depth, seed, bootstrap), "subtrees")
         return _fitted(features, top.frozen(), subtrees, len(top.nodes[0][0][3]))
 
-    def grown(key: tuple[pa.Scalar, ...], own: pa.Table) -> pa.Table:
-        t, m = key[0].as_py(), key[1].as_py()
-        chunks = [[c.as_py() for c in row] for row in zip(*(own[c] for c in ("first", "x", "y", "w")))]
-        low = _grown(chunks, None if depth is None else depth - left[t, m], min_split)
-        return pa.Table.from_arrays([pa.array([t], pa.int32()), pa.array([m], pa.int32()), pa.array([low.pack()], pa.binary())], schema=MODEL)
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for home, pieces, _ in _at_home(batches):
+            for (t, m), low in zip(homes[home], _grown(pieces, homes[home], left, depth, min_split, seed, bootstrap)):
+                if low is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([m], pa.int32()), pa.array([low.pack()], pa.binary())], schema=MODEL)
 
-    subtrees = _dealt(rows, top, left, seed, bootstrap).groupBy("tree", "node").applyInArrow(grown, from_arrow_schema(MODEL))
+    pieces = _dealt(rows, top, left, homes, seed, bootstrap)
+    subtrees = pieces.repartitionById(len(homes), F.col("home")).sortWithinPartitions("home", "kind", "first").mapInArrow(made, from_arrow_schema(MODEL))
     return _fitted(features, top.frozen(), cut_lineage(subtrees, "subtrees"), len(top.nodes[0][0][3]))
 
 
 def _prepared(df: DataFrame, trees: int, depth: int | None, min_split: int, seed: int, bootstrap: bool,
-              task_rows: int) -> tuple[DataFrame, int, _Top, dict[tuple[int, int], int] | None]:
-    """(training rows, their number, top levels, depth of the nodes left to be grown); None where sums per point tell whole trees."""
+              task_rows: int) -> tuple[DataFrame, _Top, dict[tuple[int, int], int] | None, list[list[tuple[int, int]]]]:
+    """(training rows, top levels, depth of the nodes left to be grown, leaves of the top levels by the task they are grown in);
+    instead of depths None where sums per point tell whole trees."""
     rows = df.select(F.monotonically_increasing_id().alias("uid"), "x", "y")
     # a pass costs far more than reading its rows: they are dealt evenly, however the input lies in files
     rows = cut_lineage(rows.repartition(_even(rows), "uid").sortWithinPartitions("uid"), "training")
@@ -653,28 +656,47 @@ def _prepared(df: DataFrame, trees: int, depth: int | None, min_split: int, seed
     n, about, *mean = rows.agg(F.count("*"), F.approx_count_distinct(F.xxhash64("x"), 0.02), *[F.avg(F.col("y")[j]) for j in range(outputs)]).first()
     # with min_split 2 a node may be split wherever it holds two points; few sums, for a task holds those of all trees
     if about <= FEW_POINTS < n and min_split <= 2 and about * (outputs + 1) * trees * 8 <= HIST_BYTES:
-        return rows, n, _Top(trees, mean), None
-    if n > task_rows:
-        rows = _laid_out(rows, n, width, outputs)
+        return rows, _Top(trees, mean), None, []
+    rows, sample = _laid_out(rows, n, width, outputs) if n > task_rows else (rows, None)
     top, left = _split_large(rows, n, width, mean, trees, depth, seed, bootstrap, task_rows)
-    return rows, n, top, left
+    return rows, top, left, _homes(top.frozen(), sample, rows.sparkSession.sparkContext.defaultParallelism)
+
+
+def _homes(top: list[Tree], sample: tuple[np.ndarray, np.ndarray] | None, tasks: int) -> list[list[tuple[int, int]]]:
+    """All leaves of the top levels, (tree, node), in bonds of up to BOND, few enough for all tasks.
+
+    Those of a bond lie in about one place, told by the mean cell of a sample, so they share most of their rows.
+    """
+    leaves = [np.flatnonzero(t.feature < 0).tolist() for t in top]
+    bond, out = min(BOND, max(1, sum(map(len, leaves)) // (4 * tasks))), []
+    for first in range(0, len(top), bond):
+        found = []
+        for t in range(first, min(first + bond, len(top))):
+            cell = np.zeros(len(top[t].feature))
+            if sample:
+                own = top[t].find(sample[0])
+                cell = np.bincount(own, sample[1], len(cell)) / np.maximum(np.bincount(own, minlength=len(cell)), 1)
+            found += sorted((float(cell[m]), t, m) for m in leaves[t])
+        found = [(t, m) for _, t, m in sorted(found)]
+        out += [found[i: i + bond] for i in range(0, len(found), bond)]
+    return out
 
 
 def _even(df: DataFrame) -> int:
     return 2 * df.sparkSession.sparkContext.defaultParallelism
 
 
-def _laid_out(rows: DataFrame, n: int, width: int, outputs: int) -> DataFrame:
+def _laid_out(rows: DataFrame, n: int, width: int, outputs: int) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray] | None]:
     """The training rows, dealt evenly, with those of one place side by side: by the cells of a tree grown on a bounded sample.
 
-    The cells steer the work, not the result.
+    With them the sample's features and cells. The cells steer the work, not the result.
     """
     cells = min(GUIDE_CELLS, n // CELL_ROWS, max(2, HIST_BYTES // (8 * SAMPLE_PER_CELL * (width + outputs))))
     if cells < 2:
-        return rows
+        return rows, None
     sample = rows.sample(fraction=min(1.0, SAMPLE_PER_CELL * cells / n), seed=9).select("x", "y").toArrow()
     if not sample.num_rows:
-        return rows
+        return rows, None
     x, y = (_matrix(sample[c].combine_chunks()) for c in ("x", "y"))
     guide = grow(x, y, np.ones(len(x)), min_split=2 * SAMPLE_PER_CELL)
     place, todo = np.zeros(len(guide.feature), np.int32), [0]  # cells from left to right
@@ -695,36 +717,75 @@ def _laid_out(rows: DataFrame, n: int, width: int, outputs: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*b.columns, cell], schema=b.schema.append(pa.field("cell", pa.int32())))
 
     dealt = rows.mapInArrow(placed, "uid long, x array<double>, y array<double>, cell int")
-    return cut_lineage(dealt.repartitionByRange(_even(rows), "cell", "uid").sortWithinPartitions("cell", "uid").drop("cell"), "training")
+    laid = dealt.repartitionByRange(_even(rows), "cell", "uid").sortWithinPartitions("cell", "uid").drop("cell")
+    return cut_lineage(laid, "training"), (x, place[guide.find(x)])
+
+
+# rows of a home: drawn ones, or (kind 1) asked ones; held: a bit for each node of the home that has the row
+PIECES = pa.schema([("home", pa.int32()), ("kind", pa.int32()), ("first", pa.int64()), *((c, pa.binary()) for c in ("uid", "x", "y", "held"))])
 
 
-PIECES = "tree int, node int, kind int, first long, x binary, y binary, w binary"  # rows of a node: drawn ones, or (kind 1) asked ones
+def _pieces(kind: int, held: dict[int, np.ndarray], uid: np.ndarray, x: np.ndarray, y: np.ndarray) -> Iterator[pa.RecordBatch]:
+    each = ((h, bits, np.flatnonzero(bits)) for h, bits in held.items())
+    return _rows(((h, kind, int(uid[0]), uid[at].tobytes(), x[at].tobytes(), y[at].tobytes(), bits[at].tobytes()) for h, bits, at in each), PIECES)
 
 
-def _dealt(rows: DataFrame, top: _Top, left: dict[tuple[int, int], int], seed: int, bootstrap: bool) -> DataFrame:
-    """The drawn rows of all nodes left to be grown, in chunks."""
-    sent = rows.sparkSession.sparkContext.broadcast(([tuple(t) for t in top.frozen()], left))
-    shape = to_arrow_schema(T.StructType.fromDDL(PIECES))
+def _bits(homes: list[list[tuple[int, int]]], of=None) -> dict[tuple[int, int], tuple[int, np.uint16]]:
+    return {node: (h, np.uint16(1 << i)) for h, own in enumerate(homes) for i, node in enumerate(own) if of is None or node in of}
+
+
+def _dealt(rows: DataFrame, top: _Top, left: dict[tuple[int, int], int], homes: list[list[tuple[int, int]]], seed: int, bootstrap: bool) -> DataFrame:
+    """The drawn rows of all nodes left to be grown: a row travels once to a home, however many of its nodes drew it."""
+    sent = rows.sparkSession.sparkContext.broadcast(([tuple(t) for t in top.frozen()], _bits(homes, left)))
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        upper, wanted = sent.value
+        upper, bits = sent.value
         upper = [Tree(*t) for t in upper]
         for uid, x, y in _blocks(batches, AREA_BYTES):
-            by_column, box, first = np.asfortranarray(x), (x.min(axis=0), x.max(axis=0)), int(uid[0])
+            by_column, box, held = np.asfortranarray(x), (x.min(axis=0), x.max(axis=0)), {}
             for t, tree in enumerate(upper):
                 w = weights(uid, t, seed, bootstrap)
-                some = w.astype(np.uint8)  # draws are small numbers
-                yield from _rows(((t, own, 0, first, x[at].tobytes(), y[at].tobytes(), some[at].tobytes())
-                                  for own, at in tree.parts(by_column, np.flatnonzero(w > 0), tree.whole(*box)) if (t, own) in wanted), shape)
-
-    return rows.mapInArrow(dealt, PIECES)
-
-
-def _grown(chunks: list, depth: int | None, min_split: int) -> Tree:
-    """The subtree of a node's rows, from its chunks (first, x, y, w): the same tree in whatever order they came."""
-    chunks = sorted(chunks, key=lambda c: c[0])
-    x, y, w = (np.frombuffer(b"".join(c[i] for c in chunks), d).astype(float) for i, d in ((1, float), (2, float), (3, np.uint8)))
-    return grow(x.reshape(len(w), -1), y.reshape(len(w), -1), w, depth, min_split)
+                for own, at in tree.parts(by_column, np.flatnonzero(w > 0), tree.whole(*box)):
+                    if (t, own) in bits:
+                        h, bit = bits[t, own]
+                        held.setdefault(h, np.zeros(len(uid), np.uint16))[at] |= bit
+            yield from _pieces(0, held, uid, x, y)
+
+    return rows.mapInArrow(dealt, from_arrow_schema(PIECES))
+
+
+def _at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, Iterator]]:
+    """(home, pieces of drawn rows, those of asked rows) of sorted pieces; the last are read as they come."""
+    rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+    for home, own in groupby(rows, key=lambda row: row[0]):
+        first, rest = [], iter(())
+        for row in own:
+            if row[1]:
+                rest = chain([row], own)
+                break
+            first.append(row[2:])
+        yield home, first, rest
+
+
+def _grown(pieces: list, nodes: list[tuple[int, int]], left: dict[tuple[int, int], int], depth: int | None, min_split: int, seed: int,
+           bootstrap: bool) -> Iterator[Tree | None]:
+    """The subtrees of a home's nodes, None for one without rows: the same in whatever order the pieces came."""
+    pieces.sort(key=lambda p: p[0])
+    uid, x, y, held = (np.frombuffer(b"".join(p[i] for p in pieces), d) for i, d in ((1, np.int64), (2, float), (3, float), (4, np.uint16)))
+    n = len(uid)
+    cols, outs = (np.ascontiguousarray(a.reshape(n, -1).T) if n else None for a in (x, y))
+    orders = [_ascending(c) for c in cols] if n else []  # for all of the nodes
+    for i, (t, m) in enumerate(nodes):
+        member = held & np.uint16(1 << i) > 0
+        rows = np.flatnonzero(member)
+        if not len(rows):
+            yield None
+            continue
+        place = np.cumsum(member) - 1
+        order = [place.take(o.compress(member.take(o))) for o in orders]
+        low = _levels(cols.take(rows, axis=1), outs.take(rows, axis=1), weights(uid.take(rows), t, seed, bootstrap), order, np.array([len(rows)]), 0,
+                      None if depth is None else depth - left[t, m], min_split)
+        yield Tree.unpack(low.pack())  # takes less room
 
 
 def fit_predict(df: DataFrame, features, outputs, asked: DataFrame, into: str, trees: int = 100, depth: int | None = None, min_split: int = 2,
@@ -735,50 +796,44 @@ def fit_predict(df: DataFrame, features, outputs, asked: DataFrame, into: str, t
     """
     features, outputs = list(features), [outputs] if isinstance(outputs, str) else list(outputs)
     ready, k = require(df, *features, *outputs), len(outputs)
-    rows, n, top, left = _prepared(ready.select(_vector(features).alias("x"), _vector(outputs).alias("y")), trees, depth, min_split, seed, bootstrap, task_rows)
+    rows, top, left, homes = _prepared(ready.select(_vector(features).alias("x"), _vector(outputs).alias("y")), trees, depth, min_split, seed, bootstrap, task_rows)
     if left is None:
         subtrees = cut_lineage(_from_points(rows, k, trees, depth, seed, bootstrap), "subtrees")
         return _fitted(features, top.frozen(), subtrees, k).predict(asked, into)
     asked = require(asked, *features)
     kept = asked.select(F.struct(*[F.col(f"`{c}`") for c in asked.columns]).alias("row"), F.monotonically_increasing_id().alias("uid"), _vector(features).alias("x"))
     kept = cut_lineage(kept.repartition(_even(kept), "uid"), "rows")
-    upper = [tuple(t) for t in top.frozen()]
-    sent = kept.sparkSession.sparkContext.broadcast((upper, left))
-    chunk, schema = to_arrow_schema(T.StructType.fromDDL(PIECES)), "uid long, value array<double>"
+    sent = kept.sparkSession.sparkContext.broadcast(([tuple(t) for t in top.frozen()], left, homes))
+    schema = "uid long, value array<double>"
     shape = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        upper = [Tree(*t) for t in sent.value[0]]
+        upper, bits = [Tree(*t) for t in sent.value[0]], _bits(sent.value[2])
         for uid, x, _ in _blocks(pa.RecordBatch.from_arrays([*b.columns, b.column(1)], ["uid", "x", "y"]) for b in batches):
-            by_column, every = np.asfortranarray(x), np.arange(len(uid))
+            by_column, every, held = np.asfortranarray(x), np.arange(len(uid)), {}
             for t, tree in enumerate(upper):
-                yield from _rows(((t, own, 1, int(uid[0]), x[at].tobytes(), uid[at].tobytes(), b"") for own, at in tree.parts(by_column, every)), chunk)
+                for own, at in tree.parts(by_column, every):
+                    h, bit = bits[t, own]
+                    held.setdefault(h, np.zeros(len(uid), np.uint16))[at] |= bit
+            yield from _pieces(1, held, uid, x, x[:, :0])
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        upper, wanted = sent.value
-        upper, held, chunks, low = [Tree(*t) for t in upper], None, [], None
-        for b in batches:
-            for t, m, kind, *c in zip(*(c.to_pylist() for c in b.columns)):
-                if (t, m) != held:
-                    held, chunks, low = (t, m), [], None
-                if kind == 0:
-                    chunks.append(c)
-                    continue
-                uid = np.frombuffer(c[2], np.int64)
-                if held in wanted:
-                    low = low or _grown(chunks, None if depth is None else depth - wanted[held], min_split)
-                    chunks, x = [], np.frombuffer(c[1]).reshape(len(uid), -1)
-                    found = low.value[low.find(x)]
-                else:
-                    found = np.repeat(upper[t].value[m][None, :], len(uid), axis=0)
-                value = pa.ListArray.from_arrays(np.arange(0, found.size + 1, k, np.int32), np.ascontiguousarray(found).ravel())
+        upper, left, homes = sent.value
+        for home, pieces, rest in _at_home(batches):
+            lows = None
+            for _, _, _, uid, x, _, held in rest:
+                lows = lows or list(_grown(pieces, homes[home], left, depth, min_split, seed, bootstrap))
+                uid, held = np.frombuffer(uid, np.int64), np.frombuffer(held, np.uint16)
+                x, total = np.frombuffer(x).reshape(len(uid), -1), np.zeros((len(uid), k))
+                for i, ((t, m), low) in enumerate(zip(homes[home], lows)):
+                    at = np.flatnonzero(held & np.uint16(1 << i))
+                    total[at] += upper[t][3][m] if low is None else low.value[low.find(x[at])]
+                value = pa.ListArray.from_arrays(np.arange(0, total.size + 1, k, np.int32), total.ravel())
                 yield pa.RecordBatch.from_arrays([pa.array(uid), value.cast(shape.field(1).type)], schema=shape)
 
-    size = n * trees * 8 * (len(features) + k) * 2 // 3  # of the drawn rows
-    parts = int(min(max(size // TASK_BYTES, 2 * _even(kept)), 10_000))
-    chunks = _dealt(rows, top, left, seed, bootstrap).unionByName(kept.select("uid", "x").mapInArrow(routed, PIECES))
-    chunks = chunks.repartition(parts, "tree", "node").sortWithinPartitions("tree", "node", "kind", "first")
-    mean = chunks.mapInArrow(told, schema).groupBy("uid").agg(F.array(*[F.avg(F.col("value")[j]) for j in range(k)]).alias("mean"))
+    pieces = _dealt(rows, top, left, homes, seed, bootstrap).unionByName(kept.select("uid", "x").mapInArrow(routed, from_arrow_schema(PIECES)))
+    pieces = pieces.repartitionById(len(homes), F.col("home")).sortWithinPartitions("home", "kind", "first")
+    mean = pieces.mapInArrow(told, schema).groupBy("uid").agg(F.array(*[F.sum(F.col("value")[j]) / trees for j in range(k)]).alias("mean"))
     return kept.join(mean, "uid").select("row.*", F.col("mean")[0].alias(into))
 
 

@@ -252,3 +252,19 @@ def test_a_forest_used_once_is_not_stored(spark, monkeypatch):
     got = {r.id: r.p for r in out.collect()}
     assert out.columns == [*rows.columns, "p"] and "subtrees" not in stored
     assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+
+
+def test_rows_travel_once_to_a_home(spark, monkeypatch):
+    """Nodes of one place in several trees are grown in one task, which gets a row once; every leaf has one home."""
+    monkeypatch.setattr(forests, "CELL_ROWS", 60)
+    rows = noisy(spark, 6000).select(F.array("a", "b", "c").alias("x"), F.array("y").alias("y"))
+    training, top, left, homes = forests._prepared(rows, 40, None, 2, 42, True, 600)
+    leaves = [(t, m) for t, tree in enumerate(top.frozen()) for m in np.flatnonzero(tree.feature < 0).tolist()]
+    assert sorted(node for own in homes for node in own) == leaves and max(map(len, homes)) <= forests.BOND
+    found = forests._dealt(training, top, left, homes, 42, True).toArrow().to_pylist()
+    held = {h: [np.frombuffer(p["held"], np.uint16) for p in found if p["home"] == h] for h in range(len(homes))}
+    sent = sum(len(b) for pieces in held.values() for b in pieces)
+    drawn = {node: sum(int((b >> i & 1).sum()) for b in held[h]) for h, own in enumerate(homes) for i, node in enumerate(own)}
+    uid = training.toPandas()["uid"].to_numpy()
+    assert sum(drawn.values()) == sum(int((forests.weights(uid, t, 42, True) > 0).sum()) for t in range(40))
+    assert sent < 0.5 * sum(drawn.values())
